@@ -212,7 +212,7 @@ def document_events(spark, sf):
             (F.lit(O.T0) + pos).alias("ts_ms")))
     events = F.array_compact(F.array(
         event("insert", 0, F.col("text")),
-        F.when(F.col("doc_id") % 5 == 0, event("update", O.UPDATE_AT, F.upper("text"))),
+        F.when(F.col("doc_id") % 5 == 0, event("update", O.UPDATE_AT, F.concat(F.lit("v2 "), F.col("text")))),
         F.when(F.col("doc_id") % 7 == 0, event("delete", O.DELETE_AT, F.col("text")))))
     return docs.select(F.explode(events).alias("value"))
 
@@ -221,7 +221,7 @@ _OID = "lpad(lower(to_hex(doc_id)), 24, '0')"
 
 
 @query("s16_decode_change_stream", f"""SELECT 'c' AS op, doc_id AS pos, (1700000000 + doc_id) * 1000 AS event_ts, {_OID} AS id, md5(text) AS text_md5, lang, n_chars, source, n_chars AS chars FROM documents
-UNION ALL SELECT 'u', doc_id + 100000000, (1700000000 + doc_id) * 1000, {_OID}, md5(upper(text)), lang, n_chars, source, n_chars FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT 'u', doc_id + 100000000, (1700000000 + doc_id) * 1000, {_OID}, md5('v2 ' || text), lang, n_chars, source, n_chars FROM documents WHERE doc_id % 5 = 0
 UNION ALL SELECT 'd', doc_id + 200000000, (1700000000 + doc_id) * 1000, {_OID}, NULL, NULL, NULL, NULL, NULL FROM documents WHERE doc_id % 7 = 0""")
 def s16(spark, sf):
     df = changestream.decode_change_stream(document_events(spark, sf), DOC_SCHEMA)

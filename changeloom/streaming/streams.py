@@ -73,9 +73,10 @@ def late_change_guard(batch: DataFrame, state_path: str) -> DataFrame:
 
 
 def stream_progress(stream: DataFrame, heartbeat_prefix: str = "__heartbeat") -> DataFrame:
-    """Highest position per source, moved on by data and heartbeats alike."""
-    source = F.when(F.col("topic").startswith(heartbeat_prefix),
-                    F.substring_index("topic", ".", -1)).otherwise(F.col("topic"))
+    """Highest position per source, moved on by data and heartbeats alike. A heartbeat's topic is the
+    prefix, a dot and the source."""
+    beat = F.col("topic").startswith(heartbeat_prefix + ".")
+    source = F.when(beat, F.expr(f"substring(topic, {len(heartbeat_prefix) + 2})")).otherwise(F.col("topic"))
     return stream.groupBy(source.alias("source")).agg(F.max("pos").alias("pos"))
 
 
