@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from decimal import Decimal
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,14 @@ def approx_row_count(df: DataFrame) -> DataFrame:
 
 def distribution_factor(low: Column, high: Column, rows: Column) -> Column:
     """(high - low + 1) / rows, rounded up to 4 digits; the largest double without rows."""
-    span = (high - low + 1).cast("decimal(38,4)") * 10000
-    return (F.when(rows == 0, F.lit(MAX_FACTOR))
-            .otherwise(F.ceil(span.cast("decimal(38,0)") / rows).cast("double") / 10000))
+    wide = "decimal(30,10)"
+    parts = (high.cast(wide) - low.cast(wide) + F.lit(1)) * F.lit(10000).cast("decimal(5,0)")
+    count = rows.cast("decimal(20,0)")
+    # Whole quotient plus one for any remainder: exact, where a decimal division would round first.
+    remainder = parts % count
+    whole = ((parts - remainder) / count).cast("decimal(38,0)")
+    up = whole + F.when(remainder > 0, 1).otherwise(0)
+    return F.when(rows == 0, F.lit(MAX_FACTOR)).otherwise(up.cast("double") / 10000)
 
 
 def factor_of(low, high, rows: int) -> float:
@@ -44,9 +50,7 @@ def factor_of(low, high, rows: int) -> float:
         raise TypeError(f"key bounds differ in type: {type(low).__name__}, {type(high).__name__}")
     if rows == 0:
         return MAX_FACTOR
-    span = Decimal(high) - Decimal(low) + 1
-    return float(-((-span * 10000) // rows)) / 10000 if span % 1 == 0 else \
-        math.ceil(span * 10000 / rows) / 10000
+    return math.ceil(Fraction(Decimal(high) - Decimal(low) + 1) * 10000 / rows) / 10000
 
 
 # ---------------------------------------------------------------- plans

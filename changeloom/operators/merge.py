@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from . import spread
-from .changelog import offset_column, to_row_kinds
+from .changelog import Keys, offset_column, to_row_kinds
 from .chunks import ChunkPlan, assign_chunk
 
 
@@ -36,10 +36,11 @@ def reconcile_changes(snapshot: DataFrame, log: DataFrame, plan: ChunkPlan, mark
         (F.col("pos") > F.col("low_pos")) & (F.col("pos") <= F.col("high_pos")))
     cols = ["key", "op", *S.ORDER, *carry, "after"]
     rows = snapshot.select(*cols).unionByName(folded.select(*cols))
+    keys = Keys(rows, ("key",))
     latest = F.max_by(F.struct(*cols[1:]), offset_column())
-    return (rows.groupBy("key").agg(latest.alias("_l")).where(F.col("_l.op") != "d")
+    return (rows.groupBy(*keys.columns).agg(latest.alias("_l")).where(F.col("_l.op") != "d")
             .select(*[f"_l.{c}" for c in carry], F.lit("r").alias("op"), *[f"_l.{c}" for c in S.ORDER],
-                    "key", F.lit(None).cast(snapshot.schema["after"].dataType).alias("before"), "_l.after"))
+                    *keys.restored, F.lit(None).cast(snapshot.schema["after"].dataType).alias("before"), "_l.after"))
 
 
 def reconcile_chunks(snapshot: DataFrame, log: DataFrame, plan: ChunkPlan, marks: DataFrame) -> DataFrame:

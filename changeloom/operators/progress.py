@@ -76,8 +76,7 @@ def gtid_difference(a: DataFrame, b: DataFrame, cuts: list | None = None) -> Dat
     points = (borders(a, "da", "db").unionByName(borders(b, "db", "da")).groupBy("sid", "at")
               .agg(F.sum("da").alias("da"), F.sum("db").alias("db")))
     cuts = spread.fences(points, "at") if cuts is None else cuts
-    points = spread.running_total_by_key(points, ["sid"], "at", F.col("da"), "ca", cuts)
-    points = spread.running_total_by_key(points, ["sid"], "at", F.col("db"), "cb", cuts)
+    points = spread.running_totals_by_key(points, ["sid"], "at", {"ca": F.col("da"), "cb": F.col("db")}, cuts)
     # Keep only the borders where "in a and not in b" switches, then pair each switch-off with the
     # switch-on before it.
     inside = ((F.col("ca") > 0) & (F.col("cb") == 0))

@@ -117,28 +117,26 @@ def previous_by_key(df: DataFrame, keys: list[str], order: list[str], value: Col
             .where(F.col("_real") == 1).select(*cols))
 
 
-def running_total_by_key(df: DataFrame, keys: list[str], order: str, value: Column, out: str,
-                         cuts: list | None = None) -> DataFrame:
-    """Inclusive running sum per key, spread like :func:`previous_by_key`; ``order`` unique per key."""
+def running_totals_by_key(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
+                          cuts: list | None = None) -> DataFrame:
+    """Inclusive running sums per key, spread like :func:`previous_by_key`; ``order`` unique per key."""
     cuts = fences(df, order) if cuts is None else cuts
-    df = df.withColumn(out, value)
+    df = df.withColumns(values)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     if not cuts:
-        inside = (Window.partitionBy(*keys).orderBy(order)
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, F.sum(out).over(inside))
+        inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(*so_far)
+        return df.withColumns({out: F.sum(out).over(inside) for out in values})
     cols = df.columns
     df = with_block(df, order, cuts)
     blocks = Window.partitionBy(*keys).orderBy("_block")
-    carried = (df.groupBy(*keys, "_block").agg(F.sum(out).alias("_t"))
+    carried = (df.groupBy(*keys, "_block").agg(*[F.sum(out).alias(out) for out in values])
                .select(*keys, F.lead("_block").over(blocks).alias("_block"),
-                       F.sum("_t").over(blocks.rowsBetween(
-                           Window.unboundedPreceding, Window.currentRow)).alias(out),
+                       *[F.sum(out).over(blocks.rowsBetween(*so_far)).alias(out) for out in values],
                        F.lit(0).alias("_real"))
                .where(F.col("_block").isNotNull()))
     rows = df.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
-    inside = (Window.partitionBy(*keys, "_block").orderBy("_real", order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.withColumn(out, F.sum(out).over(inside))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_real", order).rowsBetween(*so_far)
+    return (rows.withColumns({out: F.sum(out).over(inside) for out in values})
             .where(F.col("_real") == 1).select(*cols))
 
 

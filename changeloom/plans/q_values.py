@@ -259,10 +259,10 @@ def t18(spark, sf):
         (F.col("event_id") % 2 == 1).alias("flag"),
         F.array(wrap("$numberInt", F.col("user_id")), wrap("$numberInt", F.lit(5))).alias("list"),
         F.struct(F.lit("users").alias("$ref"), wrap("$oid", oid).alias("$id")).alias("owner")))
-    df = e.withColumn("millis_s", F.expr("unix_seconds(cast(ts as timestamp))")).select(doc.alias("doc"))
+    df = e.withColumn("millis_s", F.expr("unix_seconds(cast(ts as timestamp))")).select(F.try_parse_json(doc).alias("doc"))
     schema = ("_id string, user bigint, at timestamp_ntz, stamp timestamp_ntz, item struct<price:decimal(20,2),kind:string>, "
               "flag boolean, list array<int>, owner struct<`$ref`:string,`$id`:string>")
-    df = df.select(B.decode_bson_json(F.col("doc"), schema, {"owner": "dbref"}).alias("d"))
+    df = df.select(B.decode_document(F.col("doc"), schema, {"owner": "dbref"}).alias("d"))
     return df.select(F.col("d._id").alias("id"), F.col("d.user").alias("user_id"),
                      F.date_format("d.at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"),
                      F.date_format("d.stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
-from ..functions.documents import decode_bson_json
+from ..functions.documents import decode_document, get
 
 
 def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
@@ -15,21 +15,26 @@ def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
     row = doc_schema if isinstance(doc_schema, T.StructType) else T.StructType.fromDDL(doc_schema)
     if "_id" not in row.fieldNames():
         raise ValueError("a document schema needs _id")
-    text = F.col(column)
+    df = raw.select(F.try_parse_json(column).alias("_v"))
+    v = F.col("_v")
 
-    def at(path):
-        return F.get_json_object(text, path)
+    def at(*path, kind="string"):
+        return get(v, list(path), kind)
 
-    kind = at("$.operationType")
-    op = (F.when((kind == "insert") & (at("$.source.snapshot") == "true"), "r").when(kind == "insert", "c")
+    # The looked-up document is an object, or a text that holds one.
+    df = df.withColumn("_doc", F.when(at("fullDocument", "_id", kind="variant").isNotNull(),
+                                      at("fullDocument", kind="variant"))
+                       .otherwise(F.try_parse_json(at("fullDocument"))))
+    kind = at("operationType")
+    op = (F.when((kind == "insert") & (at("source", "snapshot") == "true"), "r").when(kind == "insert", "c")
           .when(kind.isin("update", "replace"), "u").when(kind == "delete", "d"))
     key_row = T.StructType([row["_id"]])
-    seconds = F.coalesce(at("$.clusterTime['$timestamp'].t"), at("$.clusterTime.t")).cast("bigint")
-    df = raw.select(
-        at("$.ns.db").alias("db"), F.lit(None).cast("string").alias("schema"),
-        at("$.ns.coll").alias("table"), op.alias("op"), at("$.resume").cast("bigint").alias("pos"),
-        F.lit(0).alias("sub"), (seconds * 1000).alias("event_ts"), at("$.ts_ms").cast("bigint").alias("fetch_ts"),
-        decode_bson_json(at("$.documentKey"), key_row, hints).alias("key"),
+    seconds = F.coalesce(at("clusterTime", "$timestamp", "t", kind="bigint"), at("clusterTime", "t", kind="bigint"))
+    df = df.select(
+        at("ns", "db").alias("db"), F.lit(None).cast("string").alias("schema"),
+        at("ns", "coll").alias("table"), op.alias("op"), at("resume", kind="bigint").alias("pos"),
+        F.lit(0).alias("sub"), (seconds * 1000).alias("event_ts"), at("ts_ms", kind="bigint").alias("fetch_ts"),
+        decode_document(at("documentKey", kind="variant"), key_row, hints).alias("key"),
         F.lit(None).cast(row.simpleString()).alias("before"),
-        F.when(op != "d", decode_bson_json(at("$.fullDocument"), row, hints)).alias("after"))
+        F.when(op != "d", decode_document(F.col("_doc"), row, hints)).alias("after"))
     return df.where(F.col("op").isNotNull())

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import merge
-from ..operators.changelog import normalize_upserts, offset_column
+from ..operators.changelog import Keys, dedup_at_least_once, normalize_upserts, offset_column
 from .sinks import is_applied, read_changes, upsert_batch, upsert_sink
 
 
 def stream_materialize(stream: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
     """Running latest change per key; use update or complete output mode. Deleted keys are reported
     with op ``d`` so that a sink can drop them."""
+    keys = Keys(stream, by)
     latest = F.max_by(F.struct("op", "after", *S.ORDER), offset_column())
-    return stream.groupBy(*by).agg(latest.alias("_l")).select(*by, "_l.*")
+    return stream.groupBy(*keys.columns).agg(latest.alias("_l")).select(*keys.restored, "_l.*")
 
 
 def live_rows(latest: DataFrame) -> DataFrame:
@@ -28,21 +29,28 @@ def stream_dedup(stream: DataFrame, by: list[str], delay: str = "10 minutes") ->
     return timed.dropDuplicatesWithinWatermark(by).drop("_at")
 
 
+def _split_late(batch: DataFrame, state_path: str) -> tuple[DataFrame, DataFrame]:
+    """(events past the stored position of their key, stored last change of the keys of the batch)."""
+    keys = Keys(batch, ("key",))
+    batch = keys.add(batch)
+    stored = keys.add(read_changes(batch.sparkSession, state_path, batch.drop(*keys.names).schema))
+    stored = stored.join(batch.select(*keys.names).distinct(), keys.names, "left_semi")
+    rest = [c for c in batch.columns if c not in keys.names]
+    last = stored.groupBy(*keys.names).agg(F.max_by(F.struct(*rest), offset_column()).alias("_l"))
+    fresh = (batch.join(last.select(*keys.names, F.struct("_l.pos", "_l.sub").alias("_at")), keys.names, "left")
+             .where(F.col("_at").isNull() | (offset_column() > F.col("_at"))))
+    return fresh.select(*rest), last.select("_l.*").select(*rest)
+
+
 def normalize_batch(batch: DataFrame, state_path: str) -> DataFrame:
     """Before images for one micro-batch of upserts, from the keyed table of earlier images.
 
     The events of the batch, and the stored row of each key they touch, go through the batch
     operator together, so a hot key is spread over blocks as in ``normalize_upserts``. Events at or
-    before the stored position of their key are late and dropped.
+    before the stored position of their key are late and dropped. Stored rows are found by a join
+    over the state, so a batch should be large enough to be worth one pass over it.
     """
-    stored = read_changes(batch.sparkSession, state_path, batch.schema)
-    stored = stored.join(batch.select("key").distinct(), "key", "left_semi").select(*batch.columns)
-    last = (stored.groupBy("key").agg(F.max_by(F.struct(*[c for c in batch.columns if c != "key"]),
-                                               offset_column()).alias("_l"),
-                                      F.max(offset_column()).alias("_at")))
-    fresh = (batch.join(last.select("key", "_at"), "key", "left")
-             .where(F.col("_at").isNull() | (offset_column() > F.col("_at"))).select(*batch.columns))
-    held = last.select("key", "_l.*").select(*batch.columns)
+    fresh, held = _split_late(batch, state_path)
     both = (held.withColumn("_new", F.lit(False))
             .unionByName(fresh.withColumn("_new", F.lit(True))))
     return normalize_upserts(both).where("_new").drop("_new")
@@ -55,7 +63,7 @@ def stream_normalize(stream: DataFrame, state_path: str, out_path: str, checkpoi
         # The output is written before the state, so an applied batch has nothing left to do.
         if is_applied(batch.sparkSession, state_path, batch_id):
             return
-        batch = batch.dropDuplicates(["key", *S.ORDER])
+        batch = dedup_at_least_once(batch, ("key", *S.ORDER))
         normalize_batch(batch, state_path).write.mode("overwrite").parquet(
             f"{out_path}/batch={batch_id}")
         upsert_batch(batch, state_path, batch_id)
@@ -66,10 +74,7 @@ def stream_normalize(stream: DataFrame, state_path: str, out_path: str, checkpoi
 
 def late_change_guard(batch: DataFrame, state_path: str) -> DataFrame:
     """Drop events at or before the stored position of their key."""
-    stored = read_changes(batch.sparkSession, state_path, batch.schema)
-    at = stored.groupBy("key").agg(F.max(offset_column()).alias("_at"))
-    return (batch.join(at, "key", "left")
-            .where(F.col("_at").isNull() | (offset_column() > F.col("_at"))).select(*batch.columns))
+    return _split_late(batch, state_path)[0]
 
 
 def stream_progress(stream: DataFrame, heartbeat_prefix: str = "__heartbeat") -> DataFrame:
