@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,29 +21,48 @@ def enrich(fact: DataFrame, *dims: tuple[DataFrame, list[str] | str]) -> DataFra
     return fact
 
 
-def enrich_changes(old_fact: DataFrame, new_fact: DataFrame, old_dim: DataFrame, new_dim: DataFrame,
-                   touched_fact: DataFrame, touched_dim: DataFrame, key: str, on: str) -> DataFrame:
-    """Kinded rows that bring ``fact left join dim`` from its old to its new result.
+@dataclass(frozen=True)
+class DimChange:
+    """One dim of an incremental join: its rows before and after, and the ``on`` values it touched."""
+    old: DataFrame
+    new: DataFrame
+    touched: DataFrame
+    on: str
 
-    Only facts that changed themselves, or whose dim row changed, are recomputed; unchanged results
-    cancel. ``touched_fact`` holds ``key`` values and ``touched_dim`` holds ``on`` values.
-    """
-    fact_keys, dim_keys = touched_fact.select(key).distinct(), touched_dim.select(on).distinct()
 
-    def result(fact, dim):
-        # Facts named by their own change, plus facts reached through their dim; a fact that is
-        # both is taken once, by the first branch.
-        own = fact.join(fact_keys, key, "left_semi")
-        reached = fact.join(dim_keys, on, "left_semi").join(fact_keys, key, "left_anti")
-        return own.unionByName(reached).join(dim, on, "left")
+def enrich_changes(old_fact: DataFrame, new_fact: DataFrame, touched_fact: DataFrame, key: str,
+                   dims: list[DimChange], result_key: list[str] | None = None) -> DataFrame:
+    """Kinded rows that bring ``fact left join dims`` from its old to its new result.
 
-    old, new = result(old_fact, old_dim), result(new_fact, new_dim)
+    Only facts that changed themselves (``touched_fact`` holds their ``key`` values) or that meet a
+    touched dim value are recomputed; results that stay the same cancel. ``result_key`` identifies a
+    result row; name the dim's key too when a fact can meet several rows of it.
+    """
+    result_key = result_key or [key]
+
+    def result(fact, side):
+        cols = fact.columns
+        marks = [(touched_fact, key), *[(d.touched, d.on) for d in dims]]
+        hit = F.lit(False)
+        for i, (touched, name) in enumerate(marks):
+            flag = touched.select(name).distinct().withColumn(f"_hit{i}", F.lit(True))
+            fact = fact.join(flag, name, "left")
+            hit = hit | F.coalesce(F.col(f"_hit{i}"), F.lit(False))
+        fact = fact.where(hit).select(*cols)
+        return enrich(fact, *[(getattr(d, side), d.on) for d in dims])
+
+    old, new = result(old_fact, "old"), result(new_fact, "new")
     cols = new.columns
-    both = (old.select(F.col(key).alias("_k"), F.struct(*cols).alias("old"))
-            .join(new.select(F.col(key).alias("_k"), F.struct(*cols).alias("new")), "_k", "full"))
 
-    def row(kind, side):
-        return F.struct(F.lit(kind).alias("row_kind"), F.col(side).alias("r"))
+    def side(df, name):
+        return df.select(*[F.col(k).alias(f"_k_{k}") for k in result_key], F.struct(*cols).alias(name))
+    # Both results meet in one shuffle; null parts of a key group together.
+    both = (side(old, "old").unionByName(side(new, "new"), allowMissingColumns=True)
+            .groupBy(*[f"_k_{k}" for k in result_key])
+            .agg(*[F.first(n, ignorenulls=True).alias(n) for n in ("old", "new")]))
+
+    def row(kind, name):
+        return F.struct(F.lit(kind).alias("row_kind"), F.col(name).alias("r"))
     rows = (F.when(F.col("old").isNull(), F.array(row(S.INSERT, "new")))
             .when(F.col("new").isNull(), F.array(row(S.DELETE, "old")))
             .when(~F.col("old").eqNullSafe(F.col("new")),

@@ -351,7 +351,7 @@ def j2(spark, sf):
     log = split_log(spark, sf)
     cols = ["k", "cust", "st", "cents"]
     return V.enrich_changes(O.order_images(spark, sf).select(*cols), L.materialize(everything(spark, sf)),
-                            old_dim, new_dim, log.select("key.k"), touched_dim, "k", "cust")
+                            log.select("key.k"), "k", [V.DimChange(old_dim, new_dim, touched_dim, "cust")])
 
 
 @query("a1_aggregate_changes", f"""{WITH_FINAL} SELECT st, cust % 100 AS grp, count(*) AS row_count, CAST(sum(cents) AS BIGINT) AS cents FROM final GROUP BY 1, 2""")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import changelog as L
+from ..operators.merge import state_of_kinds
 from ..session import scratch_dir
 from ..sources import envelope, log as logs
 from ..streaming import sinks, streams as W
@@ -150,3 +151,32 @@ def w8(spark, sf):
     log_directory(spark, rows, CUTS[1:], source)
     finish(sinks.upsert_sink(_stream(spark, rows, source), path, state))
     return sinks.read_table(spark, path, rows.schema)
+
+
+@query("j2_stream_enrich", f"""{WITH_FINAL} SELECT final.k, final.cust, st, cents, CASE WHEN final.cust % 9 = 0 THEN upper(c_name) ELSE c_name END AS c_name
+FROM final LEFT JOIN customer ON c_custkey = final.cust AND c_custkey % 31 <> 0""")
+def j2s(spark, sf):
+    """Orders and customers change in one raw log: customers are read, renamed (% 9) and deleted (% 31)."""
+    cust = F.col("c_custkey")
+    image = F.struct(cust.alias("cust"), F.col("c_name"))
+    named = F.struct(cust.alias("cust"), F.upper("c_name").alias("c_name"))
+    none = F.lit(None).cast("struct<cust:bigint,c_name:string>")
+
+    def event(op, pos, before, after):
+        return F.struct(F.lit(op).alias("op"), pos.cast("bigint").alias("pos"), before.alias("before"), after.alias("after"))
+    now = F.when(cust % 9 == 0, named).otherwise(image)
+    events = F.array_compact(F.array(
+        event("r", F.lit(0), none, image), F.when(cust % 9 == 0, event("u", cust + O.UPDATE_AT, image, named)),
+        F.when(cust % 31 == 0, event("d", cust + O.CREATE_AT, now, none))))
+    customers = (O.read(spark, sf, "customer").select(F.explode(events).alias("e")).select(
+        F.lit("shop").alias("db"), F.lit("public").alias("schema"), F.lit("customer").alias("table"), "e.op", "e.pos",
+        F.lit(0).alias("sub"), F.lit(0).cast("bigint").alias("event_ts"), F.lit(0).cast("bigint").alias("fetch_ts"),
+        F.struct(F.coalesce("e.after", "e.before")["cust"].alias("cust")).alias("key"), "e.before", "e.after"))
+    raw = (envelope.changes_to_json(O.orders_changes(spark, sf), keep=("pos",))
+           .unionByName(envelope.changes_to_json(customers, keep=("pos",))))
+    stream = _stream(spark, raw, log_directory(spark, raw))
+    held, out, state = (scratch_dir(spark, n) for n in ("held", "changes", "state"))
+    finish(W.stream_enrich(stream, W.Side("orders", O.IMAGE[7:-1], ["k"]),
+                           [W.Side("customer", "cust bigint, c_name string", ["cust"], "cust")], held, out, state))
+    rows = spark.read.parquet(out).withColumns({"pos": F.col("batch").cast("bigint"), "sub": F.lit(0)}).drop("batch")
+    return state_of_kinds(rows, ["k"])

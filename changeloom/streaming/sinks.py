@@ -39,19 +39,16 @@ def _commit(spark, path, version, batch_id, kind, data):
     row.coalesce(1).write.mode("append").json(f"{path}/commits")
 
 
-def read_changes(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Base and delta rows of the current version, as change rows."""
-    parts = [f"{path}/data/v={c.data}" for c in _commits(spark, path)]
+def read_changes(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
+    """Base and delta rows as change rows; ``before`` leaves out that batch and later ones, so that a
+    replayed batch sees the table as it was the first time."""
+    parts = [f"{path}/data/v={c.data}" for c in _commits(spark, path) if before is None or c.batch_id < before]
     if not parts:
         return spark.createDataFrame([], schema)
     read = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*parts)
     return read.select(*[f.name for f in schema.fields])
 
 
-def is_applied(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return any(c.batch_id >= batch_id for c in _commits(spark, path))
-
-
 def read_table(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key",),
                keep: tuple[str, ...] = ()) -> DataFrame:
     """Current rows. ``schema`` is that of the change rows that were written."""
@@ -65,6 +62,10 @@ def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...]
     done = _commits(spark, path)
     if any(c.batch_id >= batch_id for c in done):
         return False
+    if len(done) > compact_every:
+        # Before the batch, never after it: a base then holds earlier batches only.
+        compact(spark, path, batch.schema, by, partition_by)
+        done = _commits(spark, path)
     version = done[-1].version + 1 if done else 1
     # The id in the name makes a rewrite after a crash land on its own unfinished attempt.
     name = f"delta-{version}-{batch_id}"
@@ -73,8 +74,6 @@ def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...]
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/data/v={name}")
     _commit(spark, path, version, batch_id, "delta", name)
-    if len(done) + 1 > compact_every:
-        compact(spark, path, batch.schema, by, partition_by)
     return True
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import merge
-from ..operators.changelog import Keys, dedup_at_least_once, normalize_upserts, offset_column
-from .sinks import is_applied, read_changes, upsert_batch, upsert_sink
+from ..operators.changelog import (Keys, dedup_at_least_once, materialize, normalize_upserts, offset_column,
+                                   split_key_updates)
+from ..operators.views import DimChange, enrich_changes
+from ..sources.envelope import decode_envelope
+from .sinks import read_changes, upsert_batch, upsert_sink
 
 
 def stream_materialize(stream: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
@@ -29,11 +34,11 @@ def stream_dedup(stream: DataFrame, by: list[str], delay: str = "10 minutes") ->
     return timed.dropDuplicatesWithinWatermark(by).drop("_at")
 
 
-def _split_late(batch: DataFrame, state_path: str) -> tuple[DataFrame, DataFrame]:
+def _split_late(batch: DataFrame, state_path: str, batch_id: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(events past the stored position of their key, stored last change of the keys of the batch)."""
     keys = Keys(batch, ("key",))
     batch = keys.add(batch)
-    stored = keys.add(read_changes(batch.sparkSession, state_path, batch.drop(*keys.names).schema))
+    stored = keys.add(read_changes(batch.sparkSession, state_path, batch.drop(*keys.names).schema, batch_id))
     stored = stored.join(batch.select(*keys.names).distinct(), keys.names, "left_semi")
     rest = [c for c in batch.columns if c not in keys.names]
     last = stored.groupBy(*keys.names).agg(F.max_by(F.struct(*rest), offset_column()).alias("_l"))
@@ -42,7 +47,7 @@ def _split_late(batch: DataFrame, state_path: str) -> tuple[DataFrame, DataFrame
     return fresh.select(*rest), last.select("_l.*").select(*rest)
 
 
-def normalize_batch(batch: DataFrame, state_path: str) -> DataFrame:
+def normalize_batch(batch: DataFrame, state_path: str, batch_id: int | None = None) -> DataFrame:
     """Before images for one micro-batch of upserts, from the keyed table of earlier images.
 
     The events of the batch, and the stored row of each key they touch, go through the batch
@@ -50,7 +55,7 @@ def normalize_batch(batch: DataFrame, state_path: str) -> DataFrame:
     before the stored position of their key are late and dropped. Stored rows are found by a join
     over the state, so a batch should be large enough to be worth one pass over it.
     """
-    fresh, held = _split_late(batch, state_path)
+    fresh, held = _split_late(batch, state_path, batch_id)
     both = (held.withColumn("_new", F.lit(False))
             .unionByName(fresh.withColumn("_new", F.lit(True))))
     return normalize_upserts(both).where("_new").drop("_new")
@@ -60,11 +65,8 @@ def stream_normalize(stream: DataFrame, state_path: str, out_path: str, checkpoi
                      trigger: dict | None = None):
     """Upsert stream to a full changelog under ``out_path``, one directory per batch."""
     def apply(batch, batch_id):
-        # The output is written before the state, so an applied batch has nothing left to do.
-        if is_applied(batch.sparkSession, state_path, batch_id):
-            return
         batch = dedup_at_least_once(batch, ("key", *S.ORDER))
-        normalize_batch(batch, state_path).write.mode("overwrite").parquet(
+        normalize_batch(batch, state_path, batch_id).write.mode("overwrite").parquet(
             f"{out_path}/batch={batch_id}")
         upsert_batch(batch, state_path, batch_id)
 
@@ -92,3 +94,50 @@ def snapshot_to_stream(snapshot: DataFrame, log: DataFrame, plan, marks: DataFra
     upsert_batch(merged, path, -1)
     late = merge.changes_after_snapshot(log_stream, plan, marks)
     return upsert_sink(late, path, checkpoint, trigger=trigger)
+
+
+# ---------------------------------------------------------------- incremental join
+
+@dataclass(frozen=True)
+class Side:
+    """One table of an incremental join, found in the raw log by its name."""
+    table: str
+    row: str            # payload columns as DDL
+    key: list[str]
+    on: str | None = None   # dims: the column shared with the fact
+
+
+def stream_enrich(raw: DataFrame, fact: Side, dims: list[Side], state_path: str, out_path: str,
+                  checkpoint: str, result_key: list[str] | None = None, trigger: dict | None = None):
+    """Keep ``fact left join dims`` up to date from one raw log of envelope texts (column ``value``).
+
+    Each micro-batch writes the kinded rows of the results it changed to ``out_path/batch=N``. Both
+    images of dim changes are needed. The states before a batch are read as of that batch, so a
+    replay after a crash writes the same output again.
+    """
+    def decode(batch, side):
+        rows = batch.where(F.get_json_object("value", "$.source.table") == side.table)
+        return split_key_updates(decode_envelope(rows, side.row, side.key))
+
+    def states(changes, side, batch_id):
+        held = read_changes(changes.sparkSession, f"{state_path}/{side.table}", changes.schema, batch_id)
+        return materialize(held), materialize(held.unionByName(changes))
+
+    def apply(batch, batch_id):
+        batch = batch.select("value").persist()
+        changes = {s.table: decode(batch, s) for s in (fact, *dims)}
+        moved = []
+        for d in dims:
+            rows = changes[d.table]
+            values = F.explode(F.array_compact(F.array(f"before.{d.on}", f"after.{d.on}"))).alias(d.on)
+            moved.append(DimChange(*states(rows, d, batch_id), rows.select(values), d.on))
+        old, new = states(changes[fact.table], fact, batch_id)
+        touched = changes[fact.table].select(f"key.{fact.key[0]}")
+        result = enrich_changes(old, new, touched, fact.key[0], moved, result_key)
+        result.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        for s in (*dims, fact):
+            upsert_batch(changes[s.table], f"{state_path}/{s.table}", batch_id)
+        batch.unpersist()
+
+    return (raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
