@@ -122,6 +122,12 @@ def decode_envelope_with_schema(raw: DataFrame, key: list[str], table: str | Non
     return decode_envelope(payload, row, key, "_payload", "base64")
 
 
+def decode_tables_with_schema(raw: DataFrame, keys: dict[str, list[str]], column: str = "value") -> dict[str, DataFrame]:
+    """One typed frame per table named in ``keys``. The driver sees one schema text per table."""
+    found = {r.table: r.schema_json for r in schema_samples(raw, column).where(F.col("table").isin(*keys)).collect()}
+    return {t: decode_envelope_with_schema(raw, keys[t], t, schema, column) for t, schema in found.items()}
+
+
 # ---------------------------------------------------------------- output
 
 def wire_schema(row: T.StructType) -> dict:
