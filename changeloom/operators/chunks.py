@@ -291,7 +291,8 @@ def assign_chunk(df: DataFrame, plan: ChunkPlan, key: Column, out: str = "chunk_
     fine = (plan.ends.where(F.col("end_no") % m != 0)
             .groupBy(F.expr(f"cast(end_no div {m} as int)").alias("_f"))
             .agg(F.array_sort(F.collect_list("end")).alias("_ends")))
-    found = spread.join_small(found, fine, ["_f"], "left")
+    # A fence row holds up to m - 1 ends, so the row limit shrinks with m.
+    found = spread.join_small(found, fine, ["_f"], "left", max_rows=spread.BROADCAST_ROWS // m)
     found = found.withColumn("_ends", F.coalesce("_ends", F.array().cast(f"array<{kind.simpleString()}>")))
     found = spread.locate(found, F.col("_k"), F.col("_ends"), m - 1, out)
     return (found.withColumn(out, (F.col("_f") * m + F.col(out)).cast("bigint"))

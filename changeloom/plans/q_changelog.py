@@ -270,11 +270,14 @@ def l15(spark, sf):
     return P.idle_time(P.lag_report(everything(spark, sf), emit), F.lit(1_800_000_000_000)).withColumnRenamed("table", "tbl")
 
 
-@query("l16_resume", f"{BASE} SELECT {FLAT} FROM log WHERE pos > 400000017 OR (pos = 400000017 AND sub > 0)")
+@query("l16_resume", f"""{BASE}, s AS (SELECT 'db_' || (coalesce(acust, bcust) % 2) AS db, * FROM log), pt AS (SELECT db, max((pos, sub)) AS done FROM s WHERE pos < 400000000 AND db = 'db_1' GROUP BY db)
+SELECT db, {FLAT} FROM s WHERE db = 'db_0' OR (pos, sub) > (SELECT done FROM pt)""")
 def l16(spark, sf):
-    rows = split_log(spark, sf)
-    state = rows.where((F.col("pos") == 400_000_017) & (F.col("sub") == 0)).select("db", "table", "pos", "sub")
-    return flat(P.resume(rows, state))
+    """db_1 was read up to the end of its creates; db_0 has no saved state."""
+    cust = F.coalesce("after", "before")["cust"]
+    rows = split_log(spark, sf).withColumn("db", F.format_string("db_%d", cust % 2))
+    state = P.commit_progress(rows.limit(0), rows.where((F.col("pos") < O.MOVE_AT) & (cust % 2 == 1)))
+    return flat(P.resume(rows, state), "db")
 
 
 @query("l17_commit_progress", f"""{BASE}, s AS (SELECT 'db_' || (coalesce(acust, bcust) % 2) AS db, pos, sub FROM log)

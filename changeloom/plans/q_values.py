@@ -6,6 +6,7 @@ import struct
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from ..functions import decimals as D, documents as B, geometry as G, temporal as T, text as X, typemap as M
 from . import orders_log as O
@@ -221,12 +222,12 @@ def t16(spark, sf):
     return docs.select("doc_id", *[F.md5(X.decode_charset(encoder(codec)("text"), cs)).alias(cs) for cs, codec in CHARSETS.items()])
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _line(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
     return pd.Series([struct.pack("<BII4d", 1, 2, 2, a, b, c, a) for a, b, c in zip(x, y, z)])
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _point(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([struct.pack(">BI2d", 0, 1, a, b) for a, b in zip(x, y)])
 

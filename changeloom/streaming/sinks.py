@@ -39,6 +39,15 @@ def _commit(spark, path, version, batch_id, kind, data):
     row.coalesce(1).write.mode("append").json(f"{path}/commits")
 
 
+def _write(rows: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    if not partition_by:
+        rows.write.mode("overwrite").parquet(path)
+        return
+    # Small partitions in few files each, large ones split over many tasks.
+    rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def read_changes(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
     """Base and delta rows as change rows; ``before`` leaves out that batch and later ones, so that a
     replayed batch sees the table as it was the first time."""
@@ -69,10 +78,7 @@ def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...]
     version = done[-1].version + 1 if done else 1
     # The id in the name makes a rewrite after a crash land on its own unfinished attempt.
     name = f"delta-{version}-{batch_id}"
-    writer = latest_changes(batch, by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/data/v={name}")
+    _write(latest_changes(batch, by), f"{path}/data/v={name}", partition_by)
     _commit(spark, path, version, batch_id, "delta", name)
     return True
 
@@ -86,10 +92,7 @@ def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key"
     version, batch_id = done[-1].version + 1, max(c.batch_id for c in done)
     name = f"base-{version}"
     live = latest_changes(read_changes(spark, path, schema), by).where(F.col("op") != "d")
-    writer = live.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/data/v={name}")
+    _write(live, f"{path}/data/v={name}", partition_by)
     _commit(spark, path, version, batch_id, "base", name)
 
 

@@ -114,26 +114,20 @@ def test_failed_stream_is_reported(spark):
 
 
 def test_stream_enrich_replays_a_half_done_batch(spark):
-    def texts(*dfs):
-        out = None
-        for df in dfs:
-            part = envelope.changes_to_json(df)
-            out = part if out is None else out.unionByName(part)
-        return out
     source, held, out = (scratch_dir(spark, n) for n in ("in", "held", "out"))
     fact = batch(spark, ("c", 1, 1, "x"), ("c", 2, 2, "y"), table="f")
-    dim = batch(spark, ("c", 3, 1, "name"), table="g")
-
-    def keyed(df):      # dim payload: id, v -> the fact meets it by id
-        return df
-    texts(fact, keyed(dim)).coalesce(1).write.parquet(source)
-    sides = (W.Side("f", "id int, v string", ["id"]), [W.Side("g", "id int, v string", ["id"], "id")])
+    dim = batch(spark, ("c", 3, 1, "name"), table="g").withColumn(
+        "after", F.struct(F.col("after.id").alias("id"), F.col("after.v").alias("label")))
+    texts = envelope.changes_to_json(fact).unionByName(envelope.changes_to_json(dim.withColumn(
+        "before", F.lit(None).cast("struct<id:int,label:string>"))))
+    texts.coalesce(1).write.parquet(source)
 
     def run(check):
         stream = logs.read_log(spark, source, "value string", stream=True, files_per_trigger=1)
-        finish(W.stream_enrich(stream, sides[0], [W.Side("g", "id int, label string", ["id"], "id")], held, out, check))
-        return sorted(tuple(r) for r in spark.read.parquet(out).select("row_kind", "id", "v").collect())
-    want = [("+I", 1, "x"), ("+I", 2, "y")]
+        finish(W.stream_enrich(stream, W.Side("f", "id int, v string", ["id"]),
+                               [W.Side("g", "id int, label string", ["id"], "id")], held, out, check))
+        return sorted((tuple(r) for r in spark.read.parquet(out).select("row_kind", "id", "v", "label").collect()), key=str)
+    want = [("+I", 1, "x", "name"), ("+I", 2, "y", None)]
     assert run(scratch_dir(spark, "c")) == want
     # The same batch again from a lost checkpoint: the states already hold it, the output is the same.
     assert run(scratch_dir(spark, "c")) == want
