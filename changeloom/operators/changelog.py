@@ -45,27 +45,29 @@ def to_row_kinds(df: DataFrame, mode: str = "all", has_key: bool = True,
         raise ValueError(f"unknown changelog mode {mode!r}")
     op, before, after = F.col("op"), F.col("before"), F.col("after")
 
-    def row(kind, image):
-        return F.struct(F.lit(kind).alias("row_kind"), image.alias("image"))
-
-    inserted = F.array(row(S.INSERT, after))
+    second = F.col("_part") == 1
     if mode == "all":
-        image = F.when(before.isNotNull(), before).otherwise(
-            F.raise_error(F.concat(F.lit("update without a before image at position "), F.col("pos"))))
-        updated = F.array(row(S.UPDATE_BEFORE, image), row(S.UPDATE_AFTER, after))
-        deleted = F.array(row(S.DELETE, before))
+        old = F.when(before.isNotNull(), before).otherwise(
+            F.raise_error(F.concat(F.lit("no before image at position "), F.col("pos"))))
+        # An update gives two rows. Plain numbers are exploded, images are chosen afterwards.
+        parts = F.when(op == "u", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        kind = (F.when(op.isin("r", "c"), S.INSERT).when(op == "d", S.DELETE)
+                .when(second, S.UPDATE_AFTER).otherwise(S.UPDATE_BEFORE))
+        image = F.when(op.isin("r", "c") | second, after).otherwise(old)
     else:
-        updated = F.array(row(S.UPDATE_AFTER, after))
-        # Without a before image the key is all that is left of the row.
+        kind = F.when(op.isin("r", "c"), S.INSERT).when(op == "d", S.DELETE).otherwise(S.UPDATE_AFTER)
+        # Without a before image the key is all that is left of a deleted row.
         names = df.schema["after"].dataType.fieldNames()
         keys = df.schema["key"].dataType.fieldNames()
         bare = F.struct(*[(F.col(f"key.{n}") if n in keys else
                            F.lit(None).cast(df.schema["after"].dataType[n].dataType)).alias(n)
                           for n in names])
-        deleted = F.array(row(S.DELETE, F.coalesce(before, bare)))
-    rows = F.when(op.isin("r", "c"), inserted).when(op == "u", updated).when(op == "d", deleted)
-    return (df.select(*S.ORDER, *keep, F.explode(rows).alias("_r"))
-            .select("_r.row_kind", *S.ORDER, "_r.image.*", *keep))
+        image = F.when(op == "d", F.coalesce(before, bare)).otherwise(after)
+    rows = df.where(op.isin("r", "c", "u", "d"))
+    if mode == "all":
+        rows = rows.withColumn("_part", F.explode(parts))
+    return (rows.select(kind.alias("row_kind"), *S.ORDER, image.alias("_image"), *keep)
+            .select("row_kind", *S.ORDER, "_image.*", *keep))
 
 
 def split_key_updates(df: DataFrame) -> DataFrame:
@@ -77,30 +79,34 @@ def split_key_updates(df: DataFrame) -> DataFrame:
         same = same & old[name].eqNullSafe(new[name])
     moved = (F.col("op") == "u") & old.isNotNull() & new.isNotNull() & ~same
 
-    def part(op, sub, source, before, after):
-        return F.struct(F.lit(op).alias("op"), (F.col("sub") + sub).alias("sub"),
-                        F.struct(*[source[n].alias(n) for n in keys]).alias("key"),
-                        before.alias("before"), after.alias("after"))
-
-    image = df.schema["after"].dataType
-    none = F.lit(None).cast(image)
-    whole = F.struct("op", "sub", "key", "before", "after")
-    parts = F.when(moved, F.array(part("d", 0, old, old, none), part("c", 1, new, none, new)))
-    parts = parts.otherwise(F.array(whole))
-    replaced = {"op", "sub", "key", "before", "after"}
-    kept = [c for c in df.columns if c not in replaced]
-    return df.select(*kept, F.explode(parts).alias("_p")).select(*kept, "_p.*").select(*df.columns)
-
-
-def normalize_upserts(df: DataFrame, by: tuple[str, ...] = ("key",), cuts: list | None = None) -> DataFrame:
+    none = F.lit(None).cast(df.schema["after"].dataType)
+    first, second = F.col("_part") == 1, F.col("_part") == 2
+
+    def key_of(image):
+        return F.struct(*[image[n].alias(n) for n in keys])
+    # 0: as it is, 1: the delete and 2: the create of a moved row.
+    parts = F.when(moved, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    changed = {
+        "op": F.when(first, "d").when(second, "c").otherwise(F.col("op")),
+        "sub": F.col("sub") + F.when(second, 1).otherwise(0),
+        "key": F.when(first, key_of(old)).when(second, key_of(new)).otherwise(F.col("key")),
+        "before": F.when(second, none).otherwise(old),
+        "after": F.when(first, none).otherwise(new),
+    }
+    return (df.withColumn("_part", F.explode(parts))
+            .select(*[(changed[c].alias(c) if c in changed else F.col(c)) for c in df.columns]))
+
+
+def normalize_upserts(df: DataFrame, by: tuple[str, ...] = ("key",),
+                      rows_per_block: int = spread.ROWS_PER_BLOCK) -> DataFrame:
     """Give upsert rows the image their key had before; a first upsert becomes a create.
 
-    A key with any number of changes is worked on in position blocks, see ``spread``.
+    A key with very many changes is worked on in position blocks, see ``spread``.
     """
     kind = df.schema["after"].dataType.simpleString()
     keys = Keys(df, by)
     base = keys.add(df.drop("before"))
-    out = spread.previous_by_key(base, keys.names, S.ORDER, F.col("after"), "before", cuts)
+    out = spread.previous_by_key(base, keys.names, S.ORDER, F.col("after"), "before", rows_per_block)
     out = out.withColumn("before", F.col("before").cast(kind))
     op = F.when(F.col("op").isin("u", "c"),
                 F.when(F.col("before").isNull(), F.lit("c")).otherwise(F.lit("u")))

@@ -62,7 +62,7 @@ def parse_gtid_set(df: DataFrame, column: str) -> DataFrame:
                         F.coalesce(F.get(ends, F.lit(1)).cast("bigint"), lo).alias("hi"))
 
 
-def gtid_difference(a: DataFrame, b: DataFrame, cuts: list | None = None) -> DataFrame:
+def gtid_difference(a: DataFrame, b: DataFrame, rows_per_block: int = spread.ROWS_PER_BLOCK) -> DataFrame:
     """Transactions of ``a`` that are not in ``b`` as merged intervals (sid, lo, hi).
 
     A sweep over interval borders: +1 where an interval opens, -1 behind its end. Between two
@@ -75,21 +75,22 @@ def gtid_difference(a: DataFrame, b: DataFrame, cuts: list | None = None) -> Dat
 
     points = (borders(a, "da", "db").unionByName(borders(b, "db", "da")).groupBy("sid", "at")
               .agg(F.sum("da").alias("da"), F.sum("db").alias("db")))
-    cuts = spread.fences(points, "at") if cuts is None else cuts
-    points = spread.running_totals_by_key(points, ["sid"], "at", {"ca": F.col("da"), "cb": F.col("db")}, cuts)
+    points = spread.running_totals_by_key(points, ["sid"], "at", {"ca": F.col("da"), "cb": F.col("db")}, rows_per_block)
     # Keep only the borders where "in a and not in b" switches, then pair each switch-off with the
     # switch-on before it.
     inside = ((F.col("ca") > 0) & (F.col("cb") == 0))
     points = points.select("sid", "at", inside.alias("_in"))
-    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("_in"), "_was", cuts)
+    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("_in"), "_was", rows_per_block)
     points = points.where(F.col("_in") != F.coalesce(F.col("_was"), F.lit(False)))
-    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("at"), "_from", cuts)
+    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("at"), "_from", rows_per_block)
     return points.where(~F.col("_in")).select("sid", F.col("_from").alias("lo"),
                                               (F.col("at") - 1).alias("hi"))
 
 
-def lag_report(df: DataFrame, emit_ts: Column | None = None, by: tuple[str, ...] = ("db", "table")) -> DataFrame:
-    """Event-to-fetch and fetch-to-emit lag in milliseconds; rows without the fields do not count."""
+def lag_report(df: DataFrame, emit_ts: Column | None = None, by: tuple[str, ...] = ("db", "table"),
+               percentiles: tuple[float, ...] = ()) -> DataFrame:
+    """Event-to-fetch and fetch-to-emit lag in milliseconds; rows without the fields do not count.
+    ``percentiles`` adds approximate ones of the fetch lag."""
     fetch = F.col("fetch_ts") - F.col("event_ts")
     emit = (F.col("emit_ts") if emit_ts is None else emit_ts) - F.col("fetch_ts")
     measured = df.withColumns({"_f": fetch, "_e": emit})
@@ -97,7 +98,8 @@ def lag_report(df: DataFrame, emit_ts: Column | None = None, by: tuple[str, ...]
         F.count("_f").alias("events"),
         F.max("_f").alias("max_fetch_lag"), F.avg("_f").alias("avg_fetch_lag"),
         F.max("_e").alias("max_emit_lag"), F.avg("_e").alias("avg_emit_lag"),
-        F.max("fetch_ts").alias("last_fetch_ts"))
+        F.max("fetch_ts").alias("last_fetch_ts"),
+        *[F.percentile_approx("_f", p).alias(f"p{round(p * 100)}_fetch_lag") for p in percentiles])
 
 
 def idle_time(report: DataFrame, now_ms: Column) -> DataFrame:

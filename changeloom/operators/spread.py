@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
+from ..session import reliable_checkpoint
+
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 8192
 # Largest list of bounds placed in the plan as one literal array.
@@ -92,52 +94,66 @@ def running_total(df: DataFrame, order: str, value: Column, out: str, cuts: list
     return df.drop("_v") if keep_block else df.drop("_v", "_block")
 
 
+def _blocks_of_hot_keys(df: DataFrame, keys: list[str], order: str, rows_per_block: int) -> DataFrame | None:
+    """``df`` with ``_block``: 0 for keys of usual size, and the part of ``order`` the row lies in for
+    keys with more than ``rows_per_block`` rows. None when there is no such key.
+
+    Hot keys are found by a count that is reduced map-side; there are at most rows / rows_per_block.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = reliable_checkpoint(sizes.where(F.col("_n") > rows_per_block).select(*keys))
+    if hot.isEmpty():
+        return None
+    marked = join_small(df, hot.withColumn("_hot", F.lit(True)), keys, "left")
+    cuts = fences(join_small(df.select(*keys, order), hot, keys, "left_semi"), order, rows_per_block)
+    located = with_block(marked, order, cuts)
+    return located.withColumn("_block", F.when(F.col("_hot"), F.col("_block") + 1).otherwise(0)).drop("_hot")
+
+
 def previous_by_key(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str,
-                    cuts: list | None = None) -> DataFrame:
+                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key.
 
-    A key with very many rows is spread over the blocks of ``order[0]``; each block receives the
-    last value of the key's previous block as one extra row, so no group is larger than a block.
+    Keys of usual size take a plain window. A hot key is spread over blocks of ``order[0]``; each
+    block receives the last value of the key's previous block as one extra row, so that no group is
+    much larger than a block.
     """
-    cuts = fences(df, order[0]) if cuts is None else cuts
     df = df.withColumn(out, value)
-    if not cuts:
+    blocks = _blocks_of_hot_keys(df, keys, order[0], rows_per_block)
+    if blocks is None:
         return df.withColumn(out, F.lag(out).over(Window.partitionBy(*keys).orderBy(*order)))
-    cols = df.columns
-    df = with_block(df, order[0], cuts)
-    last = df.groupBy(*keys, "_block").agg(
-        F.max_by(F.struct(F.col(out)), F.struct(*order)).alias("_last"))
+    last = (blocks.where(F.col("_block") > 0).groupBy(*keys, "_block")
+            .agg(F.max_by(F.struct(F.col(out)), F.struct(*order)).alias("_last")))
     carried = (last.withColumn("_block", F.lead("_block").over(
                    Window.partitionBy(*keys).orderBy("_block")))
                .where(F.col("_block").isNotNull())
                .select(*keys, "_block", F.col(f"_last.{out}").alias(out), F.lit(0).alias("_real")))
-    rows = df.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    rows = blocks.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_block").orderBy("_real", *order)
     return (rows.withColumn(out, F.lag(out).over(inside))
-            .where(F.col("_real") == 1).select(*cols))
+            .where(F.col("_real") == 1).select(*df.columns))
 
 
 def running_totals_by_key(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
-                          cuts: list | None = None) -> DataFrame:
+                          rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Inclusive running sums per key, spread like :func:`previous_by_key`; ``order`` unique per key."""
-    cuts = fences(df, order) if cuts is None else cuts
     df = df.withColumns(values)
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if not cuts:
+    blocks = _blocks_of_hot_keys(df, keys, order, rows_per_block)
+    if blocks is None:
         inside = Window.partitionBy(*keys).orderBy(order).rowsBetween(*so_far)
         return df.withColumns({out: F.sum(out).over(inside) for out in values})
-    cols = df.columns
-    df = with_block(df, order, cuts)
-    blocks = Window.partitionBy(*keys).orderBy("_block")
-    carried = (df.groupBy(*keys, "_block").agg(*[F.sum(out).alias(out) for out in values])
-               .select(*keys, F.lead("_block").over(blocks).alias("_block"),
-                       *[F.sum(out).over(blocks.rowsBetween(*so_far)).alias(out) for out in values],
+    in_turn = Window.partitionBy(*keys).orderBy("_block")
+    carried = (blocks.where(F.col("_block") > 0).groupBy(*keys, "_block")
+               .agg(*[F.sum(out).alias(out) for out in values])
+               .select(*keys, F.lead("_block").over(in_turn).alias("_block"),
+                       *[F.sum(out).over(in_turn.rowsBetween(*so_far)).alias(out) for out in values],
                        F.lit(0).alias("_real"))
                .where(F.col("_block").isNotNull()))
-    rows = df.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
+    rows = blocks.withColumn("_real", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_block").orderBy("_real", order).rowsBetween(*so_far)
     return (rows.withColumns({out: F.sum(out).over(inside) for out in values})
-            .where(F.col("_real") == 1).select(*cols))
+            .where(F.col("_real") == 1).select(*df.columns))
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

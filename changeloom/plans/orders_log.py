@@ -33,32 +33,34 @@ def order_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_changes(spark: SparkSession, sf_dir: str, snapshot: bool = True,
                    log: bool = True) -> DataFrame:
-    """Change rows from one scan of ``orders``: all events of a row are exploded from it."""
+    """Change rows from one scan of ``orders``."""
     none = F.lit(None).cast(IMAGE)
-    k = F.col("k")
+    k, e = F.col("k"), F.col("_e")
     base, upd = _image(k), _image(k, "ust", "ucents")
-
-    def event(when, op, pos, before, after):
-        made = F.struct(F.lit(op).alias("op"), pos.cast("bigint").alias("pos"),
-                        before.alias("before"), after.alias("after"))
-        return made if when is None else F.when(when, made)
-
-    events = []
-    if snapshot:
-        events.append(event(None, "r", F.lit(0), none, base))
+    # (number, op, position, condition, before, after)
+    kinds = [(0, "r", F.lit(0).cast("bigint"), F.lit(True), none, base)] if snapshot else []
     if log:
-        events += [
-            event(k % 7 == 0, "u", k + UPDATE_AT, base, upd),
-            event(k % 11 == 0, "d", k + DELETE_AT, upd, none),
-            event(k % 13 == 0, "c", k + CREATE_AT, none, _image(k + CREATED)),
-            event((k % 17 == 0) & (k % 11 != 0), "u", k + MOVE_AT, upd,
-                  _image(k + MOVED, "ust", "ucents")),
+        kinds += [
+            (1, "u", k + UPDATE_AT, k % 7 == 0, base, upd),
+            (2, "d", k + DELETE_AT, k % 11 == 0, upd, none),
+            (3, "c", k + CREATE_AT, k % 13 == 0, none, _image(k + CREATED)),
+            (4, "u", k + MOVE_AT, (k % 17 == 0) & (k % 11 != 0), upd, _image(k + MOVED, "ust", "ucents")),
         ]
+
+    def choose(i):
+        chosen = F
+        for kind in kinds:
+            value = F.lit(kind[i]) if isinstance(kind[i], str) else kind[i]
+            chosen = chosen.when(e == kind[0], value)
+        return chosen
+
     seven = k % 7 == 0
+    # A plain number is exploded and everything else chosen by it, which stays in generated code.
     rows = (order_images(spark, sf_dir)
+            .withColumn("_e", F.explode(F.array(*[F.lit(kind[0]) for kind in kinds]))).where(choose(3))
             .withColumn("ust", F.when(seven, F.lit("F")).otherwise(F.col("st")))
             .withColumn("ucents", F.when(seven, F.col("cents") + 500).otherwise(F.col("cents")))
-            .select(F.explode(F.array_compact(F.array(*events))).alias("e")).select("e.*"))
+            .select(choose(1).alias("op"), choose(2).alias("pos"), choose(4).alias("before"), choose(5).alias("after")))
     payload = F.coalesce("after", "before")
     return rows.select(
         F.lit("shop").alias("db"), F.lit("public").alias("schema"), F.lit("orders").alias("table"),

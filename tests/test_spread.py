@@ -47,8 +47,7 @@ def test_previous_by_key(spark, seed):
         want[pos] = last.get(k)
         last[k] = v
     for rows in (10 ** 6, 70, 9):
-        cuts = spread.fences(df, "pos", rows)
-        got = spread.previous_by_key(df, ["k"], ["pos"], F.col("v"), "p", cuts).collect()
+        got = spread.previous_by_key(df, ["k"], ["pos"], F.col("v"), "p", rows).collect()
         assert {r.pos: r.p for r in got} == want
 
 
@@ -61,15 +60,16 @@ def test_running_totals_by_key(spark, seed):
         total[k] = total.get(k, 0) + v
         want[pos] = total[k]
     for rows in (10 ** 6, 70, 9):
-        got = spread.running_totals_by_key(df, ["k"], "pos", {"t": F.col("v")}, spread.fences(df, "pos", rows)).collect()
+        got = spread.running_totals_by_key(df, ["k"], "pos", {"t": F.col("v")}, rows).collect()
         assert {r.pos: r.t for r in got} == want
 
 
-def test_no_block_holds_the_hot_key(spark):
+def test_only_the_hot_key_is_cut_and_no_part_is_large(spark):
     df = spark.createDataFrame(hot_rows(1), "k int, pos bigint, v int")
-    cuts = spread.fences(df, "pos", 60)
-    largest = spread.with_block(df, "pos", cuts).groupBy("k", "_block").count().agg(F.max("count")).first()[0]
-    assert largest <= 60
+    parts = spread._blocks_of_hot_keys(df, ["k"], "pos", 100).groupBy("k", "_block").count().collect()
+    assert max(r["count"] for r in parts) <= 100
+    assert {r.k for r in parts if r._block} == {1}
+    assert spread._blocks_of_hot_keys(df, ["k"], "pos", 1000) is None
 
 
 def test_hot_value_does_not_widen_the_sample(spark):
