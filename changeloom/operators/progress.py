@@ -75,6 +75,9 @@ def gtid_difference(a: DataFrame, b: DataFrame, rows_per_block: int = spread.ROW
 
     points = (borders(a, "da", "db").unionByName(borders(b, "db", "da")).groupBy("sid", "at")
               .agg(F.sum("da").alias("da"), F.sum("db").alias("db")))
+    # The later steps see the same rows or fewer, so one check serves them all.
+    if not spread.has_hot_key(points, ["sid"], rows_per_block):
+        rows_per_block = None
     points = spread.running_totals_by_key(points, ["sid"], "at", {"ca": F.col("da"), "cb": F.col("db")}, rows_per_block)
     # Keep only the borders where "in a and not in b" switches, then pair each switch-off with the
     # switch-on before it.

@@ -94,16 +94,21 @@ def running_total(df: DataFrame, order: str, value: Column, out: str, cuts: list
     return df.drop("_v") if keep_block else df.drop("_v", "_block")
 
 
-def _blocks_of_hot_keys(df: DataFrame, keys: list[str], order: str, rows_per_block: int) -> DataFrame | None:
-    """``df`` with ``_block``: 0 for keys of usual size, and the part of ``order`` the row lies in for
-    keys with more than ``rows_per_block`` rows. None when there is no such key.
+def has_hot_key(df: DataFrame, keys: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> bool:
+    """Whether a key has more than ``rows_per_block`` rows, by a count that is reduced map-side."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (sizes.agg(F.max("_n")).first()[0] or 0) > rows_per_block
+
 
-    Hot keys are found by a count that is reduced map-side; there are at most rows / rows_per_block.
+def _blocks_of_hot_keys(df: DataFrame, keys: list[str], order: str, rows_per_block: int | None) -> DataFrame | None:
+    """``df`` with ``_block``: 0 for keys of usual size, and the part of ``order`` the row lies in for
+    keys with more than ``rows_per_block`` rows. None when there is no such key, or when the caller
+    knows so and passes None. There are at most rows / rows_per_block hot keys.
     """
+    if rows_per_block is None or not has_hot_key(df, keys, rows_per_block):
+        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = reliable_checkpoint(sizes.where(F.col("_n") > rows_per_block).select(*keys))
-    if hot.isEmpty():
-        return None
     marked = join_small(df, hot.withColumn("_hot", F.lit(True)), keys, "left")
     cuts = fences(join_small(df.select(*keys, order), hot, keys, "left_semi"), order, rows_per_block)
     located = with_block(marked, order, cuts)
@@ -111,7 +116,7 @@ def _blocks_of_hot_keys(df: DataFrame, keys: list[str], order: str, rows_per_blo
 
 
 def previous_by_key(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str,
-                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                    rows_per_block: int | None = ROWS_PER_BLOCK) -> DataFrame:
     """Add ``out`` = ``value`` of the previous row of the same key.
 
     Keys of usual size take a plain window. A hot key is spread over blocks of ``order[0]``; each
@@ -135,7 +140,7 @@ def previous_by_key(df: DataFrame, keys: list[str], order: list[str], value: Col
 
 
 def running_totals_by_key(df: DataFrame, keys: list[str], order: str, values: dict[str, Column],
-                          rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+                          rows_per_block: int | None = ROWS_PER_BLOCK) -> DataFrame:
     """Inclusive running sums per key, spread like :func:`previous_by_key`; ``order`` unique per key."""
     df = df.withColumns(values)
     so_far = (Window.unboundedPreceding, Window.currentRow)
