@@ -237,16 +237,14 @@ def kv_log(spark, sf):
         (k % 8).alias("region"), F.encode(F.format_string("t_%020d", k), "UTF-8").alias("key"), k.alias("k"),
         F.col("pos").alias("start_ts"), "op", F.coalesce("after.cents", F.lit(0)).alias("value"), "sub")
 
-    def row(kind, commit):
-        return F.struct(F.lit(kind).alias("log_type"), commit.cast("bigint").alias("commit_ts"))
-    none, done = F.lit(None).cast("bigint"), F.col("start_ts") + 1
     direct = (F.col("op") == "c") & (F.col("sub") == 0)
-    second = (F.when(F.col("k") % 19 == 0, row("ROLLBACK", none))
-              .when(F.col("k") % 23 != 0, row("COMMIT", done)))
-    rows = F.when(direct, F.array(row("COMMITTED", done))).otherwise(
-        F.array_compact(F.array(row("PREWRITE", none), second)))
-    return (base.select("region", "key", "k", "start_ts", "op", "value", F.explode(rows).alias("_r"))
-            .select("region", "_r.log_type", "key", "start_ts", "_r.commit_ts", "op", "value"))
+    kinds = (F.when(direct, F.array(F.lit("COMMITTED")))
+             .when(F.col("k") % 19 == 0, F.array(F.lit("PREWRITE"), F.lit("ROLLBACK")))
+             .when(F.col("k") % 23 != 0, F.array(F.lit("PREWRITE"), F.lit("COMMIT")))
+             .otherwise(F.array(F.lit("PREWRITE"))))
+    rows = base.withColumn("log_type", F.explode(kinds))
+    done = F.when(F.col("log_type").isin("COMMIT", "COMMITTED"), F.col("start_ts") + 1)
+    return rows.select("region", "log_type", "key", "start_ts", done.alias("commit_ts"), "op", "value")
 
 
 _KV = f"""{BASE}, kv AS (SELECT k % 8 AS region, 't_' || lpad(CAST(k AS VARCHAR), 20, '0') AS key, k, pos AS start_ts, pos + 1 AS commit_ts,
@@ -307,20 +305,20 @@ def raw_records(spark, sf):
     data = envelope.changes_to_json(split_log(spark, sf), keep=("pos", "sub", "op", "key")).select(
         "pos", "sub", "op", F.col("key.k").alias("k"), "value")
 
-    def record(topic, key_schema, value):
-        return F.struct(F.lit(topic).alias("topic"), F.lit(key_schema).alias("key_schema"), value.alias("value"))
-    op, none = F.col("op"), F.lit(None).cast("string")
+    op, kind = F.col("op"), F.col("kind")
+    kinds = (F.when(op == "d", F.array(F.lit("data"), F.lit("tombstone")))
+             .when(op == "u", F.array(F.lit("data"), F.lit("heartbeat")))
+             .when(op == "c", F.array(F.lit("data"), F.lit("schema"))).otherwise(F.array(F.lit("data"))))
     ddl = F.to_json(F.struct(
         F.struct(F.lit("shop").alias("db"), F.format_string("orders_%d", F.col("k") % 4).alias("table")).alias("source"),
         F.concat(F.lit('{"v":'), F.col("pos").cast("string"), F.lit("}")).alias("historyRecord")))
     beat = F.to_json(F.struct(F.col("pos").alias("ts_ms")))
-    records = F.array_compact(F.array(
-        record("shop.orders", "shop.orders.Key", F.col("value")),
-        F.when(op == "d", record("shop.orders", "shop.orders.Key", none)),
-        F.when(op == "u", record("__heartbeat.shop", "heartbeat.Key", beat)),
-        F.when(op == "c", record("shop", "connector.SchemaChangeKey", ddl))))
-    return (data.select("pos", "sub", "k", F.explode(records).alias("_r"))
-            .select("pos", "sub", "k", "_r.*"))
+    return data.withColumn("kind", F.explode(kinds)).select(
+        "pos", "sub", "k",
+        F.when(kind == "heartbeat", "__heartbeat.shop").when(kind == "schema", "shop").otherwise("shop.orders").alias("topic"),
+        F.when(kind == "heartbeat", "heartbeat.Key").when(kind == "schema", "connector.SchemaChangeKey")
+        .otherwise("shop.orders.Key").alias("key_schema"),
+        F.when(kind == "heartbeat", beat).when(kind == "schema", ddl).when(kind == "data", F.col("value")).alias("value"))
 
 
 @query("p3_is_data_change", f"{BASE} SELECT op, pos, sub, k FROM log")
