@@ -173,9 +173,6 @@ def _ends_repeated(keys, low, high, size, rows_per_block):
         return pd.DataFrame({"block": [pdf["_block"].iloc[0]], "first": [first],
                              "leave": [(out - last).astype("int32")]})
 
-    functions = placed.groupBy("_block").applyInPandas(
-        exits, "block int, first bigint, leave array<int>")
-
     def follow(batches):
         offset = 1
         for pdf in batches:
@@ -185,10 +182,6 @@ def _ends_repeated(keys, low, high, size, rows_per_block):
                 offset = int(leave[offset - 1])
             yield pd.DataFrame({"block": pdf["block"], "entry": entries})
 
-    # At most MAX_BLOCKS short rows, in block order.
-    entries = (functions.repartition(1).sortWithinPartitions("block")
-               .mapInPandas(follow, "block int, entry bigint"))
-
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, lo, hi, target = steps(pdf)
         at, hits = int(pdf["entry"].iloc[0]), []
@@ -198,9 +191,17 @@ def _ends_repeated(keys, low, high, size, rows_per_block):
             at = int(target[i])
         return pdf.iloc[hits][["k"]]
 
-    visited = (placed.join(F.broadcast(entries), F.col("_block") == F.col("block"))
-               .drop("block").groupBy("_block").applyInPandas(walk, f"k {key_type}"))
-    ends = visited.where((F.col("k") > F.lit(low)) & (F.col("k") < F.lit(high)))
+    if cuts:
+        leaves = placed.groupBy("_block").applyInPandas(exits, "block int, first bigint, leave array<int>")
+        # At most MAX_BLOCKS short rows, in block order.
+        entries = (leaves.repartition(1).sortWithinPartitions("block")
+                   .mapInPandas(follow, "block int, entry bigint"))
+        entered = placed.join(F.broadcast(entries), F.col("_block") == F.col("block")).drop("block")
+    else:
+        entered = placed.withColumn("entry", F.lit(1).cast("bigint"))
+    visited = entered.groupBy("_block").applyInPandas(walk, f"k {key_type}")
+    # Written once, because numbering the ends reads them more than once.
+    ends = reliable_checkpoint(visited.where((F.col("k") > F.lit(low)) & (F.col("k") < F.lit(high))))
     numbered = spread.running_total(ends, "k", F.lit(1), "end_no")
     return numbered.select(F.col("end_no").cast("bigint").alias("end_no"), F.col("k").alias("end"))
 
