@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from . import op2_pii, op4_decontaminate, op8_substring_dedup  # noqa: F401
+from . import op2_pii, op3_ngram_jaccard, op4_decontaminate, op8_substring_dedup  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
