@@ -8,8 +8,9 @@ hash and document finds the first document of each.
 1. Super-k-mers per minimiser are counted (reduced map-side). Windows of a minimiser that one super-k-mer has
    cannot repeat. Minimisers with more are noted in a bitmap of fixed size; a stray bit only sends more.
 2. Super-k-mers of noted minimisers travel to their buckets, of which there are as many as their number asks for.
-   A minimiser with more than HOT super-k-mers (a passage that very many documents share) would make one bucket
-   large; its windows are instead aggregated by window hash, with partial sums, over all tasks.
+   A minimiser with more than HOT super-k-mers (a passage that very many documents share) is dealt to several
+   buckets by document. Each of them settles its own repeats; only the first occurrence of each window in a bucket
+   goes on to be compared with those of the other buckets.
 3. Repeated stretches come back to their documents by a join, and the words they cover are taken out.
 """
 
@@ -25,27 +26,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
 from . import words as W
 from .registry import query, table
+from .stored import Bitmap, stored
 
 WINDOW = 50
 GRAM = 8
 # Super-k-mers in a bucket, on average, and the most of one minimiser that go to a bucket.
-BUCKET = 20_000
+BUCKET = 6_000
 HOT = 2_000
-# Bits of the map of repeated minimisers.
-SLOTS = 1 << 26
 NULL_ID = 2 ** 63 - 1
 
 _COUNTS = pa.schema([("minimiser", pa.int64()), ("n", pa.int64())])
-_PACKED = pa.schema([("minimiser", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("packed", pa.binary())])
-_WINDOWS = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64())])
-_STRETCHES = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_PACKED = pa.schema([("bucket", pa.int64()), ("hot", pa.bool_()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("packed", pa.binary())])
+# Words a to b of a row: repeated ones, or (with h1, h2) the first window of its kind in a part of a hot minimiser.
+_FOUND = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.int64(): "bigint", pa.binary(): "binary", pa.string(): "string"}
+    kinds = {pa.int64(): "bigint", pa.bool_(): "boolean", pa.binary(): "binary", pa.string(): "string"}
     return ", ".join(f"`{f.name}` {kinds[f.type]}" for f in schema)
 
 
@@ -80,40 +79,34 @@ class _Count:
 
 
 class _Pack:
-    """Super-k-mers of repeated minimisers: packed strings, or the single windows of hot minimisers."""
+    """Super-k-mers of repeated minimisers as packed strings, with their buckets."""
 
-    def __init__(self, window: int, gram: int, bitmap, hot, want_hot: bool):
-        self.window, self.gram, self.bitmap, self.hot, self.want_hot = window, gram, bitmap, hot, want_hot
+    def __init__(self, window: int, gram: int, repeated: Bitmap, hot, buckets: int, hot_from: int):
+        self.window, self.gram, self.repeated, self.hot, self.buckets, self.hot_from = window, gram, repeated, hot, buckets, hot_from
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, hot = self.bitmap.value, self.hot.value
+        hot, counts = self.hot.value
         for part in W.slices(batches, 2):
             words = W.Words(part.column(2))
             if not len(words.flat):
                 continue
-            h1, h2 = words.hashes(wide=True)
             start, n, minimiser = super_kmers(words.hashes(), words.offsets, self.window, self.gram)
-            slot = minimiser & np.uint64(SLOTS - 1)
-            bit = (bitmap[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-            is_hot = np.isin(minimiser, hot)
-            owner = words.owner()
-            docs, rows = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            if self.want_hot:
-                some = np.flatnonzero(is_hot)
-                at = np.repeat(start[some], n[some]) + (np.arange(int(n[some].sum())) - np.repeat(np.cumsum(n[some]) - n[some], n[some]))
-                own = owner[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(W.signed(W.gram_hashes(h, self.window, r)[at])) for h, r in zip((h1, h2), W.ROLL)]
-                    + [pa.array(x) for x in (docs[own], rows[own], at - words.offsets[own])], schema=_WINDOWS)
-                continue
-            some = np.flatnonzero((bit == 1) & ~is_hot)
-            joined = pa.LargeListArray.from_arrays(
-                pa.array(_bounds(n[some] + self.window - 1)), words.flat.take(pa.array(_stretch(start[some], n[some] + self.window - 1))))
+            some = np.flatnonzero(self.repeated(minimiser))
+            start, n, minimiser = start[some], n[some], minimiser[some]
+            length = n + self.window - 1
+            joined = pa.LargeListArray.from_arrays(pa.array(_bounds(length)), words.flat.take(pa.array(_stretch(start, length))))
             packed = pc.binary_join(joined, pa.scalar(" ", words.flat.type)).cast(pa.large_binary()).cast(pa.binary())
-            own = owner[start[some]]
+            own = words.owner()[start]
+            docs, rows = (part.column(i).to_numpy(zero_copy_only=False)[own] for i in (0, 1))
+            # Parts of a hot minimiser hold about hot_from super-k-mers each.
+            at = np.searchsorted(hot, minimiser)
+            is_hot = (hot[np.minimum(at, len(hot) - 1)] == minimiser) if len(hot) else np.zeros(len(at), bool)
+            parts = np.ones(len(at), np.uint64)
+            parts[is_hot] += (counts[at[is_hot]] // self.hot_from).astype(np.uint64)
+            salt = W.mix(docs.view(np.uint64)) % parts
+            bucket = W.mix(minimiser + salt * W.ROLL[1]) % np.uint64(self.buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(W.signed(minimiser[some])), pa.array(docs[own]), pa.array(rows[own]),
-                 pa.array(start[some] - words.offsets[own]), packed], schema=_PACKED)
+                [pa.array(W.signed(bucket)), pa.array(is_hot), pa.array(docs), pa.array(rows), pa.array(start - words.offsets[own]), packed], schema=_PACKED)
 
 
 def _bounds(n: np.ndarray) -> np.ndarray:
@@ -126,16 +119,16 @@ def _stretch(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _bucket(window: int):
-    """Sorts the windows of one bucket; gives the stretches of windows that a smaller document has too."""
+    """Sorts the windows of one bucket."""
 
     def sort_windows(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
+        docs, rows, starts, hot = (group[c].to_numpy() for c in ("doc", "row", "start", "hot"))
         words = W.Words(group["packed"].cast(pa.large_binary()).cast(pa.large_string()).combine_chunks())
-        h1, h2 = words.hashes(wide=True)
         at = np.flatnonzero(W.room(words.offsets) >= window)
         own = words.owner()[at]
-        g1, g2 = (W.gram_hashes(h, window, r)[at] for h, r in zip((h1, h2), W.ROLL))
-        doc = group["doc"].to_numpy()[own]
+        g1, g2 = (W.gram_hashes(h, window, r)[at] for h, r in zip(words.hashes(wide=True), W.ROLL))
+        doc = docs[own]
         order = np.lexsort((doc, g2, g1))
         fresh = np.ones(len(order), bool)
         fresh[1:] = (g1[order][1:] != g1[order][:-1]) | (g2[order][1:] != g2[order][:-1])
@@ -148,11 +141,17 @@ def _bucket(window: int):
         new[1:] = (some[1:] != some[:-1] + 1) | (own[some[1:]] != own[some[:-1]])
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(some)) - 1 if len(some) else head
-        own_of, begin = own[some[head]], at[some[head]]
-        a = group["start"].to_numpy()[own_of] + begin - words.offsets[own_of]
-        n = some[tail] - some[head] + 1
-        return pa.Table.from_arrays([pa.array(x) for x in (group["doc"].to_numpy()[own_of], group["row"].to_numpy()[own_of], a, a + n - 1 + window)],
-                                    schema=_STRETCHES)
+        of = own[some[head]]
+        a = starts[of] + at[some[head]] - words.offsets[of]
+        # First windows in this part of a hot minimiser.
+        open_ = np.flatnonzero(hot[own] & ~repeated)
+        of2 = own[open_]
+        a2 = starts[of2] + at[open_] - words.offsets[of2]
+        none = pa.nulls(len(of), pa.int64())
+        return pa.Table.from_arrays([
+            pa.array(np.concatenate((docs[of], docs[of2]))), pa.array(np.concatenate((rows[of], rows[of2]))), pa.array(np.concatenate((a, a2))),
+            pa.array(np.concatenate((a + some[tail] - some[head] + window, a2 + window))),
+            pa.concat_arrays([none, pa.array(W.signed(g1[open_]))]), pa.concat_arrays([none, pa.array(W.signed(g2[open_]))])], schema=_FOUND)
 
     return sort_windows
 
@@ -188,31 +187,21 @@ def repeated_stretches(documents: DataFrame, window: int = WINDOW, gram: int = G
     """(doc, row, a, b): words a to b of a document row that windows known from a smaller document cover."""
     spark = documents.sparkSession
     rows = _rows(documents)
-    counted = (rows.mapInArrow(_Count(window, gram), _ddl(_COUNTS)).groupBy("minimiser").agg(F.sum("n").alias("n")).where("n > 1"))
-    counted = reliable_checkpoint(counted)
+    counted = rows.mapInArrow(_Count(window, gram), _ddl(_COUNTS)).groupBy("minimiser").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = stored(counted, "minimisers")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    # Hot minimisers are at most 1/hot_from of all; beyond 200,000 only larger ones count as hot.
+    # At most 200,000 minimisers are dealt out; if more have so many super-k-mers, only larger ones are.
     hot_from = max(hot_from, total // 200_000)
-    hot = np.array([r[0] for r in counted.where(F.col("n") > hot_from).select("minimiser").collect()], np.int64).view(np.uint64)
-    # 64 slots in one long, so at most SLOTS / 64 rows.
-    longs = (counted.select(F.pmod("minimiser", F.lit(SLOTS)).alias("slot"))
-             .groupBy(F.shiftright("slot", 6).cast("int").alias("at"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow())
-    bitmap = np.zeros(SLOTS // 64, np.int64)
-    bitmap[longs["at"].to_numpy()] = longs["bits"].to_numpy()
-    bitmap, hot_ids = spark.sparkContext.broadcast(bitmap.view(np.uint8)), spark.sparkContext.broadcast(hot)
+    hot = counted.where(F.col("n") > hot_from).toArrow()
+    order = np.argsort(hot["minimiser"].to_numpy().view(np.uint64))
+    shared = spark.sparkContext.broadcast((hot["minimiser"].to_numpy().view(np.uint64)[order], hot["n"].to_numpy()[order]))
     buckets = max(1, math.ceil(total / bucket))
-    packed = rows.mapInArrow(_Pack(window, gram, bitmap, hot_ids, False), _ddl(_PACKED))
-    found = (packed.withColumn("bucket", F.pmod("minimiser", F.lit(buckets))).groupBy("bucket")
-             .applyInArrow(_bucket(window), _ddl(_STRETCHES)))
-    if len(hot):
-        windows = rows.mapInArrow(_Pack(window, gram, bitmap, hot_ids, True), _ddl(_WINDOWS))
-        first = (windows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-                 .select("h1", "h2", "first"))
-        again = (windows.join(first, ["h1", "h2"]).where(F.col("doc") > F.col("first"))
-                 .select("doc", "row", F.col("start").alias("a"), (F.col("start") + window).alias("b")))
-        found = found.unionAll(again)
-    return found
+    packed = rows.mapInArrow(_Pack(window, gram, Bitmap(counted, "minimiser"), shared, buckets, hot_from), _ddl(_PACKED))
+    found = stored(packed.groupBy("bucket").applyInArrow(_bucket(window), _ddl(_FOUND)), "repeats")
+    open_ = found.where("h1 is not null")
+    first = open_.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("h1", "h2", "first")
+    later = open_.join(first, ["h1", "h2"]).where(F.col("doc") > F.col("first"))
+    return found.where("h1 is null").select("doc", "row", "a", "b").unionAll(later.select("doc", "row", "a", "b"))
 
 
 def _rows(documents: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Text handled at once inside a task. Longer texts are handled alone, but whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = [0x20, *range(0x09, 0x0E)]
 AS_IS = np.arange(256, dtype=np.uint8)
@@ -65,15 +65,12 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts)
 
     def hashes(self, wide: bool = False):
-        """64-bit hash of every word; with ``wide`` two independent ones."""
+        """64-bit hash of every word; with ``wide`` a second, independent one as well."""
         coded = self.flat.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         words = coded.dictionary.to_pylist()
-        if not wide:
-            return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))[codes]
-        both = b"".join(xxhash.xxh3_128_digest(w) for w in words)
-        pairs = np.frombuffer(both, np.uint64).reshape(-1, 2)
-        return pairs[codes, 0], pairs[codes, 1]
+        both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in words]), np.uint64).reshape(-1, 2)
+        return (both[codes, 0], both[codes, 1]) if wide else both[codes, 0]
 
 
 # Odd multipliers of the sequence hashes and the finaliser.
