@@ -226,14 +226,14 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW, gram: int = GRAM,
     return joined.mapInArrow(_Cut(digest), _ddl(_DIGEST if digest else _KEPT))
 
 
-_SQL = """WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+_SQL = """WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50),
 h AS (SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 49), ' ')) AS h FROM s),
 m AS (SELECT h, min(doc_id) AS d FROM h GROUP BY h),
 r AS (SELECT DISTINCT h.doc_id, unnest(range(i, i + 50)) AS j FROM h JOIN m USING (h) WHERE h.doc_id > m.d),
 g AS (SELECT doc_id, list(j) AS js, count(*) AS n FROM r GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-sha256(array_to_string(CASE WHEN n IS NULL THEN ws ELSE list_select(ws, list_filter(range(1, len(ws) + 1), x -> NOT list_contains(js, x))) END, ' ')) AS kept_sha256
+sha256(array_to_string(CASE WHEN n IS NULL THEN ws ELSE list_select(ws, list_filter(range(1, len(ws) + 1), lambda x: NOT list_contains(js, x))) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN g ON w.doc_id = g.doc_id"""
 
 

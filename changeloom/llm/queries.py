@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from . import op10_chat, op2_pii, op3_ngram_jaccard, op4_decontaminate, op8_substring_dedup, op9_mix_sources  # noqa: F401
+from . import op10_chat, op1_fingerprints, op2_pii, op3_ngram_jaccard, op4_decontaminate, op8_substring_dedup, op9_mix_sources  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
