@@ -1,4 +1,14 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from . import op10_chat, op1_fingerprints, op2_pii, op3_ngram_jaccard, op4_decontaminate, op8_substring_dedup, op9_mix_sources  # noqa: F401
+from . import (  # noqa: F401
+    op1_fingerprints,
+    op2_pii,
+    op3_ngram_jaccard,
+    op4_decontaminate,
+    op6_toxicity,
+    op7_token_counts,
+    op8_substring_dedup,
+    op9_mix_sources,
+    op10_chat,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
