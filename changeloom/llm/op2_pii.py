@@ -136,22 +136,21 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
 
 
 class _Find:
-    """Adds ``spans`` (and, with ``mask``, ``masked``) to the rows of a text column at position ``at``."""
+    """Adds ``spans`` to rows with a text at position ``at``, or (``mask``) replaces the text by its masked form."""
 
-    def __init__(self, schema: pa.Schema, at: int, mask: bool):
-        self.schema, self.at, self.mask = schema, at, mask
+    def __init__(self, at: int, mask: bool):
+        self.at, self.mask = at, mask
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton()
         for part in W.slices(batches, self.at):
             texts = part.column(self.at).to_pylist()
             found = [find_spans(t, automaton) if t else [] for t in texts]
-            columns = list(part.columns)
             if self.mask:
-                columns.append(pa.array([masked(t, f) for t, f in zip(texts, found)], pa.string()))
-            columns.append(pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in f] for f in found],
-                                    self.schema.field("spans").type))
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, self.schema)], schema=self.schema)
+                yield part.set_column(self.at, part.schema.field(self.at), pa.array([masked(t, f) for t, f in zip(texts, found)], part.schema.field(self.at).type))
+            else:
+                spans = pa.array([[{"kind": KINDS[k], "start": a, "end": b} for k, a, b in f] for f in found], _SPANS)
+                yield pa.RecordBatch.from_arrays([*part.columns, spans], names=[*part.schema.names, "spans"])
 
 
 def masked(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
@@ -169,17 +168,21 @@ def masked(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def find_pii(documents: DataFrame, mask: bool = False) -> DataFrame:
-    """doc_id and ``spans`` (kind, start, end; code points, end exclusive) of each document, in the order of
-    KINDS and then of the text; with ``mask`` also ``masked``, the text with its spans replaced by their kind.
+def find_pii(documents: DataFrame) -> DataFrame:
+    """doc_id and ``spans`` (kind, start, end; code points, end exclusive) of each document, in the order of KINDS and
+    then of the text.
 
-    A null text has no spans and stays null; an empty one stays empty. Repeated rows give a row each, ids may be
-    null or equal, an empty table gives no rows, and other columns are not read.
+    Null and empty texts have no spans. Repeated rows give a row each, ids may be null or equal, an empty table gives
+    no rows, and other columns are not read.
     """
-    fields = [("doc_id", pa.int64()), ("text", pa.string())] + [("masked", pa.string())] * mask + [("spans", _SPANS)]
-    ddl = "doc_id bigint, text string, " + "masked string, " * mask + "spans array<struct<kind:string,start:bigint,end:bigint>>"
+    ddl = "doc_id bigint, text string, spans array<struct<kind:string,start:bigint,end:bigint>>"
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_Find(pa.schema(fields), 1, mask), ddl).drop("text")
+    return rows.mapInArrow(_Find(1, False), ddl).drop("text")
+
+
+def mask_pii(documents: DataFrame) -> DataFrame:
+    """``documents`` with all columns, each span in ``text`` replaced by the name of its kind; null stays null."""
+    return documents.mapInArrow(_Find(documents.columns.index("text"), True), documents.schema)
 
 
 def joined(spans, separator: str = ","):

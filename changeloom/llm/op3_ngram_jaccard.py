@@ -11,11 +11,12 @@ of all shingles, the first n - c + k shingles of both therefore have k in common
 
 The boundary is where enumerating stops being cheaper than scanning, by the list lengths that the corpus has. The
 order is by hash, with frequent shingles last, so passages that many documents share seldom reach a list. Which
-shingles count as frequent is kept in a bitmap of fixed size: any content of it is a valid order.
+shingles count as frequent is kept in a bitmap of fixed size: any content of it is a valid order. Shingles are counted
+where they would be in front by hash alone, and then in whole sets that frequent ones are in front of.
 
 Equal sets are one set from the start. Sets that meet are compared without listing all pairs of a group: first each
-with the smallest set of its list; then, where a list still holds sets of different components, the pairs across
-components. Three exact bounds discard pairs: sizes, places in the order, and parity sketches. What is left is
+with the smallest set of its list; then, where a list still holds sets of different components, with a few others of its
+sets, in turns, so that loosely linked groups grow together; and then the pairs across components that are left. Three exact bounds discard pairs: sizes, places in the order, and parity sketches. What is left is
 compared shingle by shingle on the texts.
 """
 
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +45,13 @@ SALTS = 64
 BUCKET = 400_000
 # Comparisons with one set that one task makes.
 MEMBERS = 2_000
+# Turns of comparing each open list with a few of its sets, before the pairs across components.
+TURNS = 2
+OTHERS = 8
 BOUNDARIES = (0, 8, 16, 32, 64, 128)
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set_id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()),
+                    ("prefix", pa.list_(pa.int64()))])
 _COUNTS = pa.schema([("token", pa.int64()), ("n", pa.int64())])
 _ENTRIES = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("frequent", pa.bool_()), ("set_id", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 _LISTS = pa.schema([("key", pa.int64()), ("frequent", pa.bool_()), ("set_id", pa.int64()), ("n", pa.int32()), ("place", pa.int32()),
@@ -54,7 +60,7 @@ _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.int64(): "bigint", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary", pa.string(): "string"}
+    kinds = {pa.int64(): "bigint", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary", pa.list_(pa.int64()): "array<bigint>"}
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
 
 
@@ -74,8 +80,8 @@ def shingle_sets(part: pa.RecordBatch, text: int) -> list[np.ndarray]:
 
 def set_id(tokens: np.ndarray) -> int:
     """64-bit identity of a set, from all its shingles and their number."""
-    total = W.mix(tokens + W.ROLL[0]).sum(dtype=np.uint64) + np.uint64(len(tokens)) * W.ROLL[1]
-    return int(W.mix(np.array([total]))[:1].view(np.int64)[0])
+    total = np.array([len(tokens)], np.uint64) * W.ROLL[1] + W.mix(tokens + W.ROLL[0]).sum(dtype=np.uint64, keepdims=True)
+    return int(W.mix(total).view(np.int64)[0])
 
 
 def sketch(tokens: np.ndarray) -> bytes:
@@ -106,17 +112,42 @@ def _sizes_fit(a, b):
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in W.slices(batches, 2):
         sets = shingle_sets(part, 2)
+        prefixes = [s[:len(s) - least_overlap(len(s)) + 1] if len(s) else s for s in sets]
+        bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
+        flat = W.signed(np.concatenate(prefixes)) if prefixes else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [part.column(0), part.column(1), pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())], schema=_SETS)
+             pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+             pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], schema=_SETS)
 
 
-def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in W.slices(batches, 2):
-        firsts = [s[:len(s) - least_overlap(len(s)) + 1] for s in shingle_sets(part, 2) if len(s)]
-        if firsts:
-            tokens, n = np.unique(np.concatenate(firsts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(W.signed(tokens)), pa.array(n.astype(np.int64))], schema=_COUNTS)
+class _Touched:
+    """Rows (of row, prefix) whose prefix holds a frequent shingle."""
+
+    def __init__(self, frequent: Bitmap):
+        self.frequent = frequent
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column(1)
+            owner = pc.list_parent_indices(prefixes).to_numpy(zero_copy_only=False)
+            hit = np.zeros(batch.num_rows, bool)
+            hit[owner[self.frequent(prefixes.flatten().to_numpy(zero_copy_only=False))]] = True
+            yield batch.select([0]).filter(pa.array(hit))
+
+
+class _CountAll:
+    """Counts of all shingles of the wanted rows."""
+
+    def __init__(self, wanted: Bitmap):
+        self.wanted = wanted
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in W.slices(_KeepRows(self.wanted)(batches), 2):
+            sets = [s for s in shingle_sets(part, 2) if len(s)]
+            if sets:
+                tokens, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(tokens)), pa.array(n.astype(np.int64))], schema=_COUNTS)
 
 
 def _pairs_of(m: int, cache: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006  kept between calls
@@ -281,15 +312,19 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
     every = stored(rows.mapInArrow(_describe, _ddl(_SETS)), "sets")
     sets = every.where("n > 0")
 
-    counts = rows.mapInArrow(_count_prefixes, _ddl(_COUNTS)).groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = stored(counts, "counts")
-    entries, visits = counts.agg(F.sum("n"), F.sum(F.least("n", F.lit(frequent_from)) * F.least("n", F.lit(frequent_from)))).first()
+    visits = counts.agg(F.sum(F.least("n", F.lit(frequent_from)) * F.least("n", F.lit(frequent_from)))).first()[0]
+    # A set with frequent shingles in front is counted whole: what it has in common with many others comes late altogether.
+    touched = sets.select("row", "prefix").mapInArrow(_Touched(Bitmap(counts.where(F.col("n") >= frequent_from), "token")), "row bigint")
+    whole = (rows.mapInArrow(_CountAll(Bitmap(touched, "row")), _ddl(_COUNTS)).groupBy("token").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= frequent_from).select("token"))
+    frequent = Bitmap(stored(counts.where(F.col("n") >= frequent_from).select("token").unionAll(whole), "frequent"), "token")
     # Sizes up to the largest boundary only; the cost of larger sets does not depend on it.
     sizes = [tuple(r) for r in sets.where(F.col("n") <= 2 * max(BOUNDARIES)).groupBy("n").count().collect()]
     prefix = sets.agg(F.sum(F.floor(F.col("n") * (SHARE[1] - SHARE[0]) / SHARE[1]) + 1)).first()[0] or 0
     if boundary is None:
         boundary = boundary_by_cost(sizes, 1 + (visits or 0) / max(1, prefix))
-    frequent = Bitmap(counts.where(F.col("n") >= frequent_from), "token")
     buckets = max(1, math.ceil(prefix * 1.5 / bucket))
 
     lists = (rows.mapInArrow(_Enter(frequent, boundary, buckets), _ddl(_ENTRIES)).groupBy("bucket")
@@ -305,16 +340,24 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
                       .select(F.col("low").alias("a"), F.col("first").alias("b")))
     found = _links(rows, sets, stars.unionAll(links_of_parts).distinct())
 
-    label = components(found).select(F.col("node").alias("set_id"), "label")
-    now = lists.select("key", "set_id", "n", "place").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    open_lists = stored(now.join(mixed, "key", "left_semi"), "open")
-    x, y = open_lists.alias("x"), open_lists.alias("y")
-    across = (x.join(y, F.col("x.key") == F.col("y.key"))
-              .where(F.col("x.label") < F.col("y.label")).where(_sizes_fit(F.col("x.n"), F.col("y.n")))
-              .where(F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= _needed(F.col("x.n"), F.col("y.n")))
-              .select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
-    found = found.unionAll(_links(rows, sets, across))
+    entries_of = lists.select("key", "set_id", "n", "place")
+    for turn in range(TURNS + 1):
+        label = components(found).select(F.col("node").alias("set_id"), "label")
+        now = entries_of.join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+        mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+        open_lists = stored(now.join(mixed, "key", "left_semi"), "open")
+        if turn < TURNS:
+            # A few other sets of each open list, different ones in each list and turn.
+            part = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(OTHERS))
+            least = F.min(F.struct(F.xxhash64("key", "set_id", F.lit(turn)), "set_id", "n", "place", "label"))
+            other = open_lists.groupBy("key", part.alias("part")).agg(least.alias("y")).select("key", "y")
+        else:
+            other = open_lists.select("key", F.struct("set_id", "n", "place", "label").alias("y"))
+        differ = F.col("label") < F.col("y.label") if turn == TURNS else F.col("label") != F.col("y.label")
+        pairs = (open_lists.join(other, "key").where(differ).where(_sizes_fit(F.col("n"), F.col("y.n")))
+                 .where(F.least(F.col("n") - F.col("place"), F.col("y.n") - F.col("y.place")) >= _needed(F.col("n"), F.col("y.n")))
+                 .select(F.least("set_id", "y.set_id").alias("a"), F.greatest("set_id", "y.set_id").alias("b")).distinct())
+        found = found.unionAll(_links(rows, sets, pairs))
 
     label = components(found).select(F.col("node").alias("set_id"), "label")
     docs = every.select("doc_id", "row", "n", "set_id").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
@@ -323,6 +366,23 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
             .select("doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("smallest", "doc_id").alias("component_id")))
 
 
+def one_of_each_group(documents: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents``, with all their columns, less all but one row of each group: the one with the group's
+    smallest id (of equal ids, the smallest hash of id and text). Documents with an empty set all stay.
+    """
+    found = near_groups(documents, **options)
+    single = found.where("n_shingles = 0").select("row", F.lit(False).alias("grouped"))
+    first = (found.where("n_shingles > 0").groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("row")).alias("alone"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+             .select("first.row", F.lit(True).alias("grouped")))
+    kept = stored(single.unionAll(first).distinct(), "kept")
+    rows = documents.withColumn("_row", F.xxhash64("doc_id", "text"))
+    rows = rows.join(kept, F.col("_row") == F.col("row")).drop("row")
+    # Of equal rows of a group one stays.
+    copies = F.when(F.col("grouped"), F.lit(0)).otherwise(F.monotonically_increasing_id())
+    return rows.withColumn("_copy", copies).dropDuplicates(["_row", "_copy"]).select(*documents.columns)
+
+
 _SQL = """WITH w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),

@@ -142,6 +142,18 @@ class Index:
                  pa.array([sorted(i) for i in items], _FOUND.field("items").type)], schema=_FOUND)
 
 
+def _blocks(benchmark: DataFrame, window: int, gram: int, block_bytes: int) -> list:
+    """Broadcast indexes of the benchmark, each of about ``block_bytes`` of text."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
+                             F.coalesce("text", F.lit("")).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, out = max(1, math.ceil(size / block_bytes)), []
+    for b in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
+        out.append(benchmark.sparkSession.sparkContext.broadcast(Index([r[0] for r in block], [r[1] for r in block], window, gram)))
+    return out
+
+
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, spans (hit words, end exclusive, in order), items (ids as
@@ -151,18 +163,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     counted under the empty id. Equal ids count once. Repeated documents give a row each. An empty
     benchmark finds nothing, empty documents give no rows; other columns are not read.
     """
-    spark = documents.sparkSession
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-                             F.coalesce("text", F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
     rows = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("_row"), "text")
-    passes = []
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        shared = spark.sparkContext.broadcast(Index([r[0] for r in block], [r[1] for r in block], window, gram))
-        passes.append(rows.mapInArrow(_Finder(shared), _FOUND_DDL))
-    found = passes[0]
+    passes = [rows.mapInArrow(_Finder(shared), _FOUND_DDL) for shared in _blocks(benchmark, window, gram, block_bytes)]
+    found, blocks = passes[0], len(passes)
     if blocks > 1:
         for more in passes[1:]:
             found = found.unionAll(more)
@@ -182,6 +185,29 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                         covered.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"))
 
 
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM,
+                      block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that hold no window of any item. A row without text stays."""
+    kept = documents
+    for shared in _blocks(benchmark, window, gram, block_bytes):
+        kept = kept.mapInArrow(_Keeper(shared, kept.columns.index("text")), kept.schema)
+    return kept
+
+
+class _Keeper:
+    def __init__(self, shared, text: int):
+        self.shared, self.text = shared, text
+
+    def __call__(self, batches):
+        for part in W.slices(batches, self.text):
+            words = W.Words(part.column(self.text), W.LETTERS)
+            clean = np.ones(part.num_rows, bool)
+            if len(words.flat):
+                first, _, _ = self.shared.value.occurrences(words.hashes(), words.offsets)
+                clean[words.owner()[first]] = False
+            yield part.filter(pa.array(clean))
+
+
 class _Finder:
     def __init__(self, shared):
         self.shared = shared

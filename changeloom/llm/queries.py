@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     op2_pii,
     op3_ngram_jaccard,
     op4_decontaminate,
+    op5_html_text,
     op6_toxicity,
     op7_token_counts,
     op8_substring_dedup,

@@ -43,18 +43,20 @@ def test_base_kinds_are_those_of_the_expressions(spark, seed):
 
 def test_added_kinds_and_masking(spark):
     text = "See https://a.example/x?y=1, IBAN DE89 3704 0044 0532 0130 00; iban DE00 3704 0044 0532 0130 00. Account no: 12345-678 x"
-    row = P.find_pii(spark.createDataFrame([(1, text, "x")], DOC), mask=True).first()
+    df = spark.createDataFrame([(1, text, "x")], DOC)
+    row = P.find_pii(df).first()
     found = [(s.kind, text[s.start:s.end]) for s in row.spans]
     assert ("url", "https://a.example/x?y=1") in found
     assert ("account", "DE89 3704 0044 0532 0130 00") in found and ("account", "12345-678") in found
-    assert row.masked == "See [URL], IBAN [ACCOUNT]; iban DE00 3704 0044 0532 0130 00. Account no: [ACCOUNT] x"
+    assert P.mask_pii(df).first().text == "See [URL], IBAN [ACCOUNT]; iban DE00 3704 0044 0532 0130 00. Account no: [ACCOUNT] x"
 
 
 def test_edges(spark):
     docs = [(1, None, None), (2, "", "x"), (None, "a@b.co", "x"), (3, "q " * 500_000 + "a@b.co", "x"), (4, "a@b.co", "x"), (4, "a@b.co", "x")]
-    rows = P.find_pii(spark.createDataFrame(docs, DOC), mask=True).collect()
-    by = {r.doc_id: r for r in rows}
-    assert len(rows) == 6 and by[1].masked is None and by[2].masked == "" and by[1].spans == by[2].spans == []
-    assert tuple(by[3].spans[0]) == ("email", 1_000_000, 1_000_006)
-    assert sum(r.doc_id == 4 and r.masked == "[EMAIL]" for r in rows) == 2
+    df = spark.createDataFrame(docs, DOC)
+    rows, masked = P.find_pii(df).collect(), P.mask_pii(df).collect()
+    by, text = {r.doc_id: r for r in rows}, {r.doc_id: r.text for r in masked}
+    assert len(rows) == len(masked) == 6 and text[1] is None and text[2] == "" and by[1].spans == by[2].spans == []
+    assert tuple(by[3].spans[0]) == ("email", 1_000_000, 1_000_006) and text[3] == "q " * 500_000 + "[EMAIL]"
+    assert sum(r.doc_id == 4 and r.text == "[EMAIL]" and r.spans == "x" for r in masked) == 2
     assert P.find_pii(spark.createDataFrame([], DOC)).count() == 0
