@@ -93,6 +93,14 @@ LABELLED = """
  6   0  1   0  9 100  1 0 0 0  1
 250  1 30   0 90   0  1 0 0 0  1
 50   0  9   0 60   0  0 0 0 0  1
+40   0  0   0 40   0  0 0 0 0  1
+40   0 40   0 30   0  0 0 0 0  1
+60   0 40   0  0   0  0 0 0 0  1
+33   0  5   0  5   0  0 0 0 0  1
+100  0  0   0  0   0  0 0 0 0  1
+45   0  0   0 12   0  0 0 0 0  1
+70  10  3 100 12   0  0 0 0 0  1
+28   0 10   0  3 100  0 0 0 0  1
 80   4 60   0 44   0  0 0 0 0  1
 35   0 70   5 90   0  0 0 0 0  1
 26   0 40   0 31   0  0 0 0 0  1
