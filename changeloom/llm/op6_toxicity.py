@@ -34,10 +34,12 @@ STRETCH = 16
 BUCKET_BITS = 17
 NGRAMS = (3, 4, 5)
 DIMS = 4
-# n-grams seen fewer times in the sample carry no vector; SMOOTH is added to their counts in the starting log-odds.
+# n-grams seen fewer times in the sample, or about as often in both classes, carry no vector; SMOOTH is added to their
+# counts in the starting log-odds.
 LEAST_SEEN = 5
+LEAST_ODDS = 0.2
 SMOOTH = 5.0
-STEPS = 40
+STEPS = 60
 RATE = 0.2
 
 
@@ -106,11 +108,12 @@ class _Groups:
         return out
 
 
-def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, seed: int = 7) -> Model:
     """Joint training of n-gram vectors and softmax on whole batches; without both labels, only their share is learnt.
 
     Vectors start from each n-gram's smoothed log-odds of being in a toxic text, so the first choice of stretches is
-    sensible, and are then moved by Adam together with the softmax.
+    sensible, and are then moved by Adam together with the softmax. At the end the scores of whole texts are calibrated to
+    ``toxic_share``, the share of toxic texts among all, as the sample holds about as many of each class.
     """
     labels = np.asarray(labels, np.int64)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
@@ -127,10 +130,12 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
     word_in = np.unique(words.owner() * n_words + code)
     seen = [np.bincount(bucket, np.bincount((word_in % n_words)[labels[word_in // n_words] == c], minlength=n_words)[own], buckets) for c in (0, 1)]
     kept = (seen[0] + seen[1])[bucket] >= LEAST_SEEN
+    texts_of = np.bincount(labels, minlength=2)
+    odds = np.log((seen[1] + SMOOTH) / (texts_of[1] + SMOOTH)) - np.log((seen[0] + SMOOTH) / (texts_of[0] + SMOOTH))
+    kept &= np.abs(odds[bucket]) >= LEAST_ODDS
     own, bucket = own[kept], bucket[kept]
     used, column = np.unique(bucket, return_inverse=True)
-    texts_of = np.bincount(labels, minlength=2)
-    odds = np.log((seen[1][used] + SMOOTH) / (texts_of[1] + SMOOTH)) - np.log((seen[0][used] + SMOOTH) / (texts_of[0] + SMOOTH))
+    odds = odds[used]
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (len(used), DIMS)), rng.normal(0, 0.1, (DIMS, 2)), np.array([1.0, -1.0])]
     params[0][:, 0] += odds
@@ -168,18 +173,34 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
             # One scale for a whole table: frequent n-grams move further than rare ones.
             v += 0.05 * ((g * g).max() - v)
             p_ -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.95 ** step)) + 1e-12)
-    side = params[1] @ np.array([-1.0, 1.0])
+    best = np.full(len(labels), -np.inf)
+    np.maximum.at(best, text, forward()[1] @ np.array([-1.0, 1.0]))
+    slope, shift = _calibrate(best[np.isfinite(best)], labels[np.isfinite(best)], share if toxic_share is None else toxic_share)
     grams = np.zeros(buckets)
-    grams[used] = params[0] @ side
-    return Model(grams, float(params[2][1] - params[2][0]))
+    grams[used] = params[0] @ params[1] @ np.array([-slope, slope])
+    return Model(grams, float(slope * (params[2][1] - params[2][0]) + shift))
+
+
+def _calibrate(odds: np.ndarray, labels: np.ndarray, toxic_share: float) -> tuple[float, float]:
+    """Slope and shift that make the odds of whole texts probabilities, where ``toxic_share`` of all texts are toxic."""
+    weight = np.where(labels == 1, toxic_share / max(1, (labels == 1).sum()), (1 - toxic_share) / max(1, (labels == 0).sum()))
+    x = np.stack([odds, np.ones(len(odds))], 1)
+    at = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        # A little weight keeps the slope bounded where the classes are apart.
+        gradient = x.T @ (weight * (p - labels)) + 1e-4 * (at - [1.0, 0.0])
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
+        at = at - np.clip(np.linalg.solve(curve, gradient), -2, 2)
+    return float(max(at[0], 1e-3)), float(at[1])
 
 
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold."""
+def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], np.ndarray, float | None]:
+    """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold, and the share of toxic ones."""
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
     rows = (documents.select("doc_id", "text").where(F.octet_length("text").between(1, TRAIN_BYTES)).join(known, "doc_id")
@@ -189,7 +210,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SA
         part = rows.where(F.col("toxic") == label).orderBy("_h", "text").select("text").limit(per_class).toArrow()["text"].to_pylist()
         texts += part
         found += [label] * len(part)
-    return texts, np.array(found, np.int64)
+    share = known.agg(F.avg("toxic")).first()[0]
+    return texts, np.array(found, np.int64), share
 
 
 class _Score:
