@@ -47,9 +47,16 @@ def _wide_integer(raw: pd.Series) -> pd.Series:
 
 
 def encode_decimal(value: Column, scale: int) -> Column:
-    """Inverse of :func:`decode_decimal` for values whose unscaled form fits in a bigint."""
-    unscaled = F.replace(value.cast(f"decimal(38,{scale})").cast("string"), F.lit("."), F.lit("")).cast("bigint")
-    return F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
+    """Inverse of :func:`decode_decimal`, for all 38 digits: eight bytes where they suffice, else sixteen."""
+    unscaled = F.replace(value.cast(f"decimal(38,{scale})").cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)")
+    small = unscaled.try_cast("bigint")
+    # value = high * 2^64 + low with 0 <= low < 2^64.
+    weight = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    low = F.pmod(unscaled, weight)
+    # Integer division cuts towards zero; the high half is rounded down.
+    high = F.call_function("div", unscaled, weight) - F.when((unscaled < 0) & (low != 0), 1).otherwise(0)
+    wide = F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.conv(low.cast("string"), 10, 16), 16, "0"))
+    return F.base64(F.unhex(F.when(small.isNotNull(), F.lpad(F.hex(small), 16, "0")).otherwise(wide)))
 
 
 def unsigned_bigint(b64: Column) -> Column:
@@ -58,8 +65,11 @@ def unsigned_bigint(b64: Column) -> Column:
 
 
 def to_decimal(text: Column, scale: int | None = None) -> Column:
-    """Trimmed number text, rounded half up; without a scale as it stands. Bad text is null."""
-    return F.trim(text).try_cast(f"decimal(38,{18 if scale is None else scale})")
+    """Trimmed number text as a decimal rounded half up. Without a scale no decimal type fits all numbers, so the number stays
+    text, as it stands. Bad text is null."""
+    if scale is None:
+        return F.when(F.trim(text).rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"), F.trim(text))
+    return F.trim(text).try_cast(f"decimal(38,{scale})")
 
 
 def to_double(text: Column) -> Column:

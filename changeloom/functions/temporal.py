@@ -6,9 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
-# Zero dates and the texts that stand for the epoch.
-ZERO_DATE = r"^(\d{4}-\d{2}-00|\d{4}-00-\d{2}|0000-\d{2}-\d{2})$"
-ZERO_TIMESTAMP = r"^(\d{4}-\d{2}-00|\d{4}-00-\d{2}|0000-\d{2}-\d{2}) 00:00:00(\.\d{1,6})?$"
+# Texts that stand for the epoch.
 EPOCH_DATE, EPOCH_TIMESTAMP = "1970-01-01", "1970-01-01 00:00:00"
 # Fixed value: microseconds of an average month (365.25 / 12 days).
 MONTH_MICROS = 2_629_800_000_000
@@ -59,9 +57,14 @@ def to_local_datetime(value: Column, kind: str) -> Column:
 def zero_date(text: Column, nullable: bool, kind: str = "date") -> Column:
     """Text to a date (or ``timestamp`` / ``zoned``); zero dates become null, or the epoch where
     null is not allowed."""
-    zero = (text == "0") | text.rlike(ZERO_TIMESTAMP)
+    # yyyy-MM-dd, and for a timestamp midnight behind it: zero when any of the three parts is.
+    day, clock = F.split_part(text, F.lit(" "), F.lit(1)), F.split_part(text, F.lit(" "), F.lit(2))
+    parts = [F.split_part(day, F.lit("-"), F.lit(i)).try_cast("int") for i in (1, 2, 3)]
+    no_day = day.rlike(r"^\d{4}-\d\d-\d\d$") & ((parts[0] == 0) | (parts[1] == 0) | (parts[2] == 0))
+    midnight = clock.rlike(r"^00:00:00(\.\d{1,6})?$")
+    zero = (text == "0") | (no_day & midnight)
     if kind == "date":
-        zero = zero | text.rlike(ZERO_DATE)
+        zero = zero | (no_day & (clock == ""))
     elif kind == "zoned":
         zero = zero | (text == EPOCH_TIMESTAMP)
     target = "date" if kind == "date" else "timestamp_ntz"

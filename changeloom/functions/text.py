@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 # Database character set -> Java name where the engine decodes it itself, and
 # -> Python codec for the others.
-ENGINE_CHARSETS = {"ascii": "US-ASCII", "latin1": "ISO-8859-1", "utf8": "UTF-8", "utf8mb4": "UTF-8",
+ENGINE_CHARSETS = {"ascii": "US-ASCII", "utf8": "UTF-8", "utf8mb4": "UTF-8",
                    "utf16": "UTF-16BE", "ucs2": "UTF-16BE", "utf16le": "UTF-16LE", "utf32": "UTF-32"}
 TABLE_CHARSETS = {"big5": "big5", "gbk": "gbk", "sjis": "shift_jis", "cp932": "cp932",
                   "gb2312": "gb2312", "gb18030": "gb18030", "ujis": "euc_jp", "eucjpms": "euc_jp",
@@ -19,6 +19,9 @@ TABLE_CHARSETS = {"big5": "big5", "gbk": "gbk", "sjis": "shift_jis", "cp932": "c
                   "macroman": "mac_roman", "macce": "mac_latin2", "koi8r": "koi8_r",
                   "koi8u": "koi8_u"}
 
+# The database's latin1 is the Windows code page: bytes 0x80 to 0x9F are these characters, where it has any.
+_WINDOWS = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
 
 def decode_bits(bits: Column, n: int) -> Column:
     """Bit text: one bit to a boolean, more to ceil(n/8) big-endian bytes."""
@@ -50,6 +53,8 @@ def json_text(value: Column) -> Column:
 def decode_charset(raw: Column, charset: str) -> Column:
     """Bytes in a database character set to text."""
     name = charset.lower()
+    if name == "latin1":
+        return F.translate(F.decode(raw, "ISO-8859-1"), "".join(_WINDOWS), "".join(_WINDOWS.values()))
     if name in ENGINE_CHARSETS:
         return F.decode(raw, ENGINE_CHARSETS[name])
     codec = TABLE_CHARSETS[name]

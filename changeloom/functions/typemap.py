@@ -113,6 +113,11 @@ DIALECTS = {"mysql": MYSQL, "tidb": TIDB, "oceanbase": OCEANBASE, "postgres": PO
 # Oracle integers by number of digits (p - s), largest first bound that fits.
 NUMBER_STEPS = [(3, "tinyint"), (5, "smallint"), (10, "int"), (19, "bigint")]
 DEFAULT_PRECISION = 38
+# Sources whose number type without a precision holds any number of digits and a fraction: no decimal type does,
+# so such numbers stay text, unless the caller declares a precision.
+UNBOUNDED = ("postgres", "oracle")
+# Sources with zero dates and boolean words in defaults.
+LENIENT = ("mysql", "tidb", "oceanbase")
 
 
 def _decimal(p: int, s: int) -> str:
@@ -136,6 +141,8 @@ def logical_type(dialect: str, source_type: str) -> str:
         groups = found.groupdict()
         p = int(groups.get("p") or (1 if target == "bits" else DEFAULT_PRECISION))
         s = int(groups.get("s") or 0)
+        if target in ("decimal", "number") and groups.get("p") is None and dialect in UNBOUNDED:
+            return "string"
         if target == "decimal":
             return _decimal(p, s)
         if target == "number":
@@ -205,18 +212,36 @@ def cast_from_source(df: DataFrame, dialect: str, source_types: dict[str, str],
     return df.select(*out)
 
 
-def apply_defaults(df: DataFrame, defaults: dict[str, tuple[str, str, str | None]],
+def default_expression(value: Column, dialect: str, source_type: str, nullable: bool = True) -> Column:
+    """Text of a column default to its Spark type. Sources with zero dates take them as null, or the epoch where null
+    is not allowed, accept any separators in timestamps, and boolean words for numbers."""
+    target = logical_type(dialect, source_type)
+    plain = cast_expression(value, dialect, source_type)
+    if dialect not in LENIENT:
+        return plain
+    if target == "date":
+        return temporal.zero_date(value, nullable, "date")
+    if target in ("timestamp", "timestamp_ntz"):
+        zoned = re.match("TIMESTAMP", source_type.strip(), re.IGNORECASE)
+        return F.coalesce(temporal.zero_date(value, nullable, "zoned" if zoned else "timestamp").cast(target), plain)
+    if target in ("tinyint", "smallint", "int", "bigint"):
+        word = F.lower(F.trim(value))
+        return F.when(word == "true", F.lit(1)).when(word == "false", F.lit(0)).otherwise(plain).cast(target)
+    return plain
+
+
+def apply_defaults(df: DataFrame, defaults: dict[str, tuple],
                    present: Column | None = None) -> DataFrame:
-    """Typed defaults for columns a row did not carry: column -> (dialect, vendor type, default text).
+    """Typed defaults for columns a row did not carry: column -> (dialect, vendor type, default text[, nullable]).
 
     ``present`` is an array of the field names a row carried, so that an explicit null stays null.
     Without it only columns the whole frame lacks are filled. A null default stays null.
     """
     out = []
-    for c, (dialect, kind, default) in defaults.items():
-        text_value = F.lit(default).cast("string")
+    for c, (dialect, kind, default, *rest) in defaults.items():
+        value = default_expression(F.lit(default).cast("string"), dialect, kind, *rest)
         if c in df.columns:
-            text_value = F.col(c) if present is None else \
-                F.when(F.array_contains(present, c), F.col(c)).otherwise(text_value)
-        out.append(cast_expression(text_value, dialect, kind).alias(c))
+            own = cast_expression(F.col(c), dialect, kind)
+            value = own if present is None else F.when(F.array_contains(present, c), own).otherwise(value)
+        out.append(value.alias(c))
     return df.select(*[c for c in df.columns if c not in defaults], *out)

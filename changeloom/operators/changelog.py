@@ -88,7 +88,7 @@ def split_key_updates(df: DataFrame) -> DataFrame:
     parts = F.when(moved, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
     changed = {
         "op": F.when(first, "d").when(second, "c").otherwise(F.col("op")),
-        "sub": F.col("sub") + F.when(second, 1).otherwise(0),
+        "sub": F.col("sub") + F.when(second, 1).otherwise(0),     # even as read, so this is free
         "key": F.when(first, key_of(old)).when(second, key_of(new)).otherwise(F.col("key")),
         "before": F.when(second, none).otherwise(old),
         "after": F.when(first, none).otherwise(new),

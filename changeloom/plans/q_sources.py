@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import chunks as C
+from ..operators import changelog as L, chunks as C
 from ..operators.progress import commit_progress
 from ..session import scratch_dir
 from ..sources import capture, changestream, envelope, keyvalue, log as logs, snapshot as snaps
@@ -180,6 +180,124 @@ def s14(spark, sf):
     return df.select("db", F.col("table").alias("tbl"), "op", "pos", F.col("key.k").alias("k"))
 
 
+@query("s14_new_table_overlaps_log", f"""{BASE}, t AS (SELECT 'orders_' || (coalesce(acust, bcust) % 2) AS tbl, * FROM ({ALL_RAW}) x),
+c AS (SELECT tbl, count(*) AS n, sum(acents) AS total FROM (
+  SELECT 'orders_' || (cust % 2) AS tbl, ucents AS acents FROM upd WHERE k % 11 <> 0 AND k % 17 <> 0
+  UNION ALL SELECT 'orders_' || (cust % 2), cents FROM upd WHERE k % 13 = 0
+  UNION ALL SELECT 'orders_' || (cust % 2), ucents FROM upd WHERE k % 17 = 0 AND k % 11 <> 0) GROUP BY tbl)
+SELECT tbl, n, CAST(total AS BIGINT) AS total FROM c WHERE tbl = 'orders_1'""")
+def s14n(spark, sf):
+    """A table added while the log runs: its snapshot holds the log up to a position, and each change counts once."""
+    def shard(df):
+        return df.withColumn("table", F.format_string("orders_%d", F.coalesce("after", "before")["cust"] % 2))
+    snap = shard(O.orders_changes(spark, sf, log=False))
+    log = shard(L.split_key_updates(O.orders_changes(spark, sf, snapshot=False)))
+    state = spark.createDataFrame([("shop", "orders_0", 10 ** 18, 0)], "db string, table string, pos bigint, sub int")
+    added = spark.createDataFrame([("shop", "orders_1")], "db string, table string")
+    # What was read as the snapshot is the state at 250,000,000.
+    seen = L.latest_changes(snap.unionByName(log.where("pos <= 250000000")), ("db", "table", "key")).where("op <> 'd'")
+    seen = seen.withColumns({"op": F.lit("r"), "before": F.lit(None).cast(O.IMAGE), "pos": F.lit(0).cast("bigint"), "sub": F.lit(0)})
+    high = added.withColumn("pos", F.lit(250_000_000).cast("bigint"))
+    rows = capture.read_with_new_tables(seen, log, state, added, high)
+    signed = rows.withColumn("n", F.when(F.col("op").isin("r", "c"), 1).when(F.col("op") == "d", -1).otherwise(0))
+    cents = F.coalesce("after.cents", F.lit(0)) - F.when(F.col("op").isin("u", "d"), F.col("before.cents")).otherwise(0)
+    return signed.groupBy(F.col("table").alias("tbl")).agg(F.sum("n").alias("n"), F.sum(cents).cast("bigint").alias("total"))
+
+
+# Envelopes put together by plain text functions, as a source writes them: positions start again in every file, and
+# an event holds several rows.
+_LOGGED = """SELECT o_orderkey AS k, o_orderkey // 500 AS f, o_orderkey % 500 AS p FROM orders"""
+
+
+@query("s1_files_and_rows", f"""WITH o AS ({_LOGGED})
+SELECT k, 'file' || (f + 2) AS st FROM o WHERE k % 5 <> 0 UNION ALL SELECT -k, 'moved' FROM o WHERE k % 5 = 0
+UNION ALL SELECT k + 500000000, 'next row' FROM o WHERE k % 5 = 0""")
+def s1f(spark, sf):
+    """Each order is written in one file and again, at a smaller position, in the next one. Every fifth one is then moved to
+    another key by row 0 of an event whose row 1 changes one more key."""
+    orders = O.read(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    k, f, p = F.col("k"), F.floor(F.col("k") / 500), F.col("k") % 500
+
+    def image(key, text):
+        return F.concat(F.lit('{"k":'), key.cast("string"), F.lit(',"st":"'), text, F.lit('"}'))
+
+    def event(op, file, pos, row, before, after):
+        source = F.concat(F.lit('"source":{"db":"shop","table":"orders","file":"log.'), F.lpad(file.cast("string"), 6, "0"),
+                          F.lit('","pos":'), pos.cast("string"), F.lit(f',"row":{row}}}'))
+        return F.concat(F.lit('{"before":'), before, F.lit(',"after":'), after, F.lit(f',"op":"{op}",'), source, F.lit("}"))
+    null, old, new = F.lit("null"), image(k, F.lit("old")), image(k, F.concat(F.lit("file"), (f + 2).cast("string")))
+    fifth, other = k % 5 == 0, k + 500_000_000
+    texts = F.array_compact(F.array(
+        event("c", f + 1, p + 1000, 0, null, old), event("u", f + 2, p, 0, old, new),
+        F.when(fifth, event("c", f + 2, p + 500, 0, null, image(other, F.lit("first")))),
+        F.when(fifth, event("u", f + 3, p, 0, new, image(-k, F.lit("moved")))),
+        F.when(fifth, event("u", f + 3, p, 1, image(other, F.lit("first")), image(other, F.lit("next row"))))))
+    raw = orders.select(F.explode(texts).alias("value"))
+    return L.materialize(L.split_key_updates(envelope.decode_envelope(raw, "k bigint, st string", ["k"])))
+
+
+@query("s11_start_in_file", f"""WITH o AS ({_LOGGED}), lo AS (SELECT min(f) AS f FROM o)
+SELECT k FROM o, lo WHERE o.f > lo.f + 1 OR (o.f = lo.f + 1 AND o.p >= 100)""")
+def s11f(spark, sf):
+    """Start at a file and a place in it."""
+    orders = O.read(spark, sf, "orders").select(F.col("o_orderkey").alias("k"))
+    first = orders.agg(F.min(F.floor(F.col("k") / 500))).first()[0]
+    raw = orders.select(F.format_string('{"op":"c","after":{"k":%d},"source":{"file":"log.%06d","pos":%d}}', F.col("k"), F.floor(F.col("k") / 500).cast("bigint"),
+                                        (F.col("k") % 500).cast("bigint")).alias("value"))
+    rows = envelope.decode_envelope(raw, "k bigint", ["k"])
+    return capture.start_from(rows, "specific-offset", offset=(f"log.{first + 1:06d}", 100)).select("key.k")
+
+
+@query("s16_cluster_time", """SELECT doc_id AS id, 'v2' AS st FROM documents""")
+def s16c(spark, sf):
+    """Two events of one second per document, told apart by the counter; the key is an object or a text."""
+    docs = O.read(spark, sf, "documents").select("doc_id")
+    key = F.format_string('{"_id":%d}', "doc_id")
+    key = F.when(F.col("doc_id") % 2 == 0, key).otherwise(F.to_json(F.struct(key.alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(key.alias("k")))) - 6))
+
+    def event(kind, i, st):
+        return F.concat(F.lit(f'{{"operationType":"{kind}","ns":{{"db":"d","coll":"c"}},"documentKey":'), key,
+                        F.format_string(f',"fullDocument":{{"_id":%d,"st":"{st}"}},"clusterTime":{{"$timestamp":{{"t":170,"i":{i}}}}}}}', "doc_id"))
+    raw = docs.select(F.explode(F.array(event("update", 2, "v2"), event("insert", 1, "v1"))).alias("value"))
+    rows = changestream.decode_change_stream(raw, "_id bigint, st string")
+    return L.materialize(rows).select(F.col("_id").alias("id"), "st")
+
+
+# Values as the wire has them: days, milliseconds and microseconds since the epoch, ISO instants, sets as text, base64.
+@query("s1_wire_values", """SELECT event_id AS id, CAST(CAST(event_id % 20000 AS INTEGER) + DATE '1970-01-01' AS VARCHAR) AS d, epoch_ms(TIMESTAMP '2001-02-03 04:05:06') + event_id AS ms,
+epoch_ms(TIMESTAMP '2001-02-03 04:05:06') * 1000 + event_id AS us, CAST(978307200 + event_id AS BIGINT) AS zoned, CASE WHEN event_id % 3 = 0 THEN 'a|b' WHEN event_id % 3 = 1 THEN 'a' ELSE '' END AS s FROM events""")
+def s1w(spark, sf):
+    base = 981173106
+    i = F.col("event_id")
+    zoned = F.date_format(F.timestamp_seconds(i + 978307200), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text = F.concat(F.lit('{"op":"c","after":{"id":'), i.cast("string"), F.lit(',"d":'), (i % 20000).cast("string"), F.lit(',"ms":'),
+                    (i + base * 1000).cast("string"), F.lit(',"us":'), (i + base * 1_000_000).cast("string"), F.lit(',"zoned":"'), zoned, F.lit('","s":"'),
+                    F.when(i % 3 == 0, "a,b").when(i % 3 == 1, "a").otherwise(""), F.lit('"},"source":{"file":"log.000001","pos":'), i.cast("string"), F.lit("}}"))
+    rows = envelope.decode_envelope(O.read(spark, sf, "events").select(text.alias("value")), "id bigint, d date, ms timestamp_ntz, us timestamp_ntz, zoned timestamp, s array<string>",
+                                    ["id"], units={"ms": "millis"})
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    return rows.select("after.*").select("id", F.col("d").cast("string").alias("d"), (micros("ms") / 1000).cast("bigint").alias("ms"), micros("us").alias("us"),
+                                         F.unix_seconds("zoned").alias("zoned"), F.array_join("s", "|").alias("s"))
+
+
+@query("s2_schema_per_event", """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day,
+CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS st FROM orders""")
+def s2e(spark, sf):
+    """Even orders carry a status, odd ones, written after a column was dropped and another added, a date."""
+    orders = O.read(spark, sf, "orders")
+
+    def schema(*fields):
+        image = ",".join(fields)
+        return '{"schema":{"type":"struct","fields":[' + ",".join(f'{{"type":"struct","optional":true,"field":"{side}","fields":[{image}]}}' for side in ("before", "after")) + ']},"payload":{"op":"c","after":{"k":'
+    key = '{"type":"int64","field":"k"}'
+    even = F.concat(F.lit(schema(key, '{"type":"string","optional":true,"field":"st"}')), F.col("o_orderkey").cast("string"), F.lit(',"st":"'), "o_orderstatus", F.lit('"}'))
+    odd = F.concat(F.lit(schema(key, '{"type":"int32","name":"time.Date","optional":true,"field":"day"}')), F.col("o_orderkey").cast("string"), F.lit(',"day":'),
+                   F.unix_date(F.col("o_orderdate").cast("date")).cast("string"), F.lit("}"))
+    tail = F.concat(F.lit(',"source":{"table":"orders","pos":'), F.col("o_orderkey").cast("string"), F.lit("}}}"))
+    raw = orders.select(F.concat(F.when(F.col("o_orderkey") % 2 == 0, even).otherwise(odd), tail).alias("value"))
+    return envelope.decode_envelope_with_schema(raw, ["k"]).select("after.k", F.col("after.day").cast("string").alias("day"), "after.st")
+
+
 @query("s15_snapshot_as_insert", f"{BASE} SELECT 'c' AS op, pos, k FROM snap UNION ALL SELECT op, pos, k FROM rawlog")
 def s15(spark, sf):
     df = snaps.snapshot_as_insert(O.orders_changes(spark, sf))
@@ -203,11 +321,11 @@ def document_events(spark, sf):
                                  .alias("chars")).alias("meta"))
         pos = F.col("doc_id") + at
         return F.to_json(F.struct(
-            F.lit(kind).alias("operationType"), pos.alias("resume"),
+            F.lit(kind).alias("operationType"),
             F.struct(F.lit("wiki").alias("db"), F.lit("documents").alias("coll")).alias("ns"),
             F.struct(F.struct(oid.alias("$oid")).alias("_id")).alias("documentKey"),
             *([] if kind == "delete" else [full.alias("fullDocument")]),
-            F.struct(F.struct((F.lit(1_700_000_000) + F.col("doc_id")).alias("t"), F.lit(1).alias("i"))
+            F.struct(F.struct((F.lit(1_700_000_000) + F.col("doc_id")).alias("t"), F.lit({"insert": 1, "update": 2, "delete": 3}[kind]).alias("i"))
                      .alias("$timestamp")).alias("clusterTime"),
             (F.lit(O.T0) + pos).alias("ts_ms")))
     events = F.array_compact(F.array(
@@ -220,9 +338,9 @@ def document_events(spark, sf):
 _OID = "lpad(lower(to_hex(doc_id)), 24, '0')"
 
 
-@query("s16_decode_change_stream", f"""SELECT 'c' AS op, doc_id AS pos, (1700000000 + doc_id) * 1000 AS event_ts, {_OID} AS id, md5(text) AS text_md5, lang, n_chars, source, n_chars AS chars FROM documents
-UNION ALL SELECT 'u', doc_id + 100000000, (1700000000 + doc_id) * 1000, {_OID}, md5('v2 ' || text), lang, n_chars, source, n_chars FROM documents WHERE doc_id % 5 = 0
-UNION ALL SELECT 'd', doc_id + 200000000, (1700000000 + doc_id) * 1000, {_OID}, NULL, NULL, NULL, NULL, NULL FROM documents WHERE doc_id % 7 = 0""")
+@query("s16_decode_change_stream", f"""SELECT 'c' AS op, (1700000000 + doc_id) * 4294967296 + 1 AS pos, (1700000000 + doc_id) * 1000 AS event_ts, {_OID} AS id, md5(text) AS text_md5, lang, n_chars, source, n_chars AS chars FROM documents
+UNION ALL SELECT 'u', (1700000000 + doc_id) * 4294967296 + 2, (1700000000 + doc_id) * 1000, {_OID}, md5('v2 ' || text), lang, n_chars, source, n_chars FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT 'd', (1700000000 + doc_id) * 4294967296 + 3, (1700000000 + doc_id) * 1000, {_OID}, NULL, NULL, NULL, NULL, NULL FROM documents WHERE doc_id % 7 = 0""")
 def s16(spark, sf):
     df = changestream.decode_change_stream(document_events(spark, sf), DOC_SCHEMA)
     return df.select("op", "pos", "event_ts", F.col("key._id").alias("id"), F.md5("after.text").alias("text_md5"),
@@ -362,15 +480,12 @@ def p7(spark, sf):
 @query("f1_user_deserializer", f"""{BASE} SELECT pos, 'k' AS field, k AS value FROM log
 UNION ALL SELECT pos, 'cents', acents FROM log WHERE acents IS NOT NULL""")
 def f1(spark, sf):
-    def fields(batches):
-        for pdf in batches:
-            k = pdf.assign(field="k", value=pdf["k"])[["pos", "field", "value"]]
-            cents = pdf.dropna(subset=["cents"])
-            cents = cents.assign(field="cents", value=cents["cents"].astype("int64"))[["pos", "field", "value"]]
-            yield k
-            yield cents
+    def fields(row):
+        yield {"pos": row["pos"], "field": "k", "value": row["k"]}
+        if row["cents"] is not None:
+            yield {"pos": row["pos"], "field": "cents", "value": row["cents"]}
     rows = split_log(spark, sf).select("pos", F.col("key.k").alias("k"), F.col("after.cents").alias("cents"))
-    return rows.mapInPandas(fields, "pos bigint, field string, value bigint")
+    return capture.deserialize(rows, fields, "pos bigint, field string, value bigint")
 
 
 @query("f2_metadata_converter", f"{BASE} SELECT k, pos, 'shop/orders' AS origin, pos % 1000 AS slot FROM rawlog")

@@ -45,7 +45,7 @@ _SIDE = """CASE WHEN {p}k IS NULL THEN 'null' ELSE '{{"k":' || {p}k || ',"cust":
 
 
 @query("k3_changes_to_json", f"""{BASE} SELECT pos, '{{"before":' || {_SIDE.format(p='b')} || ',"after":' || {_SIDE.format(p='a')} ||
-',"source":{{"db":"shop","schema":"public","table":"orders","ts_ms":' || (pos + 1700000000000) || ',"pos":' || pos || ',"row":' || sub || '}},"op":"' || op || '","ts_ms":' ||
+',"source":{{"db":"shop","schema":"public","table":"orders","ts_ms":' || (pos + 1700000000000) || ',"pos":' || pos || ',"row":' || (sub // 2) || ',"part":' || (sub % 2) || '}},"op":"' || op || '","ts_ms":' ||
 (pos + 1700000000000 + coalesce(acust, bcust) % 50) || '}}' AS value FROM (SELECT {FLAT} FROM snap UNION ALL SELECT {FLAT} FROM log)""")
 def k3(spark, sf):
     return envelope.changes_to_json(everything(spark, sf), keep=("pos",))
@@ -107,11 +107,15 @@ def w4(spark, sf):
     return spark.read.parquet(out).groupBy("source").agg(F.max("pos").alias("pos"))
 
 
-@query("w5_stream_dedup", f"{BASE} SELECT {FLAT} FROM log")
+@query("w5_stream_dedup", f"{BASE} SELECT {FLAT} FROM log UNION ALL SELECT {FLAT} FROM snap WHERE k % 3 = 0")
 def w5(spark, sf):
+    """The log with copies; snapshot rows of a table that was added late come last, with copies too."""
     rows = split_log(spark, sf)
     repeated = rows.unionByName(rows.where(F.col("pos") % 5 == 0))
-    stream = _stream(spark, rows, log_directory(spark, repeated, CUTS))
+    late = snapshot(spark, sf).where(F.col("key.k") % 3 == 0)
+    source = log_directory(spark, repeated, CUTS)
+    log_directory(spark, late.unionByName(late.where(F.col("key.k") % 2 == 0)), [(0, 1)], source)
+    stream = _stream(spark, rows, source)
     # The whole log spans about five days of event time; a copy may arrive anywhere in it.
     unique = W.stream_dedup(stream, ["db", "table", "key", "op", "pos", "sub"], "10 days")
     out, state = scratch_dir(spark, "unique"), scratch_dir(spark, "state")
@@ -141,6 +145,33 @@ def w7(spark, sf):
     return sinks.read_table(spark, path, log.schema)
 
 
+@query("w2_new_checkpoint_and_files", f"{WITH_FINAL} SELECT * FROM final")
+def w2n(spark, sf):
+    """A second run with a new checkpoint, other batch borders, files added since, and compaction in between; then a
+    second stream into the same table."""
+    rows = everything(spark, sf)
+    path = scratch_dir(spark, "table")
+    source = log_directory(spark, rows, CUTS[:1])
+    finish(sinks.upsert_sink(_stream(spark, rows, source), path, scratch_dir(spark, "state")))
+    log_directory(spark, rows, CUTS[1:2], source)
+    finish(sinks.upsert_sink(_stream(spark, rows, source, 3), path, scratch_dir(spark, "state"), compact_every=1))
+    other = log_directory(spark, rows, CUTS[2:])
+    finish(sinks.upsert_sink(_stream(spark, rows, other, 2), path, scratch_dir(spark, "state"), compact_every=1))
+    return sinks.read_table(spark, path, rows.schema)
+
+
+@query("w6_late_change_after_compaction", f"""{BASE}, m AS (SELECT k, max((pos, sub)) AS last FROM log WHERE pos >= 200000000 GROUP BY k)
+SELECT op, pos, sub, log.k FROM log LEFT JOIN m ON log.k = m.k WHERE pos < 200000000 AND m.k IS NULL""")
+def w6c(spark, sf):
+    """As w6, but the table is compacted first: deleted keys are still known."""
+    rows = split_log(spark, sf)
+    path = scratch_dir(spark, "table")
+    sinks.upsert_batch(rows.where(F.col("pos") >= O.DELETE_AT), path, 0)
+    sinks.compact(spark, path, rows.schema)
+    late = W.late_change_guard(rows.where(F.col("pos") < O.DELETE_AT), path)
+    return late.select("op", "pos", "sub", F.col("key.k").alias("k"))
+
+
 @query("w8_stream_restart", f"{WITH_FINAL} SELECT * FROM final")
 def w8(spark, sf):
     """Two runs on one checkpoint; the second finds the files written after the first stopped."""
@@ -178,5 +209,5 @@ def j2s(spark, sf):
     held, out, state = (scratch_dir(spark, n) for n in ("held", "changes", "state"))
     finish(W.stream_enrich(stream, W.Side("orders", O.IMAGE[7:-1], ["k"]),
                            [W.Side("customer", "cust bigint, c_name string", ["cust"], "cust")], held, out, state))
-    rows = spark.read.parquet(out).withColumns({"pos": F.col("batch").cast("bigint"), "sub": F.lit(0)}).drop("batch")
+    rows = spark.read.parquet(out).withColumns({"pos": F.col("batch").cast("bigint"), "sub": F.lit(0)}).drop("batch", "stream")
     return state_of_kinds(rows, ["k"])

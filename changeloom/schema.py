@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Change row: one event of one table.
 #   db, schema, table   where it happened
 #   op                  r snapshot read, c create, u update, d delete
-#   pos, sub            total order; sub orders the rows of one event
+#   pos, sub            total order. pos is the event's place: file number and place in the file packed
+#                       into one number (see sources.position). sub orders the rows of one event: twice the
+#                       row number, plus 1 for the second half of a row that was split in two.
 #   event_ts, fetch_ts  milliseconds since the epoch
 #   key, before, after  structs
-CHANGE_COLUMNS = ["db", "schema", "table", "op", "pos", "sub", "event_ts", "fetch_ts",
-                  "key", "before", "after"]
 ORDER = ["pos", "sub"]
 
 # Row kinds of a kinded row.
@@ -23,11 +21,3 @@ FETCH_SIZE = 1024
 FACTOR_LOWER = 0.05
 FACTOR_UPPER = 1000.0
 DOCUMENT_CHUNK_MB = 64
-SERVER_ZONE = "UTC"
-
-OFFSET_TYPE = T.StructType([
-    T.StructField("file", T.StringType()),
-    T.StructField("pos", T.LongType()),
-    T.StructField("event", T.LongType()),
-    T.StructField("row", T.LongType()),
-])

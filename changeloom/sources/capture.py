@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .. import schema as S
-from ..operators import spread
+from .position import log_position
 
 # ---------------------------------------------------------------- tables
 
@@ -44,11 +45,28 @@ def newly_added_tables(state: DataFrame, catalog: DataFrame, databases: Sequence
     return capture_tables(named, databases, tables).join(state.select("db", "table"), ["db", "table"], "left_anti")
 
 
-def read_with_new_tables(snapshot: DataFrame, log: DataFrame, state: DataFrame, added: DataFrame) -> DataFrame:
-    """New tables from snapshot and whole log, known ones from their saved position."""
+def read_with_new_tables(snapshot: DataFrame, log: DataFrame, state: DataFrame, added: DataFrame,
+                         high: DataFrame | None = None) -> DataFrame:
+    """New tables from snapshot and log, known ones from their saved position.
+
+    ``high`` (db, table, pos) says up to which position each new table's snapshot may already contain the log's
+    changes: those are folded into the snapshot rows, and only later ones follow as changes, so that every change
+    counts once. Without it the snapshot is taken to be older than the whole log.
+    """
+    from ..operators.changelog import latest_changes
     from ..operators.progress import resume
-    fresh = spread.join_small(snapshot.unionByName(log), added, ["db", "table"], "left_semi")
-    known = spread.join_small(log, state.select("db", "table"), ["db", "table"], "left_semi")
+    new_rows, new_log = (df.join(added.select("db", "table"), ["db", "table"], "left_semi") for df in (snapshot, log))
+    if high is None:
+        fresh = new_rows.unionByName(new_log)
+    else:
+        marked = new_log.join(high.select("db", "table", F.col("pos").alias("_high")), ["db", "table"], "left")
+        marked = marked.withColumn("_high", F.when(F.col("_high").isNotNull(), F.col("_high")).otherwise(
+            F.raise_error(F.concat(F.lit("no snapshot position for "), full_name())).cast("bigint")))
+        early, late = marked.where("pos <= _high").drop("_high"), marked.where("pos > _high").drop("_high")
+        none = F.lit(None).cast(snapshot.schema["before"].dataType)
+        seen = latest_changes(new_rows.unionByName(early), ("db", "table", "key")).where(F.col("op") != "d")
+        fresh = seen.withColumns({"op": F.lit("r"), "before": none}).unionByName(late)
+    known = log.join(state.select("db", "table"), ["db", "table"], "left_semi")
     return fresh.unionByName(resume(known, state))
 
 
@@ -103,6 +121,21 @@ def apply_transforms(df: DataFrame, transforms: Sequence[Callable[[DataFrame], D
     return df
 
 
+def deserialize(df: DataFrame, function: Callable[[dict], Iterable[dict]], schema: str) -> DataFrame:
+    """User rows from records: ``function`` takes a record as a dict and gives any number of rows of ``schema``.
+
+    Values pass through Arrow with their own types, so nullable integers stay exact.
+    """
+    target = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(target)
+
+    def convert(batches):
+        for batch in batches:
+            rows = [made for record in batch.to_pylist() for made in function(record)]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+    return df.mapInArrow(convert, target)
+
+
 # ---------------------------------------------------------------- positions
 
 MODES = ("initial", "initial-only", "earliest-offset", "latest-offset", "specific-offset", "timestamp")
@@ -120,10 +153,11 @@ SOURCE_MODES = {
 }
 
 
-def start_from(df: DataFrame, mode: str = "initial", *, offset: int | None = None,
+def start_from(df: DataFrame, mode: str = "initial", *, offset: int | tuple[str | int, int] | None = None,
                now_pos: int | None = None, timestamp_ms: int | None = None, skip_events: int = 0,
                skip_rows: int = 0, source: str | None = None) -> DataFrame:
-    """Startup position over snapshot (``op = 'r'``) and log rows."""
+    """Startup position over snapshot (``op = 'r'``) and log rows. ``offset`` is a position, or a log file (its name
+    or number) and a place in it. ``skip_events`` events, and then ``skip_rows`` rows of the next one, are left out."""
     if mode not in (SOURCE_MODES[source] if source else MODES):
         raise ValueError(f"startup mode {mode!r} is not supported" + (f" by {source}" if source else ""))
     log = F.col("op") != "r"
@@ -139,6 +173,8 @@ def start_from(df: DataFrame, mode: str = "initial", *, offset: int | None = Non
         return df.where(log & (F.col("pos") > F.lit(now_pos)))
     if mode == "timestamp":
         return df.where(log & (F.col("event_ts") >= timestamp_ms))
+    if isinstance(offset, tuple):
+        offset = log_position(*offset)
     rows = df.where(log & (F.col("pos") >= offset))
     if not (skip_events or skip_rows):
         return rows
@@ -147,5 +183,9 @@ def start_from(df: DataFrame, mode: str = "initial", *, offset: int | None = Non
              .agg(F.max("pos").alias("pos"), F.count(F.lit(1)).alias("n")).first())
     if first.n <= skip_events:
         return rows.limit(0)
-    return rows.where((F.col("pos") > first.pos)
-                      | ((F.col("pos") == first.pos) & (F.col("sub") >= skip_rows)))
+    if not skip_rows:
+        return rows.where(F.col("pos") >= first.pos)
+    # The rows of one event, numbered in their order.
+    n = F.dense_rank().over(Window.partitionBy("pos").orderBy("sub"))
+    begun = rows.where(F.col("pos") == first.pos).withColumn("_n", n).where(F.col("_n") > skip_rows).drop("_n")
+    return rows.where(F.col("pos") > first.pos).unionByName(begun)

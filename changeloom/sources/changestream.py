@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
 from ..functions.documents import decode_document, get
+from .position import packed
 
 
 def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
@@ -29,12 +30,19 @@ def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
     op = (F.when((kind == "insert") & (at("source", "snapshot") == "true"), "r").when(kind == "insert", "c")
           .when(kind.isin("update", "replace"), "u").when(kind == "delete", "d"))
     key_row = T.StructType([row["_id"]])
-    seconds = F.coalesce(at("clusterTime", "$timestamp", "t", kind="bigint"), at("clusterTime", "t", kind="bigint"))
-    df = df.select(
+    seconds, counter = (F.coalesce(at("clusterTime", "$timestamp", part, kind="bigint"), at("clusterTime", part, kind="bigint")) for part in ("t", "i"))
+    # The key is an object, or a text that holds one.
+    key = F.coalesce(F.when(at("documentKey", "_id", kind="variant").isNotNull(), at("documentKey", kind="variant")),
+                     F.try_parse_json(at("documentKey")))
+    # Cluster time orders all events of a deployment; a resume number is used only where it is not whole.
+    place = F.coalesce(packed(seconds, counter), at("resume", kind="bigint"))
+    place = F.when(place.isNotNull(), place).when((op == "r") | op.isNull(), F.lit(0)).otherwise(
+        F.raise_error(F.lit("a change has no cluster time")).cast("bigint"))
+    df = df.withColumn("_key", key).select(
         at("ns", "db").alias("db"), F.lit(None).cast("string").alias("schema"),
-        at("ns", "coll").alias("table"), op.alias("op"), at("resume", kind="bigint").alias("pos"),
+        at("ns", "coll").alias("table"), op.alias("op"), place.alias("pos"),
         F.lit(0).alias("sub"), (seconds * 1000).alias("event_ts"), at("ts_ms", kind="bigint").alias("fetch_ts"),
-        decode_document(at("documentKey", kind="variant"), key_row, hints).alias("key"),
+        decode_document(F.col("_key"), key_row, hints).alias("key"),
         F.lit(None).cast(row.simpleString()).alias("before"),
         F.when(op != "d", decode_document(F.col("_doc"), row, hints)).alias("after"))
     return df.where(F.col("op").isNotNull())

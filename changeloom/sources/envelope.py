@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
-from ..functions import decimals
+from ..functions import decimals, temporal
+from ..functions.text import set_to_array
+from .position import of_source
 
-SOURCE_FIELDS = "db:string,schema:string,table:string,ts_ms:bigint,file:string,pos:bigint,row:bigint"
+SOURCE_FIELDS = "db:string,schema:string,table:string,ts_ms:bigint,row:bigint,part:bigint"
+TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+SET = T.ArrayType(T.StringType())
+# Fields of an event's source that say where it is in its log, the leading one first.
+POSITION = ("file", "pos")
 
 
 def _row_type(row_schema) -> T.StructType:
@@ -17,21 +24,38 @@ def _row_type(row_schema) -> T.StructType:
 
 
 def _wire_type(row: T.StructType, decimal_mode: str) -> T.StructType:
-    """Type of a payload in the JSON: base64 decimals and all binaries arrive as text."""
+    """Type of a payload in the JSON: base64 decimals, binaries, dates, timestamps and sets are read as text first."""
     def wire(t):
-        if isinstance(t, T.BinaryType) or (isinstance(t, T.DecimalType) and decimal_mode == "base64"):
+        if isinstance(t, (T.BinaryType, *TEMPORAL)) or t == SET or (isinstance(t, T.DecimalType) and decimal_mode == "base64"):
             return T.StringType()
         return t
     return T.StructType([T.StructField(f.name, wire(f.dataType)) for f in row.fields])
 
 
-def _typed(image: Column, row: T.StructType, decimal_mode: str) -> Column:
+def _temporal(value: Column, kind: T.DataType, unit: str) -> Column:
+    """Days, or ``unit`` since the epoch, or text, as a date or timestamp."""
+    number = F.when(value.rlike(r"^-?\d+$"), value.cast("bigint"))
+    if isinstance(kind, T.DateType):
+        return F.coalesce(temporal.decode_date(number), value.try_cast("date"))
+    moment = temporal.decode_timestamp(number, unit)
+    if isinstance(kind, T.TimestampNTZType):
+        text = F.when(value.rlike(r"(Z|[+-]\d\d:?\d\d)$"), temporal.decode_zoned(value)).otherwise(value.try_cast("timestamp_ntz"))
+        return F.when(number.isNotNull(), moment).otherwise(text)
+    instant = {"millis": F.timestamp_millis, "micros": F.timestamp_micros}[unit](number)
+    return F.when(number.isNotNull(), instant).otherwise(value.try_cast("timestamp"))
+
+
+def _typed(image: Column, row: T.StructType, decimal_mode: str, units: dict[str, str]) -> Column:
     """Payload struct in its declared types."""
     fields = []
     for f in row.fields:
         value = image[f.name]
         if isinstance(f.dataType, T.BinaryType):
             value = F.unbase64(value)
+        elif isinstance(f.dataType, TEMPORAL):
+            value = _temporal(value, f.dataType, units.get(f.name, "micros"))
+        elif f.dataType == SET:
+            value = F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(set_to_array(value))
         elif isinstance(f.dataType, T.DecimalType) and decimal_mode == "base64":
             value = decimals.decode_decimal(value, f.dataType.precision, f.dataType.scale)
         fields.append(value.alias(f.name))
@@ -39,29 +63,40 @@ def _typed(image: Column, row: T.StructType, decimal_mode: str) -> Column:
 
 
 def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "value",
-                    decimal_mode: str = "native") -> DataFrame:
+                    decimal_mode: str = "native", position: Sequence[str] = POSITION,
+                    units: dict[str, str] | None = None, wrapped: bool = False) -> DataFrame:
     """Envelope texts to change rows.
 
+    ``position`` names the source's position fields (see ``position.of_source``); a change without them is an
+    error, as its order would be unknown, and only snapshot rows (op ``r``) may lack them. Dates may be days,
+    timestamps numbers since the epoch in the column's ``units`` (micros unless named), or text; sets may be arrays
+    or comma-separated. ``wrapped`` texts hold the envelope as their ``payload``.
+
     ``decimal_mode`` says how decimals are written: ``native`` and ``numeric`` as JSON numbers (read
     straight into the declared type, never through a double), ``base64`` as unscaled bytes.
     """
     row = _row_type(row_schema)
     wire = _wire_type(row, decimal_mode).simpleString()
-    source = ",".join(SOURCE_FIELDS.split(","))
+    source = ",".join([SOURCE_FIELDS, *[f"{f}:string" for f in position]])
     envelope = (f"struct<before:{wire},after:{wire},source:struct<{source}>,op:string,ts_ms:bigint>")
+    if wrapped:
+        envelope = f"struct<payload:{envelope}>"
     df = raw.withColumn("_e", F.from_json(column, envelope))
-    return _change_rows(df, F.col("_e"), row, key, decimal_mode)
+    return _change_rows(df, F.col("_e.payload") if wrapped else F.col("_e"), row, key, decimal_mode, list(position), units or {})
 
 
-def _change_rows(df, e, row, key, decimal_mode):
-    before, after = (_typed(e[side], row, decimal_mode) for side in ("before", "after"))
+def _change_rows(df, e, row, key, decimal_mode, position, units):
+    before, after = (_typed(e[side], row, decimal_mode, units) for side in ("before", "after"))
     df = df.select(e["source"].alias("_s"), e["op"].alias("op"), e["ts_ms"].alias("_ts"),
                    before.alias("before"), after.alias("after"))
     payload = F.coalesce("after", "before")
+    at = of_source(F.col("_s"), position)
+    missing = F.raise_error(F.lit(f"a change has no position in {position}")).cast("bigint")
+    at = F.when(at.isNotNull(), at).when((F.col("op") == "r") | F.col("op").isNull(), F.lit(0)).otherwise(missing)
     return df.select(
         F.col("_s.db").alias("db"), F.col("_s.schema").alias("schema"), F.col("_s.table").alias("table"),
-        "op", F.coalesce("_s.pos", F.lit(0)).alias("pos"),
-        F.coalesce("_s.row", F.lit(0)).cast("int").alias("sub"),
+        "op", at.alias("pos"),
+        (F.coalesce("_s.row", F.lit(0)) * 2 + F.coalesce("_s.part", F.lit(0))).cast("int").alias("sub"),
         F.col("_s.ts_ms").alias("event_ts"), F.col("_ts").alias("fetch_ts"),
         F.struct(*[payload[k].alias(k) for k in key]).alias("key"), "before", "after")
 
@@ -77,6 +112,14 @@ WIRE_TYPES = {
 }
 
 
+# Ends of the logical type names of an embedded schema, what they are, and their unit.
+LOGICAL_TYPES = [
+    ("time.Date", T.DateType(), None), ("data.Date", T.DateType(), None), ("time.MicroTimestamp", T.TimestampNTZType(), "micros"),
+    ("time.Timestamp", T.TimestampNTZType(), "millis"), ("data.Timestamp", T.TimestampNTZType(), "millis"),
+    ("time.ZonedTimestamp", T.TimestampType(), None), ("data.EnumSet", SET, None),
+]
+
+
 def embedded_type(field: dict) -> T.DataType:
     """Spark type of one field of an embedded schema."""
     if field["type"] == "struct":
@@ -88,44 +131,58 @@ def embedded_type(field: dict) -> T.DataType:
     if field.get("name", "").endswith("data.Decimal"):
         extra = field.get("parameters", {})
         return T.DecimalType(int(extra.get("connect.decimal.precision", 38)), int(extra.get("scale", 0)))
-    return WIRE_TYPES[field["type"]]
-
-
-def embedded_row_type(schema_json: str) -> T.StructType:
-    fields = {f["field"]: f for f in json.loads(schema_json)["fields"]}
-    return embedded_type(fields["after"])
+    logical = next((kind for end, kind, _ in LOGICAL_TYPES if field.get("name", "").endswith(end)), None)
+    return logical or WIRE_TYPES[field["type"]]
+
+
+def embedded_row_type(*schema_jsons: str) -> tuple[T.StructType, dict[str, str]]:
+    """(row type, timestamp units) of one or more embedded schemas of a table: the union of their columns. A column whose
+    type changed is an error."""
+    found, units = {}, {}
+    for text in schema_jsons:
+        after = next(f for f in json.loads(text)["fields"] if f["field"] == "after")
+        for f in after["fields"]:
+            kind = embedded_type(f)
+            if found.setdefault(f["field"], kind) != kind:
+                raise ValueError(f"column {f['field']!r} is {found[f['field']].simpleString()} in one schema and {kind.simpleString()} in another")
+            unit = next((u for end, _, u in LOGICAL_TYPES if f.get("name", "").endswith(end)), None)
+            if unit:
+                units[f["field"]] = unit
+    return T.StructType([T.StructField(n, t) for n, t in found.items()]), units
 
 
 def schema_samples(raw: DataFrame, column: str = "value") -> DataFrame:
-    """One embedded schema per table: table, schema_json. Reduced map-side to one text per table."""
+    """The embedded schemas of each table: table, schema_json. Reduced map-side to the distinct texts."""
     text = F.col(column)
     return (raw.select(F.get_json_object(text, "$.payload.source.table").alias("table"),
                        F.get_json_object(text, "$.schema").alias("schema_json"))
-            .groupBy("table").agg(F.max("schema_json").alias("schema_json")))
+            .where(F.col("schema_json").isNotNull()).distinct())
 
 
 def decode_envelope_with_schema(raw: DataFrame, key: list[str], table: str | None = None,
-                                schema_json: str | None = None, column: str = "value") -> DataFrame:
+                                schema_json: str | Sequence[str] | None = None, column: str = "value") -> DataFrame:
     """``{schema, payload}`` texts of one table, typed by the schema they carry.
 
-    The schema of one row is read on the driver unless the caller passes it.
+    Schemas may differ from event to event: rows have the columns of all of them. The driver reads the distinct schemas,
+    of which a table has one per change of its columns, unless the caller passes one.
     """
     rows = raw if table is None else raw.where(
         F.get_json_object(column, "$.payload.source.table") == table)
-    if schema_json is None:
-        first = rows.select(F.get_json_object(column, "$.schema").alias("s")).first()
-        if first is None:
+    schemas = [schema_json] if isinstance(schema_json, str) else schema_json
+    if schemas is None:
+        schemas = sorted(r.s for r in rows.select(F.get_json_object(column, "$.schema").alias("s")).where("s is not null").distinct().collect())
+        if not schemas:
             raise ValueError("no row to take a schema from; pass schema_json")
-        schema_json = first.s
-    row = embedded_row_type(schema_json)
-    payload = rows.select(F.get_json_object(column, "$.payload").alias("_payload"))
-    return decode_envelope(payload, row, key, "_payload", "base64")
+    row, units = embedded_row_type(*schemas)
+    return decode_envelope(rows, row, key, column, "base64", units=units, wrapped=True)
 
 
 def decode_tables_with_schema(raw: DataFrame, keys: dict[str, list[str]], column: str = "value") -> dict[str, DataFrame]:
-    """One typed frame per table named in ``keys``. The driver sees one schema text per table."""
-    found = {r.table: r.schema_json for r in schema_samples(raw, column).where(F.col("table").isin(*keys)).collect()}
-    return {t: decode_envelope_with_schema(raw, keys[t], t, schema, column) for t, schema in found.items()}
+    """One typed frame per table named in ``keys``. The driver sees each table's distinct schema texts."""
+    found = {}
+    for r in schema_samples(raw, column).where(F.col("table").isin(*keys)).sort("table", "schema_json").collect():
+        found.setdefault(r.table, []).append(r.schema_json)
+    return {t: decode_envelope_with_schema(raw, keys[t], t, schemas, column) for t, schemas in found.items()}
 
 
 # ---------------------------------------------------------------- output
@@ -140,7 +197,20 @@ def wire_schema(row: T.StructType) -> dict:
                     "name": "org.apache.kafka.connect.data.Decimal",
                     "parameters": {"scale": str(f.dataType.scale),
                                    "connect.decimal.precision": str(f.dataType.precision)}}
-        return {"type": names[f.dataType], "optional": True, "field": f.name}
+        logical = {T.DateType(): ("int32", "time.Date"), T.TimestampNTZType(): ("int64", "time.MicroTimestamp"), T.TimestampType(): ("string", "time.ZonedTimestamp")}
+        if f.dataType in logical:
+            kind, name = logical[f.dataType]
+            return {"type": kind, "optional": True, "field": f.name, "name": name}
+        return {**plain(f.dataType), "optional": True, "field": f.name}
+
+    def plain(kind):
+        if isinstance(kind, T.ArrayType):
+            return {"type": "array", "items": plain(kind.elementType)}
+        if isinstance(kind, T.MapType):
+            return {"type": "map", "keys": plain(kind.keyType), "values": plain(kind.valueType)}
+        if isinstance(kind, T.StructType):
+            return {"type": "struct", "fields": [field(f) for f in kind.fields]}
+        return {"type": names[kind]}
     image = [field(f) for f in row.fields]
     return {"type": "struct", "optional": False, "fields": [
         {"type": "struct", "fields": image, "optional": True, "field": "before"},
@@ -160,11 +230,17 @@ def changes_to_json(df: DataFrame, with_schema: bool = False, decimal_mode: str
             value = F.col(side)[f.name]
             if isinstance(f.dataType, T.DecimalType) and decimal_mode == "base64":
                 value = decimals.encode_decimal(value, f.dataType.scale)
+            elif with_schema and isinstance(f.dataType, T.DateType):
+                value = F.unix_date(value)
+            elif with_schema and isinstance(f.dataType, T.TimestampNTZType):
+                value = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), value).cast("timestamp"))
+            elif with_schema and isinstance(f.dataType, T.TimestampType):
+                value = F.date_format(F.to_utc_timestamp(value, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
             fields.append(value.alias(f.name))
         return F.when(F.col(side).isNotNull(), F.struct(*fields)).alias(side)
 
     source = F.struct("db", "schema", "table", F.col("event_ts").alias("ts_ms"), "pos",
-                      F.col("sub").alias("row")).alias("source")
+                      F.shiftright("sub", 1).alias("row"), (F.col("sub") % 2).alias("part")).alias("source")
     envelope = F.struct(image("before"), image("after"), source, "op",
                         F.col("fetch_ts").alias("ts_ms"))
     keep_null = {"ignoreNullFields": "false"}

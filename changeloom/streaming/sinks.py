@@ -8,7 +8,10 @@ Layout of a table directory:
 
 A batch costs what the batch holds: it is reduced to one row per key and written as a delta. Readers
 take the latest row per key of the base and the deltas after it. Nothing becomes visible before its
-commit row is written, and a batch that is replayed after a crash is recognised by its id.
+commit row is written. A batch that is replayed after a crash is recognised by its stream and id; batches
+of other streams, or of a new checkpoint, are new, and the order of the changes decides which row of a key wins,
+so applying the same change again, in whatever batch, changes nothing. Deleted keys stay as tombstones with their
+position, in bases too, so that a late change does not bring them back.
 """
 
 from __future__ import annotations
@@ -19,7 +22,12 @@ from pyspark.sql import functions as F
 
 from ..operators.changelog import latest_changes, materialize
 
-COMMIT_SCHEMA = "version bigint, batch_id bigint, kind string, data string"
+COMMIT_SCHEMA = "version bigint, batch_id bigint, kind string, data string, stream string"
+
+
+def stream_of(spark: SparkSession) -> str:
+    """Identity of the streaming query that this batch belongs to: its checkpoint's id. Batches outside of one share a name."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
 def _commits(spark: SparkSession, path: str) -> list:
@@ -34,8 +42,8 @@ def _commits(spark: SparkSession, path: str) -> list:
         raise
 
 
-def _commit(spark, path, version, batch_id, kind, data):
-    row = spark.createDataFrame([(version, batch_id, kind, data)], COMMIT_SCHEMA)
+def _commit(spark, path, version, batch_id, kind, data, stream):
+    row = spark.createDataFrame([(version, batch_id, kind, data, stream)], COMMIT_SCHEMA)
     row.coalesce(1).write.mode("append").json(f"{path}/commits")
 
 
@@ -49,9 +57,12 @@ def _write(rows: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
 
 
 def read_changes(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
-    """Base and delta rows as change rows; ``before`` leaves out that batch and later ones, so that a
-    replayed batch sees the table as it was the first time."""
-    parts = [f"{path}/data/v={c.data}" for c in _commits(spark, path) if before is None or c.batch_id < before]
+    """Base and delta rows as change rows; ``before`` leaves out that batch and later ones of the same stream, so
+    that a replayed batch sees the table as it was the first time."""
+    own = stream_of(spark)
+    parts = list(dict.fromkeys(
+        f"{path}/data/v={c.data}" for c in _commits(spark, path)
+        if before is None or c.kind == "base" or c.stream != own or c.batch_id < before))
     if not parts:
         return spark.createDataFrame([], schema)
     read = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*parts)
@@ -66,34 +77,38 @@ def read_table(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("k
 
 def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ("key",),
                  partition_by: tuple[str, ...] = (), compact_every: int = 20) -> bool:
-    """Apply change rows; False when this batch id is already in. Last write per key wins."""
+    """Apply change rows; False when this batch of this stream is already in. The last change per key wins."""
     spark = batch.sparkSession
-    done = _commits(spark, path)
-    if any(c.batch_id >= batch_id for c in done):
+    stream, done = stream_of(spark), _commits(spark, path)
+    # A base keeps the batches it holds: one commit row for each stream's last one.
+    if any(c.stream == stream and c.batch_id >= batch_id for c in done):
         return False
     if len(done) > compact_every:
         # Before the batch, never after it: a base then holds earlier batches only.
         compact(spark, path, batch.schema, by, partition_by)
         done = _commits(spark, path)
     version = done[-1].version + 1 if done else 1
-    # The id in the name makes a rewrite after a crash land on its own unfinished attempt.
-    name = f"delta-{version}-{batch_id}"
+    # Stream and id in the name make a rewrite after a crash land on its own unfinished attempt.
+    name = f"delta-{version}-{stream}-{batch_id}"
     _write(latest_changes(batch, by), f"{path}/data/v={name}", partition_by)
-    _commit(spark, path, version, batch_id, "delta", name)
+    _commit(spark, path, version, batch_id, "delta", name, stream)
     return True
 
 
 def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key",),
             partition_by: tuple[str, ...] = ()) -> None:
-    """Fold base and deltas into a new base; deleted keys are dropped for good."""
+    """Fold base and deltas into a new base; deleted keys stay as their last change."""
     done = _commits(spark, path)
     if not done:
         return
-    version, batch_id = done[-1].version + 1, max(c.batch_id for c in done)
+    version = done[-1].version + 1
     name = f"base-{version}"
-    live = latest_changes(read_changes(spark, path, schema), by).where(F.col("op") != "d")
-    _write(live, f"{path}/data/v={name}", partition_by)
-    _commit(spark, path, version, batch_id, "base", name)
+    _write(latest_changes(read_changes(spark, path, schema), by), f"{path}/data/v={name}", partition_by)
+    last = {}
+    for c in done:
+        last[c.stream] = max(c.batch_id, last.get(c.stream, c.batch_id))
+    rows = [(version, batch_id, "base", name, stream) for stream, batch_id in last.items()]
+    spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(f"{path}/commits")
 
 
 def upsert_sink(stream: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ("key",),

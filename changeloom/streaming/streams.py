@@ -13,7 +13,7 @@ from ..operators.changelog import (Keys, dedup_at_least_once, materialize, norma
                                    split_key_updates)
 from ..operators.views import DimChange, enrich_changes
 from ..sources.envelope import decode_envelope
-from .sinks import read_changes, upsert_batch, upsert_sink
+from .sinks import read_changes, stream_of, upsert_batch, upsert_sink
 
 
 def stream_materialize(stream: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
@@ -29,9 +29,14 @@ def live_rows(latest: DataFrame) -> DataFrame:
 
 
 def stream_dedup(stream: DataFrame, by: list[str], delay: str = "10 minutes") -> DataFrame:
-    """One copy of each event of an at-least-once source; state is kept for ``delay``."""
-    timed = stream.withColumn("_at", F.timestamp_millis("event_ts")).withWatermark("_at", delay)
-    return timed.dropDuplicatesWithinWatermark(by).drop("_at")
+    """One copy of each event of an at-least-once source; state of log events is kept for ``delay``.
+
+    Snapshot rows carry no event time and may come at any moment, so they pass by the watermark: they are told apart
+    by ``by`` alone, with state for each of them for as long as the query runs.
+    """
+    snapshot = stream.where(F.col("op") == "r").dropDuplicates(by)
+    timed = stream.where(F.coalesce(F.col("op") != "r", F.lit(True))).withColumn("_at", F.timestamp_millis("event_ts")).withWatermark("_at", delay)
+    return timed.dropDuplicatesWithinWatermark(by).drop("_at").unionByName(snapshot)
 
 
 def _split_late(batch: DataFrame, state_path: str, batch_id: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -63,11 +68,11 @@ def normalize_batch(batch: DataFrame, state_path: str, batch_id: int | None = No
 
 def stream_normalize(stream: DataFrame, state_path: str, out_path: str, checkpoint: str,
                      trigger: dict | None = None):
-    """Upsert stream to a full changelog under ``out_path``, one directory per batch."""
+    """Upsert stream to a full changelog under ``out_path``, one directory per stream (checkpoint) and batch."""
     def apply(batch, batch_id):
         batch = dedup_at_least_once(batch, ("key", *S.ORDER))
         normalize_batch(batch, state_path, batch_id).write.mode("overwrite").parquet(
-            f"{out_path}/batch={batch_id}")
+            f"{out_path}/stream={stream_of(batch.sparkSession)}/batch={batch_id}")
         upsert_batch(batch, state_path, batch_id)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
@@ -111,7 +116,7 @@ def stream_enrich(raw: DataFrame, fact: Side, dims: list[Side], state_path: str,
                   checkpoint: str, result_key: list[str] | None = None, trigger: dict | None = None):
     """Keep ``fact left join dims`` up to date from one raw log of envelope texts (column ``value``).
 
-    Each micro-batch writes the kinded rows of the results it changed to ``out_path/batch=N``. Both
+    Each micro-batch writes the kinded rows of the results it changed to ``out_path/stream=ID/batch=N``. Both
     images of dim changes are needed. The states before a batch are read as of that batch, so a
     replay after a crash writes the same output again.
     """
@@ -125,6 +130,12 @@ def stream_enrich(raw: DataFrame, fact: Side, dims: list[Side], state_path: str,
 
     def apply(batch, batch_id):
         batch = batch.select("value").persist()
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write(batch, batch_id):
         changes = {s.table: decode(batch, s) for s in (fact, *dims)}
         moved = []
         for d in dims:
@@ -134,10 +145,9 @@ def stream_enrich(raw: DataFrame, fact: Side, dims: list[Side], state_path: str,
         old, new = states(changes[fact.table], fact, batch_id)
         touched = changes[fact.table].select(f"key.{fact.key[0]}")
         result = enrich_changes(old, new, touched, fact.key[0], moved, result_key)
-        result.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+        result.write.mode("overwrite").parquet(f"{out_path}/stream={stream_of(batch.sparkSession)}/batch={batch_id}")
         for s in (*dims, fact):
             upsert_batch(changes[s.table], f"{state_path}/{s.table}", batch_id)
-        batch.unpersist()
 
     return (raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

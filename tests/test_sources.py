@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from changeloom.operators import changelog
 from changeloom.session import scratch_dir
 from changeloom.sources import capture, changestream, envelope, keyvalue, log as logs, snapshot as snaps
 
@@ -97,10 +98,64 @@ GOLDEN = {"before": None, "after": {"id": 111, "name": "scooter", "description":
 def test_envelope_keeps_numbers_exact(spark):
     raw = spark.createDataFrame([(json.dumps(GOLDEN).replace("1.2345678901234568e+16", "12345678901234567.89"),)], "value string")
     row = envelope.decode_envelope(raw, "id int, name string, description string, weight double, price decimal(20,2)", ["id"]).first()
-    assert (row.db, row.table, row.op, row.pos, row["sub"], row.event_ts, row.fetch_ts) == ("inv", "products", "c", 7, 1, 5, 1589362330904)
+    assert (row.db, row.table, row.op, row.pos, row["sub"], row.event_ts, row.fetch_ts) == (
+        "inv", "products", "c", 7, 2, 5, 1589362330904)
     assert str(row.after.price) == "12345678901234567.89" and row.before is None and row.key.id == 111
 
 
+def envelopes(spark, *texts):
+    return spark.createDataFrame([(t if isinstance(t, str) else json.dumps(t),) for t in texts], "value string")
+
+
+def test_later_file_wins_over_higher_position(spark):
+    raw = envelopes(spark, *[{"op": "u", "before": {"id": 1, "v": "x"}, "after": {"id": 1, "v": v}, "source": {"file": f, "pos": p}}
+                             for f, p, v in (("bin.000001", 900, "old"), ("bin.000002", 4, "new"))])
+    rows = envelope.decode_envelope(raw, "id int, v string", ["id"])
+    assert changelog.materialize(rows).first().v == "new"
+    assert [r.after.v for r in capture.start_from(rows, "specific-offset", offset=("bin.000002", 1)).collect()] == ["new"]
+
+
+def test_key_move_and_next_row_of_one_event_are_apart(spark):
+    def event(row, before, after):
+        return {"op": "u", "before": {"id": before}, "after": {"id": after}, "source": {"pos": 10, "row": row}}
+    rows = envelope.decode_envelope(envelopes(spark, event(0, 1, 2), event(1, 2, 2)), "id int", ["id"])
+    split = changelog.split_key_updates(rows)
+    assert sorted((r["sub"], r.op, r.key.id) for r in split.collect()) == [(0, "d", 1), (1, "c", 2), (2, "u", 2)]
+    assert changelog.dedup_at_least_once(split, ("key", "pos", "sub")).count() == 3
+
+
+def test_positions_of_other_sources(spark):
+    event = {"op": "c", "after": {"id": 1}, "source": {"scn": "77", "lsn": 5, "commit_lsn": "00000027:00000ac0:0002"}}
+    at = lambda *fields: envelope.decode_envelope(envelopes(spark, event), "id int", ["id"], position=fields).first().pos
+    assert (at("scn"), at("lsn"), at("commit_lsn")) == (77, 5, (0x27 << 32) + (0xAC0 << 8) + 2)
+    with pytest.raises(Exception, match="no position"):
+        at("pos")
+
+
+def test_wire_values(spark):
+    event = {"op": "c", "source": {"pos": 1}, "after": {
+        "id": 1, "d": 18460, "t3": 1595008822123, "t6": 1595008822123456, "z": "2020-07-17T18:00:22Z", "s": "a,b", "none": None, "text": "2020-07-17"}}
+    row = envelope.decode_envelope(envelopes(spark, event), "id int, d date, t3 timestamp_ntz, t6 timestamp_ntz, z timestamp_ntz, s array<string>, none date, text date",
+                                   ["id"], units={"t3": "millis"}).first().after
+    assert str(row.d) == str(row.text) == "2020-07-17" and row.none is None and row.s == ["a", "b"]
+    assert (str(row.t3), str(row.t6), str(row.z)) == ("2020-07-17 18:00:22.123000", "2020-07-17 18:00:22.123456", "2020-07-17 18:00:22")
+
+
+def test_changes_to_json_and_back_for_all_types(spark):
+    df = spark.sql("""select 'd' db, 's' schema, 't' table, 'c' op, 1L pos, 2 sub, 1L event_ts, 2L fetch_ts, named_struct('id', 1) key,
+        named_struct('id', 1, 'm', cast('-12345678901234567890123456789012345.678' as decimal(38,3)), 'p', cast('12345678901234567890123456789012345.678' as decimal(38,3)),
+        'd', date'2020-02-29', 'n', timestamp_ntz'2020-02-29 01:02:03.000004', 'z', timestamp'2020-02-29 01:02:03.5', 'a', array('x,y', 'z')) after""")
+    df = df.withColumn("before", F.lit(None).cast(df.schema["after"].dataType))
+    text = envelope.changes_to_json(df, with_schema=True, decimal_mode="base64")
+    assert envelope.decode_envelope_with_schema(text, ["id"]).select("after", "pos", "sub").collect() == df.select("after", "pos", "sub").collect()
+
+
+def test_user_deserializer_keeps_integers_exact(spark):
+    df = spark.createDataFrame([(2 ** 53 + 1,), (None,)], "v bigint")
+    out = capture.deserialize(df, lambda r: [{"v": r["v"]}] * 2, "v bigint")
+    assert sorted(r.v or 0 for r in out.collect()) == [0, 0, 2 ** 53 + 1, 2 ** 53 + 1]
+
+
 def test_embedded_schema(spark):
     fields = [{"type": "int32", "field": "id"}, {"type": "bytes", "name": "x.data.Decimal", "parameters": {"scale": "4", "connect.decimal.precision": "8"}, "field": "d"},
               {"type": "bytes", "field": "b"}, {"type": "array", "items": {"type": "string"}, "field": "tags"}]

@@ -107,13 +107,13 @@ def test_sets_and_json(spark):
 
 
 SAMPLES = {"ascii": "ascii test!?", "big5": "大五碼", "gbk": "简体中文", "sjis": "ひびぴ", "cp932": "ひびぴ", "gb2312": "国家标准", "ujis": "日本語",
-           "euckr": "죠주쥬", "latin1": "ÀÆÉ", "latin2": "ÓÔŐÖ", "greek": "ΦΧΨΩ", "hebrew": "בבקשה", "cp866": "твой", "tis620": "ภาษาไทย",
+           "euckr": "죠주쥬", "latin1": "ÀÆÉ€„Ÿ", "latin2": "ÓÔŐÖ", "greek": "ΦΧΨΩ", "hebrew": "בבקשה", "cp866": "твой", "tis620": "ภาษาไทย",
            "cp1250": "ÓÔŐÖ", "cp1251": "твой", "cp1257": "piedzimst brīvi", "macroman": "ÀÆÉ", "macce": "ÓÔŐÖ", "utf8": "测试数据", "ucs2": "测试数据"}
 
 
 def test_charsets(spark):
     for name, sample in SAMPLES.items():
-        codec = X.TABLE_CHARSETS.get(name) or {"ucs2": "utf-16-be", "utf8": "utf-8", "latin1": "latin-1", "ascii": "ascii"}[name]
+        codec = X.TABLE_CHARSETS.get(name) or {"ucs2": "utf-16-be", "utf8": "utf-8", "latin1": "cp1252", "ascii": "ascii"}[name]
         df = spark.createDataFrame([(bytearray(sample.encode(codec)),), (None,)], "raw binary")
         got = [r[0] for r in df.select(X.decode_charset(F.col("raw"), name)).collect()]
         assert got == [sample, None], name
@@ -200,3 +200,24 @@ def test_defaults_only_fill_absent_columns(spark):
     df = spark.createDataFrame([("1", None, ["a", "b"]), (None, None, ["a"])], "a string, b string, present array<string>")
     got = M.apply_defaults(df, {"a": ("mysql", "INT", "7"), "b": ("mysql", "INT", " 8 "), "c": ("mysql", "INT", None)}, F.col("present")).collect()
     assert [(r.a, r.b, r.c) for r in got] == [(1, None, None), (None, 8, None)]
+
+
+def test_numbers_without_a_precision_keep_their_fraction(spark):
+    for dialect, kind in (("postgres", "NUMERIC"), ("postgres", "DECIMAL"), ("oracle", "NUMBER")):
+        assert M.spark_type(dialect, kind) == "string"
+    assert M.spark_type("mysql", "DECIMAL") == "decimal(38,0)" and M.spark_type("oracle", "NUMBER(10, 2)") == "decimal(10,2)"
+    assert one(spark, D.to_decimal(F.lit(" 12345678901234567890123.5 ")), D.to_decimal(F.lit("nope"))) == ("12345678901234567890123.5", None)
+
+
+@pytest.mark.parametrize("kind, text, nullable, want", [
+    ("DATE", "0000-00-00", False, "1970-01-01"), ("DATE", "0000-00-00", True, None), ("DATETIME", "0", False, "1970-01-01 00:00:00"),
+    ("TIMESTAMP", "2024.5.6 10", True, "2024-05-06 10:00:00"), ("TINYINT", "true", True, "1"), ("TINYINT(1)", "true", True, "true"), ("INT", "7", True, "7")])
+def test_defaults_follow_the_rules_of_their_type(spark, kind, text, nullable, want):
+    assert one(spark, M.default_expression(F.lit(text), "mysql", kind, nullable).cast("string")) == (want,)
+
+
+def test_wide_decimals_encode_and_decode(spark):
+    values = ["0", "-1", "99999999999999999999999999999999999999", "-99999999999999999999999999999999999999", "18446744073709551616", "-18446744073709551615", "9223372036854775808"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    out = df.select("v", D.decode_decimal(D.encode_decimal(F.col("v").cast("decimal(38,0)"), 0), 38, 0).cast("string").alias("w"))
+    assert all(r.v == r.w for r in out.collect())
