@@ -2,9 +2,10 @@
 
 A document's set are its distinct shingles of five words; two documents link when their sets' Jaccard similarity
 is 3/4 or more. A set of n shingles and a set it links to share at least c = ceil(3n/4) shingles. Under one order
-of all shingles, the first n - c + k shingles of both therefore have k in common:
+of all shingles, the first n - c + k shingles of both therefore have k in common; here k is 2:
 
-* *large* sets (more than the boundary) put each of their first n - c + 1 shingles into that shingle's inverted list;
+* *large* sets (more than the boundary) put each of their first n - c + 2 shingles into that shingle's inverted list, and
+  scanning the lists counts how often two sets meet: twice at least, or they do not link;
 * *small* sets enumerate all subsets of two of their first n - c + 2 shingles and meet where a subset is equal.
   Sets up to 4/3 of the boundary enumerate too, so that a small and a large set meet. (Two is the subset size;
   sets of one shingle link with equal sets only.)
@@ -46,7 +47,7 @@ BUCKET = 400_000
 # Comparisons with one set that one task makes.
 MEMBERS = 2_000
 # Turns of comparing each open list with a few of its sets, before the pairs across components.
-TURNS = 2
+TURNS = 1
 OTHERS = 8
 BOUNDARIES = (0, 8, 16, 32, 64, 128)
 
@@ -122,7 +123,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Touched:
-    """Rows (of row, prefix) whose prefix holds a frequent shingle."""
+    """Rows (of row, prefix) of whose prefix a third or more are frequent shingles."""
 
     def __init__(self, frequent: Bitmap):
         self.frequent = frequent
@@ -131,9 +132,8 @@ class _Touched:
         for batch in batches:
             prefixes = batch.column(1)
             owner = pc.list_parent_indices(prefixes).to_numpy(zero_copy_only=False)
-            hit = np.zeros(batch.num_rows, bool)
-            hit[owner[self.frequent(prefixes.flatten().to_numpy(zero_copy_only=False))]] = True
-            yield batch.select([0]).filter(pa.array(hit))
+            hit = np.bincount(owner, self.frequent(prefixes.flatten().to_numpy(zero_copy_only=False)), batch.num_rows)
+            yield batch.select([0]).filter(pa.array(3 * hit >= np.maximum(1, np.bincount(owner, minlength=batch.num_rows))))
 
 
 class _CountAll:
@@ -173,7 +173,7 @@ class _Enter:
                 order = np.argsort(hot, kind="stable")
                 tokens, hot, rest, found = tokens[order], hot[order], n - least_overlap(n), 0
                 if n > self.boundary:
-                    p = rest + 1
+                    p = min(n, rest + 2)
                     keys.append(tokens[:p])
                     often.append(hot[:p])
                     places.append(np.arange(p, dtype=np.int32))
@@ -184,7 +184,7 @@ class _Enter:
                     low, high = np.minimum(tokens[i], tokens[j]), np.maximum(tokens[i], tokens[j])
                     keys.append(W.mix(low * W.ROLL[0] + W.mix(high) * W.ROLL[1]))
                     often.append(hot[i] & hot[j])
-                    places.append(np.zeros(len(i), np.int32))
+                    places.append(np.full(len(i), -1, np.int32))
                     found += len(i)
                 ids += [(set_id(tokens), found)]
                 sizes += [n]
@@ -218,6 +218,17 @@ def _make_lists(group: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([rows[c] for c in ("key", "frequent", "set_id", "n", "place")] + [heads[c] for c in ("set_id", "n", "place")], schema=_LISTS)
 
 
+def _meeting_twice(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) that can link, of meetings (a, b, a_n, b_n, a_place, b_place) in lists and subsets (place -1).
+
+    Linked sets have ``needed`` shingles in common, so two of them are among the first n - needed + 2 of both.
+    """
+    a_n, b_n = F.col("a_n"), F.col("b_n")
+    early = F.least(a_n - F.col("a_place"), b_n - F.col("b_place")) >= _needed(a_n, b_n) - 1
+    times = F.sum(F.when(F.col("a_place") < 0, 2).otherwise(1))
+    return met.where(_sizes_fit(a_n, b_n) & early).groupBy("a", "b").agg(times.alias("times")).where("times >= 2").select("a", "b")
+
+
 class _KeepRows:
     def __init__(self, wanted: Bitmap):
         self.wanted = wanted
@@ -292,7 +303,7 @@ def boundary_by_cost(sizes: list[tuple[int, int]], visits: float) -> int:
         for n, sets in sizes:
             rest = n - least_overlap(n)
             if n > boundary:
-                total += sets * (rest + 1) * visits
+                total += sets * (rest + 2) * visits
             if n * SHARE[0] <= boundary * SHARE[1]:
                 total += sets * (rest + 2) * (rest + 1) / 2
         return total
@@ -315,7 +326,7 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
     counts = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = stored(counts, "counts")
     visits = counts.agg(F.sum(F.least("n", F.lit(frequent_from)) * F.least("n", F.lit(frequent_from)))).first()[0]
-    # A set with frequent shingles in front is counted whole: what it has in common with many others comes late altogether.
+    # A set with many frequent shingles in front is counted whole: what it has in common with many others comes late altogether.
     touched = sets.select("row", "prefix").mapInArrow(_Touched(Bitmap(counts.where(F.col("n") >= frequent_from), "token")), "row bigint")
     whole = (rows.mapInArrow(_CountAll(Bitmap(touched, "row")), _ddl(_COUNTS)).groupBy("token").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= frequent_from).select("token"))
@@ -330,9 +341,9 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
     lists = (rows.mapInArrow(_Enter(frequent, boundary, buckets), _ddl(_ENTRIES)).groupBy("bucket")
              .applyInArrow(_make_lists, _ddl(_LISTS)))
     lists = stored(lists, "lists")
-    a_n, b_n = F.col("n"), F.col("first_n")
-    fits = (_sizes_fit(a_n, b_n) & (F.least(a_n - F.col("place"), b_n - F.col("first_place")) >= _needed(a_n, b_n)))
-    stars = lists.where(F.col("set_id") != F.col("first")).where(fits).select(F.col("first").alias("a"), F.col("set_id").alias("b"))
+    met = lists.where(F.col("set_id") != F.col("first")).select(F.col("first").alias("a"), F.col("set_id").alias("b"), F.col("first_n").alias("a_n"), F.col("n").alias("b_n"),
+                                                                 F.col("first_place").alias("a_place"), F.col("place").alias("b_place"))
+    stars = _meeting_twice(met)
     # The first sets of a frequent key's parts meet in one more star.
     firsts = lists.where("frequent and set_id = first").select("key", "first", "first_n").distinct()
     lowest = firsts.groupBy("key").agg(F.min("first").alias("low"), F.min_by("first_n", "first").alias("low_n"))
@@ -354,10 +365,10 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
         else:
             other = open_lists.select("key", F.struct("set_id", "n", "place", "label").alias("y"))
         differ = F.col("label") < F.col("y.label") if turn == TURNS else F.col("label") != F.col("y.label")
-        pairs = (open_lists.join(other, "key").where(differ).where(_sizes_fit(F.col("n"), F.col("y.n")))
-                 .where(F.least(F.col("n") - F.col("place"), F.col("y.n") - F.col("y.place")) >= _needed(F.col("n"), F.col("y.n")))
-                 .select(F.least("set_id", "y.set_id").alias("a"), F.greatest("set_id", "y.set_id").alias("b")).distinct())
-        found = found.unionAll(_links(rows, sets, pairs))
+        met = open_lists.join(other, "key").where(differ).select(
+            F.least("set_id", "y.set_id").alias("a"), F.greatest("set_id", "y.set_id").alias("b"), F.col("n").alias("a_n"), F.col("y.n").alias("b_n"),
+            F.col("place").alias("a_place"), F.col("y.place").alias("b_place"))
+        found = found.unionAll(_links(rows, sets, _meeting_twice(met)))
 
     label = components(found).select(F.col("node").alias("set_id"), "label")
     docs = every.select("doc_id", "row", "n", "set_id").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))

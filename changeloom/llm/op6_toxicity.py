@@ -27,7 +27,7 @@ from . import words as W
 from .registry import query, table
 
 # The sample: labelled rows per class, chosen by a hash of id and text, among rows of at most TRAIN_BYTES.
-SAMPLE_PER_CLASS = 2_000
+SAMPLE_PER_CLASS = 1_500
 TRAIN_BYTES = 16_384
 FOLDS = 5
 STRETCH = 16
@@ -96,15 +96,16 @@ class _Groups:
     """Sums of rows by a fixed group number, by sorting once."""
 
     def __init__(self, groups: np.ndarray, n: int):
-        self.order = np.argsort(groups, kind="stable")
+        self.order = np.argsort(groups, kind="stable").astype(np.int32)
         at = groups[self.order]
         self.starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else np.zeros(0, np.int64)
         self.present, self.n = at[self.starts], n
 
     def __call__(self, rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.n, rows.shape[1]))
+        out = np.zeros((self.n, rows.shape[1]), np.float32)
         if len(self.starts):
-            out[self.present] = np.add.reduceat(rows[self.order], self.starts, axis=0)
+            for d in range(rows.shape[1]):      # a column at a time, to copy little
+                out[self.present, d] = np.add.reduceat(rows[self.order, d], self.starts)
         return out
 
 
@@ -122,10 +123,11 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     if len(set(labels.tolist())) < 2 or not len(words.flat):
         return Model(np.zeros(buckets), float(np.log(share / (1 - share))))
     coded = words.flat.dictionary_encode()
-    code, n_words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+    code, n_words = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
     part, text = _stretches(words.offsets, STRETCH)
-    own, bucket = word_grams(coded.dictionary)
-    per_word = np.bincount(own, minlength=n_words)[:, None]
+    part = part.astype(np.int32)
+    own, bucket = (x.astype(np.int32) for x in word_grams(coded.dictionary))
+    per_word = np.bincount(own, minlength=n_words)[:, None].astype(np.float32)
     # In how many texts of each class a bucket is seen (a text counts once for each of its words with it).
     word_in = np.unique(words.owner() * n_words + code)
     seen = [np.bincount(bucket, np.bincount((word_in % n_words)[labels[word_in // n_words] == c], minlength=n_words)[own], buckets) for c in (0, 1)]
@@ -137,10 +139,12 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     used, column = np.unique(bucket, return_inverse=True)
     odds = odds[used]
     rng = np.random.default_rng(seed)
-    params = [rng.normal(0, 0.1, (len(used), DIMS)), rng.normal(0, 0.1, (DIMS, 2)), np.array([1.0, -1.0])]
+    column = column.astype(np.int32)
+    del words, coded, word_in, seen, kept
+    params = [rng.normal(0, 0.1, (len(used), DIMS)).astype(np.float32), rng.normal(0, 0.1, (DIMS, 2)), np.array([1.0, -1.0])]
     params[0][:, 0] += odds
     params[1][0] += [-STRETCH / 4, STRETCH / 4]
-    size = np.maximum(1, np.bincount(part, minlength=len(text)))[:, None]
+    size = np.maximum(1, np.bincount(part, minlength=len(text)))[:, None].astype(np.float32)
     by_word, by_part = _Groups(own, n_words), _Groups(part, len(text))
     by_column, by_code = _Groups(column, len(used)), _Groups(code, n_words)
 
@@ -165,7 +169,7 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(y)), y] -= 1
         d_logit = p * weight[:, None]
-        d_mean = d_logit @ params[1].T / size
+        d_mean = (d_logit @ params[1].T / size).astype(np.float32)
         d_vector = by_code(d_mean[part]) / per_word
         grads = [by_column(d_vector[own]), means.T @ d_logit, d_logit.sum(0)]
         for p_, g, (m, v), rate in zip(params, grads, moments, rates):
