@@ -33,6 +33,8 @@ FOLDS = 5
 STRETCH = 16
 BUCKET_BITS = 17
 NGRAMS = (3, 4, 5)
+# Words whose n-grams are hashed at once.
+WORDS_AT_ONCE = 20_000
 DIMS = 4
 # n-grams seen fewer times in the sample, or about as often in both classes, carry no vector; SMOOTH is added to their
 # counts in the starting log-odds.
@@ -45,9 +47,15 @@ RATE = 0.2
 
 def word_grams(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every n-gram of the words, with the whole word as one more."""
+    parts = [_grams_of(vocabulary.slice(at, WORDS_AT_ONCE)) for at in range(0, len(vocabulary), WORDS_AT_ONCE)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    own = [(o + i * WORDS_AT_ONCE).astype(np.int32) for i, (o, _) in enumerate(parts)]
+    return np.concatenate(own), np.concatenate([b.astype(np.int32) for _, b in parts])
+
+
+def _grams_of(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words = vocabulary.to_pylist()
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     points = np.frombuffer(f"<{'><'.join(words)}>".encode("utf-32-le"), np.uint32).astype(np.uint64)
     offsets = np.concatenate(([0], np.cumsum(pc.utf8_length(vocabulary).to_numpy(zero_copy_only=False).astype(np.int64) + 2)))
     room, owner, mixed = W.room(offsets), np.repeat(np.arange(len(words)), np.diff(offsets)), W.mix(points + W.ROLL[0])
@@ -126,7 +134,7 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     code, n_words = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
     part, text = _stretches(words.offsets, STRETCH)
     part = part.astype(np.int32)
-    own, bucket = (x.astype(np.int32) for x in word_grams(coded.dictionary))
+    own, bucket = word_grams(coded.dictionary)
     per_word = np.bincount(own, minlength=n_words)[:, None].astype(np.float32)
     # In how many texts of each class a bucket is seen (a text counts once for each of its words with it).
     word_in = np.unique(words.owner() * n_words + code)
@@ -207,13 +215,13 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SA
     """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold, and the share of toxic ones."""
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
-    rows = (documents.select("doc_id", "text").where(F.octet_length("text").between(1, TRAIN_BYTES)).join(known, "doc_id")
-            .withColumn("_h", F.xxhash64("doc_id", "text")))
-    texts, found = [], []
-    for label in (0, 1):
-        part = rows.where(F.col("toxic") == label).orderBy("_h", "text").select("text").limit(per_class).toArrow()["text"].to_pylist()
-        texts += part
-        found += [label] * len(part)
+    rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h")).where(F.octet_length("text").between(1, TRAIN_BYTES))
+    # Ids and hashes are joined with the labels; texts are fetched for the chosen rows only, at most 2 * per_class of them.
+    known_rows = rows.select("doc_id", "_h").join(known, "doc_id")
+    chosen = [r for label in (0, 1) for r in known_rows.where(F.col("toxic") == label).orderBy("_h", "doc_id").limit(per_class).collect()]
+    some = documents.sparkSession.createDataFrame(chosen, known_rows.schema).dropDuplicates(["doc_id", "_h"])
+    sample = rows.join(F.broadcast(some), ["doc_id", "_h"]).orderBy("toxic", "_h", "doc_id").select("text", "toxic").toArrow()
+    texts, found = sample["text"].to_pylist(), sample["toxic"].to_pylist()
     share = known.agg(F.avg("toxic")).first()[0]
     return texts, np.array(found, np.int64), share
 
