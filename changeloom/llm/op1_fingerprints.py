@@ -32,10 +32,11 @@ def _uniform(hashed: str, shift: int, bits: int) -> str:
 
 def rank(k: int, term: str = "term", log_weight: str = "log_weight") -> Column:
     """Rank of a term of that weight in sample k."""
-    one, two = f"xxhash64({term}, {2 * k})", f"xxhash64({term}, {2 * k + 1})"
-    r = f"(-ln({_uniform(one, 0, 32)} * ({_uniform(one, 32, 32)})))"
-    c = f"(-ln({_uniform(two, 0, 24)} * ({_uniform(two, 24, 24)})))"
-    b = f"({_uniform(two, 48, 16)})"
+    # The 64 bits of one hash make all five uniform numbers.
+    bits = f"xxhash64({term}, {k})"
+    r = f"(-ln({_uniform(bits, 0, 13)} * ({_uniform(bits, 13, 13)})))"
+    c = f"(-ln({_uniform(bits, 26, 14)} * ({_uniform(bits, 40, 14)})))"
+    b = f"({_uniform(bits, 54, 10)})"
     return F.expr(f"ln({c}) - {r} * (floor({log_weight} / {r} + {b}) - {b} + 1)")
 
 
@@ -43,8 +44,9 @@ def weighted_terms(df: DataFrame, text: str) -> DataFrame:
     """``df`` without ``text``, a row for each distinct word with its hash ``term`` and ``log_weight``; a text without words
     keeps one row with nulls.
     """
-    words = F.filter(F.split(F.lower(F.col(text)), r"\s+"), lambda w: w != "")
-    df = df.withColumn("_s", F.array_sort(F.transform(words, lambda w: F.xxhash64(w)))).drop(text)
+    hashes = F.transform(F.split(F.lower(F.col(text)), r"\s+"), lambda w: F.xxhash64(w))
+    # Splitting gives empty words at the ends.
+    df = df.withColumn("_s", F.sort_array(F.array_remove(hashes, F.xxhash64(F.lit(""))))).drop(text)
     # Ends of the runs of equal hashes in the sorted array; positions count from 1.
     ends = F.filter(F.sequence(F.lit(1), F.size("_s")), lambda i: (i == F.size("_s")) | (F.get("_s", i - 1) != F.get("_s", i)))
     df = df.withColumn("_e", F.when(F.size("_s") > 0, ends))
