@@ -19,7 +19,10 @@ from .chunks import ChunkPlan, assign_chunk
 
 def _marked(log: DataFrame, plan: ChunkPlan, marks: DataFrame) -> DataFrame:
     log = assign_chunk(log, plan, F.col(f"key.{plan.key}"))
-    return spread.join_small(log, marks.select("chunk_id", "low_pos", "high_pos"), ["chunk_id"])
+    marked = spread.join_small(log, marks.select("chunk_id", "low_pos", "high_pos"), ["chunk_id"], "left")
+    # A change of a chunk without a mark would otherwise be lost.
+    missing = F.raise_error(F.concat(F.lit("no log position for chunk "), F.col("chunk_id").cast("string"))).cast("bigint")
+    return marked.withColumn("high_pos", F.when(F.col("high_pos").isNotNull(), F.col("high_pos")).otherwise(missing))
 
 
 def _bounds(marks: DataFrame):

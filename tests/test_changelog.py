@@ -219,3 +219,14 @@ def test_enrich_changes_step_by_step(spark):
         cols = ["row_kind", "order_id", "product_id", "order_status", "shipment_id", "is_arrived"]
         assert sorted((tuple(r) for r in got.select(*cols).collect()), key=str) == sorted(want, key=str)
         o, s = new_o, new_s
+
+
+def test_a_chunk_without_a_mark_is_an_error(spark):
+    from changeloom.operators import merge
+    from changeloom.plans import common
+    plan = common.order_chunks(spark, "/root/testdata/sf0.001")
+    log = common.split_log(spark, "/root/testdata/sf0.001")
+    marks = common.marks(spark, plan)
+    assert merge.changes_after_snapshot(log, plan, marks).count() > 0
+    with pytest.raises(Exception, match="no log position for chunk"):
+        merge.changes_after_snapshot(log, plan, marks.where("chunk_id <> 0")).collect()
