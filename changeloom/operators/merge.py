@@ -21,7 +21,7 @@ def _marked(log: DataFrame, plan: ChunkPlan, marks: DataFrame) -> DataFrame:
     log = assign_chunk(log, plan, F.col(f"key.{plan.key}"))
     marked = spread.join_small(log, marks.select("chunk_id", "low_pos", "high_pos"), ["chunk_id"], "left")
     # A change of a chunk without a mark would otherwise be lost.
-    missing = F.raise_error(F.concat(F.lit("no log position for chunk "), F.col("chunk_id").cast("string"))).cast("bigint")
+    missing = F.raise_error(F.concat(F.lit("no log position for chunk "), F.col("chunk_id").cast("string"))).cast(marks.schema["high_pos"].dataType)
     return marked.withColumn("high_pos", F.when(F.col("high_pos").isNotNull(), F.col("high_pos")).otherwise(missing))
 
 
@@ -38,6 +38,7 @@ def reconcile_changes(snapshot: DataFrame, log: DataFrame, plan: ChunkPlan, mark
     folded = _marked(near, plan, marks).where(
         (F.col("pos") > F.col("low_pos")) & (F.col("pos") <= F.col("high_pos")))
     cols = ["key", "op", *S.ORDER, *carry, "after"]
+    snapshot = snapshot.withColumn("pos", F.col("pos").cast(log.schema["pos"].dataType))
     rows = snapshot.select(*cols).unionByName(folded.select(*cols))
     keys = Keys(rows, ("key",))
     latest = F.max_by(F.struct(*cols[1:]), offset_column())

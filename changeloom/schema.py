@@ -6,8 +6,8 @@ from __future__ import annotations
 #   db, schema, table   where it happened
 #   op                  r snapshot read, c create, u update, d delete
 #   pos, sub            total order. pos is the event's place: file number and place in the file packed
-#                       into one number (see sources.position). sub orders the rows of one event: twice the
-#                       row number, plus 1 for the second half of a row that was split in two.
+#                       into one number, or a text of fixed width that sorts alike where the counters need more
+#                       than 63 bits (see sources.position). sub orders the rows of one event: twice the row number, plus 1 for the second half of a row that was split in two.
 #   event_ts, fetch_ts  milliseconds since the epoch
 #   key, before, after  structs
 ORDER = ["pos", "sub"]

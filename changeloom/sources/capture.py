@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .position import log_position
+from .position import log_position, wide_position
 
 # ---------------------------------------------------------------- tables
 
@@ -55,13 +55,15 @@ def read_with_new_tables(snapshot: DataFrame, log: DataFrame, state: DataFrame,
     """
     from ..operators.changelog import latest_changes
     from ..operators.progress import resume
+    kind = log.schema["pos"].dataType
+    snapshot = snapshot.withColumn("pos", F.col("pos").cast(kind))
     new_rows, new_log = (df.join(added.select("db", "table"), ["db", "table"], "left_semi") for df in (snapshot, log))
     if high is None:
         fresh = new_rows.unionByName(new_log)
     else:
         marked = new_log.join(high.select("db", "table", F.col("pos").alias("_high")), ["db", "table"], "left")
         marked = marked.withColumn("_high", F.when(F.col("_high").isNotNull(), F.col("_high")).otherwise(
-            F.raise_error(F.concat(F.lit("no snapshot position for "), full_name())).cast("bigint")))
+            F.raise_error(F.concat(F.lit("no snapshot position for "), full_name())).cast(kind)))
         early, late = marked.where("pos <= _high").drop("_high"), marked.where("pos > _high").drop("_high")
         none = F.lit(None).cast(snapshot.schema["before"].dataType)
         seen = latest_changes(new_rows.unionByName(early), ("db", "table", "key")).where(F.col("op") != "d")
@@ -153,11 +155,12 @@ SOURCE_MODES = {
 }
 
 
-def start_from(df: DataFrame, mode: str = "initial", *, offset: int | tuple[str | int, int] | None = None,
+def start_from(df: DataFrame, mode: str = "initial", *, offset: int | str | tuple[str | int, ...] | None = None,
                now_pos: int | None = None, timestamp_ms: int | None = None, skip_events: int = 0,
                skip_rows: int = 0, source: str | None = None) -> DataFrame:
     """Startup position over snapshot (``op = 'r'``) and log rows. ``offset`` is a position, or a log file (its name
-    or number) and a place in it. ``skip_events`` events, and then ``skip_rows`` rows of the next one, are left out."""
+    or number) and a place in it, or the fields of a wide position. ``skip_events`` events, and then ``skip_rows`` rows
+    of the next one, are left out."""
     if mode not in (SOURCE_MODES[source] if source else MODES):
         raise ValueError(f"startup mode {mode!r} is not supported" + (f" by {source}" if source else ""))
     log = F.col("op") != "r"
@@ -173,7 +176,9 @@ def start_from(df: DataFrame, mode: str = "initial", *, offset: int | tuple[str
         return df.where(log & (F.col("pos") > F.lit(now_pos)))
     if mode == "timestamp":
         return df.where(log & (F.col("event_ts") >= timestamp_ms))
-    if isinstance(offset, tuple):
+    if dict(df.dtypes)["pos"] == "string":
+        offset = offset if isinstance(offset, str) else wide_position(*(offset if isinstance(offset, tuple) else (offset,)))
+    elif isinstance(offset, tuple):
         offset = log_position(*offset)
     rows = df.where(log & (F.col("pos") >= offset))
     if not (skip_events or skip_rows):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import decimals, temporal
 from ..functions.text import set_to_array
-from .position import of_source
+from .position import is_wide, of_source
 
 SOURCE_FIELDS = "db:string,schema:string,table:string,ts_ms:bigint,row:bigint,part:bigint"
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -64,13 +64,14 @@ def _typed(image: Column, row: T.StructType, decimal_mode: str, units: dict[str,
 
 def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "value",
                     decimal_mode: str = "native", position: Sequence[str] = POSITION,
-                    units: dict[str, str] | None = None, wrapped: bool = False) -> DataFrame:
+                    units: dict[str, str] | None = None, wrapped: bool = False, wide: bool | None = None) -> DataFrame:
     """Envelope texts to change rows.
 
     ``position`` names the source's position fields (see ``position.of_source``); a change without them is an
     error, as its order would be unknown, and only snapshot rows (op ``r``) may lack them. Dates may be days,
     timestamps numbers since the epoch in the column's ``units`` (micros unless named), or text; sets may be arrays
-    or comma-separated. ``wrapped`` texts hold the envelope as their ``payload``.
+    or comma-separated. ``wrapped`` texts hold the envelope as their ``payload``. ``wide`` positions are texts that hold
+    counters of any size; unless given, they are used for several fields that are not a file and a place.
 
     ``decimal_mode`` says how decimals are written: ``native`` and ``numeric`` as JSON numbers (read
     straight into the declared type, never through a double), ``base64`` as unscaled bytes.
@@ -82,17 +83,19 @@ def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "v
     if wrapped:
         envelope = f"struct<payload:{envelope}>"
     df = raw.withColumn("_e", F.from_json(column, envelope))
-    return _change_rows(df, F.col("_e.payload") if wrapped else F.col("_e"), row, key, decimal_mode, list(position), units or {})
+    return _change_rows(df, F.col("_e.payload") if wrapped else F.col("_e"), row, key, decimal_mode, list(position), units or {},
+                        is_wide(position) if wide is None else wide)
 
 
-def _change_rows(df, e, row, key, decimal_mode, position, units):
+def _change_rows(df, e, row, key, decimal_mode, position, units, wide):
     before, after = (_typed(e[side], row, decimal_mode, units) for side in ("before", "after"))
     df = df.select(e["source"].alias("_s"), e["op"].alias("op"), e["ts_ms"].alias("_ts"),
                    before.alias("before"), after.alias("after"))
     payload = F.coalesce("after", "before")
-    at = of_source(F.col("_s"), position)
-    missing = F.raise_error(F.lit(f"a change has no position in {position}")).cast("bigint")
-    at = F.when(at.isNotNull(), at).when((F.col("op") == "r") | F.col("op").isNull(), F.lit(0)).otherwise(missing)
+    at = of_source(F.col("_s"), position, wide)
+    kind = "string" if wide else "bigint"
+    missing = F.raise_error(F.lit(f"a change has no position in {position}")).cast(kind)
+    at = F.when(at.isNotNull(), at).when((F.col("op") == "r") | F.col("op").isNull(), F.lit(0).cast(kind)).otherwise(missing)
     return df.select(
         F.col("_s.db").alias("db"), F.col("_s.schema").alias("schema"), F.col("_s.table").alias("table"),
         "op", at.alias("pos"),

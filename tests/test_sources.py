@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators import changelog
 from changeloom.session import scratch_dir
-from changeloom.sources import capture, changestream, envelope, keyvalue, log as logs, snapshot as snaps
+from changeloom.sources import capture, changestream, envelope, keyvalue, log as logs, position, snapshot as snaps
 
 SHAPE = "db string, table string, op string, pos bigint, sub int, event_ts bigint"
 
@@ -132,6 +132,42 @@ def test_positions_of_other_sources(spark):
         at("pos")
 
 
+LARGE = [   # position fields, and sources in the order of the log
+    (("commit_lsn", "change_lsn"), [("00000027:00000ac0:0002", "00000027:00000ac0:0001"), ("00000027:00000ac0:0002", "00000027:00000ac0:0100"),
+                                    ("00000028:00000001:0001", "00000028:00000000:0001"), ("ffffffff:ffffffff:fffe", "1"), ("ffffffff:ffffffff:ffff", "0")]),
+    (("scn", "commit_scn", "n"), [(2 ** 31 - 1, 9, 9), (2 ** 31, 2 ** 32, 0), (2 ** 31, 2 ** 32, 1), (2 ** 32, 5, 0), (2 ** 63, 0, 0)])]
+
+
+@pytest.mark.parametrize("fields,places", LARGE)
+def test_large_positions_keep_their_order(spark, fields, places):
+    events = [{"op": "c", "after": {"id": 1, "n": i}, "source": dict(zip(fields, p))} for i, p in enumerate(places)]
+    rows = envelope.decode_envelope(envelopes(spark, *events), "id int, n int", ["id"], position=fields)
+    assert [r.after.n for r in rows.orderBy("pos").collect()] == list(range(5))
+    assert changelog.materialize(rows).first().n == 4 and changelog.dedup_at_least_once(rows).count() == 5
+    assert sorted(r.after.n for r in capture.start_from(rows, "specific-offset", offset=places[2]).collect()) == [2, 3, 4]
+    assert capture.start_from(rows, "latest-offset").count() == 0
+    snap = rows.limit(1).withColumns({"op": F.lit("r"), "pos": F.lit(0).cast("bigint"), "db": F.lit("d"), "table": F.lit("t")})
+    both = capture.read_with_new_tables(snap, rows.withColumns({"db": F.lit("d"), "table": F.lit("t")}), rows.select("db", "table", "pos", "sub").limit(0),
+                                        snap.select("db", "table"), snap.select("db", "table").withColumn("pos", F.lit(position.wide_position(*places[1]))))
+    assert [(r.op, r.after.n) for r in both.orderBy("pos").collect()] == [("r", 1), ("c", 2), ("c", 3), ("c", 4)]
+
+
+def test_positions_that_do_not_fit_are_errors(spark):
+    def pos(source, fields, **options):
+        return envelope.decode_envelope(envelopes(spark, {"op": "c", "after": {"id": 1}, "source": source}), "id int", ["id"], position=fields, **options).first().pos
+    assert pos({"file": "b.7", "pos": 2 ** 32 - 1}, ("file", "pos")) == position.log_position("b.7", 2 ** 32 - 1) < position.log_position(8, 0)
+    for source in ({"file": "b.7", "pos": 2 ** 32}, {"file": f"b.{2 ** 31}", "pos": 1}):
+        with pytest.raises(Exception, match="does not fit"):
+            pos(source, ("file", "pos"))
+        assert pos(source, ("file", "pos"), wide=True) == position.wide_position(source["file"], source["pos"])
+    for lsn in ("00000027:00000ac0:0100", "00000027:01000000:0001", "80000000:00000001:0001", "rubbish"):
+        with pytest.raises(Exception, match="does not fit"):
+            pos({"lsn": lsn}, ("lsn",))
+    assert pos({"lsn": "00000027:00000ac0:0100"}, ("lsn",), wide=True) < pos({"lsn": "00000027:00000ac1:0000"}, ("lsn",), wide=True)
+    with pytest.raises(ValueError):
+        position.log_position(7, 2 ** 32)
+
+
 def test_wire_values(spark):
     event = {"op": "c", "source": {"pos": 1}, "after": {
         "id": 1, "d": 18460, "t3": 1595008822123, "t6": 1595008822123456, "z": "2020-07-17T18:00:22Z", "s": "a,b", "none": None, "text": "2020-07-17"}}
