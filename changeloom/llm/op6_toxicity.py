@@ -6,9 +6,11 @@ are trained jointly, in numpy, on a bounded sample of labelled rows. A misspelt
 a known one and so its vector.
 
 A mean over a long text hides a few words. Texts are therefore scored in stretches of STRETCH words, and the highest score
-counts; training picks, for a toxic text, the stretch that the model so far finds most toxic.
+counts; training picks, for a toxic text, the stretch that the model so far finds most toxic. The highest of many clean
+stretches is higher than that of a few, so the calibration takes a multiple of the logarithm of their number off again;
+it is learnt from the sample's texts and from several of them taken together as one.
 
-The trained model reduces to one number per n-gram; it is broadcast (2 ** BUCKET_BITS numbers), and scoring is one pass.
+The trained model reduces to one number per n-gram and one for the length; it is broadcast (2 ** BUCKET_BITS numbers), and scoring is one pass.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from . import words as W
 from .registry import query, table
 
-# The sample: labelled rows per class, chosen by a hash of id and text, among rows of at most TRAIN_BYTES.
+# The sample: labelled rows per class, chosen by a hash of id and text, and bytes per row on average. Texts are whole unless
+# the sample as a whole is larger; then the longest ones are represented by some of their stretches, over their whole length.
 SAMPLE_PER_CLASS = 1_500
 TRAIN_BYTES = 16_384
 FOLDS = 5
@@ -41,6 +44,9 @@ DIMS = 4
 LEAST_SEEN = 5
 LEAST_ODDS = 0.2
 SMOOTH = 5.0
+# Texts taken together as one long text in the calibration, and how many such texts of each class.
+TOGETHER = (4, 16, 64)
+JOINED = 400
 STEPS = 60
 RATE = 0.2
 
@@ -78,10 +84,10 @@ def _stretches(offsets: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarra
 
 
 class Model:
-    """One number per n-gram bucket and a bias, in log-odds."""
+    """One number per n-gram bucket, a bias, and what a text loses per logarithm of its number of stretches, in log-odds."""
 
-    def __init__(self, grams: np.ndarray, bias: float):
-        self.grams, self.bias = grams, bias
+    def __init__(self, grams: np.ndarray, bias: float, length: float = 0.0):
+        self.grams, self.bias, self.length = grams, bias, length
 
     def scores(self, column: pa.Array) -> np.ndarray:
         words = W.Words(column, W.LETTERS)
@@ -96,7 +102,7 @@ class Model:
             mean = total / np.maximum(1, np.bincount(part, minlength=len(text)))
             best = np.full(len(column), -np.inf)
             np.maximum.at(best, text, mean)
-            out += best
+            out += best + self.length * np.log(np.bincount(text, minlength=len(column)))
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
@@ -187,40 +193,96 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
             p_ -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.95 ** step)) + 1e-12)
     best = np.full(len(labels), -np.inf)
     np.maximum.at(best, text, forward()[1] @ np.array([-1.0, 1.0]))
-    slope, shift = _calibrate(best[np.isfinite(best)], labels[np.isfinite(best)], share if toxic_share is None else toxic_share)
+    said = np.isfinite(best)
+    slope, length, shift = _calibrate(best[said], np.bincount(text, minlength=len(labels))[said], labels[said],
+                                      share if toxic_share is None else toxic_share, rng)
     grams = np.zeros(buckets)
     grams[used] = params[0] @ params[1] @ np.array([-slope, slope])
-    return Model(grams, float(slope * (params[2][1] - params[2][0]) + shift))
+    return Model(grams, float(slope * (params[2][1] - params[2][0]) + shift), length)
 
 
-def _calibrate(odds: np.ndarray, labels: np.ndarray, toxic_share: float) -> tuple[float, float]:
-    """Slope and shift that make the odds of whole texts probabilities, where ``toxic_share`` of all texts are toxic."""
-    weight = np.where(labels == 1, toxic_share / max(1, (labels == 1).sum()), (1 - toxic_share) / max(1, (labels == 0).sum()))
-    x = np.stack([odds, np.ones(len(odds))], 1)
-    at = np.array([1.0, 0.0])
+def _calibrate(odds: np.ndarray, stretches: np.ndarray, labels: np.ndarray, toxic_share: float, rng) -> tuple[float, float, float]:
+    """Slope, length and shift that make the odds of whole texts probabilities, where ``toxic_share`` of all texts are toxic.
+
+    Long texts are rare. For each of TOGETHER, as many clean texts, and a toxic one with clean ones, are therefore taken as
+    one text: its odds are the highest of theirs, and its stretches are all of theirs.
+    """
+    rows = [(odds, stretches, labels, 1.0)]
+    clean, toxic = (np.flatnonzero(labels == c) for c in (0, 1))
+    for n in TOGETHER:
+        if len(clean) >= n and len(toxic):
+            for label in (0, 1):
+                groups = np.stack([rng.permutation(clean)[:n] for _ in range(JOINED)])
+                if label:
+                    groups[:, 0] = rng.choice(toxic, JOINED)
+                rows.append((odds[groups].max(1), stretches[groups].sum(1), np.full(JOINED, label), 1 / len(TOGETHER)))
+    weight = np.concatenate([w * np.where(y == 1, toxic_share / max(1, (y == 1).sum()), (1 - toxic_share) / max(1, (y == 0).sum())) for _, _, y, w in rows])
+    labels = np.concatenate([y for _, _, y, _ in rows])
+    x = np.stack([np.concatenate([o for o, _, _, _ in rows]), -np.log(np.concatenate([n for _, n, _, _ in rows])), np.ones(len(labels))], 1)
+    at = np.array([1.0, 0.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
         # A little weight keeps the slope bounded where the classes are apart.
-        gradient = x.T @ (weight * (p - labels)) + 1e-4 * (at - [1.0, 0.0])
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
+        gradient = x.T @ (weight * (p - labels)) + 1e-4 * (at - [1.0, 0.0, 0.0])
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(3)
         at = at - np.clip(np.linalg.solve(curve, gradient), -2, 2)
-    return float(max(at[0], 1e-3)), float(at[1])
+    return float(max(at[0], 1e-3)), -float(max(at[1], 0.0)), float(at[2])
 
 
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], np.ndarray, float | None]:
-    """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold, and the share of toxic ones."""
+def largest_share(sizes: list[int], budget: int) -> int | None:
+    """Size to which the larger ones must be cut for all to fit in ``budget``; None if they fit as they are."""
+    if sum(sizes) <= budget:
+        return None
+    left, sizes = budget, sorted(sizes)
+    for i, size in enumerate(sizes):
+        if size * (len(sizes) - i) > left:
+            return max(1, left // (len(sizes) - i))
+        left -= size
+    return None
+
+
+class _Parts:
+    """Texts over ``most`` bytes as some of their stretches, evenly over their length."""
+
+    def __init__(self, most: int):
+        self.most = most
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in W.slices(batches, 0):
+            texts = [self._parts(t) if len(t.as_py().encode()) > self.most else t.as_py() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]], names=batch.schema.names)
+
+    def _parts(self, text: pa.Scalar) -> str:
+        words = W.Words(pa.array([text.as_py()], pa.string()), W.LETTERS)
+        part, all_parts = _stretches(words.offsets, STRETCH)
+        n = len(all_parts)
+        take = max(1, n * self.most // len(text.as_py().encode()))
+        return " ".join(words.flat.filter(pa.array(np.isin(part, np.arange(take) * n // take))).to_pylist())
+
+
+def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
+                    row_bytes: int = TRAIN_BYTES) -> tuple[list[str], np.ndarray, float | None]:
+    """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold, and the share of toxic ones.
+
+    The sample has at most 2 * per_class * row_bytes. Only if it would be larger, its longest texts are represented by
+    stretches.
+    """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
-    rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h")).where(F.octet_length("text").between(1, TRAIN_BYTES))
-    # Ids and hashes are joined with the labels; texts are fetched for the chosen rows only, at most 2 * per_class of them.
-    known_rows = rows.select("doc_id", "_h").join(known, "doc_id")
+    rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("_h")).where(F.octet_length("text") >= 1)
+    # Ids, hashes and sizes are joined with the labels; texts are fetched for the chosen rows only, at most 2 * per_class of them.
+    known_rows = rows.select("doc_id", "_h", F.octet_length("text").alias("_n")).join(known, "doc_id")
     chosen = [r for label in (0, 1) for r in known_rows.where(F.col("toxic") == label).orderBy("_h", "doc_id").limit(per_class).collect()]
-    some = documents.sparkSession.createDataFrame(chosen, known_rows.schema).dropDuplicates(["doc_id", "_h"])
-    sample = rows.join(F.broadcast(some), ["doc_id", "_h"]).orderBy("toxic", "_h", "doc_id").select("text", "toxic").toArrow()
+    some = documents.sparkSession.createDataFrame(chosen, known_rows.schema).drop("_n").dropDuplicates(["doc_id", "_h"])
+    sample = rows.join(F.broadcast(some), ["doc_id", "_h"]).select("text", "toxic", "_h", "doc_id")
+    most = largest_share([r["_n"] for r in chosen], 2 * per_class * row_bytes)
+    if most is not None:
+        sample = sample.mapInArrow(_Parts(most), sample.schema)
+    sample = sample.orderBy("toxic", "_h", "doc_id").select("text", "toxic").toArrow()
     texts, found = sample["text"].to_pylist(), sample["toxic"].to_pylist()
     share = known.agg(F.avg("toxic")).first()[0]
     return texts, np.array(found, np.int64), share

@@ -72,6 +72,38 @@ def test_held_out_fold_is_never_learnt(spark):
     assert [r.h for r in docs.limit(50).select("doc_id", T.held_out(F.col("doc_id")).alias("h")).collect()] == [T.fold_of(i) == 0 for i in range(50)]
 
 
+def test_long_texts_are_learnt(spark):
+    long = " ".join(f"w{i}" for i in range(4000))
+    docs = spark.createDataFrame([(i, long if i % 10 == 1 else f"t{i}", "s", 0) for i in range(100)], DOC)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100)], "doc_id bigint, toxic int, quality int")
+    known = [i for i in range(100) if T.fold_of(i)]
+    texts, found, _ = T.training_sample(docs, labels)
+    assert len(found) == len(known) and texts.count(long) == sum(i % 10 == 1 for i in known)
+    # Over the bytes of the sample, the long ones are cut to stretches from all over the text; all rows stay.
+    texts, found, _ = T.training_sample(docs, labels, per_class=100, row_bytes=100)
+    cut = [t.split() for t in texts if " " in t]
+    assert len(found) == len(known) and len(cut) == sum(i % 10 == 1 for i in known) and sum(map(len, texts)) <= 2 * 100 * 100
+    at = [int(w[1:]) for w in cut[0]]
+    assert 64 <= len(at) < 4000 and min(at) < 500 and max(at) > 3000 and all(at[i + 15] == at[i] + 15 for i in range(0, len(at) - 15, 16))
+
+
+def test_shares_of_a_budget():
+    assert T.largest_share([5, 1, 9], 15) is None and T.largest_share([5, 1, 9], 12) == 6 and T.largest_share([9, 9], 4) == 2
+
+
+def test_long_clean_texts_are_clean():
+    """Clean texts with a suspicious word each now and then: the more of them a text has, the higher its highest stretch."""
+    rng = random.Random(3)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+    def text(n, share):  # noqa: E306
+        return " ".join("zwoqix" if rng.random() < share else rng.choice(vocabulary) for _ in range(n))
+    labels = np.array([i % 2 for i in range(600)])
+    model = T.fit([text(rng.randrange(16, 120), .2 if y else .02) for y in labels], labels, .5)
+    short, long = model.scores(pa.array([text(64, .02) for _ in range(100)])), model.scores(pa.array([text(4000, .02) for _ in range(100)]))
+    assert (short >= .5).mean() < .2 and (long >= .5).mean() < .2
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     scored = T.score_toxicity(docs, T.learn(docs, labels), ["doc_id"]).join(labels, "doc_id").where(T.held_out(F.col("doc_id"))).toPandas()
