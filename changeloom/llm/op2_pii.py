@@ -91,7 +91,8 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                 m = _NUMBERS.match(text, at)
                 if m:
                     done[1] = m.end()
-                    if all(int(n) <= 255 for n in m[0].split(".")):
+                    # Long runs of digits are no number that int() reads.
+                    if all(len(n := part.lstrip("0")) <= 3 and int(n or 0) <= 255 for part in m[0].split(".")):
                         spans.append((1, at, m.end()))
                 else:
                     end = at + 1

@@ -60,3 +60,10 @@ def test_edges(spark):
     assert tuple(by[3].spans[0]) == ("email", 1_000_000, 1_000_006) and text[3] == "q " * 500_000 + "[EMAIL]"
     assert sum(r.doc_id == 4 and r.text == "[EMAIL]" and r.spans == "x" for r in masked) == 2
     assert P.find_pii(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_very_long_digit_runs(spark):
+    """Longer than the 4,300 digits that Python reads as one number."""
+    docs = [(1, "mail a@b.c and 10.0.0.1 " + "9" * 5000 + ".1.2.3", "x"), (2, "0" * 5000 + "7.1.2.3", "x"), (3, "1.2.3." + "0" * 5000, "x")]
+    found = spans(P.find_pii(spark.createDataFrame(docs, DOC)))
+    assert [k for k, *_ in found[1]] == ["email", "ip"] and found[2] == [("ip", 0, 5007)] and found[3] == [("ip", 0, 5006)]
