@@ -87,6 +87,12 @@ def test_long_texts_are_learnt(spark):
     assert 64 <= len(at) < 4000 and min(at) < 500 and max(at) > 3000 and all(at[i + 15] == at[i] + 15 for i in range(0, len(at) - 15, 16))
 
 
+def test_sample_holds_2000_rows_per_class(spark):
+    rows = spark.range(6000).selectExpr("id as doc_id", "concat('t', id) as text", "cast(id % 2 as int) as toxic")
+    _, found, _ = T.training_sample(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert np.bincount(found).tolist() == [2000, 2000]
+
+
 def test_shares_of_a_budget():
     assert T.largest_share([5, 1, 9], 15) is None and T.largest_share([5, 1, 9], 12) == 6 and T.largest_share([9, 9], 4) == 2
 
