@@ -54,6 +54,8 @@ def _typed(image: Column, row: T.StructType, decimal_mode: str, units: dict[str,
             value = F.unbase64(value)
         elif isinstance(f.dataType, TEMPORAL):
             value = _temporal(value, f.dataType, units.get(f.name, "micros"))
+        elif units.get(f.name) == "time millis":
+            value = value * 1000
         elif f.dataType == SET:
             value = F.when(value.startswith("["), F.from_json(value, "array<string>")).otherwise(set_to_array(value))
         elif isinstance(f.dataType, T.DecimalType) and decimal_mode == "base64":
@@ -70,8 +72,9 @@ def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "v
     ``position`` names the source's position fields (see ``position.of_source``); a change without them is an
     error, as its order would be unknown, and only snapshot rows (op ``r``) may lack them. Dates may be days,
     timestamps numbers since the epoch in the column's ``units`` (micros unless named), or text; sets may be arrays
-    or comma-separated. ``wrapped`` texts hold the envelope as their ``payload``. ``wide`` positions are texts that hold
-    counters of any size; unless given, they are used for several fields that are not a file and a place.
+    or comma-separated. Times of the day in ``time millis`` become microseconds. ``wrapped`` texts hold the envelope as
+    their ``payload``. ``wide`` positions are texts that hold counters of up to 80 bits; unless given, they are used for
+    several fields that are not a file and a place.
 
     ``decimal_mode`` says how decimals are written: ``native`` and ``numeric`` as JSON numbers (read
     straight into the declared type, never through a double), ``base64`` as unscaled bytes.
@@ -119,6 +122,8 @@ WIRE_TYPES = {
 LOGICAL_TYPES = [
     ("time.Date", T.DateType(), None), ("data.Date", T.DateType(), None), ("time.MicroTimestamp", T.TimestampNTZType(), "micros"),
     ("time.Timestamp", T.TimestampNTZType(), "millis"), ("data.Timestamp", T.TimestampNTZType(), "millis"),
+    ("time.MicroTime", T.LongType(), "time micros"),
+    ("time.Time", T.LongType(), "time millis"), ("data.Time", T.LongType(), "time millis"),
     ("time.ZonedTimestamp", T.TimestampType(), None), ("data.EnumSet", SET, None),
 ]
 
@@ -149,9 +154,9 @@ def embedded_row_type(*schema_jsons: str) -> tuple[T.StructType, dict[str, str]]
             if found.setdefault(f["field"], kind) != kind:
                 raise ValueError(f"column {f['field']!r} is {found[f['field']].simpleString()} in one schema and {kind.simpleString()} in another")
             unit = next((u for end, _, u in LOGICAL_TYPES if f.get("name", "").endswith(end)), None)
-            if unit:
-                units[f["field"]] = unit
-    return T.StructType([T.StructField(n, t) for n, t in found.items()]), units
+            if units.setdefault(f["field"], unit) != unit:
+                raise ValueError(f"column {f['field']!r} is in {units[f['field']] or 'no unit'} in one schema and in {unit or 'no unit'} in another")
+    return T.StructType([T.StructField(n, t) for n, t in found.items()]), {f: u for f, u in units.items() if u}
 
 
 def schema_samples(raw: DataFrame, column: str = "value") -> DataFrame:

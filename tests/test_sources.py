@@ -206,6 +206,20 @@ def test_embedded_schema(spark):
         envelope.decode_envelope_with_schema(raw.limit(0), ["id"])
 
 
+def test_embedded_times_are_microseconds_of_the_day(spark):
+    kinds = {"ms": ("int32", "io.debezium.time.Time"), "us": ("int64", "io.debezium.time.MicroTime"),
+             "c": ("int32", "org.apache.kafka.connect.data.Time"), "plain": ("int32", "")}
+    image = {"ms": 86399999, "us": 86399999000, "c": None, "plain": 5}
+    fields = [{"type": t, "name": n, "field": f} for f, (t, n) in kinds.items()]
+    value = json.dumps({"schema": {"type": "struct", "fields": [{"type": "struct", "fields": fields, "field": "after"}]},
+                        "payload": {"after": image, "source": {"db": "d", "table": "t"}, "op": "r"}})
+    row = envelope.decode_envelope_with_schema(spark.createDataFrame([(value,)], "value string"), ["ms"]).first()
+    assert tuple(row.after) == (86399999000, 86399999000, None, 5)
+    one = lambda name: json.dumps({"fields": [{"field": "after", "fields": [{"type": "int64", "name": name, "field": "t"}]}]})
+    with pytest.raises(ValueError, match="time millis"):
+        envelope.embedded_row_type(one("time.Time"), one("time.MicroTime"))
+
+
 def test_base64_round_trip(spark):
     df = spark.sql("""select 'd' db, 's' schema, 't' table, 'u' op, 1L pos, 0 sub, 1L event_ts, 2L fetch_ts, named_struct('id', 1) key,
                       named_struct('id', 1, 'd', cast(-0.05 as decimal(10,2))) before, named_struct('id', 1, 'd', cast(99.99 as decimal(10,2))) after""")
