@@ -11,5 +11,6 @@ from . import (  # noqa: F401
     op8_substring_dedup,
     op9_mix_sources,
     op10_chat,
+    op12_lexical_search,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
