@@ -11,6 +11,7 @@ from . import (  # noqa: F401
     op8_substring_dedup,
     op9_mix_sources,
     op10_chat,
+    op11_token_alignment,
     op12_lexical_search,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
