@@ -13,5 +13,6 @@ from . import (  # noqa: F401
     op10_chat,
     op11_token_alignment,
     op12_lexical_search,
+    op13_quality,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
