@@ -1,10 +1,10 @@
 """Benchmark decontamination by winnowing.
 
-Every 10 consecutive item words are a window. A fingerprint is the smallest 5-gram hash of 6
-consecutive ones (5 + 6 - 1 = 10 words), so a document that contains a window shares at least one
-fingerprint with the item, at the same place in both. Document fingerprints are looked up in the
-items' fingerprints, and each hit is extended word by word to both sides; runs of 10 words or more
-are occurrences. Items of fewer than 10 words are one window each, looked up by their whole hash.
+Every 10 consecutive item words are a window. Its fingerprint is the smallest 5-gram hash of 6 consecutive ones (5 + 6 - 1 = 10
+words), the last one where equal. A document that contains a window has that fingerprint at the same place in it. Document
+fingerprints are looked up in the items' fingerprints, and each hit is extended to both sides, word by word, to the
+windows it stands for. Equal windows of the items are one, with the list of their items, so a text costs what its words cost even where
+both repeat one word. Items of fewer than 10 words are one window each, looked up by their whole hash.
 
 The benchmark is cut into blocks of a bounded number of bytes, each broadcast to all tasks; one
 block is the usual case and needs no shuffle. More blocks mean more passes over the documents and
@@ -28,7 +28,7 @@ WINDOW = 10
 GRAM = 5
 # Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 32 << 20
-# Anchor pairs extended at once.
+# Findings (text, item) listed at once.
 PAIRS = 1 << 20
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("_row", pa.int64()), ("n_words", pa.int64()),
@@ -37,18 +37,45 @@ _FOUND = pa.schema([("doc_id", pa.int64()), ("_row", pa.int64()), ("n_words", pa
 _FOUND_DDL = "doc_id bigint, _row bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>"
 
 
-def fingerprints(hashes: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, 5-gram hashes) that are smallest in a window of their text, ties included."""
+def fingerprints(hashes: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(windows, position of the fingerprint of each, all 5-gram hashes): the smallest gram of a window, the last of equal ones.
+
+    A fingerprint depends on the words of its window alone, so equal windows have theirs at the same place.
+    """
     grams = W.gram_hashes(hashes, gram)
     width = window - gram + 1
     smallest = W.sliding_min(grams, width) if len(grams) >= width else grams[:0]
-    inside = W.room(offsets)[:len(smallest)] >= window
-    chosen = np.zeros(len(grams), bool)
-    for j in range(width):
-        part = slice(j, j + len(smallest))
-        chosen[part] |= inside & (grams[part] == smallest)
-    at = np.flatnonzero(chosen)
-    return at, grams[at]
+    start = np.flatnonzero(W.room(offsets)[:len(smallest)] >= window)
+    at = start.copy()
+    for j in range(1, width):
+        at = np.where(grams[start + j] == smallest[start], start + j, at)
+    return start, at, grams
+
+
+class _Spans:
+    """Distinct stretches of n item words that begin at ``at``, and the items that hold each."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray, owner: np.ndarray, n: int):
+        hashes, item = W.gram_hashes(words, n)[at], owner[at]
+        order = np.lexsort((item, hashes))
+        hashes, item, at = hashes[order], item[order], at[order]
+        new = np.ones(len(at), bool)
+        new[1:] = hashes[1:] != hashes[:-1]
+        other = new.copy()
+        other[1:] |= item[1:] != item[:-1]
+        self.n, self.hashes, self.place, self.items = n, hashes[new], at[new], item[other]
+        self.starts = np.searchsorted((np.cumsum(new) - 1)[other], np.arange(len(self.hashes) + 1))
+
+    def extend(self, words: np.ndarray, start: np.ndarray, grams: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of places in a text whose ``grams`` are known: (start, stretch) where all n words are those of a stretch."""
+        kind = np.searchsorted(self.hashes, grams)
+        found = np.flatnonzero(kind < len(self.hashes))
+        found = found[self.hashes[kind[found]] == grams[found]]
+        start, kind = start[found], kind[found]
+        for j in range(self.n):
+            same = words[start + j] == own[self.place[kind] + j]
+            start, kind = start[same], kind[same]
+        return start, kind
 
 
 class Index:
@@ -57,76 +84,53 @@ class Index:
     def __init__(self, ids: list[str], texts: list[str], window: int, gram: int):
         self.window, self.gram, self.ids = window, gram, ids
         words = W.Words(pa.array(texts, pa.string()), W.LETTERS)
-        self.words, self.offsets, self.owner = words.hashes(), words.offsets, words.owner()
-        at, prints = fingerprints(self.words, self.offsets, window, gram)
-        order = np.argsort(prints, kind="stable")
-        self.at, self.prints = at[order], prints[order]
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in sorted({int(c) for c in words.counts if 0 < c < window}):
-            own = np.flatnonzero(words.counts == n)
-            whole = W.gram_hashes(self.words, n)[self.offsets[own]]
-            order = np.argsort(whole, kind="stable")
-            self.short[n] = (whole[order], own[order])
-
-    @staticmethod
-    def _pairs(left: np.ndarray, ordered: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(index in left, index in ordered) of equal values, a bounded number at a time."""
-        low, high = np.searchsorted(ordered, left, "left"), np.searchsorted(ordered, left, "right")
-        some = np.flatnonzero(high > low)
-        size = (high - low)[some]
-        cuts = np.searchsorted(np.cumsum(size), np.arange(0, int(size.sum()) + PAIRS, PAIRS), "right")
-        for a, b in zip(cuts, [*cuts[1:], len(some)]):
-            if b > a:
-                n, first = size[a:b], low[some[a:b]]
-                step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                yield np.repeat(some[a:b], n), np.repeat(first, n) + step
-
-    def occurrences(self, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, word behind the last, item) of each run of shared words."""
-        ends = np.repeat(offsets[1:], np.diff(offsets))
-        begins = np.repeat(offsets[:-1], np.diff(offsets))
-        out = [(np.zeros(0, np.int64),) * 3]
-        at, prints = fingerprints(hashes, offsets, self.window, self.gram)
-        for i, j in self._pairs(prints, self.prints):
-            p, q = at[i], self.at[j]
-            item = self.owner[q]
-            right = self._extend(hashes, p, ends[p], self.words, q, self.offsets[item + 1], 1)
-            left = self._extend(hashes, p - 1, begins[p] - 1, self.words, q - 1, self.offsets[item] - 1, -1)
-            found = left + right >= self.window
-            runs = np.unique(np.stack([(p - left)[found], (p + right)[found], item[found]], 1), axis=0)
-            out.append((runs[:, 0], runs[:, 1], runs[:, 2]))
-        for n, (whole, own) in self.short.items():
-            grams = W.gram_hashes(hashes, n)
-            start = np.flatnonzero(W.room(offsets)[:len(grams)] >= n)
-            for i, j in self._pairs(grams[start], whole):
-                out.append((start[i], start[i] + n, own[j]))
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-    @staticmethod
-    def _extend(a, p, p_end, b, q, q_end, step) -> np.ndarray:
-        """How many words are equal from (p, q) on in direction ``step``."""
-        length = np.zeros(len(p), np.int64)
-        live = np.arange(len(p))
-        while len(live):
-            x, y = p[live] + step * length[live], q[live] + step * length[live]
-            fits = (step * (p_end[live] - x) > 0) & (step * (q_end[live] - y) > 0)
-            live, x, y = live[fits], x[fits], y[fits]
-            live = live[a[x] == b[y]]
-            length[live] += 1
-        return length
+        self.words, owner = words.hashes(), words.owner()
+        start, at, grams = fingerprints(self.words, words.offsets, window, gram)
+        self.prints = np.unique(grams[at])
+        self.long = _Spans(self.words, start, owner, window)
+        self.short = [_Spans(self.words, words.offsets[np.flatnonzero(words.counts == n)], owner, n)
+                      for n in sorted({int(c) for c in words.counts if 0 < c < window})]
+
+    def occurrences(self, hashes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, _Spans]]:
+        """(first word, stretch) of each place where a text holds all words of a stretch, and the stretches they belong to.
+
+        A hit is a window whose fingerprint an item has; it is extended word by word to the whole window. The cost is that
+        of the text, however often its words and those of an item repeat.
+        """
+        start, at, grams = fingerprints(hashes, offsets, self.window, self.gram)
+        place = np.minimum(np.searchsorted(self.prints, grams[at]), max(0, len(self.prints) - 1))
+        start = start[self.prints[place] == grams[at]] if len(self.prints) else start[:0]
+        yield *self.long.extend(hashes, start, W.gram_hashes(hashes, self.window)[start], self.words), self.long
+        for spans in self.short:
+            grams = W.gram_hashes(hashes, spans.n)
+            start = np.flatnonzero(W.room(offsets)[:len(grams)] >= spans.n)
+            yield *spans.extend(hashes, start, grams[start], self.words), spans
+
+    def holders(self, text: np.ndarray, kind: np.ndarray, spans: _Spans) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distinct (text, item) of texts and the stretches they hold, a bounded number at a time."""
+        text, kind = np.unique(np.stack((text, kind)), axis=1)
+        size = spans.starts[kind + 1] - spans.starts[kind]
+        ends = np.cumsum(size)
+        low = 0
+        while low < len(kind):
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PAIRS, "right")))
+            n = size[low:high]
+            at = np.repeat(spans.starts[kind[low:high]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            yield np.unique(np.stack((np.repeat(text[low:high], n), spans.items[at])), axis=1)
+            low = high
 
     def find(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, 2):
             words = W.Words(part.column(2), W.LETTERS)
             spans, items = [[] for _ in range(part.num_rows)], [set() for _ in range(part.num_rows)]
             if len(words.flat):
-                first, last, item = self.occurrences(words.hashes(), words.offsets)
-                covered = np.zeros(len(words.flat) + 1, np.int64)
-                np.add.at(covered, first, 1)
-                np.add.at(covered, last, -1)
-                owner = words.owner()
-                for d, i in set(zip(owner[first].tolist(), item.tolist())):
-                    items[d].add(self.ids[i])
+                covered, owner = np.zeros(len(words.flat) + 1, np.int64), words.owner()
+                for first, kind, held in self.occurrences(words.hashes(), words.offsets):
+                    np.add.at(covered, first, 1)
+                    np.add.at(covered, first + held.n, -1)
+                    for found in self.holders(owner[first], kind, held):
+                        for d, i in zip(*found.tolist()):
+                            items[d].add(self.ids[i])
                 # Runs of hit words, cut where a text ends.
                 hit = np.cumsum(covered)[:-1] > 0
                 edge = np.ones(len(hit), bool)
@@ -203,8 +207,8 @@ class _Keeper:
             words = W.Words(part.column(self.text), W.LETTERS)
             clean = np.ones(part.num_rows, bool)
             if len(words.flat):
-                first, _, _ = self.shared.value.occurrences(words.hashes(), words.offsets)
-                clean[words.owner()[first]] = False
+                for first, _, _ in self.shared.value.occurrences(words.hashes(), words.offsets):
+                    clean[words.owner()[first]] = False
             yield part.filter(pa.array(clean))
 
 

@@ -2,10 +2,13 @@
 
 import random
 import re
+import time
 
+import pyarrow as pa
 import pytest
 
-from changeloom.llm.op4_decontaminate import decontaminate
+from changeloom.llm import words as W
+from changeloom.llm.op4_decontaminate import Index, decontaminate
 
 SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 DOC, ITEM = "doc_id bigint, text string, source string", "item_id bigint, text string, source string"
@@ -65,3 +68,25 @@ def test_long_text_and_empty_tables(spark):
     assert rows(got) == [(1, 600_012, 12, ["5"]), (2, 50_000, 50_000, ["6"])]
     assert decontaminate(spark.createDataFrame([], DOC), items).count() == 0
     assert rows(decontaminate(spark.createDataFrame(docs[1:], DOC), spark.createDataFrame([], ITEM))) == [(2, 50_000, 0, [])]
+
+
+def test_repeated_words_cost_what_the_text_costs(spark):
+    item, text = "ha " * 2_000, "ha " * 20_000
+    index = Index(["1", "2"], [item, "ha " * 500], 10, 5)
+    words = W.Words(pa.array([text]), W.LETTERS)
+    hashes = words.hashes()
+    began = time.perf_counter()
+    found = [(first, kind) for first, kind, _ in index.occurrences(hashes, words.offsets)]
+    assert time.perf_counter() - began < 1
+    assert len(found) == 1 and len(found[0][0]) == 20_000 - 9 and set(found[0][1].tolist()) == {0}
+    docs = [(1, text, "x"), (2, "ha " * 9, "x"), (3, "ho ha " * 3_000, "x")]
+    items = [(1, item, "x"), (2, "ha " * 500, "x"), (3, "ha", "x"), (3, "ha ho " * 400, "x"), (4, "Ha! HA!", "x")]
+    assert rows(decontaminate(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM))) == [
+        (1, 20_000, 20_000, ["1", "2", "3", "4"]), (2, 9, 9, ["3", "4"]), (3, 6_000, 6_000, ["3"])]
+
+
+def test_many_items_with_one_passage(spark):
+    shared = " ".join(f"s{i}" for i in range(12))
+    items = [(i, f"{shared} own{i}" if i % 2 else "one two", "x") for i in range(300)]
+    got = decontaminate(spark.createDataFrame([(1, f"a {shared} b one two", "x")], DOC), spark.createDataFrame(items, ITEM))
+    assert rows(got) == [(1, 16, 14, sorted(str(i) for i in range(300)))]
