@@ -25,7 +25,7 @@ import math
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +43,12 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Longest run of characters of one kind that the fast encoder gets; it splits by backtracking.
 LONGEST_RUN = 2_000
-# Windows kept in the memo of a worker, and the longest one kept, in tokens.
-KNOWN = 300_000
+# Windows kept in the memo of a worker, and the longest one kept, in tokens; windows aligned together.
+KNOWN = 400_000
 KEPT_TOKENS = 64
+TOGETHER = 1 << 16
+# Links of a group from which they are counted by distinct ids.
+LARGE_GROUP = 4_096
 # Pairs of ids in one broadcast block, 17 bytes each.
 BLOCK_PAIRS = 4_000_000
 
@@ -149,7 +152,10 @@ class Memo(dict):
 
     def __init__(self, a_sizes: list[int], b_sizes: list[int]):
         super().__init__()
+        self.sizes = [np.array(a_sizes, np.int64), np.array(b_sizes, np.int64)]
         self.a_sizes, self.b_sizes = a_sizes, b_sizes
+        # Ids as text with what follows them: another id of the group or its other side; another id, a group, the next window.
+        self.written = [f"{i}{c}" for i in range(len(a_sizes)) for c in ",|"] + [f"{i}{c}" for i in range(len(b_sizes)) for c in ",;\n"]
         self.forget()
 
     def forget(self) -> None:
@@ -158,27 +164,75 @@ class Memo(dict):
         self.pairs: list[bytes] = []        # linked pairs and how often, 64-bit numbers in turn
         self.n_groups, self.n_links = array("q"), array("q")
 
-    def __missing__(self, key: bytes) -> int:
+    def places(self, keys: list[bytes]) -> np.ndarray:
+        """Places of the results of all ``keys``; windows that are not known are aligned, together."""
+        found = [self.get(k) for k in keys]
+        if None in found:
+            new = list(dict.fromkeys(k for k, place in zip(keys, found) if place is None))
+            first, at = len(self.shown), 0
+            now = {}
+            while at < len(new):
+                some = new[at:at + TOGETHER]
+                now.update(zip(some, range(first + at, first + at + len(some))))
+                self._align(some)
+                at += len(some)
+            self.update((k, place) for k, place in now.items() if len(k) <= 4 * KEPT_TOKENS)
+            found = [now[k] if place is None else place for k, place in zip(keys, found)]
+        return np.array(found, np.int64)
+
+    def _align(self, keys: list[bytes]) -> None:
+        """Appends the results of some windows. Both sides of a window have equally many bytes, so their ends can be counted through."""
+        ids = np.frombuffer(b"".join(keys), np.int32)
+        window = np.repeat(np.arange(len(keys)), [len(k) // 4 for k in keys])
+        between = ids == -1
+        behind = np.cumsum(between) > window
+        sides, windows = [], []
+        for here in (~behind, behind & ~between):
+            sides.append(ids[here].astype(np.int64))
+            windows.append(window[here])
+        (a, b), ends = sides, [np.cumsum(size[x]) for size, x in zip(self.sizes, sides)]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        group = [np.searchsorted(shared, e) for e in ends]
+        n = [np.bincount(g, minlength=len(shared)) for g in group]
+        first = [np.cumsum(x) - x for x in n]
+        own = windows[0][first[0]]                          # the window of each group
+        links = np.zeros(len(keys), np.int64)
+        np.add.at(links, own, n[0] * n[1])
+        self.n_groups.extend(np.bincount(own, minlength=len(keys)).tolist())
+        self.n_links.extend(links.tolist())
+        # Text: the ids of a group's sides in turn, each with its sign.
+        written = np.empty(len(a) + len(b), np.int64)
+        written[np.arange(len(a)) + first[1][group[0]]] = 2 * a + _last(group[0])
+        written[np.arange(len(b)) + (first[0] + n[0])[group[1]]] = 2 * len(self.a_sizes) + 3 * b + _last(group[1]) + _last(windows[1])
+        self.shown += "".join([self.written[c] for c in written.tolist()]).split("\n")[:-1]
+        # Pairs: every id of side a with all of side b in its group. Very large groups are counted by distinct ids instead.
+        large = set(own[n[0] * n[1] > LARGE_GROUP].tolist())
+        kept = ~np.isin(windows[0], list(large)) if large else np.ones(len(a), bool)
+        g = group[0][kept]
+        size = n[1][g]
+        pairs = np.ones((int(size.sum()), 2), np.int64)
+        pairs[:, 0] = np.repeat(a[kept] << 32, size) | b[np.repeat(first[1][g] - np.cumsum(size) + size, size) + np.arange(len(pairs))]
+        links[list(large)] = 0
+        raw, cuts = pairs.tobytes(), [0, *(16 * np.cumsum(links)).tolist()]
+        self.pairs += [raw[s:e] if w not in large else self._counted(keys[w]) for w, (s, e) in enumerate(pairwise(cuts))]
+
+    def _counted(self, key: bytes) -> bytes:
         ids = np.frombuffer(key, np.int32).tolist()
         cut = ids.index(-1)
-        groups = align_window(ids[:cut], ids[cut + 1:], self.a_sizes, self.b_sizes)
         links: Counter = Counter()
-        for left, right in groups:
-            if len(left) == len(right) == 1:
-                links[left[0] << 32 | right[0]] += 1
-                continue
+        for left, right in align_window(ids[:cut], ids[cut + 1:], self.a_sizes, self.b_sizes):
             on_right = Counter(right)
             for p, m in Counter(left).items():
                 for q, n in on_right.items():
                     links[p << 32 | q] += m * n
-        place = len(self.shown)
-        self.shown.append(";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups))
-        self.pairs.append(array("q", (x for link in links.items() for x in link)).tobytes())
-        self.n_groups.append(len(groups))
-        self.n_links.append(sum(links.values()))
-        if len(ids) <= KEPT_TOKENS:
-            self[key] = place
-        return place
+        return array("q", (x for link in links.items() for x in link)).tobytes()
+
+
+def _last(runs: np.ndarray) -> np.ndarray:
+    """1 where a run of equal numbers ends."""
+    out = np.ones(len(runs), np.int64)
+    out[:-1] = runs[1:] != runs[:-1]
+    return out
 
 
 class Aligner:
@@ -227,13 +281,13 @@ class Aligner:
             self.memo.forget()
         both = [self.tokens(t) for t in part.column(2).to_pylist()]
         counts = [np.array([len(x[s]) for x in both], np.int64) for s in (0, 1)]
-        sides = [np.fromiter((i for x in both for i in x[s]), np.int32, int(counts[s].sum())) for s in (0, 1)]
+        sides = [np.fromiter(chain.from_iterable(x[s] for x in both), np.int32, int(counts[s].sum())) for s in (0, 1)]
         del both
         some = np.flatnonzero(counts[0])
         firsts = [(np.cumsum(c) - c)[some] for c in counts]
         keys, begin = self.windows(sides, firsts)
         memo = self.memo
-        code = np.array([memo[k] for k in keys], np.int64)
+        code = memo.places(keys)
         own = some[np.searchsorted(firsts[0], begin, "right") - 1]
         n_groups, n_links = (np.zeros(n, np.int64) for _ in range(2))
         np.add.at(n_groups, own, np.array(memo.n_groups, np.int64)[code])

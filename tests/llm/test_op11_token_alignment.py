@@ -125,6 +125,7 @@ def test_windows_are_words_and_are_kept():
     out = aligner.rows(part)
     assert 4 <= len(aligner.memo) <= 6 and out.column(2).to_pylist()[1] == 2
     before = len(aligner.memo.shown)
+    assert before == len(aligner.memo.pairs) == len(aligner.memo.n_groups) == len(aligner.memo.n_links)
     assert aligner.rows(part).equals(out) and len(aligner.memo.shown) == before
 
 
@@ -132,3 +133,37 @@ def test_groups_of_a_window():
     sizes = [0, 1, 2, 3, 4]
     assert A.align_window([1, 2, 1], [3, 1], sizes, sizes) == [([1, 2], [3]), ([1], [1])]
     assert A.align_window([4], [1, 1, 2], sizes, sizes) == [([4], [1, 1, 2])]
+
+
+def test_large_groups_are_counted_by_distinct_ids(monkeypatch):
+    """Windows of made-up ids: with and without the limit the same pairs, as often."""
+    rng = random.Random(6)
+    sizes = [1, 2, 3, 5, 7]
+    keys = []
+    for _ in range(400):
+        left, right = [rng.randrange(5) for _ in range(rng.randrange(1, 30))], []
+        rest = sum(sizes[i] for i in left)
+        while rest:
+            i = rng.choice([j for j in range(5) if sizes[j] <= rest])
+            right.append(i)
+            rest -= sizes[i]
+        keys.append(A.array("i", [*left, -1, *right]).tobytes())
+    found = []
+    for limit in (0, 3, 10 ** 9):
+        monkeypatch.setattr(A, "LARGE_GROUP", limit)
+        memo = A.Memo(sizes, sizes)
+        place = memo.places(keys)
+        pairs = []
+        for p in place.tolist():
+            counted = Counter()
+            for pair, n in A.np.frombuffer(memo.pairs[p], A.np.int64).reshape(-1, 2).tolist():
+                counted[pair] += n
+            pairs.append(counted)
+        found.append((pairs, [memo.shown[p] for p in place.tolist()]))
+    assert found[0] == found[1] == found[2]
+    for key, shown, pairs in zip(keys, found[0][1], found[0][0]):
+        ids = A.np.frombuffer(key, A.np.int32).tolist()
+        cut = ids.index(-1)
+        groups = A.align_window(ids[:cut], ids[cut + 1:], sizes, sizes)
+        assert shown == ";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups)
+        assert pairs == Counter(x << 32 | y for p, q in groups for x in p for y in q)
