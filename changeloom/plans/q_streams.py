@@ -9,7 +9,7 @@ from ..operators import changelog as L
 from ..operators.merge import state_of_kinds
 from ..session import scratch_dir
 from ..sources import envelope, log as logs
-from ..streaming import sinks, streams as W
+from ..streaming import keyed_state, sinks, streams as W
 from . import orders_log as O
 from .common import CUTS, FLAT, everything, finish, flat, log_directory, marks, order_chunks, snapshot, split_log
 from .log_sql import BASE, WITH_FINAL
@@ -22,6 +22,11 @@ def _stream(spark, rows, path, files=8):
     return logs.read_log(spark, path, rows.schema, stream=True, files_per_trigger=files)
 
 
+def _append(stream, out, state):
+    """Run a stream to the end of its source, its rows appended below ``out``."""
+    finish(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(**NOW).start())
+
+
 @query("k1_upsert_sink", f"{WITH_FINAL} SELECT * FROM final")
 def k1(spark, sf):
     rows = everything(spark, sf)
@@ -77,9 +82,12 @@ def w2(spark, sf):
     return sinks.read_table(spark, path, rows.schema)
 
 
-@query("w3_stream_normalize", f"""{BASE}, both_ AS (SELECT {FLAT} FROM snap UNION ALL SELECT {FLAT} FROM log),
+_BEFORE = f"""{BASE}, both_ AS (SELECT {FLAT} FROM snap UNION ALL SELECT {FLAT} FROM log),
 p AS (SELECT *, lag(acents) OVER w AS pcents, lag(ast) OVER w AS pst, lag(ak) OVER w AS pk FROM both_ WINDOW w AS (PARTITION BY k ORDER BY pos, sub))
-SELECT CASE WHEN op IN ('u', 'c') THEN CASE WHEN pk IS NULL THEN 'c' ELSE 'u' END ELSE op END AS op, pos, sub, k, pk AS bk, pst AS bst, pcents AS bcents, acents FROM p""")
+SELECT CASE WHEN op IN ('u', 'c') THEN CASE WHEN pk IS NULL THEN 'c' ELSE 'u' END ELSE op END AS op, pos, sub, k, pk AS bk, pst AS bst, pcents AS bcents, acents FROM p"""
+
+
+@query("w3_stream_normalize", _BEFORE)
 def w3(spark, sf):
     rows = everything(spark, sf).withColumn("before", F.lit(None).cast(O.IMAGE))
     stream = _stream(spark, rows, log_directory(spark, rows))
@@ -89,6 +97,18 @@ def w3(spark, sf):
     return flat(done).select("op", "pos", "sub", "k", "bk", "bst", "bcents", "acents")
 
 
+@query("w3_state_store", _BEFORE)
+def w3s(spark, sf):
+    """In two runs: the second goes on with the state and the files that the first left."""
+    rows = everything(spark, sf).withColumn("before", F.lit(None).cast(O.IMAGE))
+    out, state = scratch_dir(spark, "changes"), scratch_dir(spark, "state")
+    source = log_directory(spark, rows, CUTS[:2])
+    _append(keyed_state.normalize(_stream(spark, rows, source)), out, state)
+    log_directory(spark, rows, CUTS[2:], source)
+    _append(keyed_state.normalize(_stream(spark, rows, source)), out, state)
+    return flat(spark.read.schema(rows.schema).parquet(out)).select("op", "pos", "sub", "k", "bk", "bst", "bcents", "acents")
+
+
 @query("w4_stream_progress", f"""{BASE}, r AS (SELECT pos, 'shop.orders_' || (k % 3) AS source FROM log WHERE k % 3 <> 2 OR op = 'u')
 SELECT source, max(pos) AS pos FROM r GROUP BY source""")
 def w4(spark, sf):
@@ -119,13 +139,15 @@ def w5(spark, sf):
     # The whole log spans about five days of event time; a copy may arrive anywhere in it.
     unique = W.stream_dedup(stream, ["db", "table", "key", "op", "pos", "sub"], "10 days")
     out, state = scratch_dir(spark, "unique"), scratch_dir(spark, "state")
-    finish(unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
-           .outputMode("append").trigger(**NOW).start())
+    _append(unique, out, state)
     return flat(spark.read.schema(rows.schema).parquet(out))
 
 
-@query("w6_late_change_guard", f"""{BASE}, m AS (SELECT k, max((pos, sub)) AS last FROM log WHERE pos >= 200000000 GROUP BY k)
-SELECT op, pos, sub, log.k FROM log LEFT JOIN m ON log.k = m.k WHERE pos < 200000000 AND m.k IS NULL""")
+_UNTOUCHED = f"""{BASE}, m AS (SELECT k, max((pos, sub)) AS last FROM log WHERE pos >= 200000000 GROUP BY k)
+SELECT op, pos, sub, log.k FROM log LEFT JOIN m ON log.k = m.k WHERE pos < 200000000 AND m.k IS NULL"""
+
+
+@query("w6_late_change_guard", _UNTOUCHED)
 def w6(spark, sf):
     """The later part of the log is applied first; of the earlier part only untouched keys get in."""
     rows = split_log(spark, sf)
@@ -135,6 +157,19 @@ def w6(spark, sf):
     return late.select("op", "pos", "sub", F.col("key.k").alias("k"))
 
 
+@query("w6_state_store", _UNTOUCHED)
+def w6s(spark, sf):
+    """The later part of the log comes first; of the earlier part only untouched keys get in."""
+    rows = split_log(spark, sf)
+    out, state = scratch_dir(spark, "changes"), scratch_dir(spark, "state")
+    source = log_directory(spark, rows, [(O.DELETE_AT, 10 ** 18)])
+    _append(keyed_state.late_guard(_stream(spark, rows, source)), out, state)
+    log_directory(spark, rows, [(0, O.DELETE_AT)], source)
+    _append(keyed_state.late_guard(_stream(spark, rows, source)), out, state)
+    late = spark.read.schema(rows.schema).parquet(out).where(F.col("pos") < O.DELETE_AT)
+    return late.select("op", "pos", "sub", F.col("key.k").alias("k"))
+
+
 @query("w7_snapshot_to_stream", f"{WITH_FINAL} SELECT * FROM final")
 def w7(spark, sf):
     plan = order_chunks(spark, sf)
@@ -160,8 +195,19 @@ def w2n(spark, sf):
     return sinks.read_table(spark, path, rows.schema)
 
 
-@query("w6_late_change_after_compaction", f"""{BASE}, m AS (SELECT k, max((pos, sub)) AS last FROM log WHERE pos >= 200000000 GROUP BY k)
-SELECT op, pos, sub, log.k FROM log LEFT JOIN m ON log.k = m.k WHERE pos < 200000000 AND m.k IS NULL""")
+@query("w2_two_writers", f"{WITH_FINAL} SELECT * FROM final")
+def w2w(spark, sf):
+    """Two streams write the same table at the same time, over parts of the log that overlap; both fold as they go."""
+    rows = everything(spark, sf)
+    path = scratch_dir(spark, "table")
+    running = [sinks.upsert_sink(_stream(spark, rows, log_directory(spark, rows, cuts), 2), path, scratch_dir(spark, "state"), compact_every=1, buckets=4)
+               for cuts in (CUTS[:2], CUTS[1:])]
+    for stream in running:
+        finish(stream)
+    return sinks.read_table(spark, path, rows.schema)
+
+
+@query("w6_late_change_after_compaction", _UNTOUCHED)
 def w6c(spark, sf):
     """As w6, but the table is compacted first: deleted keys are still known."""
     rows = split_log(spark, sf)

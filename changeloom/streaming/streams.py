@@ -13,7 +13,7 @@ from ..operators.changelog import (Keys, dedup_at_least_once, materialize, norma
                                    split_key_updates)
 from ..operators.views import DimChange, enrich_changes
 from ..sources.envelope import decode_envelope
-from .sinks import read_changes, stream_of, upsert_batch, upsert_sink
+from .sinks import load, read_changes, stream_of, touched_buckets, upsert_batch, upsert_sink
 
 
 def stream_materialize(stream: DataFrame, by: tuple[str, ...] = ("key",)) -> DataFrame:
@@ -43,7 +43,8 @@ def _split_late(batch: DataFrame, state_path: str, batch_id: int | None = None)
     """(events past the stored position of their key, stored last change of the keys of the batch)."""
     keys = Keys(batch, ("key",))
     batch = keys.add(batch)
-    stored = keys.add(read_changes(batch.sparkSession, state_path, batch.drop(*keys.names).schema, batch_id))
+    buckets = touched_buckets(batch, ("key",), load(batch.sparkSession, state_path))
+    stored = keys.add(read_changes(batch.sparkSession, state_path, batch.drop(*keys.names).schema, batch_id, buckets))
     stored = stored.join(batch.select(*keys.names).distinct(), keys.names, "left_semi")
     rest = [c for c in batch.columns if c not in keys.names]
     last = stored.groupBy(*keys.names).agg(F.max_by(F.struct(*rest), offset_column()).alias("_l"))
@@ -57,8 +58,8 @@ def normalize_batch(batch: DataFrame, state_path: str, batch_id: int | None = No
 
     The events of the batch, and the stored row of each key they touch, go through the batch
     operator together, so a hot key is spread over blocks as in ``normalize_upserts``. Events at or
-    before the stored position of their key are late and dropped. Stored rows are found by a join
-    over the state, so a batch should be large enough to be worth one pass over it.
+    before the stored position of their key are late and dropped. Stored rows are found by a join with the buckets that
+    the keys of the batch lie in, which suits large batches; ``keyed_state.normalize`` looks up the keys alone.
     """
     fresh, held = _split_late(batch, state_path, batch_id)
     both = (held.withColumn("_new", F.lit(False))

@@ -1,5 +1,7 @@
 """Keyed tables and streams: replays, crashes, compaction, late events."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,8 @@ from changeloom.operators import changelog as L
 from changeloom.plans.common import finish
 from changeloom.session import scratch_dir
 from changeloom.sources import envelope, log as logs
-from changeloom.streaming import sinks, streams as W
+from changeloom.streaming import keyed_state, sinks, streams as W
+from changeloom.streaming.files import Folder
 
 SHAPE = ("db string, schema string, table string, op string, pos bigint, sub int, event_ts bigint, fetch_ts bigint, "
          "key struct<id:int>, before struct<id:int,v:string>, after struct<id:int,v:string>")
@@ -36,8 +39,8 @@ def test_upserts_deletes_and_replays(spark):
 def test_an_unfinished_attempt_is_overwritten(spark):
     path = scratch_dir(spark, "t")
     df = batch(spark, ("c", 1, 1, "a"))
-    # A crash left data without a commit row.
-    batch(spark, ("c", 1, 9, "lost")).write.parquet(f"{path}/data/v=delta-1-0")
+    # A crash left data without a commit.
+    sinks.write_batch(batch(spark, ("c", 1, 9, "lost"), ("c", 2, 8, "lost")), path, 0)
     assert state(spark, path, df) == []
     sinks.upsert_batch(df, path, 0)
     assert state(spark, path, df) == [(1, "a")]
@@ -52,7 +55,8 @@ def test_compaction_keeps_the_state(spark):
         df = batch(spark, ("u", i + 1, k, f"v{i}"))
         sinks.upsert_batch(df, path, i, compact_every=2)
         assert state(spark, path, df) == sorted(want.items())
-        assert len(sinks._commits(spark, path)) <= 4
+        table = sinks.load(spark, path)
+        assert max(len(table.folders(b)) for b in range(table.buckets)) <= 4
     sinks.upsert_batch(batch(spark, ("d", 99, 0, None)), path, 8)
     sinks.compact(spark, path, df.schema)
     # A deleted key is kept with its position, so that a late change does not bring it back.
@@ -64,6 +68,110 @@ def test_compaction_keeps_the_state(spark):
     assert state(spark, path, df) == [(1, "v7"), (2, "v5")]
 
 
+def test_a_writer_that_commits_after_a_fold_of_another_loses_nothing(spark):
+    path = scratch_dir(spark, "t")
+    df = batch(spark, ("c", 1, 1, "a"), ("c", 2, 2, "b"))
+    sinks.upsert_batch(df, path, 0)
+    held = {**sinks.write_batch(batch(spark, ("c", 3, 3, "c")), path, 1), "stream": "A"}      # written, not committed
+    for i, k in ((2, 4), (3, 5), (4, 6)):
+        sinks.upsert_batch(batch(spark, ("c", k, k, f"v{k}")), path, i, compact_every=1)
+    sinks.compact(spark, path, df.schema)
+    assert sinks.commit_batch(spark, path, held) and not sinks.commit_batch(spark, path, held)
+    sinks.compact(spark, path, df.schema)
+    assert state(spark, path, df) == [(1, "a"), (2, "b"), (3, "c"), (4, "v4"), (5, "v5"), (6, "v6")]
+
+
+def test_of_two_folds_at_a_time_one_counts(spark):
+    path = scratch_dir(spark, "t")
+    df = batch(spark, ("c", 1, 1, "a"))
+    for i in range(4):
+        sinks.upsert_batch(batch(spark, ("u", i + 1, 1, f"v{i}")), path, i, buckets=1)
+    load, seen = sinks.load, []
+
+    def stale(spark, path):
+        # The first look of the outer fold is followed by a whole fold of another writer.
+        table = load(spark, path)
+        if not seen:
+            seen.append(1)
+            sinks.compact(spark, path, df.schema)
+        return table
+    sinks.load = stale
+    try:
+        sinks.compact(spark, path, df.schema)
+    finally:
+        sinks.load = load
+    table = load(spark, path)
+    assert len(table.folders(0)) == 2 and state(spark, path, df) == [(1, "v3")]
+
+
+def test_writers_in_parallel(spark):
+    path = scratch_dir(spark, "t")
+    df = batch(spark, ("c", 1, 1, "a"))
+    sinks.open_table(spark, path, 4)
+
+    def write(w):
+        for i in range(3):
+            held = sinks.write_batch(batch(spark, ("c", 10 * w + i, 10 * w + i, f"v{w}{i}")), path, 100 * w + i)
+            assert sinks.commit_batch(spark, path, {**held, "stream": f"s{w}"})
+            sinks.compact(spark, path, df.schema)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+    assert state(spark, path, df) == sorted((10 * w + i, f"v{w}{i}") for w in range(4) for i in range(3))
+
+
+def test_a_fold_rewrites_only_the_buckets_that_are_due(spark):
+    path = scratch_dir(spark, "t")
+    df = batch(spark, *[("c", k, k, "a") for k in range(1, 200)])
+    sinks.upsert_batch(df, path, 0, buckets=8)
+    for i in range(4):
+        sinks.upsert_batch(batch(spark, ("u", 1000 + i, 7, f"b{i}")), path, i + 1, compact_every=2)
+    table = sinks.load(spark, path)
+    folded = {name: b for name, b in table.live.items() if name.startswith("fold")}
+    own = sinks.touched_buckets(batch(spark, ("u", 1, 7, "x")), ("key",), table)
+    assert len(own) == 1 and list(folded.values()) == [own]
+    got = state(spark, path, df)
+    assert len(got) == 199 and (7, "b3") in got
+    # Reading some buckets reads their files only.
+    some = sinks.read_changes(spark, path, df.schema, buckets=own)
+    assert all(f"/bucket={next(iter(own))}/" in f for f in some.inputFiles())
+
+
+def test_commits_are_put_together_and_old_files_removed(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "STATE_EVERY", 5)
+    path = scratch_dir(spark, "t")
+    df = batch(spark, ("c", 1, 1, "a"))
+    for i in range(7):
+        sinks.upsert_batch(batch(spark, ("u", i + 1, i % 2, f"v{i}")), path, i, compact_every=2, buckets=2)
+    want, before = state(spark, path, df), sinks.load(spark, path)
+    commits = sinks._commits(spark, path)
+    assert any(n.endswith(".state.json") for n in commits.names())
+    sinks.vacuum(spark, path, older_than_ms=-1)
+    left = [n for n in commits.names() if not n.endswith(".state.json")]
+    assert len(left) <= 6 and sinks.load(spark, path).said() == before.said() and state(spark, path, df) == want
+    names = sinks.Folder(spark, f"{path}/data").names()
+    assert {n[2:] for n in names if n.startswith("v=")} == set(before.live)
+    # A writer that looked before the removal finds its number free, but not usable.
+    first = sinks.load
+    old = [sinks.Table({"version": 0, "buckets": 2})]
+    held = sinks.write_batch(batch(spark, ("c", 99, 5, "late")), path, 50)
+    monkeypatch.setattr(sinks, "load", lambda *a: old.pop() if old else first(*a))
+    assert sinks.commit_batch(spark, path, held)
+    monkeypatch.setattr(sinks, "load", first)
+    assert (5, "late") in state(spark, path, df) and "00000000000000000001.json" not in commits.names()
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_a_claim_is_won_once(spark, local):
+    folder = Folder(spark, scratch_dir(spark, "claims"))
+    if not local:
+        folder.local = None
+    assert folder.names() == {}
+    assert folder.claim("1.json", "first Ü") and not folder.claim("1.json", "second") and folder.read("1.json") == "first Ü"
+    assert list(folder.names()) == ["1.json"]
+    with ThreadPoolExecutor(8) as pool:
+        assert sum(pool.map(lambda i: folder.claim("2.json", str(i)), range(8))) == 1 or not local
+
+
 def test_lake_keys_tables_apart(spark):
     path = scratch_dir(spark, "t")
     both = batch(spark, ("c", 1, 1, "a")).unionByName(batch(spark, ("c", 2, 1, "b"), table="u"))
@@ -136,3 +244,45 @@ def test_stream_enrich_replays_a_half_done_batch(spark):
     assert run(scratch_dir(spark, "c")) == want
     # The same batch again from a lost checkpoint: the states already hold it, the output is the same.
     assert run(scratch_dir(spark, "c")) == want
+
+
+def by_state(spark, source, out, check, df, guard=False):
+    stream = logs.read_log(spark, source, df.schema, stream=True, files_per_trigger=1)
+    query = (keyed_state.late_guard if guard else keyed_state.normalize)(stream).writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", check).trigger(availableNow=True).start()
+    finish(query)
+    return query
+
+
+def test_state_store_gives_before_images_over_a_restart(spark):
+    source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+    df = batch(spark, ("u", 1, 1, "a"), ("u", 2, 1, "b"), ("u", 2, 1, "b"), ("r", 1, 2, "x"))
+    df.coalesce(1).write.parquet(source)
+    by_state(spark, source, out, check, df)
+    batch(spark, ("d", 5, 1, None), ("u", 1, 1, "late"), ("u", 9, 1, "c"), ("u", 7, 2, "y")).coalesce(1).write.mode("append").parquet(source)
+    by_state(spark, source, out, check, df)
+    got = sorted(((r.key.id, r.pos, r.op, r.before and r.before.v, r.after and r.after.v) for r in spark.read.schema(df.schema).parquet(out).collect()))
+    assert got == [(1, 1, "c", None, "a"), (1, 2, "u", "a", "b"), (1, 5, "d", "b", None), (1, 9, "c", None, "c"), (2, 1, "r", None, "x"), (2, 7, "u", "x", "y")]
+
+
+def test_state_store_drops_late_changes_of_deleted_keys_too(spark):
+    source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+    df = batch(spark, ("u", 10, 1, "new"), ("d", 20, 2, None))
+    df.coalesce(1).write.parquet(source)
+    by_state(spark, source, out, check, df, guard=True)
+    batch(spark, ("u", 9, 1, "old"), ("u", 10, 1, "same"), ("u", 11, 1, "next"), ("c", 19, 2, "back"), ("c", 3, 3, "other")).coalesce(1).write.mode("append").parquet(source)
+    by_state(spark, source, out, check, df, guard=True)
+    assert sorted(r.pos for r in spark.read.schema(df.schema).parquet(out).collect()) == [3, 10, 11, 20]
+
+
+@pytest.mark.parametrize("keys", [50, 500])
+def test_a_batch_touches_the_state_of_its_keys_only(spark, keys):
+    source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+    df = batch(spark, *[("c", k, k, "a") for k in range(1, keys + 1)])
+    df.coalesce(1).write.parquet(source)
+    by_state(spark, source, out, check, df)
+    batch(spark, ("u", 10 ** 6, 7, "b")).coalesce(1).write.mode("append").parquet(source)
+    query = by_state(spark, source, out, check, df)
+    done = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(done) == 1 and len(done[0]["sources"]) == 1
+    assert done[0]["stateOperators"][0]["numRowsUpdated"] == 1 and done[0]["stateOperators"][0]["numRowsTotal"] == keys
