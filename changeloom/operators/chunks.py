@@ -223,28 +223,33 @@ def plan_chunks(df: DataFrame, key_columns: list[str], size: int = S.CHUNK_SIZE,
     return chunk_unevenly(df, key, low, high, size, len(key_columns) == 1, rows_per_block)
 
 
-def chunk_predicates(plan: ChunkPlan, spark: SparkSession) -> list[str]:
-    """One SQL predicate per chunk for a JDBC scan with one task per chunk.
+def chunk_predicates(plan: ChunkPlan, spark: SparkSession, quote: str = "", chunks_per_task: int = 1) -> list[str]:
+    """SQL predicates for a JDBC scan with one task for each ``chunks_per_task`` neighbouring chunks.
 
-    The list has one entry per task, so it is as long as the number of tasks the driver schedules.
+    ``quote`` goes around the name of the key column. The list has one entry per task, so it is as long as the number of
+    tasks the driver schedules; raise ``chunks_per_task`` to keep it short.
     """
     def literal(v):
         if isinstance(v, (int, float, Decimal)):
             return str(v)
+        if isinstance(v, (bytes, bytearray)):
+            return f"X'{v.hex().upper()}'"
         return "'" + str(v).replace("'", "''") + "'"
 
-    k = plan.key
+    k = f"{quote}{plan.key.replace(quote, quote + quote) if quote else plan.key}{quote}"
     out = []
-    for row in plan.table(spark, "t").sort("chunk_id").toLocalIterator():
-        if row.start is None and row.end is None:
+    # Every task begins where one of its chunks does and ends where the next task begins.
+    begins = [row.start for row in plan.table(spark, "t").where(F.col("chunk_id") % chunks_per_task == 0)
+              .sort("chunk_id").toLocalIterator()]
+    for start, end in zip(begins, [*begins[1:], None]):
+        if start is None and end is None:
             out.append("1 = 1")
-        elif row.start is None:
-            out.append(f"{k} <= {literal(row.end)} AND NOT ({k} = {literal(row.end)})")
-        elif row.end is None:
-            out.append(f"{k} >= {literal(row.start)}")
+        elif start is None:
+            out.append(f"{k} <= {literal(end)} AND NOT ({k} = {literal(end)})")
+        elif end is None:
+            out.append(f"{k} >= {literal(start)}")
         else:
-            out.append(f"{k} >= {literal(row.start)} AND {k} <= {literal(row.end)} "
-                       f"AND NOT ({k} = {literal(row.end)})")
+            out.append(f"{k} >= {literal(start)} AND {k} <= {literal(end)} AND NOT ({k} = {literal(end)})")
     return out
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from . import spread
 
@@ -62,6 +64,48 @@ def parse_gtid_set(df: DataFrame, column: str) -> DataFrame:
                         F.coalesce(F.get(ends, F.lit(1)).cast("bigint"), lo).alias("hi"))
 
 
+def gtid_intervals(text: str) -> dict[str, list[tuple[int, int]]]:
+    """The same text on the driver: merged intervals of each sid, in order."""
+    found: dict[str, list[tuple[int, int]]] = {}
+    for entry in "".join(text.split()).split(","):
+        sid, *spans = entry.split(":")
+        for span in spans:
+            low, _, high = span.partition("-")
+            found.setdefault(sid.lower(), []).append((int(low), int(high or low)))
+    for sid, spans in found.items():
+        merged: list[tuple[int, int]] = []
+        for low, high in sorted(spans):
+            if merged and low <= merged[-1][1] + 1:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        found[sid] = merged
+    return found
+
+
+def in_gtid_set(df: DataFrame, gtid: Column, executed: str, out: str) -> DataFrame:
+    """Add ``out``: whether the transaction id ``sid:number`` is in the set; null where it is missing or no such id.
+
+    The set is as long as its text. Its intervals are constant arrays, one for each sid, searched by halving in generated
+    code, however many gaps the set has.
+    """
+    spans = gtid_intervals(executed)
+    parts = F.split(gtid, ":")
+    number = F.get(parts, F.lit(1)).try_cast("bigint")
+    df = df.withColumns({"_sid": F.lower(F.trim(F.get(parts, F.lit(0)))), "_n": number})
+    if not spans:
+        return df.withColumn(out, F.when(F.col("_n").isNotNull(), F.lit(False))).drop("_sid", "_n")
+    none = F.array().cast("array<bigint>")
+
+    def of_sid(side):
+        sids = spread.literal_array(list(spans), T.StringType())
+        lists = F.from_json(F.lit(json.dumps([[span[side] for span in own] for own in spans.values()])), "array<array<bigint>>")
+        return F.coalesce(F.try_element_at(F.map_from_arrays(sids, lists), F.col("_sid")), none)
+    df = spread.locate(df.withColumn("_lows", of_sid(0)), F.col("_n"), F.col("_lows"), max(map(len, spans.values())), "_at")
+    inside = F.coalesce(F.get(of_sid(1), F.col("_at") - 1) >= F.col("_n"), F.lit(False))
+    return df.withColumn(out, F.when(F.col("_n").isNotNull(), inside)).drop("_sid", "_n", "_lows", "_at")
+
+
 def gtid_difference(a: DataFrame, b: DataFrame, rows_per_block: int = spread.ROWS_PER_BLOCK) -> DataFrame:
     """Transactions of ``a`` that are not in ``b`` as merged intervals (sid, lo, hi).
 

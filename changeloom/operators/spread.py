@@ -8,6 +8,7 @@ the work, never the result, so a rough estimate of them is good enough.
 
 from __future__ import annotations
 
+import base64
 import json
 import math
 
@@ -30,7 +31,11 @@ _PERCENTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.Float
 
 def literal_array(values: list, data_type: T.DataType) -> Column:
     """A constant array column; parsed once by constant folding however long it is."""
-    text = json.dumps([v if isinstance(v, (int, float)) else str(v) for v in values])
+    def plain(v):
+        if isinstance(v, (bytes, bytearray)):
+            return base64.b64encode(v).decode()         # how JSON carries binary values
+        return v if isinstance(v, (int, float)) else str(v)
+    text = json.dumps([plain(v) for v in values])
     return F.from_json(F.lit(text), f"array<{data_type.simpleString()}>")
 
 

@@ -99,6 +99,29 @@ def c8(spark, sf):
     return C.assign_chunk(orders, plan, F.col("o_custkey")).select("o_orderkey", "chunk_id")
 
 
+# Keys that are not numbers, out of the order of the numbers they are made from; bytes and code points from all over.
+_MADE = "(o_orderkey * 2654435761 % 4294967296)"
+_KINDS = {
+    "binary": (f"from_hex(printf('%010x', {_MADE}))", lambda n: F.unhex(F.format_string("%010X", n))),
+    "text": (f"chr(CAST(97 + {_MADE} % 500 AS INTEGER)) || {_MADE}", lambda n: F.concat(F.expr("decode(unhex(lpad(hex(97 + _n % 500), 8, '0')), 'UTF-32')"), n.cast("string"))),
+    "timestamp": (f"make_timestamp({_MADE} * 1000037)", lambda n: F.timestamp_micros(n * 1000037).cast("timestamp_ntz")),
+}
+
+
+def _any_key(kind):
+    def run(spark, sf):
+        orders = O.read(spark, sf, "orders").withColumn("_n", F.col("o_orderkey") * 2654435761 % 4294967296)
+        orders = orders.withColumn("key", _KINDS[kind][1](F.col("_n")))
+        plan = C.plan_chunks(orders, ["key"], 100)
+        return C.assign_chunk(orders, plan, F.col("key")).select("o_orderkey", "chunk_id")
+    return run
+
+
+for _kind, (_sql, _) in _KINDS.items():
+    query(f"c8_{_kind}_key", _MEMBER.format(k=_sql, t="orders", size=100) + ", ranges AS (SELECT i - 1 AS chunk_id, lag(e) OVER (ORDER BY i) AS s, e FROM z)"
+          f" SELECT o_orderkey, CAST(chunk_id AS BIGINT) AS chunk_id FROM orders JOIN ranges ON (s IS NULL OR {_sql} >= s) AND (e IS NULL OR {_sql} < e)")(_any_key(_kind))
+
+
 @query("c11_chunk_by_bytes", """WITH d AS (SELECT o_orderkey, octet_length(encode('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderpriority":"' || o_orderpriority || '"}')) AS bytes FROM orders)
 SELECT o_orderkey, CAST(bytes AS BIGINT) AS bytes, CAST((sum(bytes) OVER (ORDER BY o_orderkey) - bytes) // 65536 AS BIGINT) AS chunk_id FROM d""")
 def c11(spark, sf):
@@ -171,6 +194,21 @@ def l5s(spark, sf):
     return M.state_of_kinds(rows, ["k"])
 
 
+def _state_by_key(make):
+    """The whole changelog over uneven chunks of a key that ``make`` gives for the number."""
+    def run(spark, sf):
+        def keyed(df):
+            return df.withColumn("key", F.struct(make(F.col("key.k")).alias("id")))
+        plan = C.plan_chunks(O.order_images(spark, sf).select(make(F.col("k")).alias("id")), ["id"], 700)
+        rows = M.snapshot_then_log(keyed(snapshot(spark, sf)), keyed(split_log(spark, sf)), plan, marks(spark, plan))
+        return M.state_of_kinds(rows, ["k"])
+    return run
+
+
+query("l5_binary_key", f"{WITH_FINAL} SELECT * FROM final")(_state_by_key(lambda k: F.unhex(F.format_string("%016X", k * 2654435761 % 4294967296))))
+query("l5_text_key", f"{WITH_FINAL} SELECT * FROM final")(_state_by_key(lambda k: F.reverse(F.format_string("%012d", k))))
+
+
 @query("l6_materialize", f"{WITH_FINAL} SELECT * FROM final")
 def l6(spark, sf):
     return L.materialize(everything(spark, sf))

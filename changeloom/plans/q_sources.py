@@ -8,8 +8,9 @@ from ..operators import changelog as L, chunks as C
 from ..operators.progress import commit_progress
 from ..session import scratch_dir
 from ..sources import capture, changestream, envelope, keyvalue, log as logs, snapshot as snaps
+from ..streaming import streams
 from . import orders_log as O
-from .common import FLAT, everything, flat, log_directory, split_log
+from .common import FLAT, everything, finish, flat, log_directory, split_log
 from .log_sql import BASE
 from .registry import query
 
@@ -101,7 +102,7 @@ _SHARDED = f"""{BASE}, sharded AS (SELECT *, 'db_' || (coalesce(acust, bcust) %
 
 @query("s7_capture_tables", f"{_SHARDED} SELECT db, tbl, op, pos, k FROM sharded WHERE db = 'db_1' OR tbl = 'orders_9'")
 def s7(spark, sf):
-    df = capture.capture_tables(O.sharded_changes(spark, sf), ["db_1", "(^(other).*|x{2})"], ["orders_[0-1]"])
+    df = capture.capture_tables(O.sharded_changes(spark, sf), ["db_1", "b_0|d", "shard-[a-f]+"], ["orders_[0-1]"])
     return df.select("db", F.col("table").alias("tbl"), "op", "pos", F.col("key.k").alias("k"))
 
 
@@ -263,6 +264,49 @@ def s16c(spark, sf):
     return L.materialize(rows).select(F.col("_id").alias("id"), "st")
 
 
+_LAST = "CASE WHEN doc_id % 3 = 0 THEN 'd' ELSE 'u' END"
+
+
+@query("s16_transaction_order", f"""SELECT doc_id AS id, 1 AS n, 'c' AS op, NULL AS bst, 'v1' AS ast FROM documents
+UNION ALL SELECT doc_id, 2, 'u', 'v1', 'v2' FROM documents UNION ALL SELECT doc_id, 3, {_LAST}, 'v2', CASE WHEN doc_id % 3 <> 0 THEN 'v3' END FROM documents""")
+def s16t(spark, sf):
+    """Three changes of each document in one transaction, at one cluster time, read in any order and normalised as a stream."""
+    docs, i = O.read(spark, sf, "documents").select("doc_id"), F.col("i")
+    last = F.when(F.col("doc_id") % 3 == 0, "delete").otherwise("update")
+    # Resume token: a mark, the cluster time in 16 hexadecimal digits, and the place in the transaction.
+    token = F.format_string("82%08X%08X2B%02X29296E04", F.lit(1700), F.col("doc_id"), i + 250)
+    whole = F.format_string(',"fullDocument":{"_id":%d,"st":"v%d"}', "doc_id", i)
+    text = F.format_string('{"_id":{"_data":"%s"},"operationType":"%s","ns":{"db":"d","coll":"c"},"documentKey":{"_id":%d},"txnNumber":7,"clusterTime":{"$timestamp":{"t":1700,"i":%d}}',
+                           token, F.when(i == 1, "insert").when(i == 2, "update").otherwise(last), "doc_id", "doc_id")
+    raw = docs.withColumn("i", F.explode(F.array(*map(F.lit, (1, 2, 3))))).select(
+        F.concat(text, F.when((i < 3) | (last != "delete"), whole).otherwise(""), F.lit("}")).alias("value"))
+    rows = changestream.decode_change_stream(raw, "_id bigint, st string", wide=True)
+    source, held, out, state = (scratch_dir(spark, n) for n in ("log", "held", "changes", "state"))
+    rows.repartition(3, F.xxhash64("pos")).sortWithinPartitions(F.xxhash64("pos", F.lit(1))).write.parquet(source)
+    finish(streams.stream_normalize(logs.read_log(spark, source, rows.schema, stream=True), held, out, state))
+    done = spark.read.schema(rows.schema).parquet(out)
+    return done.select(F.col("key._id").alias("id"), (F.conv(F.substring("pos", 41, 2), 16, 10).cast("int") - 250).alias("n"), "op",
+                       F.col("before.st").alias("bst"), F.col("after.st").alias("ast"))
+
+
+# Three servers; the set has gaps, single numbers, an interval in two pieces, and a server that is not in the log.
+_GTIDS = "aa-1:1-300:302-400:700, BB-2:5-2000,aa-1:401-450, dd-9:1-10"
+_SID = "CASE k % 3 WHEN 0 THEN 'aa-1' WHEN 1 THEN 'bb-2' ELSE 'cc-3' END"
+
+
+@query("s11_start_by_gtid_set", f"""WITH o AS (SELECT o_orderkey AS k FROM orders), g AS (SELECT k, {_SID} AS sid, k // 3 + 1 AS n FROM o)
+SELECT k, sid, n FROM g WHERE NOT (sid = 'aa-1' AND (n BETWEEN 1 AND 300 OR n BETWEEN 302 AND 450 OR n = 700)) AND NOT (sid = 'bb-2' AND n BETWEEN 5 AND 2000)""")
+def s11g(spark, sf):
+    k = F.col("k")
+    sid = F.when(k % 3 == 0, "aa-1").when(k % 3 == 1, "bb-2").otherwise("cc-3")
+    number = F.floor(k / 3).cast("bigint") + 1
+    raw = O.read(spark, sf, "orders").select(F.col("o_orderkey").alias("k")).select(
+        F.format_string('{"op":"c","after":{"k":%d},"source":{"file":"log.000001","pos":%d,"gtid":"%s:%d"}}', k, k, sid, number).alias("value"))
+    rows = envelope.decode_envelope(raw, "k bigint", ["k"], keep=["gtid"])
+    parts = F.split("gtid", ":")
+    return capture.start_after_gtids(rows, _GTIDS).select("key.k", parts[0].alias("sid"), parts[1].cast("bigint").alias("n"))
+
+
 # Values as the wire has them: days, milliseconds and microseconds since the epoch, ISO instants, sets as text, base64.
 @query("s1_wire_values", """SELECT event_id AS id, CAST(CAST(event_id % 20000 AS INTEGER) + DATE '1970-01-01' AS VARCHAR) AS d, epoch_ms(TIMESTAMP '2001-02-03 04:05:06') + event_id AS ms,
 epoch_ms(TIMESTAMP '2001-02-03 04:05:06') * 1000 + event_id AS us, CAST(978307200 + event_id AS BIGINT) AS zoned, CASE WHEN event_id % 3 = 0 THEN 'a|b' WHEN event_id % 3 = 1 THEN 'a' ELSE '' END AS s FROM events""")

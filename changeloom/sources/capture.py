@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..operators import progress
 from .position import log_position, wide_position
 
 # ---------------------------------------------------------------- tables
@@ -155,6 +156,16 @@ SOURCE_MODES = {
 }
 
 
+def start_after_gtids(df: DataFrame, executed: str, gtid: str = "gtid") -> DataFrame:
+    """Log rows whose transaction is not in the set ``executed`` (``sid:1-5:7, sid2:1-9``); column ``gtid`` holds each
+    row's ``sid:number``. The set may have gaps and any number of sids: a transaction is left out because it is in the set,
+    not because others of its sid come later. Snapshot rows are left out; a log row without an id is an error.
+    """
+    log = progress.in_gtid_set(df.where(F.col("op") != "r"), F.col(gtid), executed, "_done")
+    missing = F.raise_error(F.lit(f"a change has no transaction id in {gtid}")).cast("boolean")
+    return log.where(~F.coalesce("_done", missing)).drop("_done")
+
+
 def start_from(df: DataFrame, mode: str = "initial", *, offset: int | str | tuple[str | int, ...] | None = None,
                now_pos: int | None = None, timestamp_ms: int | None = None, skip_events: int = 0,
                skip_rows: int = 0, source: str | None = None) -> DataFrame:

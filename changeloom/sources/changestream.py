@@ -8,11 +8,19 @@ from pyspark.sql import functions as F, types as T
 from ..functions.documents import decode_document, get
 from .position import packed
 
+# Digits of the cluster time in a wide position.
+TIME_DIGITS = 20
+
 
 def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
-                         hints: dict[str, str] | None = None) -> DataFrame:
+                         hints: dict[str, str] | None = None, wide: bool = False) -> DataFrame:
     """Change events to change rows. Updates and replacements carry the looked-up whole document,
-    deletes only the key; events that concern no document are left out."""
+    deletes only the key; events that concern no document are left out.
+
+    The position is the cluster time, as a number. All changes of one transaction have the same one; what tells them apart
+    is the resume token of the event (``_id._data``), hexadecimal text whose order is that of the stream. ``wide`` positions
+    are texts, the cluster time in 20 digits and the token. Without them a change of a transaction is an error.
+    """
     row = doc_schema if isinstance(doc_schema, T.StructType) else T.StructType.fromDDL(doc_schema)
     if "_id" not in row.fieldNames():
         raise ValueError("a document schema needs _id")
@@ -38,6 +46,13 @@ def decode_change_stream(raw: DataFrame, doc_schema, column: str = "value",
     place = F.coalesce(packed(seconds, counter), at("resume", kind="bigint"))
     place = F.when(place.isNotNull(), place).when((op == "r") | op.isNull(), F.lit(0)).otherwise(
         F.raise_error(F.lit("a change has no cluster time")).cast("bigint"))
+    in_transaction = at("txnNumber").isNotNull() & op.isin("c", "u", "d")
+    if wide:
+        token = F.upper(F.coalesce(at("_id", "_data"), at("resumeToken", "_data")))
+        untold = F.raise_error(F.lit("a change of a transaction has no resume token")).cast("string")
+        place = F.concat(F.lpad(place.cast("string"), TIME_DIGITS, "0"), F.when(token.isNotNull(), token).when(in_transaction, untold).otherwise(""))
+    else:
+        place = F.when(in_transaction, F.raise_error(F.lit("changes of a transaction need wide=True")).cast("bigint")).otherwise(place)
     df = df.withColumn("_key", key).select(
         at("ns", "db").alias("db"), F.lit(None).cast("string").alias("schema"),
         at("ns", "coll").alias("table"), op.alias("op"), place.alias("pos"),

@@ -66,7 +66,8 @@ def _typed(image: Column, row: T.StructType, decimal_mode: str, units: dict[str,
 
 def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "value",
                     decimal_mode: str = "native", position: Sequence[str] = POSITION,
-                    units: dict[str, str] | None = None, wrapped: bool = False, wide: bool | None = None) -> DataFrame:
+                    units: dict[str, str] | None = None, wrapped: bool = False, wide: bool | None = None,
+                    keep: Sequence[str] = ()) -> DataFrame:
     """Envelope texts to change rows.
 
     ``position`` names the source's position fields (see ``position.of_source``); a change without them is an
@@ -74,23 +75,24 @@ def decode_envelope(raw: DataFrame, row_schema, key: list[str], column: str = "v
     timestamps numbers since the epoch in the column's ``units`` (micros unless named), or text; sets may be arrays
     or comma-separated. Times of the day in ``time millis`` become microseconds. ``wrapped`` texts hold the envelope as
     their ``payload``. ``wide`` positions are texts that hold counters of up to 80 bits; unless given, they are used for
-    several fields that are not a file and a place.
+    several fields that are not a file and a place. ``keep`` names further text fields of the source, such as ``gtid``,
+    that become columns behind the others.
 
     ``decimal_mode`` says how decimals are written: ``native`` and ``numeric`` as JSON numbers (read
     straight into the declared type, never through a double), ``base64`` as unscaled bytes.
     """
     row = _row_type(row_schema)
     wire = _wire_type(row, decimal_mode).simpleString()
-    source = ",".join([SOURCE_FIELDS, *[f"{f}:string" for f in position]])
+    source = ",".join([SOURCE_FIELDS, *[f"{f}:string" for f in dict.fromkeys([*position, *keep])]])
     envelope = (f"struct<before:{wire},after:{wire},source:struct<{source}>,op:string,ts_ms:bigint>")
     if wrapped:
         envelope = f"struct<payload:{envelope}>"
     df = raw.withColumn("_e", F.from_json(column, envelope))
     return _change_rows(df, F.col("_e.payload") if wrapped else F.col("_e"), row, key, decimal_mode, list(position), units or {},
-                        is_wide(position) if wide is None else wide)
+                        is_wide(position) if wide is None else wide, list(keep))
 
 
-def _change_rows(df, e, row, key, decimal_mode, position, units, wide):
+def _change_rows(df, e, row, key, decimal_mode, position, units, wide, keep=()):
     before, after = (_typed(e[side], row, decimal_mode, units) for side in ("before", "after"))
     df = df.select(e["source"].alias("_s"), e["op"].alias("op"), e["ts_ms"].alias("_ts"),
                    before.alias("before"), after.alias("after"))
@@ -104,7 +106,7 @@ def _change_rows(df, e, row, key, decimal_mode, position, units, wide):
         "op", at.alias("pos"),
         (F.coalesce("_s.row", F.lit(0)) * 2 + F.coalesce("_s.part", F.lit(0))).cast("int").alias("sub"),
         F.col("_s.ts_ms").alias("event_ts"), F.col("_ts").alias("fetch_ts"),
-        F.struct(*[payload[k].alias(k) for k in key]).alias("key"), "before", "after")
+        F.struct(*[payload[k].alias(k) for k in key]).alias("key"), "before", "after", *[F.col(f"_s.{c}").alias(c) for c in keep])
 
 
 # ---------------------------------------------------------------- embedded schema

@@ -197,13 +197,14 @@ def read_table(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("k
 
 
 def write_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ("key",), partition_by: tuple[str, ...] = (),
-                buckets: int = BUCKETS) -> dict:
-    """Write the folder of a batch and return the commit that makes it visible."""
+                buckets: int = BUCKETS, bucket_by: tuple[str, ...] | None = None) -> dict:
+    """Write the folder of a batch and return the commit that makes it visible. ``bucket_by`` names some of the columns of
+    ``by``, where rows are looked up by those; it must always be the same for a table."""
     spark = batch.sparkSession
     table, stream = open_table(spark, path, buckets), stream_of(spark)
     # Stream and id in the name make a rewrite after a crash land on its own unfinished attempt.
     name = f"delta-{stream}-{batch_id}"
-    _write(latest_changes(batch, by), f"{path}/data/v={name}", bucket_of(batch, by, table.buckets), partition_by)
+    _write(latest_changes(batch, by), f"{path}/data/v={name}", bucket_of(batch, bucket_by or by, table.buckets), partition_by)
     written = [int(n.split("=")[1]) for n in Folder(spark, f"{path}/data/v={name}").names() if n.startswith("bucket=")]
     return {"kind": "add", "stream": stream, "batch_id": batch_id, "data": name, "in": sorted(written), "time": int(time.time() * 1000)}
 
@@ -214,18 +215,19 @@ def commit_batch(spark: SparkSession, path: str, commit: dict) -> bool:
 
 
 def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ("key",),
-                 partition_by: tuple[str, ...] = (), compact_every: int = 20, buckets: int = BUCKETS) -> bool:
+                 partition_by: tuple[str, ...] = (), compact_every: int = 20, buckets: int = BUCKETS,
+                 bucket_by: tuple[str, ...] | None = None) -> bool:
     """Apply change rows; False when this batch of this stream is already in. The last change per key wins."""
     spark = batch.sparkSession
     table = open_table(spark, path, buckets)
     if table.has(stream_of(spark), batch_id):
         return False
-    compact(spark, path, batch.schema, by, partition_by, compact_every)
-    return commit_batch(spark, path, write_batch(batch, path, batch_id, by, partition_by, buckets))
+    compact(spark, path, batch.schema, by, partition_by, compact_every, bucket_by)
+    return commit_batch(spark, path, write_batch(batch, path, batch_id, by, partition_by, buckets, bucket_by))
 
 
 def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key",),
-            partition_by: tuple[str, ...] = (), over: int = 1) -> None:
+            partition_by: tuple[str, ...] = (), over: int = 1, bucket_by: tuple[str, ...] | None = None) -> None:
     """Fold the buckets that more than ``over`` folders can be folded in; deleted keys stay as their last change."""
     table, now = load(spark, path), time.time() * 1000
     if table is None:
@@ -239,7 +241,7 @@ def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key"
             places.setdefault(name, set()).add(bucket)
     name = f"fold-{uuid.uuid4().hex}"
     rows = latest_changes(_read(spark, path, schema, places), by)
-    _write(rows, f"{path}/data/v={name}", bucket_of(rows, by, table.buckets), partition_by)
+    _write(rows, f"{path}/data/v={name}", bucket_of(rows, bucket_by or by, table.buckets), partition_by)
     _commit(spark, path, lambda t: {"kind": "fold", "data": name, "replaces": {str(b): names for b, names in due.items()}})
 
 

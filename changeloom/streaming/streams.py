@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import merge
-from ..operators.changelog import (Keys, dedup_at_least_once, materialize, normalize_upserts, offset_column,
-                                   split_key_updates)
+from ..operators.changelog import (Keys, dedup_at_least_once, latest_changes, materialize,
+                                   normalize_upserts, offset_column, split_key_updates)
 from ..operators.views import DimChange, enrich_changes
 from ..sources.envelope import decode_envelope
 from .sinks import load, read_changes, stream_of, touched_buckets, upsert_batch, upsert_sink
@@ -120,35 +120,75 @@ def stream_enrich(raw: DataFrame, fact: Side, dims: list[Side], state_path: str,
     Each micro-batch writes the kinded rows of the results it changed to ``out_path/stream=ID/batch=N``. Both
     images of dim changes are needed. The states before a batch are read as of that batch, so a
     replay after a crash writes the same output again.
+
+    A batch reads what it touches. The keys of the facts that hold a value of a dim are kept in an index, a keyed table in
+    buckets of that value; with the facts that changed themselves they are the facts in question. Of the facts, and
+    of dims whose key is the shared column, only the buckets of these keys and values are read; other dims are read whole.
     """
     def decode(batch, side):
         rows = batch.where(F.get_json_object("value", "$.source.table") == side.table)
-        return split_key_updates(decode_envelope(rows, side.row, side.key))
-
-    def states(changes, side, batch_id):
-        held = read_changes(changes.sparkSession, f"{state_path}/{side.table}", changes.schema, batch_id)
-        return materialize(held), materialize(held.unionByName(changes))
+        return split_key_updates(decode_envelope(rows, side.row, side.key)).persist()
+
+    def path_of(side, index_of=None):
+        return f"{state_path}/{side.table}" + (f"-by-{index_of.on}" if index_of else "")
+
+    def held(side, changes, keys, batch_id):
+        """Stored changes of the ``keys`` (column ``key``), or of all with None."""
+        spark, path = changes.sparkSession, path_of(side)
+        if keys is None:
+            return read_changes(spark, path, changes.schema, batch_id)
+        rows = read_changes(spark, path, changes.schema, batch_id, touched_buckets(keys, ("key",), load(spark, path)))
+        return rows.join(keys, "key", "left_semi")
+
+    def index_rows(changes, d):
+        """Which fact key has which value of the dim: changes of the index. A value that a fact may have left stays until
+        the fact's before image says so; it costs a look, no more."""
+        def entry(op, image):
+            return F.struct(F.col(f"{image}.{d.on}").alias("on"), F.lit(op).alias("op"))
+        left = F.when(~F.col(f"before.{d.on}").eqNullSafe(F.col(f"after.{d.on}")), entry("d", "before"))
+        moves = F.filter(F.array_compact(F.array(left, entry("c", "after"))), lambda e: e["on"].isNotNull())
+        return changes.select("key", *S.ORDER, F.explode(moves).alias("_e")).select("_e.on", "key", "_e.op", *S.ORDER)
+
+    def holders(d, index, values, batch_id):
+        """Keys of the facts that hold one of the values (column ``on``)."""
+        spark, path = values.sparkSession, path_of(fact, d)
+        rows = read_changes(spark, path, index.schema, batch_id, touched_buckets(values, ("on",), load(spark, path)))
+        return latest_changes(rows.join(values, "on", "left_semi"), ("on", "key")).where("op <> 'd'").select("key")
 
     def apply(batch, batch_id):
-        batch = batch.select("value").persist()
+        kept = {s.table: decode(batch.select("value"), s) for s in (fact, *dims)}
         try:
-            write(batch, batch_id)
+            write(kept, batch_id, kept)
         finally:
-            batch.unpersist()
-
-    def write(batch, batch_id):
-        changes = {s.table: decode(batch, s) for s in (fact, *dims)}
+            for df in kept.values():
+                df.unpersist()
+
+    def write(changes, batch_id, kept):
+        own = changes[fact.table]
+        indexes = {d.on: index_rows(own, d) for d in dims}
+        values = {d.on: changes[d.table].select(F.explode(F.array_compact(F.array(f"before.{d.on}", f"after.{d.on}"))).alias("on")).distinct() for d in dims}
+        keys = own.select("key")
+        for d in dims:
+            keys = keys.unionAll(holders(d, indexes[d.on], values[d.on], batch_id))
+        keys = kept["keys of facts"] = keys.distinct().persist()
+        before = held(fact, own, keys, batch_id)
+        facts = kept["facts"] = before.unionByName(own).persist()
         moved = []
         for d in dims:
-            rows = changes[d.table]
-            values = F.explode(F.array_compact(F.array(f"before.{d.on}", f"after.{d.on}"))).alias(d.on)
-            moved.append(DimChange(*states(rows, d, batch_id), rows.select(values), d.on))
-        old, new = states(changes[fact.table], fact, batch_id)
-        touched = changes[fact.table].select(f"key.{fact.key[0]}")
-        result = enrich_changes(old, new, touched, fact.key[0], moved, result_key)
-        result.write.mode("overwrite").parquet(f"{out_path}/stream={stream_of(batch.sparkSession)}/batch={batch_id}")
-        for s in (*dims, fact):
-            upsert_batch(changes[s.table], f"{state_path}/{s.table}", batch_id)
+            rows, met = changes[d.table], None
+            if d.key == [d.on]:
+                met = facts.select(F.explode(F.array_compact(F.array(f"before.{d.on}", f"after.{d.on}"))).alias(d.on))
+                met = met.unionAll(values[d.on]).distinct().select(F.struct(d.on).alias("key"))
+                rows = rows.join(met, "key", "left_semi")
+            past = held(d, rows, met, batch_id)
+            moved.append(DimChange(materialize(past), materialize(past.unionByName(rows)), values[d.on].withColumnRenamed("on", d.on), d.on))
+        touched = keys.select(f"key.{fact.key[0]}")
+        result = enrich_changes(materialize(before), materialize(facts), touched, fact.key[0], moved, result_key)
+        result.write.mode("overwrite").parquet(f"{out_path}/stream={stream_of(own.sparkSession)}/batch={batch_id}")
+        for d in dims:
+            upsert_batch(changes[d.table], path_of(d), batch_id)
+            upsert_batch(indexes[d.on], path_of(fact, d), batch_id, ("on", "key"), bucket_by=("on",))
+        upsert_batch(own, path_of(fact), batch_id)
 
     return (raw.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

@@ -1,12 +1,13 @@
 """Chunk boundaries and membership."""
 
+import datetime
 import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from changeloom.operators import chunks as C
+from changeloom.operators import chunks as C, spread
 
 CUSTOMERS = [101, 102, 103, 109, 110, 111, 118, 121, 123, *range(1009, 1020), 2000]
 SPARSE = [2, 4, 6, 8, 10, 16, 17, 18, 20, 22]
@@ -173,3 +174,24 @@ def test_bytes_chunks_in_blocks(spark):
         want[f"{i:04d}"] = total // 500
         total += len('{"_id":"0000","body":""}') + i % 37
     assert one == many == want
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("binary", [b"\x00\x01", b"\x7f", b"\x80\x00", b"\xff"]), ("string", ["a", "b'c", "ü", "中"]), ("decimal(38,3)", [Decimal("-1.500"), Decimal("2.001"), Decimal("1000000000000000000000000000000.000")]),
+    ("date", [datetime.date(1969, 1, 1), datetime.date(2024, 2, 29)]), ("timestamp_ntz", [datetime.datetime(1970, 1, 1, 0, 0, 0, 1), datetime.datetime(2020, 1, 1)])])
+def test_bounds_of_any_type_are_found(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values], f"k {kind}")
+    bounds = spread.literal_array(values[1:], df.schema["k"].dataType)
+    assert [r.n for r in spread.locate(df, F.col("k"), bounds, len(values) - 1, "n").sort("k").collect()] == list(range(len(values)))
+
+
+def test_binary_keys_land_in_their_chunks(spark):
+    df = spark.range(100).select(F.unhex(F.format_string("%04X", F.col("id") * 600)).alias("k"))
+    plan = C.plan_chunks(df, ["k"], 10)
+    for literal_bounds in (16_384, 3):
+        counts = C.assign_chunk(df, plan, F.col("k"), literal_bounds=literal_bounds).groupBy("chunk_id").count().collect()
+        assert len(counts) == plan.chunks > 8 and max(r["count"] for r in counts) <= 20
+    parts = C.chunk_predicates(plan, spark, quote='"')
+    assert len(parts) == plan.chunks and parts[0].startswith("\"k\" <= X'") and sum(df.where(p.replace('"', "`")).count() for p in parts) == 100
+    fewer = C.chunk_predicates(plan, spark, chunks_per_task=4)
+    assert len(fewer) == -(-plan.chunks // 4) and sum(df.where(p).count() for p in fewer) == 100

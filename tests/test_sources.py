@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.operators import changelog
+from changeloom.operators import changelog, progress
 from changeloom.session import scratch_dir
 from changeloom.sources import capture, changestream, envelope, keyvalue, log as logs, position, snapshot as snaps
 
@@ -276,3 +276,31 @@ def test_routing(spark):
     path = scratch_dir(spark, "routed")
     logs.write_routed(df, path)
     assert spark.read.parquet(f"{path}/db=a/table=x").count() == 2
+
+
+def test_gtid_sets(spark):
+    text = "AA:1-5:7:8-9, bb:3,aa:11-12:6"
+    assert progress.gtid_intervals(text) == {"aa": [(1, 9), (11, 12)], "bb": [(3, 3)]} and progress.gtid_intervals("") == {}
+    ids = ["aa:1", "aa:9", "aa:10", "aa:12", "aa:13", "bb:2", "bb:3", "BB:3", "cc:1", None, "x"]
+    rows = progress.in_gtid_set(spark.createDataFrame([(i,) for i in ids], "g string"), F.col("g"), text, "inside").collect()
+    assert [r.inside for r in rows] == [True, True, False, True, False, False, True, True, False, None, None]
+    assert [r.inside for r in progress.in_gtid_set(spark.createDataFrame([("aa:1",)], "g string"), F.col("g"), "", "inside").collect()] == [False]
+
+
+def test_start_after_gtids_needs_an_id(spark):
+    rows = spark.createDataFrame([("r", None), ("c", "aa:1"), ("u", "aa:2")], "op string, gtid string")
+    assert [r.gtid for r in capture.start_after_gtids(rows, "aa:1").collect()] == ["aa:2"]
+    with pytest.raises(Exception, match="no transaction id"):
+        capture.start_after_gtids(spark.createDataFrame([("c", None)], rows.schema), "aa:1").collect()
+
+
+def test_changes_of_a_transaction_are_told_apart(spark):
+    event = '{"_id":{"_data":"82AA%s"},"operationType":"update","ns":{"db":"d","coll":"c"},"documentKey":{"_id":1},"fullDocument":{"_id":1,"st":"%s"},"txnNumber":1,"clusterTime":{"$timestamp":{"t":5,"i":1}}}'
+    raw = spark.createDataFrame([(event % ("0b", "last"),), (event % ("0A", "first"),)], "value string")
+    wide = changestream.decode_change_stream(raw, "_id bigint, st string", wide=True)
+    assert [(r.after.st, r.pos) for r in wide.sort("pos").collect()] == [("first", f"{(5 << 32) + 1:020d}82AA0A"), ("last", f"{(5 << 32) + 1:020d}82AA0B")]
+    assert [r.st for r in changelog.materialize(wide).collect()] == ["last"] and changelog.dedup_at_least_once(wide.unionAll(wide)).count() == 2
+    with pytest.raises(Exception, match="need wide=True"):
+        changestream.decode_change_stream(raw, "_id bigint, st string").collect()
+    with pytest.raises(Exception, match="no resume token"):
+        changestream.decode_change_stream(raw.select(F.regexp_replace("value", "_data", "_other").alias("value")), "_id bigint, st string", wide=True).collect()
