@@ -267,6 +267,20 @@ def s16c(spark, sf):
 _LAST = "CASE WHEN doc_id % 3 = 0 THEN 'd' ELSE 'u' END"
 
 
+@query("s2_type_change", """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_orderkey * 3000000000 END AS n,
+CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE o_orderstatus END AS st FROM orders""")
+def s2t(spark, sf):
+    """Two columns change their type in the log: int to bigint, and int to text."""
+    orders, k = O.read(spark, sf, "orders"), F.col("o_orderkey")
+
+    def schema(n, st):
+        image = f'{{"type":"int64","field":"k"}},{{"type":"{n}","field":"n"}},{{"type":"{st}","field":"st"}}'
+        return '{"schema":{"type":"struct","fields":[' + ",".join(f'{{"type":"struct","optional":true,"field":"{side}","fields":[{image}]}}' for side in ("before", "after")) + ']},"payload":{"op":"c","after":{"k":%d,"n":%d,"st":%s},"source":{"table":"orders","pos":%d}}}'
+    text = F.when(k % 2 == 0, F.format_string(schema("int32", "int32"), k, k, k.cast("string"), k)).otherwise(
+        F.format_string(schema("int64", "string"), k, k * 3_000_000_000, F.concat(F.lit('"'), "o_orderstatus", F.lit('"')), k))
+    return envelope.decode_envelope_with_schema(orders.select(text.alias("value")), ["k"]).select("after.k", "after.n", "after.st")
+
+
 @query("s16_transaction_order", f"""SELECT doc_id AS id, 1 AS n, 'c' AS op, NULL AS bst, 'v1' AS ast FROM documents
 UNION ALL SELECT doc_id, 2, 'u', 'v1', 'v2' FROM documents UNION ALL SELECT doc_id, 3, {_LAST}, 'v2', CASE WHEN doc_id % 3 <> 0 THEN 'v3' END FROM documents""")
 def s16t(spark, sf):

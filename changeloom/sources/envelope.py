@@ -97,7 +97,8 @@ def _change_rows(df, e, row, key, decimal_mode, position, units, wide, keep=()):
     df = df.select(e["source"].alias("_s"), e["op"].alias("op"), e["ts_ms"].alias("_ts"),
                    before.alias("before"), after.alias("after"))
     payload = F.coalesce("after", "before")
-    at = of_source(F.col("_s"), position, wide)
+    # In a projection of its own, so that it is worked out once.
+    df, at = df.withColumn("_at", of_source(F.col("_s"), position, wide)), F.col("_at")
     kind = "string" if wide else "bigint"
     missing = F.raise_error(F.lit(f"a change has no position in {position}")).cast(kind)
     at = F.when(at.isNotNull(), at).when((F.col("op") == "r") | F.col("op").isNull(), F.lit(0).cast(kind)).otherwise(missing)
@@ -145,22 +146,62 @@ def embedded_type(field: dict) -> T.DataType:
     return logical or WIRE_TYPES[field["type"]]
 
 
+# Numbers that hold all values of those before them.
+_WIDER = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds the values of both on the wire: the wider number, text for what is written as text or as a
+    number, decimals of one scale. None where there is none."""
+    if a == b:
+        return a
+    if a in _WIDER and b in _WIDER:
+        return max(a, b, key=_WIDER.index)
+    if {a, b} == {T.FloatType(), T.DoubleType()}:
+        return T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType) and a.scale == b.scale:
+        return T.DecimalType(max(a.precision, b.precision), a.scale)
+    if T.StringType() in (a, b) and {a, b} <= {T.StringType(), T.BooleanType(), *_WIDER}:
+        return T.StringType()
+    return None
+
+
 def embedded_row_type(*schema_jsons: str) -> tuple[T.StructType, dict[str, str]]:
-    """(row type, timestamp units) of one or more embedded schemas of a table: the union of their columns. A column whose
-    type changed is an error."""
+    """(row type, timestamp units) of one or more embedded schemas of a table: the union of their columns, each of a type
+    that holds all its values (``wider_type``). A change to a type that is written in another way is an error."""
     found, units = {}, {}
     for text in schema_jsons:
         after = next(f for f in json.loads(text)["fields"] if f["field"] == "after")
         for f in after["fields"]:
-            kind = embedded_type(f)
-            if found.setdefault(f["field"], kind) != kind:
-                raise ValueError(f"column {f['field']!r} is {found[f['field']].simpleString()} in one schema and {kind.simpleString()} in another")
+            name, kind = f["field"], embedded_type(f)
             unit = next((u for end, _, u in LOGICAL_TYPES if f.get("name", "").endswith(end)), None)
-            if units.setdefault(f["field"], unit) != unit:
-                raise ValueError(f"column {f['field']!r} is in {units[f['field']] or 'no unit'} in one schema and in {unit or 'no unit'} in another")
+            wide = wider_type(found.setdefault(name, kind), kind)
+            if wide is None:
+                raise ValueError(f"column {name!r} is {found[name].simpleString()} in one schema and {kind.simpleString()} in another")
+            if units.setdefault(name, unit) != unit:
+                raise ValueError(f"column {name!r} is in {units[name] or 'no unit'} in one schema and in {unit or 'no unit'} in another")
+            found[name] = wide
     return T.StructType([T.StructField(n, t) for n, t in found.items()]), {f: u for f, u in units.items() if u}
 
 
+def _schema_or_head(column: str):
+    """What tells the schema of an event: where the text begins with it, all before the payload, which is cheap to find;
+    else the schema, by parsing the text."""
+    text = F.col(column)
+    ahead = text.startswith('{"schema":') & text.contains('"payload":')
+    return F.when(ahead, F.substring_index(text, '"payload":', 1)).otherwise(F.get_json_object(text, "$.schema"))
+
+
+def _schema_of(text: str) -> str | None:
+    """The schema in what ``_schema_or_head`` gives; None where the head ends inside it."""
+    if not text.startswith('{"schema":'):
+        return text
+    try:
+        return json.dumps(json.loads(text.rstrip().removesuffix(",") + "}")["schema"])
+    except ValueError:
+        return None
+
+
 def schema_samples(raw: DataFrame, column: str = "value") -> DataFrame:
     """The embedded schemas of each table: table, schema_json. Reduced map-side to the distinct texts."""
     text = F.col(column)
@@ -173,14 +214,17 @@ def decode_envelope_with_schema(raw: DataFrame, key: list[str], table: str | Non
                                 schema_json: str | Sequence[str] | None = None, column: str = "value") -> DataFrame:
     """``{schema, payload}`` texts of one table, typed by the schema they carry.
 
-    Schemas may differ from event to event: rows have the columns of all of them. The driver reads the distinct schemas,
-    of which a table has one per change of its columns, unless the caller passes one.
+    Schemas may differ from event to event: rows have the columns of all of them, of types that hold the values of all. The
+    driver reads the distinct schemas, of which a table has one per change of its columns, unless the caller passes one.
     """
     rows = raw if table is None else raw.where(
         F.get_json_object(column, "$.payload.source.table") == table)
     schemas = [schema_json] if isinstance(schema_json, str) else schema_json
     if schemas is None:
-        schemas = sorted(r.s for r in rows.select(F.get_json_object(column, "$.schema").alias("s")).where("s is not null").distinct().collect())
+        found = [_schema_of(r.s) for r in rows.select(_schema_or_head(column).alias("s")).where("s is not null").distinct().collect()]
+        if None in found:
+            found = [r.s for r in rows.select(F.get_json_object(column, "$.schema").alias("s")).where("s is not null").distinct().collect()]
+        schemas = sorted(set(found))
         if not schemas:
             raise ValueError("no row to take a schema from; pass schema_json")
     row, units = embedded_row_type(*schemas)

@@ -61,14 +61,22 @@ def is_wide(fields: list[str]) -> bool:
 
 def of_source(source: Column, fields: list[str], wide: bool) -> Column:
     """Position from the named fields of an event's source: ``file`` and a place in it, or counters of which the first
-    leads. Text may be a number or colon-separated hexadecimal counters of 32, 32 and 16 bits, which are read as one
-    number. Null where the last field is missing; another missing one counts as 0.
+    leads. Text is a number, or in fields whose name has ``lsn`` in it colon-separated hexadecimal counters of 32, 32
+    and 16 bits, which are read as one number. Null where the last field is missing; another missing one counts as 0.
 
     The position is a bigint, and a part that does not fit is an error; or, if ``wide``, a text of DIGITS digits for each
     field, whose order is that of the fields.
     """
     def number(name):
         value = source[name].cast("string")
+        kind = f"decimal({DIGITS},0)" if wide else "bigint"
+        if name == "file":
+            return file_number(value).cast(kind)
+        plain = value.try_cast(kind)
+        if "lsn" not in name.lower():
+            # Text that is no number of this size would otherwise count as missing.
+            outside = value.isNotNull() & F.coalesce(plain < 0, F.lit(True))
+            return _checked(plain, outside, f"{name} is no number of type {kind}")
         parts = F.split(value, ":")
         counters = [F.conv(F.get(parts, F.lit(i)), 16, 10).cast("decimal(20,0)") for i in range(3)]
         counters[2] = F.coalesce(counters[2], F.lit(0).cast("decimal(20,0)"))
@@ -77,17 +85,12 @@ def of_source(source: Column, fields: list[str], wide: bool) -> Column:
         outside = F.lit(False)
         for c, b in zip(counters, bits):
             outside = outside | (c >= F.lit(1 << b))
-        kind = f"decimal({DIGITS},0)" if wide else "bigint"
         first, second, third = (_checked(c, outside, f"{name} has counters of more than {bits} bits").cast("bigint") for c in counters)
         if wide:
             hexa = first.cast("decimal(10,0)") * F.lit(1 << 48).cast("decimal(15,0)") + (F.shiftleft(second, 16) + third).cast("decimal(15,0)")
         else:
             hexa = F.shiftleft(first, 32) + F.shiftleft(second, 8) + third
-        if name == "file":
-            return file_number(value).cast(kind)
-        plain = value.try_cast(kind)
-        # Text that is no number of this size would otherwise count as missing.
-        plain = _checked(plain, value.isNotNull() & (plain.isNull() | (plain < 0)), f"{name} is no number of type {kind}")
+        plain = _checked(plain, value.isNotNull() & ~value.contains(":") & (plain.isNull() | (plain < 0)), f"{name} is no number of type {kind}")
         return F.when(value.contains(":"), hexa.cast(kind)).otherwise(plain)
     numbers = [number(f) for f in fields]
     numbers = [F.coalesce(n, F.lit(0).cast(f"decimal({DIGITS},0)" if wide else "bigint")) for n in numbers[:-1]] + numbers[-1:]

@@ -304,3 +304,25 @@ def test_changes_of_a_transaction_are_told_apart(spark):
         changestream.decode_change_stream(raw, "_id bigint, st string").collect()
     with pytest.raises(Exception, match="no resume token"):
         changestream.decode_change_stream(raw.select(F.regexp_replace("value", "_data", "_other").alias("value")), "_id bigint, st string", wide=True).collect()
+
+
+def test_embedded_schema_is_found_wherever_it_is(spark):
+    def event(first, field="v", kind="string", value='"x"'):
+        image = f'{{"type":"int32","field":"k"}},{{"type":"{kind}","field":"{field}"}}'
+        schema = f'"schema":{{"type":"struct","fields":[{{"type":"struct","field":"after","fields":[{image}]}}]}}'
+        payload = f'"payload":{{"op":"c","after":{{"k":1,"{field}":{value}}},"source":{{"pos":5}}}}'
+        return "{" + (f"{schema},{payload}" if first else f"{payload},{schema}") + "}"
+    for texts, names in (([event(True)], ["k", "v"]), ([event(False, "w")], ["k", "w"]), ([event(True), event(False, "w"), '{"op":1}'], ["k", "v", "w"]),
+                         ([event(True).replace(',"payload"', ' , "payload"')], ["k", "v"])):
+        rows = envelope.decode_envelope_with_schema(spark.createDataFrame([(t,) for t in texts], "value string"), ["k"])
+        assert sorted(rows.schema["after"].dataType.names) == names
+    wide = envelope.decode_envelope_with_schema(spark.createDataFrame([(event(True, kind="int32", value="7"),), (event(True, kind="int64", value="5000000000"),)], "value string"), ["k"])
+    assert sorted(r.after.v for r in wide.collect()) == [7, 5_000_000_000]
+
+
+def test_wider_types():
+    from pyspark.sql import types as T
+    w = envelope.wider_type
+    assert w(T.IntegerType(), T.LongType()) == T.LongType() and w(T.DoubleType(), T.FloatType()) == T.DoubleType()
+    assert w(T.DecimalType(10, 2), T.DecimalType(20, 2)) == T.DecimalType(20, 2) and w(T.DecimalType(10, 2), T.DecimalType(10, 3)) is None
+    assert w(T.IntegerType(), T.StringType()) == T.StringType() and w(T.DateType(), T.StringType()) is None and w(T.LongType(), T.DoubleType()) is None

@@ -286,3 +286,39 @@ def test_a_batch_touches_the_state_of_its_keys_only(spark, keys):
     done = [p for p in query.recentProgress if p["numInputRows"]]
     assert len(done) == 1 and len(done[0]["sources"]) == 1
     assert done[0]["stateOperators"][0]["numRowsUpdated"] == 1 and done[0]["stateOperators"][0]["numRowsTotal"] == keys
+
+
+def test_stream_enrich_reads_the_buckets_it_touches(spark, monkeypatch):
+    source, held, out, check = (scratch_dir(spark, n) for n in ("in", "held", "out", "c"))
+
+    def dim(*events):
+        rows = batch(spark, *events, table="g")
+        return rows.withColumns({c: F.struct(F.col(f"{c}.id").alias("g"), F.col(f"{c}.v").alias("label")) for c in ("after",)}).withColumns(
+            {"key": F.struct(F.col("key.id").alias("g")), "before": F.when(F.col("op") == "u", F.struct(F.col("after.g").alias("g"), F.lit("old").alias("label")))})
+
+    def fact(*events):
+        rows = batch(spark, *events, table="f")
+        image = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.id").alias("id"), (F.col(f"{c}.id") % 40).cast("int").alias("g")))
+        return rows.withColumns({"after": image("after"), "before": F.lit(None).cast("struct<id:int,g:int>")})
+
+    def run(*parts):
+        texts = None
+        for p in parts:
+            text = envelope.changes_to_json(p)
+            texts = text if texts is None else texts.unionByName(text)
+        texts.coalesce(1).write.mode("append").parquet(source)
+        stream = logs.read_log(spark, source, "value string", stream=True)
+        finish(W.stream_enrich(stream, W.Side("f", "id int, g int", ["id"]), [W.Side("g", "g int, label string", ["g"], "g")], held, out, check))
+    run(fact(*[("c", i, i, "x") for i in range(1, 401)]), dim(*[("c", 1000 + i, i, "old") for i in range(40)]))
+    read = {}
+    plain = W.read_changes
+
+    def watched(spark, path, schema, before=None, buckets=None):
+        read[path.rsplit("/", 1)[1]] = buckets
+        return plain(spark, path, schema, before, buckets)
+    monkeypatch.setattr(W, "read_changes", watched)
+    run(dim(("u", 5000, 7, "new")))
+    rows = spark.read.parquet(f"{out}").where("batch = 1")
+    assert sorted((r.row_kind, r.id, r.label) for r in rows.collect()) == sorted(
+        [(k, i, v) for i in range(7, 401, 40) for k, v in (("-U", "old"), ("+U", "new"))])
+    assert len(read["f-by-g"]) == 1 and len(read["g"]) == 1 and 1 <= len(read["f"]) <= 10
