@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .registry import query, table
-from .stored import Bitmap, components, stored
+from .stored import Bitmap, arrow_rows, components, stored
 
 SHINGLE = 5
 # The similarity asked for is SHARE[0] / SHARE[1].
@@ -44,6 +44,11 @@ FREQUENT = 64
 SALTS = 64
 # List entries in a bucket, on average.
 BUCKET = 400_000
+# Texts in an Arrow batch, and bytes of text that a task works on at once.
+ARROW_ROWS = 1_000
+SLICE_BYTES = 1 << 20
+# Entries that a task makes at once.
+ENTRIES = 1 << 17
 # Comparisons with one set that one task makes.
 MEMBERS = 2_000
 # Turns of comparing each open list with a few of its sets, before the pairs across components.
@@ -111,7 +116,7 @@ def _sizes_fit(a, b):
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in W.slices(batches, 2):
+    for part in W.slices(batches, 2, SLICE_BYTES):
         sets = shingle_sets(part, 2)
         prefixes = [s[:len(s) - least_overlap(len(s)) + 1] if len(s) else s for s in sets]
         bounds = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
@@ -143,7 +148,7 @@ class _CountAll:
         self.wanted = wanted
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(_KeepRows(self.wanted)(batches), 2):
+        for part in W.slices(_KeepRows(self.wanted)(batches), 2, SLICE_BYTES):
             sets = [s for s in shingle_sets(part, 2) if len(s)]
             if sets:
                 tokens, n = np.unique(np.concatenate(sets), return_counts=True)
@@ -163,41 +168,41 @@ class _Enter:
         self.frequent, self.boundary, self.buckets = frequent, boundary, buckets
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, 2):
-            keys, often, ids, sizes, places = [], [], [], [], []
+        for part in W.slices(batches, 2, SLICE_BYTES):
+            made, held = [], 0
             for tokens in shingle_sets(part, 2):
-                n = len(tokens)
-                if n < 2:
-                    continue            # one shingle: only equal sets link, and those are one set already
-                hot = self.frequent(tokens)
-                order = np.argsort(hot, kind="stable")
-                tokens, hot, rest, found = tokens[order], hot[order], n - least_overlap(n), 0
-                if n > self.boundary:
-                    p = min(n, rest + 2)
-                    keys.append(tokens[:p])
-                    often.append(hot[:p])
-                    places.append(np.arange(p, dtype=np.int32))
-                    found += p
-                if n * SHARE[0] <= self.boundary * SHARE[1]:
-                    p = rest + 2
-                    i, j = _pairs_of(p)
-                    low, high = np.minimum(tokens[i], tokens[j]), np.maximum(tokens[i], tokens[j])
-                    keys.append(W.mix(low * W.ROLL[0] + W.mix(high) * W.ROLL[1]))
-                    often.append(hot[i] & hot[j])
-                    places.append(np.full(len(i), -1, np.int32))
-                    found += len(i)
-                ids += [(set_id(tokens), found)]
-                sizes += [n]
-            if not ids:
-                continue
-            n = np.array([f for _, f in ids])
-            key, hot, own = np.concatenate(keys), np.concatenate(often), np.repeat(np.array([i for i, _ in ids], np.int64), n)
-            # Entries of a frequent key are dealt to SALTS buckets by their set.
-            salt = np.where(hot, W.mix(own.view(np.uint64)) % np.uint64(SALTS), np.uint64(0))
-            bucket = (W.mix(key + salt * W.ROLL[1]) % np.uint64(self.buckets)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), pa.array(W.signed(key)), pa.array(hot), pa.array(own), pa.array(np.repeat(np.array(sizes, np.int32), n)),
-                 pa.array(np.concatenate(places))], schema=_ENTRIES)
+                for entries in self._of(tokens):
+                    made.append(entries)
+                    held += len(entries[0])
+                    if held >= ENTRIES:
+                        yield self._batch(made)
+                        made, held = [], 0
+            if made:
+                yield self._batch(made)
+
+    def _of(self, tokens: np.ndarray) -> Iterator[tuple]:
+        """(keys, frequent, places, set id, size) of a set. The place of a subset is -1 - that of its later shingle."""
+        n = len(tokens)
+        if n < 2:
+            return              # one shingle: only equal sets link, and those are one set already
+        hot = self.frequent(tokens)
+        order = np.argsort(hot, kind="stable")
+        tokens, hot, own, p = tokens[order], hot[order], set_id(tokens), n - least_overlap(n) + 2
+        if n > self.boundary:
+            yield tokens[:p], hot[:p], np.arange(min(n, p), dtype=np.int32), own, n
+        if n * SHARE[0] <= self.boundary * SHARE[1]:
+            i, j = _pairs_of(p)
+            low, high = np.minimum(tokens[i], tokens[j]), np.maximum(tokens[i], tokens[j])
+            yield W.mix(low * W.ROLL[0] + W.mix(high) * W.ROLL[1]), hot[i] & hot[j], (-1 - j).astype(np.int32), own, n
+
+    def _batch(self, made: list[tuple]) -> pa.RecordBatch:
+        key, hot, place = (np.concatenate([m[i] for m in made]) for i in range(3))
+        count = [len(m[0]) for m in made]
+        own, size = (np.repeat(np.array([m[i] for m in made], kind), count) for i, kind in ((3, np.int64), (4, np.int32)))
+        # Entries of a frequent key are dealt to SALTS buckets by their set.
+        salt = np.where(hot, W.mix(own.view(np.uint64)) % np.uint64(SALTS), np.uint64(0))
+        bucket = (W.mix(key + salt * W.ROLL[1]) % np.uint64(self.buckets)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (bucket, W.signed(key), hot, own, size, place)], schema=_ENTRIES)
 
 
 def _make_lists(group: pa.Table) -> pa.Table:
@@ -218,17 +223,34 @@ def _make_lists(group: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([rows[c] for c in ("key", "frequent", "set_id", "n", "place")] + [heads[c] for c in ("set_id", "n", "place")], schema=_LISTS)
 
 
+def _at(place):
+    """Place of an entry's shingle in its set, of a subset's later one."""
+    return F.when(place < 0, -1 - place).otherwise(place)
+
+
 def _meeting_twice(met: DataFrame) -> DataFrame:
-    """Pairs (a, b) that can link, of meetings (a, b, a_n, b_n, a_place, b_place) in lists and subsets (place -1).
+    """Pairs (a, b) that can link, of meetings (a, b, a_n, b_n, a_place, b_place) in lists and subsets (place under 0).
 
-    Linked sets have ``needed`` shingles in common, so two of them are among the first n - needed + 2 of both.
+    Linked sets have ``needed`` shingles in common, so the first two of them are among the first n - needed + 2 of both.
     """
     a_n, b_n = F.col("a_n"), F.col("b_n")
-    early = F.least(a_n - F.col("a_place"), b_n - F.col("b_place")) >= _needed(a_n, b_n) - 1
+    early = F.least(a_n - _at(F.col("a_place")), b_n - _at(F.col("b_place"))) >= _needed(a_n, b_n) - 1
     times = F.sum(F.when(F.col("a_place") < 0, 2).otherwise(1))
     return met.where(_sizes_fit(a_n, b_n) & early).groupBy("a", "b").agg(times.alias("times")).where("times >= 2").select("a", "b")
 
 
+def _across(open_lists: DataFrame) -> DataFrame:
+    """Meetings of sets of different components in lists (key, set_id, n, place, label), the smaller set on one side.
+
+    With a set that is no smaller, a set of n shingles shares ceil(6n/7) or more if they link, so on the smaller side only
+    the first seventh of a set counts. Texts of one template whose own words are more than that do not meet, however many.
+    """
+    n = F.col("n")
+    smaller = open_lists.where(n - _at(F.col("place")) >= _needed(n, n) - 1).select("key", F.struct("set_id", "n", "place", "label").alias("y"))
+    larger = (n > F.col("y.n")) | ((n == F.col("y.n")) & (F.col("set_id") > F.col("y.set_id")))
+    return open_lists.join(smaller, "key").where(larger & (F.col("label") != F.col("y.label")))
+
+
 class _KeepRows:
     def __init__(self, wanted: Bitmap):
         self.wanted = wanted
@@ -318,7 +340,11 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
     null id takes part in links but never is a component's id, unless all its documents have none. Equal rows give
     equal results, one each. An empty table gives no rows; other columns are not read.
     """
-    spark = documents.sparkSession
+    with arrow_rows(documents.sparkSession, ARROW_ROWS):
+        return _near_groups(documents, boundary, frequent_from, bucket)
+
+
+def _near_groups(documents: DataFrame, boundary: int | None, frequent_from: int, bucket: int) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     every = stored(rows.mapInArrow(_describe, _ddl(_SETS)), "sets")
     sets = every.where("n > 0")
@@ -362,10 +388,10 @@ def near_groups(documents: DataFrame, boundary: int | None = None, frequent_from
             part = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(OTHERS))
             least = F.min(F.struct(F.xxhash64("key", "set_id", F.lit(turn)), "set_id", "n", "place", "label"))
             other = open_lists.groupBy("key", part.alias("part")).agg(least.alias("y")).select("key", "y")
+            met = open_lists.join(other, "key").where(F.col("label") != F.col("y.label"))
         else:
-            other = open_lists.select("key", F.struct("set_id", "n", "place", "label").alias("y"))
-        differ = F.col("label") < F.col("y.label") if turn == TURNS else F.col("label") != F.col("y.label")
-        met = open_lists.join(other, "key").where(differ).select(
+            met = _across(open_lists)
+        met = met.select(
             F.least("set_id", "y.set_id").alias("a"), F.greatest("set_id", "y.set_id").alias("b"), F.col("n").alias("a_n"), F.col("y.n").alias("b_n"),
             F.col("place").alias("a_place"), F.col("y.place").alias("b_place"))
         found = found.unionAll(_links(rows, sets, _meeting_twice(met)))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -16,6 +18,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Inside, tasks get at most so many rows in one Arrow batch. A batch lies in memory twice, in the JVM and in Python, so
+    where rows are whole texts the usual 10,000 are too many. Holds for what is run inside, not for what is only planned."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Bitmap:
     """A set of 64-bit numbers known by their low bits only: strangers may seem to be in it, members always are.
     Its size is fixed, so it can be broadcast however many members it has.

@@ -82,3 +82,28 @@ def test_bounds_never_exclude_linked_sets():
 def test_boundary_follows_cost():
     assert N.boundary_by_cost([(10, 100), (40, 100)], 1.0) == 0
     assert N.boundary_by_cost([(10, 100), (40, 100)], 1000.0) >= 32
+
+
+@pytest.mark.parametrize("boundary", [0, 64, 128])
+def test_a_template_with_own_words_makes_few_meetings(spark, monkeypatch, boundary):
+    """Unlinked texts, 80 of 100 words the same: what meets must not grow with the square of their number."""
+    rng = random.Random(2)
+    template = [f"t{i}" for i in range(80)]
+    docs = [(i, " ".join([*template, *[f"o{rng.getrandbits(40)}" for _ in range(20)]]), "x", 1) for i in range(200)]
+    met = []
+    across = N._across
+    monkeypatch.setattr(N, "_across", lambda lists: met.append(across(lists).count()) or across(lists))
+    got = rows(N.near_groups(spark.createDataFrame(docs, DOC), boundary))
+    assert got == brute(docs) and len({r[2] for r in got}) == 200
+    assert met == [0] or met[0] < 1000
+
+
+@pytest.mark.parametrize("own", [10, 16, 40])
+def test_templates_with_varying_sizes(spark, own):
+    rng = random.Random(own)
+    docs = []
+    for i in range(120):
+        template = [f"t{j}" for j in range(rng.choice([60, 80, 90]))]
+        docs.append((i, " ".join([*template, *[f"o{rng.randrange(60)}" for _ in range(rng.randrange(own))]]), "x", 1))
+    for boundary in (0, 128):
+        assert rows(N.near_groups(spark.createDataFrame(docs, DOC), boundary, 16, 500)) == brute(docs)
