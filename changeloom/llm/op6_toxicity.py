@@ -37,7 +37,7 @@ STRETCH = 16
 BUCKET_BITS = 17
 NGRAMS = (3, 4, 5)
 # Words whose n-grams are hashed at once.
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 4_000
 DIMS = 4
 # n-grams seen fewer times in the sample, or about as often in both classes, carry no vector; SMOOTH is added to their
 # counts in the starting log-odds.
@@ -53,11 +53,12 @@ RATE = 0.2
 
 def word_grams(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every n-gram of the words, with the whole word as one more."""
-    parts = [_grams_of(vocabulary.slice(at, WORDS_AT_ONCE)) for at in range(0, len(vocabulary), WORDS_AT_ONCE)]
-    if not parts:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    own = [(o + i * WORDS_AT_ONCE).astype(np.int32) for i, (o, _) in enumerate(parts)]
-    return np.concatenate(own), np.concatenate([b.astype(np.int32) for _, b in parts])
+    owns, buckets = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for at in range(0, len(vocabulary), WORDS_AT_ONCE):
+        own, bucket = _grams_of(vocabulary.slice(at, WORDS_AT_ONCE))
+        owns.append((own + at).astype(np.int32))
+        buckets.append(bucket.astype(np.int32))
+    return np.concatenate(owns), np.concatenate(buckets)
 
 
 def _grams_of(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,6 +107,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
+def _counted(at: np.ndarray, n: int, weights: np.ndarray | None = None, by: np.ndarray | None = None, step: int = 1 << 19) -> np.ndarray:
+    """Number of each of 0..n-1 in ``at``, or sum of ``weights[by]`` there, some at a time to hold little."""
+    out = np.zeros(n)
+    for low in range(0, len(at), step):
+        some = slice(low, low + step)
+        out += np.bincount(at[some], None if weights is None else weights[by[some]], n)
+    return out
+
+
 class _Groups:
     """Sums of rows by a fixed group number, by sorting once."""
 
@@ -115,15 +125,17 @@ class _Groups:
         self.starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else np.zeros(0, np.int64)
         self.present, self.n = at[self.starts], n
 
-    def __call__(self, rows: np.ndarray) -> np.ndarray:
-        out = np.zeros((self.n, rows.shape[1]), np.float32)
+    def __call__(self, table: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """Sums of ``table[by]``, whose rows are never held all at once."""
+        out = np.zeros((self.n, table.shape[1]), np.float32)
         if len(self.starts):
-            for d in range(rows.shape[1]):      # a column at a time, to copy little
-                out[self.present, d] = np.add.reduceat(rows[self.order, d], self.starts)
+            at = by[self.order]
+            for d in range(table.shape[1]):
+                out[self.present, d] = np.add.reduceat(table[:, d][at], self.starts)
         return out
 
 
-def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, seed: int = 7) -> Model:
+def fit(texts: pa.Array | list[str], labels: np.ndarray, toxic_share: float | None = None, seed: int = 7) -> Model:
     """Joint training of n-gram vectors and softmax on whole batches; without both labels, only their share is learnt.
 
     Vectors start from each n-gram's smoothed log-odds of being in a toxic text, so the first choice of stretches is
@@ -133,28 +145,35 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     labels = np.asarray(labels, np.int64)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     buckets = 1 << BUCKET_BITS
-    words = W.Words(pa.array(texts, pa.string()), W.LETTERS)
+    words = W.Words(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, W.LETTERS)
+    del texts
     if len(set(labels.tolist())) < 2 or not len(words.flat):
         return Model(np.zeros(buckets), float(np.log(share / (1 - share))))
     coded = words.flat.dictionary_encode()
     code, n_words = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
-    part, text = _stretches(words.offsets, STRETCH)
+    vocabulary, offsets = coded.dictionary, words.offsets
+    del words, coded
+    pa.default_memory_pool().release_unused()
+    part, text = _stretches(offsets, STRETCH)
     part = part.astype(np.int32)
-    own, bucket = word_grams(coded.dictionary)
-    per_word = np.bincount(own, minlength=n_words)[:, None].astype(np.float32)
+    own, bucket = word_grams(vocabulary)
+    per_word = _counted(own, n_words)[:, None].astype(np.float32)
     # In how many texts of each class a bucket is seen (a text counts once for each of its words with it).
-    word_in = np.unique(words.owner() * n_words + code)
-    seen = [np.bincount(bucket, np.bincount((word_in % n_words)[labels[word_in // n_words] == c], minlength=n_words)[own], buckets) for c in (0, 1)]
-    kept = (seen[0] + seen[1])[bucket] >= LEAST_SEEN
+    word_in = np.unique(np.repeat(np.arange(len(labels)) * n_words, np.diff(offsets)) + code)
+    del vocabulary, offsets
+    seen = [_counted(bucket, buckets, np.bincount((word_in % n_words)[labels[word_in // n_words] == c], minlength=n_words), own) for c in (0, 1)]
+    del word_in
+    pa.default_memory_pool().release_unused()
     texts_of = np.bincount(labels, minlength=2)
     odds = np.log((seen[1] + SMOOTH) / (texts_of[1] + SMOOTH)) - np.log((seen[0] + SMOOTH) / (texts_of[0] + SMOOTH))
-    kept &= np.abs(odds[bucket]) >= LEAST_ODDS
+    good = (seen[0] + seen[1] >= LEAST_SEEN) & (np.abs(odds) >= LEAST_ODDS)
+    kept = good[bucket]
     own, bucket = own[kept], bucket[kept]
-    used, column = np.unique(bucket, return_inverse=True)
+    used = np.flatnonzero(_counted(bucket, buckets) > 0)
+    column = np.searchsorted(used, np.arange(buckets)).astype(np.int32)[bucket]
     odds = odds[used]
     rng = np.random.default_rng(seed)
-    column = column.astype(np.int32)
-    del words, coded, word_in, seen, kept
+    del kept, bucket
     params = [rng.normal(0, 0.1, (len(used), DIMS)).astype(np.float32), rng.normal(0, 0.1, (DIMS, 2)), np.array([1.0, -1.0])]
     params[0][:, 0] += odds
     params[1][0] += [-STRETCH / 4, STRETCH / 4]
@@ -163,8 +182,8 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     by_column, by_code = _Groups(column, len(used)), _Groups(code, n_words)
 
     def forward():
-        vectors = by_word(params[0][column]) / per_word
-        means = by_part(vectors[code]) / size
+        vectors = by_word(params[0], column) / per_word
+        means = by_part(vectors, code) / size
         return means, means @ params[1] + params[2]
 
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
@@ -184,8 +203,8 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
         p[np.arange(len(y)), y] -= 1
         d_logit = p * weight[:, None]
         d_mean = (d_logit @ params[1].T / size).astype(np.float32)
-        d_vector = by_code(d_mean[part]) / per_word
-        grads = [by_column(d_vector[own]), means.T @ d_logit, d_logit.sum(0)]
+        d_vector = by_code(d_mean, part) / per_word
+        grads = [by_column(d_vector, own), means.T @ d_logit, d_logit.sum(0)]
         for p_, g, (m, v), rate in zip(params, grads, moments, rates):
             m += 0.1 * (g - m)
             # One scale for a whole table: frequent n-grams move further than rare ones.
@@ -265,7 +284,7 @@ class _Parts:
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
-                    row_bytes: int = TRAIN_BYTES) -> tuple[list[str], np.ndarray, float | None]:
+                    row_bytes: int = TRAIN_BYTES) -> tuple[pa.Array, np.ndarray, float | None]:
     """Texts and labels of at most ``per_class`` rows of each class, outside the held-out fold, and the share of toxic ones.
 
     The sample has at most 2 * per_class * row_bytes. Only if it would be larger, its longest texts are represented by
@@ -283,7 +302,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_class: int = SA
     if most is not None:
         sample = sample.mapInArrow(_Parts(most), sample.schema)
     sample = sample.orderBy("toxic", "_h", "doc_id").select("text", "toxic").toArrow()
-    texts, found = sample["text"].to_pylist(), sample["toxic"].to_pylist()
+    texts, found = sample["text"].combine_chunks(), sample["toxic"].to_pylist()
     share = known.agg(F.avg("toxic")).first()[0]
     return texts, np.array(found, np.int64), share
 

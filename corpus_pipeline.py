@@ -14,12 +14,15 @@ from changeloom.llm import op2_pii, op3_ngram_jaccard, op4_decontaminate, op6_to
 from changeloom.llm.registry import table
 from changeloom.llm.stored import stored
 
+# Documents in an Arrow batch. Every stage hands whole texts to tasks, where a batch lies in memory twice.
+ARROW_ROWS = 1_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 REJECT_FROM = 0.5
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under REJECT_FROM; the model is trained on the labelled ones among ``docs``."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     model = op6_toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = op6_toxicity.score_toxicity(docs, model, COLUMNS)
     # A text without words has nothing toxic in it.
@@ -34,11 +37,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return op4_decontaminate.drop_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind; n_chars follows the text where it was known."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return op2_pii.mask_pii(docs.select(*COLUMNS)).withColumn(
         "n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*COLUMNS)
 

@@ -1,13 +1,16 @@
 """Held-out accuracy on the test data, unseen spellings, and the cases of the docstrings."""
 
+import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from changeloom.llm import op6_toxicity as T
+from changeloom.llm import op6_toxicity as T, words as W
 
 DOC = "doc_id bigint, text string, score string, toxic int"
 
@@ -68,7 +71,7 @@ def test_held_out_fold_is_never_learnt(spark):
     docs = spark.createDataFrame([(i, f"t{i}", "s", 0) for i in range(500)], DOC)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(500)] + [(None, 1, 0), (3, None, 0)], "doc_id bigint, toxic int, quality int")
     texts, found, share = T.training_sample(docs, labels, per_class=1000)
-    assert {int(t[1:]) for t in texts} == {i for i in range(500) if T.fold_of(i)} and abs(share - .5) < .05 and len(found) == len(texts)
+    assert {int(t[1:]) for t in texts.to_pylist()} == {i for i in range(500) if T.fold_of(i)} and abs(share - .5) < .05 and len(found) == len(texts)
     assert [r.h for r in docs.limit(50).select("doc_id", T.held_out(F.col("doc_id")).alias("h")).collect()] == [T.fold_of(i) == 0 for i in range(50)]
 
 
@@ -78,9 +81,10 @@ def test_long_texts_are_learnt(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100)], "doc_id bigint, toxic int, quality int")
     known = [i for i in range(100) if T.fold_of(i)]
     texts, found, _ = T.training_sample(docs, labels)
-    assert len(found) == len(known) and texts.count(long) == sum(i % 10 == 1 for i in known)
+    assert len(found) == len(known) and texts.to_pylist().count(long) == sum(i % 10 == 1 for i in known)
     # Over the bytes of the sample, the long ones are cut to stretches from all over the text; all rows stay.
     texts, found, _ = T.training_sample(docs, labels, per_class=100, row_bytes=100)
+    texts = texts.to_pylist()
     cut = [t.split() for t in texts if " " in t]
     assert len(found) == len(known) and len(cut) == sum(i % 10 == 1 for i in known) and sum(map(len, texts)) <= 2 * 100 * 100
     at = [int(w[1:]) for w in cut[0]]
@@ -115,3 +119,37 @@ def test_held_out_accuracy(spark):
     scored = T.score_toxicity(docs, T.learn(docs, labels), ["doc_id"]).join(labels, "doc_id").where(T.held_out(F.col("doc_id"))).toPandas()
     assert auc(scored.score.to_numpy(), scored.toxic.to_numpy()) > .92
     assert ((scored.score >= .5) == (scored.toxic == 1)).mean() > .94
+
+
+def plain_score(model, text):
+    """One text, word by word: mean of the numbers of a word's n-grams, mean of a stretch's words, the highest stretch."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return x ^ (x >> 31)
+    roll = int(W.ROLL[0])
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+    def of_word(word):
+        hashed = [xxhash.xxh3_64_intdigest(word)]
+        points = [mix(ord(c) + roll) for c in f"<{word}>"]
+        for n in T.NGRAMS:
+            for i in range(len(points) - n + 1):
+                h = 0
+                for p in points[i:i + n]:
+                    h = (h * roll + p) & mask
+                hashed.append(mix(h) ^ n)
+        return sum(model.grams[mix(h) & ((1 << T.BUCKET_BITS) - 1)] for h in hashed) / len(hashed)
+    if not words:
+        return 1 / (1 + math.exp(-model.bias))
+    each, parts = [of_word(w) for w in words], max(1, (len(words) + T.STRETCH // 2) // T.STRETCH)
+    means = [sum(x) / len(x) for x in (each[i * T.STRETCH:(i + 1) * T.STRETCH if i < parts - 1 else None] for i in range(parts))]
+    return 1 / (1 + math.exp(-(model.bias + max(means) + model.length * math.log(parts))))
+
+
+def test_scores_against_a_plain_version(made):
+    model = T.fit(made[0][:200], made[1][:200], .3)
+    texts = [*made[0][200:230], "", None, "Straße ZWOQIXed! 中文 zwo-qix", "a", "x" * 500, "b " * 23, "b " * 24, "b " * 25]
+    assert model.scores(pa.array(texts)) == pytest.approx([plain_score(model, t) for t in texts], abs=1e-9)
