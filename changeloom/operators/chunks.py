@@ -141,6 +141,22 @@ def _ends_unique(keys, low, high, size, rows_per_block):
                          F.col("k").alias("end"))
 
 
+def _inside(hi: np.ndarray, target: np.ndarray, own_last: bool) -> np.ndarray:
+    """The row of the block that each row's step leads to; a step out of it leads to the row itself (``own_last``) or to
+    one past the end."""
+    rows = np.searchsorted(hi, target, "left")
+    return np.where(rows < len(hi), rows, np.arange(len(hi)) if own_last else len(hi))
+
+
+def _visited(hi: np.ndarray, target: np.ndarray, entry: int) -> np.ndarray:
+    """The rows at which a walk from ``entry`` stops, ascending; after each pass twice as many are known."""
+    jump = np.append(_inside(hi, target, own_last=False), len(hi))
+    known = np.searchsorted(hi, [entry], "left")
+    while known[-1] < len(hi):
+        known, jump = np.append(known, jump[known]), jump[jump]
+    return known[known < len(hi)]
+
+
 def _ends_repeated(keys, low, high, size, rows_per_block):
     """With repeated keys each step depends on the one before, yet the blocks need not wait for each
     other: a block first says where it would be left for each of the ``size`` rows it can be entered
@@ -162,14 +178,13 @@ def _ends_repeated(keys, low, high, size, rows_per_block):
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, lo, hi, target = steps(pdf)
         first, last = lo[0], hi[-1]
-        leave = target.copy()
-        jump = np.searchsorted(hi, target, "left")
-        for i in range(len(hi) - 1, -1, -1):
-            if target[i] <= last:
-                leave[i] = leave[jump[i]]
+        # Each row's last stop in the block: every pass doubles the steps taken at once.
+        stop = _inside(hi, target, own_last=True)
+        while not np.array_equal(stop, further := stop[stop]):
+            stop = further
         entry = first + np.arange(1, size + 1)
         inside = np.minimum(np.searchsorted(hi, entry, "left"), len(hi) - 1)
-        out = np.where(entry > last, entry, leave[inside])
+        out = np.where(entry > last, entry, target[stop[inside]])
         return pd.DataFrame({"block": [pdf["_block"].iloc[0]], "first": [first],
                              "leave": [(out - last).astype("int32")]})
 
@@ -184,12 +199,7 @@ def _ends_repeated(keys, low, high, size, rows_per_block):
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, lo, hi, target = steps(pdf)
-        at, hits = int(pdf["entry"].iloc[0]), []
-        while at <= hi[-1]:
-            i = int(np.searchsorted(hi, at, "left"))
-            hits.append(i)
-            at = int(target[i])
-        return pdf.iloc[hits][["k"]]
+        return pdf.iloc[_visited(hi, target, int(pdf["entry"].iloc[0]))][["k"]]
 
     if cuts:
         leaves = placed.groupBy("_block").applyInPandas(exits, "block int, first bigint, leave array<int>")
