@@ -9,10 +9,11 @@ from ..operators import changelog as L
 from ..operators.merge import state_of_kinds
 from ..session import scratch_dir
 from ..sources import envelope, log as logs
-from ..streaming import keyed_state, sinks, streams as W
+from ..streaming import keyed_state, sinks, streams as W, transactions
 from . import orders_log as O
 from .common import CUTS, FLAT, everything, finish, flat, log_directory, marks, order_chunks, snapshot, split_log
 from .log_sql import BASE, WITH_FINAL
+from .q_sources import _KV, kv_log
 from .registry import query
 
 NOW = {"availableNow": True}
@@ -142,6 +143,19 @@ def w5(spark, sf):
     return flat(spark.read.schema(rows.schema).parquet(out))
 
 
+@query("w5_snapshot_expiry", f"{BASE} SELECT {FLAT} FROM snap")
+def w5_expiry(spark, sf):
+    """A snapshot with copies, then its end, then the log: in the last batch the snapshot's state is gone."""
+    rows, late = split_log(spark, sf), snapshot(spark, sf)
+    source = log_directory(spark, late.unionByName(late), [(0, 1)])
+    ends = late.groupBy("db", "table").agg(F.lit(keyed_state.COMPLETE).alias("op"), F.lit(O.UPDATE_AT + O.T0).cast("bigint").alias("event_ts"))
+    rows.limit(0).unionByName(ends, allowMissingColumns=True).write.mode("append").parquet(source)
+    log_directory(spark, rows, CUTS, source)
+    out, state = scratch_dir(spark, "unique"), scratch_dir(spark, "state")
+    _append(keyed_state.dedup_snapshot(_stream(spark, rows, source), ["db", "table", "key"], 60_000), out, state)
+    return flat(spark.read.schema(rows.schema).parquet(out))
+
+
 _UNTOUCHED = f"""{BASE}, m AS (SELECT k, max((pos, sub)) AS last FROM log WHERE pos >= 200000000 GROUP BY k)
 SELECT op, pos, sub, log.k FROM log LEFT JOIN m ON log.k = m.k WHERE pos < 200000000 AND m.k IS NULL"""
 
@@ -256,3 +270,38 @@ def j2s(spark, sf):
                            [W.Side("customer", "cust bigint, c_name string", ["cust"], "cust")], held, out, state))
     rows = spark.read.parquet(out).withColumns({"pos": F.col("batch").cast("bigint"), "sub": F.lit(0)}).drop("batch", "stream")
     return state_of_kinds(rows, ["k"])
+
+
+# ---------------------------------------------------------------- transactions over micro-batches
+
+def _arrivals(log):
+    """Rows with the number of the cut they come in: commits and rollbacks one cut after their write, and every row once more
+    in the cut after that. Before each cut, every region resolves what was committed before its first row; at the end it
+    resolves its last start."""
+    at = F.col("start_ts")
+    cut = F.lit(0)
+    for low, _ in CUTS[1:]:
+        cut = cut + (at >= low).cast("int")
+    late = F.col("log_type").isin("COMMIT", "ROLLBACK").cast("int")
+    sent = log.select("*", F.explode(F.array(cut + late, cut + late + 1)).alias("arrival"))
+    starts = F.explode(F.array(*[F.struct(F.lit(i).alias("arrival"), F.lit(low - 1).cast("bigint").alias("commit_ts")) for i, (low, _) in enumerate(CUTS)]))
+    last = log.groupBy("region").agg(F.max("start_ts").alias("commit_ts")).withColumn("arrival", F.lit(len(CUTS) + 1))
+    beats = log.select("region").distinct().select("region", starts.alias("_s")).select("region", "_s.*").unionByName(last)
+    return sent.unionByName(beats.withColumn("log_type", F.lit(transactions.RESOLVED)), allowMissingColumns=True)
+
+
+@query("s18_stream_committed", f"""{_KV}, p AS (SELECT k % 8 AS region, max(pos) AS ts FROM log GROUP BY 1)
+SELECT region, key, start_ts, commit_ts, op, value FROM kv WHERE commit_ts <= (SELECT min(ts) FROM p)""")
+def s18_stream(spark, sf):
+    """Writes split over micro-batches and sent twice, emitted as all regions resolve them."""
+    log = kv_log(spark, sf)
+    sent = _arrivals(log)
+    source, state, out, check = (scratch_dir(spark, n) for n in ("log", "open", "committed", "state"))
+    # What a region resolves is written after the rows that it speaks of, so batches may be cut between any two files.
+    says = F.col("log_type") == transactions.RESOLVED
+    for n in range(len(CUTS) + 2):
+        for rows in (sent.where(~says), sent.where(says)):
+            rows.where(F.col("arrival") == n).select(*log.columns).write.mode("append").parquet(source)
+    finish(transactions.stream_committed(_stream(spark, log, source), state, out, check))
+    done = spark.read.schema(log.drop("log_type").schema).parquet(out)
+    return done.select("region", F.decode("key", "UTF-8").alias("key"), "start_ts", "commit_ts", "op", "value")

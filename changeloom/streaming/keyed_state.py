@@ -1,12 +1,14 @@
-"""State per key in Spark's state store: the last change of each key, for before images and late changes."""
+"""State per key in Spark's state store: the last change of each key, for before images and late changes; the snapshot
+rows of a table while its snapshot runs."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .. import schema as S
 from ..operators.changelog import Keys
@@ -68,3 +70,51 @@ def normalize(stream: DataFrame) -> DataFrame:
 def late_guard(stream: DataFrame) -> DataFrame:
     """The changes of a stream as they are, less those at or before the last one of their key."""
     return _by_key(stream, False)
+
+
+#: Operation of a row that says that the snapshot of its table is complete.
+COMPLETE = "complete"
+SNAPSHOT_BUCKETS = 64
+
+
+class SnapshotRows(StatefulProcessor):
+    """The first copy of each snapshot row of one bucket of a table; forgotten ``delay_ms`` after the table is complete."""
+
+    def __init__(self, schema: StructType, by: list[str], delay_ms: int):
+        self.schema, self.by, self.delay = schema, by, delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", StructType([self.schema[c] for c in self.by]), StructType([StructField("seen", BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        for row in rows:
+            if row["op"] == COMPLETE:
+                self.handle.registerTimer(row["event_ts"] + self.delay)
+                continue
+            which = tuple(row[c] for c in self.by)
+            if not self.seen.containsKey(which):
+                self.seen.updateValue(which, (True,))
+                yield Row(**{c: row[c] for c in self.schema.fieldNames()})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_snapshot(stream: DataFrame, by: list[str], delay_ms: int = 600_000, buckets: int = SNAPSHOT_BUCKETS) -> DataFrame:
+    """One copy of each snapshot row (op ``r``); other rows only move event time on.
+
+    A row of op ``complete`` with the db and table of a snapshot and its ``event_ts`` ends it: once the log has moved
+    ``delay_ms`` past that time, the table's rows are forgotten, so state is bounded by the snapshots that run. Copies must
+    come before that. A table is dealt over ``buckets`` groups by a hash of ``by``; its end is told to each of them.
+    """
+    at = F.timestamp_millis(F.when(F.col("op") != "r", F.col("event_ts")))
+    timed = stream.withColumn("_at", at).withWatermark("_at", "0 seconds")
+    bucket = F.when(F.col("op") == "r", F.array(F.pmod(F.xxhash64(*by), F.lit(buckets)))).when(
+        F.col("op") == COMPLETE, F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>"))
+    dealt = timed.withColumn("_bucket", F.explode(bucket))
+    return dealt.groupBy("db", "table", "_bucket").transformWithState(SnapshotRows(stream.schema, by, delay_ms), stream.schema, "Append", "EventTime")

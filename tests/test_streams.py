@@ -9,7 +9,7 @@ from changeloom.operators import changelog as L
 from changeloom.plans.common import finish
 from changeloom.session import scratch_dir
 from changeloom.sources import envelope, log as logs
-from changeloom.streaming import keyed_state, sinks, streams as W
+from changeloom.streaming import keyed_state, sinks, streams as W, transactions
 from changeloom.streaming.files import Folder
 
 SHAPE = ("db string, schema string, table string, op string, pos bigint, sub int, event_ts bigint, fetch_ts bigint, "
@@ -322,3 +322,81 @@ def test_stream_enrich_reads_the_buckets_it_touches(spark, monkeypatch):
     assert sorted((r.row_kind, r.id, r.label) for r in rows.collect()) == sorted(
         [(k, i, v) for i in range(7, 401, 40) for k, v in (("-U", "old"), ("+U", "new"))])
     assert len(read["f-by-g"]) == 1 and len(read["g"]) == 1 and 1 <= len(read["f"]) <= 10
+
+
+KV_LOG = "region int, log_type string, key string, start_ts bigint, commit_ts bigint, op string, value string"
+
+
+def transactions_of(spark, path, *batches):
+    """(key, start, commit, value) emitted by each batch, and the keys open after the last."""
+    found = []
+    for n, rows in enumerate(batches):
+        df = spark.createDataFrame([(*r, "c", f"v{r[3]}") if r[1] in ("PREWRITE", "COMMITTED") else (*r, None, None) for r in rows], KV_LOG)
+        found.append(sorted((r.key, r.start_ts, r.commit_ts, r.value) for r in transactions.apply_batch(df, path, n).collect()))
+    return found, sorted(r.key for r in transactions.open_writes(spark, path, df, n).collect())
+
+
+def said(region, ts):
+    return region, "RESOLVED", None, None, ts
+
+
+def test_transactions_over_batches(spark):
+    first = [(1, "PREWRITE", "a", 10, None), (1, "PREWRITE", "b", 11, None), (2, "PREWRITE", "c", 12, None), (2, "COMMITTED", "d", 5, 6), said(1, 9)]
+    # Region 2 has resolved nothing, so nothing is safe; then a's commit is past the frontier, b is rolled back.
+    second = [(1, "COMMIT", "a", 10, 20), (1, "ROLLBACK", "b", 11, None), (1, "COMMITTED", "d", 5, 6), said(2, 10)]
+    third = [(1, "PREWRITE", "b", 11, None), (1, "COMMIT", "a", 10, 20), (2, "COMMIT", "c", 12, 13), said(1, 30), said(2, 15)]
+    # All of it once more, and the frontier past everything.
+    fourth = [*first[:4], *second[:3], *third[:3], said(2, 40)]
+    found, left = transactions_of(spark, scratch_dir(spark, "kv"), first, second, third, fourth)
+    # The frontier stood at 9 in the second batch, at 15 in the third and at 30 in the fourth.
+    assert found == [[], [("d", 5, 6, "v5")], [("c", 12, 13, "v12")], [("a", 10, 20, "v10")]] and left == []
+
+
+def test_transactions_of_a_new_region_and_lost_halves(spark):
+    path = scratch_dir(spark, "kv")
+    first = [(1, "COMMITTED", "a", 1, 2), (1, "PREWRITE", "x", 3, None), (1, "COMMIT", "y", 3, 4), said(1, 20)]
+    # Region 3 joins with a commit before the frontier of region 1: it is held, not taken for a repetition.
+    second = [(3, "COMMITTED", "n", 7, 8), (1, "COMMITTED", "a", 1, 2), said(1, 25)]
+    found, left = transactions_of(spark, path, first, second)
+    assert found == [[("a", 1, 2, "v1")], []] and left == ["n"]
+    # A batch that is replayed gives the same rows.
+    for _ in range(2):
+        df = spark.createDataFrame([(*said(3, 10), None, None)], KV_LOG)
+        assert [r.key for r in transactions.apply_batch(df, path, 2).collect()] == ["n"]
+    assert transactions.open_writes(spark, path, df, 2).count() == 0
+
+
+def test_transactions_restart_and_forget_old_batches(spark):
+    source, state_path, out, check = (scratch_dir(spark, n) for n in ("in", "open", "out", "c"))
+    batches = [[(1, "PREWRITE", "a", 1, None, "c", "v"), (*said(1, 0), None, None)], [(1, "COMMIT", "a", 1, 2, None, None)], [(*said(1, 5), None, None)]]
+    for rows in batches:
+        spark.createDataFrame(rows, KV_LOG).coalesce(1).write.mode("append").parquet(source)
+        finish(transactions.stream_committed(logs.read_log(spark, source, KV_LOG, stream=True, files_per_trigger=1), state_path, out, check))
+    rows = spark.read.parquet(f"{out}/stream=*").collect()
+    assert [(r.key, r.commit_ts, r.value) for r in rows] == [("a", 2, "v")]
+    held = Folder(spark, state_path)
+    assert sorted(Folder(spark, f"{state_path}/{next(iter(held.names()))}").names()) == ["batch=1", "batch=2"]
+
+
+def test_snapshot_rows_are_forgotten_after_the_snapshot(spark):
+    source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+    df = batch(spark, ("r", 0, 1, "a"), ("r", 0, 2, "b"), ("r", 0, 1, "a"), ("c", 5, 9, "log"))
+    end = batch(spark, (keyed_state.COMPLETE, 1000, 0, None))
+
+    def run(rows):
+        rows.coalesce(1).write.mode("append").parquet(source)
+        stream = logs.read_log(spark, source, df.schema, stream=True, files_per_trigger=1)
+        query = keyed_state.dedup_snapshot(stream, ["db", "table", "key"], 500, buckets=4).writeStream.format("parquet").option(
+            "path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
+        finish(query)
+        return sorted(r.key.id for r in spark.read.schema(df.schema).parquet(out).collect()), query.lastProgress.stateOperators[0].numRowsTotal
+    assert run(df)[0] == [1, 2]
+    # Copies after the end but within the delay are told, also those of other tables are kept apart.
+    assert run(end.unionByName(batch(spark, ("r", 0, 2, "b"))).unionByName(batch(spark, ("r", 0, 2, "b"), table="other")))[0] == [1, 2, 2]
+    before = run(batch(spark, ("u", 1400, 9, "x"), ("r", 0, 1, "a")))
+    assert before[0] == [1, 2, 2] and before[1] > 1
+    run(batch(spark, ("u", 1600, 9, "x")))
+    run(batch(spark, ("u", 1700, 9, "x")))
+    # Only the other table's row and the count of its group are left.
+    found, left = run(batch(spark, ("u", 1800, 9, "x")))
+    assert found == [1, 2, 2] and left < before[1]
