@@ -9,7 +9,7 @@ anchor a small deterministic parser expands to both sides and validates what it
 * phone: a plus sign and 8 to 15 digits;
 * url: scheme to the end of its visible characters, closing punctuation left out;
 * account: an identifier cue (such as "IBAN" or "account no") followed by a code with at least four digits;
-  codes behind "IBAN" must pass its checksum.
+  a code behind "IBAN" has the length of its country and passes the checksum, whatever follows it.
 
 The first four kinds are what their regular expressions, searched left to right without overlap, give
 (a match that fails validation is passed over whole); url and account are the method's own additions.
@@ -43,7 +43,17 @@ _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _GROUPS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL = re.compile(r"[^\s<>\"'\x60{}|\\^]+")
-_CODE = re.compile(r"[ \t]*(?:(?:no|nr|number|id|#|is)\b\.?)?[ \t]*[:#=]?[ \t]*([A-Za-z]{0,4}[0-9][A-Za-z0-9]*(?:[ -]?[A-Za-z0-9]*[0-9][A-Za-z0-9]*)*)")
+# Characters of an account number by country.
+IBAN_SIZE = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18,
+    "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32,
+    "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24,
+    "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20}
+_CUE_END = r"[ \t]*(?:(?:no|nr|number|id|#|is)\b\.?)?[ \t]*[:#=]?[ \t]*"
+_IBAN = re.compile(_CUE_END + r"([A-Za-z]{2}[0-9]{2}(?:[ -]?[A-Za-z0-9]){11,30})")
+_CODE = re.compile(_CUE_END + r"([A-Za-z]{0,4}[0-9][A-Za-z0-9]*(?:[ -]?[A-Za-z0-9]*[0-9][A-Za-z0-9]*)*)")
 
 
 def _automaton():
@@ -73,6 +83,21 @@ def iban(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, stop: int) -> int | None:
+    """End of the account number that starts at ``start``: as long as its country says, or for a country without a known
+    length the longest that passes the checksum. A letter or digit right behind it makes it something else."""
+    size, found, chars = IBAN_SIZE.get(text[start:start + 2].upper()), None, 0
+    for at in range(start, stop):
+        if text[at] in " -":
+            continue
+        chars += 1
+        if (chars == size if size else chars >= 15) and not text[at + 1:at + 2].isalnum() and iban(text[start:at + 1]):
+            found = at + 1
+        if chars == size:
+            break
+    return found
+
+
 def _lowered(text: str) -> str:
     """Lower case with every code point in its place."""
     low = text.lower()
@@ -127,12 +152,13 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, int]]:
                 if end > last + 1:
                     done[4] = end
                     spans.append((4, at, end))
-        elif at >= done[5] and not (at and text[at - 1].isalnum()) and (m := _CODE.match(text, last + 1)):
-            code = m[1]
-            valid = iban(code) if text[at:last + 1].lower() == "iban" else sum(c in _DIGITS for c in code) >= 4
-            if valid:
-                done[5] = m.end(1)
-                spans.append((5, m.start(1), m.end(1)))
+        elif at >= done[5] and not (at and text[at - 1].isalnum()):
+            numbered = text[at:last + 1].lower() == "iban"
+            m = (_IBAN if numbered else _CODE).match(text, last + 1)
+            end = m and (iban_end(text, m.start(1), m.end(1)) if numbered else m.end(1) if sum(c in _DIGITS for c in m[1]) >= 4 else None)
+            if end:
+                done[5] = end
+                spans.append((5, m.start(1), end))
     return sorted(spans)
 
 

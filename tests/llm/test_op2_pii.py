@@ -51,6 +51,22 @@ def test_added_kinds_and_masking(spark):
     assert P.mask_pii(df).first().text == "See [URL], IBAN [ACCOUNT]; iban DE00 3704 0044 0532 0130 00. Account no: [ACCOUNT] x"
 
 
+# Numbers that their countries publish as examples.
+IBANS = ["GB82 WEST 1234 5698 7654 32", "NL91 ABNA 0417 1643 00", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947",
+         "FR14 2004 1010 0505 0001 3M02 606", "mt84-malt-0110-0001-2345-mtlc-ast0-01s"]
+
+
+@pytest.mark.parametrize("code", IBANS)
+@pytest.mark.parametrize("text", ["IBAN: {} 2nd line", "Our IBAN {}, and more", "iban no. {}", "IBAN {} or GB82 WEST 1234 5698 7654 32", "IBAN is {}\nnext"])
+def test_account_numbers_end_where_their_country_says(code, text):
+    text, automaton = text.format(code), P._automaton()
+    assert [text[a:b] for k, a, b in P.find_spans(text, automaton) if P.KINDS[k] == "account"] == [code]
+    # One wrong digit, or one character more, is no account number.
+    swapped = text.replace(code, code[:-1] + ("1" if code[-1] != "1" else "2"))
+    for wrong in (swapped, text.replace(code, code + "7")):
+        assert not [s for s in P.find_spans(wrong, automaton) if P.KINDS[s[0]] == "account"]
+
+
 def test_edges(spark):
     docs = [(1, None, None), (2, "", "x"), (None, "a@b.co", "x"), (3, "q " * 500_000 + "a@b.co", "x"), (4, "a@b.co", "x"), (4, "a@b.co", "x")]
     df = spark.createDataFrame(docs, DOC)
