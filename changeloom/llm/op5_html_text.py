@@ -1,9 +1,12 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into flat blocks at its block-level tags. Each block has its word count and link density, those of its
-neighbours, and what its ancestors say: inside an article, inside an element or behind a name that marks boilerplate.
-A decision tree, trained on the small labelled table below, tells content from boilerplate; the content blocks are the
-text. Scripts, styles and markup never reach a block. One pass inside the tasks, no shuffle.
+neighbours and of the element it lies in, whether it is worded like a notice, and what its ancestors say: inside an article,
+inside an element or behind a name that marks boilerplate. A decision tree tells content from boilerplate; the content
+blocks are the text. It is trained on a small labelled table: the blocks of the page layouts below, with and without an
+article, at several lengths. A name marks only as a whole (``related``, ``ad-box``; not ``related-work``), and it is a feature
+like others: a page whose only prose is behind a mark keeps it. Scripts, styles and markup never reach a block. One pass
+inside the tasks, no shuffle.
 """
 
 from __future__ import annotations
@@ -28,116 +31,75 @@ BLOCKS = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd"
                        "summary", "legend", "option", "center", "hgroup", "search", "label"}
 MAIN = {"article", "main"}
 APART = {"nav", "footer", "aside", "form", "dialog", "fieldset", "menu", "button", "head"}
-# Names in class, id and role that mark boilerplate.
+# Names in class, id and role that mark boilerplate, words that only say how such an element is laid out, and names of the main text.
 MARKS = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "promotion", "sidebar", "menu", "nav", "navbar",
-         "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "cookie", "cookies", "consent", "notice", "gdpr", "popup", "modal",
-         "newsletter", "subscribe", "signup", "login", "share", "social", "related", "recommended", "comment", "comments", "disqus", "replies", "widget",
-         "pagination", "pager", "copyright", "legal", "search", "toolbar", "skip", "complementary", "contentinfo", "alert", "overlay", "paywall", "tags"}
+         "navigation", "breadcrumb", "breadcrumbs", "foot", "footer", "header", "masthead", "cookie", "cookies", "consent", "notice", "gdpr", "popup",
+         "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus",
+         "replies", "widget", "pagination", "pager", "copyright", "legal", "search", "toolbar", "skip", "complementary", "contentinfo", "alert",
+         "overlay", "paywall", "tags"}
+LAYOUT = {"area", "bar", "block", "body", "bottom", "box", "buttons", "col", "column", "container", "content", "element", "form", "frame", "group", "inner",
+          "item", "items", "left", "link", "links", "list", "main", "outer", "page", "panel", "right", "row", "section", "site", "slot", "text", "thread", "top",
+          "unit", "wrap", "wrapper"}
 MAIN_MARKS = {"articlebody", "article-body", "article-content", "post-content", "entry-content", "main-content", "post-body", "story-body"}
-
-FEATURES = ["words", "links", "words_before", "links_before", "words_behind", "links_behind", "in_main", "apart", "marked", "heading"]
-# Small labelled table, written by hand: the features of a block (link densities in percent) and whether it is content.
-LABELLED = """
- 1 100  0   0  1 100  0 1 0 0  0
- 1 100  1 100  1 100  0 1 0 0  0
- 3 100  1 100  8   0  0 1 0 0  0
- 2 100  9   0  2 100  0 0 0 0  0
- 5 100  2 100  4 100  0 0 0 0  0
- 1 100  1 100  9   0  0 0 1 0  0
-12  90  2 100 40   0  0 1 0 0  0
- 8   0  1 100  9   0  0 0 1 0  0
- 6   0 30   0 10   0  0 0 1 0  0
-22   0  1 100 60   0  0 0 1 0  0
-55   0 80   0  9   0  0 0 1 0  0
-40   0 60   0 35   0  0 0 1 0  0
-70  10 12   0 20   0  0 1 0 0  0
-10   0 60   0  0   0  0 1 0 0  0
- 7   0 25   0  0   0  0 1 0 0  0
-18   0 44   0  0   0  0 1 0 0  0
- 4   0  9   0 12   0  0 1 0 1  0
- 3   0 50   0  8   0  0 0 1 1  0
-30   0 22   0  5   0  1 0 1 0  0
- 4 100 40   0  3 100  1 0 1 0  0
-15   0 90   0 16   0  1 0 1 0  0
-50   0 90   0 45   0  1 0 1 0  0
- 3   0 70   0  2   0  1 1 0 0  0
-12  60 33   0 14   0  1 1 0 0  0
-60   0 33   0 14   0  1 1 0 0  0
- 2  50 80   0 20   0  1 1 1 0  0
-25   0 30   0  2   0  1 1 1 0  0
- 9   0  8   0 12   0  1 0 0 1  1
-12   0  8   0  1   0  1 0 0 1  1
- 2   0 10   0 60   0  1 0 0 1  1
- 5   0 22   0 60   0  1 0 0 1  1
- 9   0  8   0 44   0  1 0 0 0  1
-30   0  9   0  1   0  1 0 0 0  1
- 1   0 70   0 33   0  1 0 0 0  1
- 1   0  2   0  1   0  1 0 0 0  1
- 3   0  1   0 90   0  1 0 0 0  1
- 2   0 60   0 10   0  1 0 0 0  1
- 6   0 10   0  0   0  1 0 0 0  1
-14   0 80   0 10   0  1 0 0 0  1
-44   5 60   0  8   0  1 0 0 0  1
-90   0 12   0 70  10  1 0 0 0  1
-20  30 40   0 55   0  1 0 0 0  1
- 8 100 40   0 30   0  1 0 0 0  1
- 6  50 30   0 22   0  1 0 0 0  1
-15 100 66   0 41   0  1 0 0 0  1
- 2   0 40   0  0   0  1 0 0 0  1
- 1   0  3   0  0   0  1 0 0 0  1
- 4   0  6   0  0   0  1 0 0 0  1
-11   0  0   0  0   0  1 0 0 0  1
-40   0 40   0  0   0  1 0 0 0  1
- 3 100 20   0  2   0  1 0 0 0  1
- 2   0  3 100 10   0  1 0 0 0  1
- 6   0  1   0  9 100  1 0 0 0  1
-250  1 30   0 90   0  1 0 0 0  1
-50   0  9   0 60   0  0 0 0 0  1
-40   0  0   0 40   0  0 0 0 0  1
-40   0 40   0 30   0  0 0 0 0  1
-60   0 40   0  0   0  0 0 0 0  1
-33   0  5   0  5   0  0 0 0 0  1
-100  0  0   0  0   0  0 0 0 0  1
-45   0  0   0 12   0  0 0 0 0  1
-70  10  3 100 12   0  0 0 0 0  1
-28   0 10   0  3 100  0 0 0 0  1
-80   4 60   0 44   0  0 0 0 0  1
-35   0 70   5 90   0  0 0 0 0  1
-26   0 40   0 31   0  0 0 0 0  1
-14   0 90   0 80   0  0 0 0 0  1
-120  2  6   0 12   0  0 0 0 0  1
- 8   0  3 100 70   0  0 0 0 1  1
- 5   0 60   0 75   0  0 0 0 1  1
- 4   0 80   0 66   0  0 0 0 1  1
- 7   0 50   0 64   0  0 0 0 0  1
- 3   0 45   0 52   0  0 0 0 0  1
- 6   0 88   0  4 100  0 0 0 0  0
- 4   0  2 100  3 100  0 0 0 0  0
- 5   0  1 100  2   0  0 0 0 0  0
- 2   0  3   0  2   0  0 0 0 0  0
- 3  40  2  80  1 100  0 0 0 0  0
-10  70  9  80 12  90  0 0 0 0  0
-25  80 12  90 20  85  0 0 0 0  0
-16  60 30   0  8 100  0 0 0 0  0
- 9   0  4   0  3   0  0 0 0 0  0
- 2   0  1 100  1 100  0 0 0 1  0
- 2 100 12   0  5   0  0 0 0 0  0
- 4   0 30   0  3   0  0 0 0 0  0
- 6   0 50   0  1   0  0 0 0 0  0
- 3 100 60   0 40   0  0 0 0 0  0
-11  80 70   0 20  10  0 0 0 0  0
-"""
+# Wordings of notices.
+NOTICES = ["all rights reserved", "\N{COPYRIGHT SIGN}", "copyright", "privacy policy", "terms of use", "use cookies", "sign up", "log in"]
+
+# Features that the text gives come first: of equally good questions the tree asks the first.
+FEATURES = ["words", "links", "words_before", "links_before", "words_behind", "links_behind", "words_around", "links_around", "notice", "heading",
+            "other_prose", "page_has_main", "in_main", "apart", "marked"]
+# Small labelled table, written by hand: page layouts whose blocks are content (+n) or boilerplate (-n) of n words.
+LAYOUTS = [
+    # An article between everything that a page has besides.
+    "<nav><ul><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul></nav><div class=ad>-9</div><article><h1>+8</h1><p>+60</p><p>+3</p><p>+70 <a>+4</a> +20</p>"
+    "<p><a>+5</a></p><blockquote><p>+15</p></blockquote><ul><li>+5</li><li><a>+7</a></li></ul><p>+1</p></article><footer>-12 all rights reserved</footer>",
+    "<header><h1>-3</h1><p>-9</p></header><div class=cookie-notice>-30</div><main><h1>+6</h1><p>+40</p><p>+2</p><h2>+3</h2><p>+9 copyright</p></main>"
+    "<aside><p>-50</p><a>-5</a></aside><form><label>-3</label><p>-20</p></form><div class=sidebar><h2>-2</h2><p>-60</p></div>",
+    # Boilerplate inside the article.
+    "<p>-40</p><article><h1>+7</h1><p>+50</p><div class=ad>-20</div><p>+30</p><div class=share><a>-1</a></div><section class=comments><h2>-2</h2><p>-40</p>"
+    "<p>-6</p></section></article><h2>-3</h2><div><p>-45</p></div><footer>-4</footer>",
+    "<article><header><h1>+6</h1><p>+5</p></header><p>+70</p><aside><h2>-3</h2><p>-25</p></aside><p>+4</p><nav><a>-3</a></nav><form>-6</form><footer><p>-8</p></footer></article>",
+    "<article><h1>+4</h1></article><footer>-30</footer>", "<footer>-30</footer><article>+2</article>", "<h1>-6</h1><article><p>+9</p><p>+2</p></article><p>-80</p>",
+    "<nav><a>-1</a></nav><div class=ad>-6</div><article><h1>+8</h1><p>+9</p></article><footer>-9</footer>", "<article><p>+300</p></article>",
+    "<nav><a>-1</a></nav><article><p>+20 all rights reserved</p><p>+3 privacy policy</p></article><div>-5</div>", "<article><p>+6 copyright</p></article><footer>-9</footer>",
+    "<div class=ad>-8</div><article><h1>+9</h1><p>+30 all rights reserved</p></article>", "<article><p><a>+3</a></p><p><a>+12</a></p></article><aside>-7</aside>",
+    "<article><p>+2</p><ul><li><a>+2</a><li><a>+1</a></ul><p>+4 log in</p><div class=promo><p>-70</p></div><h2>+3</h2></article><div>-40</div>",
+    # Pages without an article.
+    "<div><a>-2</a> <a>-1</a> <a>-3</a></div><div><h1>+8</h1><p>+40</p><p>+3</p><p>+25</p><p>+60</p></div><div>-9 all rights reserved</div>",
+    "<div><h1>+5</h1><p>+30</p><p>+4</p></div><div class=foot>-20</div>", "<div>-2</div><div><h1>+5</h1><p>+60</p><p>+2</p><p>+6</p></div><div>-12 privacy policy</div>",
+    "<ul><li><a>-1</a><li><a>-2</a><li><a>-1</a></ul><h1>+7</h1><p>+50</p><p>+4</p><p>+80</p><div class=ad>-30</div><p>+30</p><p>-6 copyright</p>"
+    "<ul><li><a>-2</a><li><a>-3</a></ul>",
+    "<div><h1>+6</h1><p>+40</p><p>+3</p></div><div>-8 all rights reserved</div>", "<h1>+6</h1><p>+50</p><p>+8</p><p>-9 all rights reserved</p>",
+    "<div><h1>+6</h1><p>+60</p><p>+30</p></div>", "<p>+50</p><p>+40</p>", "<div><a>-2</a></div><p>+50</p>", "<h1>+9</h1><p>+70</p>",
+    "<h1>+6</h1><p>+50</p><p>+40</p><ul><li><a>-2</a><li><a>-4</a></ul>", "<ul><li><a>-2</a><li><a>-1</a></ul><p>+40</p><p><a>-3</a></p><div>-2</div>",
+    "<div><p>+40</p><p>+40</p></div><div class=ad>-40</div>", "<table><tr><td><a>-2</a><td><a>-2</a></td></tr><tr><td>+70</td></tr><tr><td>+90</td></tr><tr><td>-7 privacy policy</td></tr></table>",
+    "<div><a>-1</a> <a>-1</a></div><div><div><h2>+6</h2></div><div><p>+45</p></div><div><p>+50</p></div></div><div>-3</div><div><a>-9</a></div>"
+    "<div class=comments><h2>-2</h2><p>-40</p><p>-5</p></div>",
+    # The whole story behind a name that marks elsewhere.
+    "<nav><a>-2</a></nav><div class=legal><h1>+8</h1><p>+80</p><p>+6</p><p>+120</p></div><footer>-4</footer>",
+    "<div class=content><div class=promo><h1>+6</h1><p>+60</p><p>+90</p><p>+5</p></div></div><footer>-10</footer>",
+    "<div class=legal><h1>+2</h1><p>+40</p><p>+2</p></div><div class=foot>-9 all rights reserved</div>",
+    # Nothing but boilerplate.
+    "<nav><a>-1</a><a>-2</a></nav><div>-3</div><footer>-10</footer>", "<div><a>-2</a></div><div>-2</div><form><p>-5</p></form><div class=ad>-4</div><div>-6 use cookies</div>",
+]
+LENGTHS = [0.1, 0.3, 0.6, 1, 2, 5]
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
-    rows = np.array([line.split() for line in LABELLED.strip().splitlines()], float)
-    return rows[:, :-1], rows[:, -1].astype(int)
+    """Features and labels of the blocks of LAYOUTS, each at all LENGTHS."""
+    rows, labels = [], []
+    for layout in LAYOUTS:
+        for length in LENGTHS:
+            page = re.sub(r"([+-])(\d+)", lambda m: " ".join([m[1] + "word"] * max(1, round(int(m[2]) * length))), layout)
+            blocks = Page(page).blocks
+            rows += features(blocks)
+            labels += [b.text.startswith("+") for b in blocks]
+    return np.array(rows, float), np.array(labels, int)
 
 
 class Tree:
     """Binary decision tree by Gini impurity; grown until leaves are pure or ``depth`` is reached."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 12):
         self.root = self._grow(x, y, depth)
 
     def _grow(self, x, y, depth):
@@ -166,11 +128,14 @@ class Tree:
 
 
 class Block:
-    __slots__ = ("text", "words", "link_words", "in_main", "apart", "marked", "heading")
+    __slots__ = ("text", "words", "link_words", "element", "in_main", "apart", "marked", "heading", "notice")
 
-    def __init__(self, text, link_words, in_main, apart, marked, heading):
-        self.text, self.words, self.link_words = text, text.count(" ") + 1, link_words
+    def __init__(self, text, link_words, element, in_main, apart, marked, heading):
+        self.text, self.words, self.link_words, self.element = text, text.count(" ") + 1, link_words, element
         self.in_main, self.apart, self.marked, self.heading = in_main, apart, marked, heading
+        # A notice is short; in a long paragraph the wording is about something else.
+        low = text.lower() if self.words < 80 else ""
+        self.notice = any(n in low for n in NOTICES)
 
     @property
     def links(self) -> float:
@@ -182,6 +147,12 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _is_mark(name: str) -> bool:
+    """A mark, or a compound of marks and words of layout."""
+    parts = [p for p in _SPLIT.split(name) if p and not p.isdigit()]
+    return any(p in MARKS for p in parts) and all(p in MARKS or p in LAYOUT for p in parts)
+
+
 def _marks(attributes: str) -> tuple[bool, bool]:
     """(marks boilerplate, marks the main text)."""
     bad = main = False
@@ -190,17 +161,22 @@ def _marks(attributes: str) -> tuple[bool, bool]:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             bad = True
         else:
-            main |= any(v in MAIN_MARKS for v in value.split())
-            bad |= any(v in MARKS for v in _SPLIT.split(value)) and not any(v in MAIN_MARKS for v in value.split())
+            good = any(v in MAIN_MARKS for v in value.split())
+            main |= good
+            bad |= not good and any(map(_is_mark, value.split()))
     return bad, main
 
 
+_OUTSIDE = ("", 0, False, False, False)
+
+
 class Page:
     """Cuts one page into blocks, in one pass over its tags."""
 
     def __init__(self, html: str):
         self.html, self.blocks, self.parts, self.link_parts = html, [], [], []
-        self.stack: list[tuple[str, bool, bool, bool]] = []     # element, in_main, apart, marked
+        self.stack: list[tuple[str, int, bool, bool, bool]] = []     # element, its number, in_main, apart, marked
+        self.elements = 0
         self.open_at: dict[str, list[int]] = {}
         self.in_link, self.heading = False, False
         self.no_more: set[str] = set()      # characters not found again
@@ -293,12 +269,13 @@ class Page:
         self._flush()
         self.heading = len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
         if tag in CONTAINERS and not attributes.endswith("/"):
-            _, main, apart, marked = self.stack[-1] if self.stack else ("", False, False, False)
+            _, _, main, apart, marked = self.stack[-1] if self.stack else _OUTSIDE
             bad, good = _marks(attributes) if attributes else (False, False)
             apart = apart or tag in APART or (tag == "header" and not main)
             marked = marked or (bad and tag not in ("body", "article", "main"))
             self.open_at.setdefault(tag, []).append(len(self.stack))
-            self.stack.append((tag, main or tag in MAIN or good, apart, marked))
+            self.elements += 1
+            self.stack.append((tag, self.elements, main or tag in MAIN or good, apart, marked))
         elif tag == "li" or tag == "p":
             self.in_link = False
 
@@ -324,18 +301,27 @@ class Page:
         if self.parts:
             text = " ".join(references.unescape("".join(self.parts)).split())
             if text:
-                _, main, apart, marked = self.stack[-1] if self.stack else ("", False, False, False)
+                _, element, main, apart, marked = self.stack[-1] if self.stack else _OUTSIDE
                 link_words = len(references.unescape(" ".join(self.link_parts)).split()) if self.link_parts else 0
-                self.blocks.append(Block(text, min(link_words, text.count(" ") + 1), main, apart, marked, self.heading))
+                self.blocks.append(Block(text, min(link_words, text.count(" ") + 1), element, main, apart, marked, self.heading))
             self.parts, self.link_parts = [], []
 
 
 def features(blocks: list[Block]) -> list[tuple]:
+    around: dict[int, list[int]] = {}
+    prose = 0
+    for b in blocks:
+        total = around.setdefault(b.element, [0, 0])
+        total[0] += b.words
+        total[1] += b.link_words
+        prose += b.words if not (b.apart or b.marked or b.notice) and b.links < 50 else 0
+    has_main = any(b.in_main for b in blocks)
     out = []
     for i, b in enumerate(blocks):
         before, behind = blocks[i - 1] if i else None, blocks[i + 1] if i + 1 < len(blocks) else None
+        words, links = around[b.element]
         out.append((b.words, b.links, before.words if before else 0, before.links if before else 0.0, behind.words if behind else 0,
-                    behind.links if behind else 0.0, b.in_main, b.apart, b.marked, b.heading))
+                    behind.links if behind else 0.0, words, 100.0 * links / words, b.notice, b.heading, prose, has_main, b.in_main, b.apart, b.marked))
     return out
 
 

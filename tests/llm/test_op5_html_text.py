@@ -17,6 +17,12 @@ def test_tree_knows_its_table():
     assert sum(TREE(row) == bool(label) for row, label in zip(x, y)) == len(y)
 
 
+def test_tree_asks_text_and_links():
+    def asked(node):
+        return set() if isinstance(node, bool) else {H.FEATURES[node[0]]} | asked(node[2]) | asked(node[3])
+    assert {"links", "words_around"} <= asked(TREE.root) and asked(TREE.root) & {"links_before", "links_behind", "words_before", "words_behind"}
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("   ", ""), ("<html><head><title>T</title></head><body></body></html>", ""),
     (f"<article><h1>Head</h1><p>One<br>two &amp; three&nbsp;x.<p>{LONG}</article>", f"Head One two & three x. {LONG}"),
@@ -28,6 +34,16 @@ def test_tree_knows_its_table():
     (f"<article data-x='>'><p title=\"a > b\">{LONG}</p><p class=\"cut o", LONG),
     (f"<article><p>{LONG}</p><p>&#233;t&eacute; &am", f"{LONG} été &am"),
     (f"<div><p>{LONG}</p><p>{LONG}</p></div><div class='ad'>{LONG}</div>", f"{LONG} {LONG}"),
+    # A name marks as a whole only.
+    (f"<article><h1>T</h1><p>{LONG}</p><div class='share-price'><p>The share price rose</p></div><section class='related-work'><p>{LONG}</p></section></article>",
+     f"T {LONG} The share price rose {LONG}"),
+    (f"<article><p>{LONG}</p><p>All rights reserved.</p><div class='ad-box wide'>{LONG}</div></article>", f"{LONG} All rights reserved."),
+    # Pages without an article, and a story behind a name that marks.
+    (f"<div class='top'><a href='/'>Home</a> <a href='/b'>News</a></div><div><h1>Title here</h1><p>{LONG}</p><p>Ok then.</p><p>{LONG}</p></div>"
+     "<div class='foot'>All rights reserved 2020 by the company</div>", f"Title here {LONG} Ok then. {LONG}"),
+    (f"<div class='legal-news'><h1>Head line</h1><p>{LONG}</p><p>Short one.</p></div><div class='foot'>&copy; 2020 me</div>", f"Head line {LONG} Short one."),
+    (f"<nav><a>Home</a></nav><div class='legal'><h1>Head line</h1><p>{LONG}</p><p>{LONG}</p></div><footer>me</footer>", f"Head line {LONG} {LONG}"),
+    (f"<h1>Head line</h1><p>{LONG}</p><p>{LONG}</p>", f"Head line {LONG} {LONG}"),
 ])
 def test_pages(page, text):
     assert H.main_text(page, TREE) == text
