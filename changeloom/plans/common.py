@@ -57,10 +57,8 @@ def log_directory(spark: SparkSession, rows: DataFrame, ranges=CUTS, path: str |
     return path
 
 
-def finish(streaming_query, seconds: int = 600):
-    """Wait for an available-now query; a failure or a timeout is an error."""
-    if not streaming_query.awaitTermination(seconds):
-        streaming_query.stop()
-        raise TimeoutError("streaming query did not finish")
+def finish(streaming_query):
+    """Wait for an available-now query, however long its source is; a failure is an error."""
+    streaming_query.awaitTermination()
     if streaming_query.exception():
         raise streaming_query.exception()

@@ -104,9 +104,9 @@ def w3s(spark, sf):
     rows = everything(spark, sf).withColumn("before", F.lit(None).cast(O.IMAGE))
     out, state = scratch_dir(spark, "changes"), scratch_dir(spark, "state")
     source = log_directory(spark, rows, CUTS[:2])
-    _append(keyed_state.normalize(_stream(spark, rows, source)), out, state)
+    _append(keyed_state.normalize(_stream(spark, rows, source), keyed_state.BUCKETS), out, state)
     log_directory(spark, rows, CUTS[2:], source)
-    _append(keyed_state.normalize(_stream(spark, rows, source)), out, state)
+    _append(keyed_state.normalize(_stream(spark, rows, source), keyed_state.BUCKETS), out, state)
     return flat(spark.read.schema(rows.schema).parquet(out)).select("op", "pos", "sub", "k", "bk", "bst", "bcents", "acents")
 
 

@@ -400,3 +400,43 @@ def test_snapshot_rows_are_forgotten_after_the_snapshot(spark):
     # Only the other table's row and the count of its group are left.
     found, left = run(batch(spark, ("u", 1800, 9, "x")))
     assert found == [1, 2, 2] and left < before[1]
+
+
+@pytest.mark.parametrize("guard", [False, True])
+def test_state_in_buckets_gives_the_same(spark, guard):
+    big = 2 ** 60 + 1
+    first = batch(spark, *[("u", k % 3 + 1, k, f"v{k}") for k in range(1, 60)], ("u", big, 5, "far"), ("u", 2, 5, "near"))
+    second = batch(spark, *[("u", 2, k, "late or not") for k in range(1, 60)], ("d", big + 1, 5, None), ("u", big, 5, "same"), ("c", big + 2, 5, "back"))
+    # A number that is null in some rows stays exact in the others.
+    first, second = (df.withColumn("event_ts", F.when(F.col("pos") != 2, F.lit(big))) for df in (first, second))
+
+    def run(buckets):
+        source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+        for rows in (first, second):
+            rows.coalesce(1).write.mode("append").parquet(source)
+            stream = logs.read_log(spark, source, first.schema, stream=True, files_per_trigger=1)
+            by = keyed_state.late_guard if guard else keyed_state.normalize
+            query = by(stream, buckets).writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
+            finish(query)
+        done = [p for p in query.recentProgress if p["numInputRows"]][-1]["stateOperators"][0]
+        return sorted(map(str, spark.read.schema(first.schema).parquet(out).collect())), done["numRowsTotal"]
+    (want, keys), (got, buckets) = run(None), run(4)
+    assert got == want and keys == 59 and buckets == 4
+
+
+def test_a_long_stream_is_waited_for():
+    class Query:
+        waited = []
+
+        def awaitTermination(self, timeout=None):
+            self.waited.append(timeout)
+            return timeout is None
+
+        def stop(self):
+            self.waited.append("stopped")
+
+        def exception(self):
+            return None
+    query = Query()
+    finish(query)
+    assert query.waited == [None]
