@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BinaryType, BooleanType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .. import schema as S
 from ..operators.changelog import Keys
@@ -147,38 +147,34 @@ def late_guard(stream: DataFrame, buckets: int | None = None) -> DataFrame:
 
 #: Operation of a row that says that the snapshot of its table is complete.
 COMPLETE = "complete"
-SNAPSHOT_BUCKETS = 64
 
 
-class SnapshotRows(StatefulProcessor):
+class SnapshotRows(Bucket):
     """The first copy of each snapshot row of one bucket of a table; forgotten ``delay_ms`` after the table is complete."""
 
-    def __init__(self, schema: StructType, by: list[str], delay_ms: int):
-        self.schema, self.by, self.delay = schema, by, delay_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getMapState("seen", StructType([self.schema[c] for c in self.by]), StructType([StructField("seen", BooleanType())]))
+    def __init__(self, by: list[str], delay_ms: int):
+        self.by, self.delay = by, delay_ms
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for row in rows:
+        seen, out = self.held(), []
+        for row in (r["row"] for r in rows):
             if row["op"] == COMPLETE:
                 self.handle.registerTimer(row["event_ts"] + self.delay)
                 continue
-            which = tuple(row[c] for c in self.by)
-            if not self.seen.containsKey(which):
-                self.seen.updateValue(which, (True,))
-                yield Row(**{c: row[c] for c in self.schema.fieldNames()})
+            which = tuple(_plain(row[c]) for c in self.by)
+            if which not in seen:
+                seen[which] = True
+                out.append(row)
+        if out:
+            self.hold(seen)
+        yield from (Row(row=r) for r in out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
+        self.state.clear()
         return iter(())
 
-    def close(self) -> None:
-        pass
-
 
-def dedup_snapshot(stream: DataFrame, by: list[str], delay_ms: int = 600_000, buckets: int = SNAPSHOT_BUCKETS) -> DataFrame:
+def dedup_snapshot(stream: DataFrame, by: list[str], delay_ms: int = 600_000, buckets: int = BUCKETS) -> DataFrame:
     """One copy of each snapshot row (op ``r``); other rows only move event time on.
 
     A row of op ``complete`` with the db and table of a snapshot and its ``event_ts`` ends it: once the log has moved
@@ -189,5 +185,5 @@ def dedup_snapshot(stream: DataFrame, by: list[str], delay_ms: int = 600_000, bu
     timed = stream.withColumn("_at", at).withWatermark("_at", "0 seconds")
     bucket = F.when(F.col("op") == "r", F.array(F.pmod(F.xxhash64(*by), F.lit(buckets)))).when(
         F.col("op") == COMPLETE, F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>"))
-    dealt = timed.withColumn("_bucket", F.explode(bucket))
-    return dealt.groupBy("db", "table", "_bucket").transformWithState(SnapshotRows(stream.schema, by, delay_ms), stream.schema, "Append", "EventTime")
+    dealt = timed.select("db", "table", "_at", F.struct(*stream.columns).alias("row"), F.explode(bucket).alias("bucket"))
+    return _in_buckets(dealt, stream.schema, ["db", "table", "bucket"], SnapshotRows(by, delay_ms), "EventTime")

@@ -440,3 +440,15 @@ def test_a_long_stream_is_waited_for():
     query = Query()
     finish(query)
     assert query.waited == [None]
+
+
+def test_snapshot_rows_of_a_bucket_are_one_value(spark):
+    source, out, check = (scratch_dir(spark, n) for n in ("in", "out", "c"))
+    df = batch(spark, *[("r", 0, k, "a") for k in range(1, 201)] * 2)
+    df.coalesce(1).write.parquet(source)
+    stream = logs.read_log(spark, source, df.schema, stream=True)
+    query = keyed_state.dedup_snapshot(stream, ["db", "table", "key"], buckets=4).writeStream.format("parquet").option(
+        "path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
+    finish(query)
+    assert spark.read.schema(df.schema).parquet(out).count() == 200
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 4
