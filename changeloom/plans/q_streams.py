@@ -176,9 +176,9 @@ def w6s(spark, sf):
     rows = split_log(spark, sf)
     out, state = scratch_dir(spark, "changes"), scratch_dir(spark, "state")
     source = log_directory(spark, rows, [(O.DELETE_AT, 10 ** 18)])
-    _append(keyed_state.late_guard(_stream(spark, rows, source)), out, state)
+    _append(keyed_state.late_guard(_stream(spark, rows, source), keyed_state.BUCKETS), out, state)
     log_directory(spark, rows, [(0, O.DELETE_AT)], source)
-    _append(keyed_state.late_guard(_stream(spark, rows, source)), out, state)
+    _append(keyed_state.late_guard(_stream(spark, rows, source), keyed_state.BUCKETS), out, state)
     late = spark.read.schema(rows.schema).parquet(out).where(F.col("pos") < O.DELETE_AT)
     return late.select("op", "pos", "sub", F.col("key.k").alias("k"))
 
