@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
+from ..session import reliable_checkpoint
 from . import spread
 
 
@@ -110,7 +111,8 @@ def gtid_difference(a: DataFrame, b: DataFrame, rows_per_block: int = spread.ROW
     """Transactions of ``a`` that are not in ``b`` as merged intervals (sid, lo, hi).
 
     A sweep over interval borders: +1 where an interval opens, -1 behind its end. Between two
-    borders the running sums say which sets cover the stretch.
+    borders the running sums say which sets cover the stretch. A sid with many borders is cut into blocks once; the
+    sums and the open stretch before a block are carried into it, one row each.
     """
     def borders(df, name, other):
         opened = df.select("sid", F.col("lo").alias("at"), F.lit(1).alias(name))
@@ -118,20 +120,42 @@ def gtid_difference(a: DataFrame, b: DataFrame, rows_per_block: int = spread.ROW
         return opened.unionByName(closed).withColumn(other, F.lit(0))
 
     points = (borders(a, "da", "db").unionByName(borders(b, "db", "da")).groupBy("sid", "at")
-              .agg(F.sum("da").alias("da"), F.sum("db").alias("db")))
-    # The later steps see the same rows or fewer, so one check serves them all.
-    if not spread.has_hot_key(points, ["sid"], rows_per_block):
-        rows_per_block = None
-    points = spread.running_totals_by_key(points, ["sid"], "at", {"ca": F.col("da"), "cb": F.col("db")}, rows_per_block)
+              .agg(F.sum("da").alias("da"), F.sum("db").alias("db")).where("da <> 0 or db <> 0"))
+    points = reliable_checkpoint(points)
+    blocks = spread._blocks_of_hot_keys(points, ["sid"], "at", rows_per_block)
+    hot = blocks is not None
+    zero = F.lit(0).cast("bigint")
+    here = Window.partitionBy("sid", "_block").orderBy("at")
+    so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("sid").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+
+    def of_blocks(rows, **values):
+        """One row for each block of a hot sid."""
+        per = rows.where(F.col("_block") > 0).groupBy("sid", "_block").agg(*[v.alias(n) for n, v in values.items()])
+        return reliable_checkpoint(per)
+
+    if hot:
+        sums = of_blocks(blocks, _a=F.sum("da"), _b=F.sum("db"))
+        sums = sums.select("sid", "_block", F.sum("_a").over(earlier).alias("_a"), F.sum("_b").over(earlier).alias("_b"))
+        points = spread.join_small(blocks, sums, ["sid", "_block"], "left").withColumns({n: F.coalesce(n, zero) for n in ("_a", "_b")})
+    else:
+        points = points.withColumns({"_block": F.lit(0), "_a": zero, "_b": zero})
+
+    def inside(ca, cb):
+        return (ca > 0) & (cb == 0)
+    points = points.withColumn("_in", inside(F.col("_a") + F.sum("da").over(so_far), F.col("_b") + F.sum("db").over(so_far)))
+    was = F.coalesce(F.lag("_in").over(here), inside(F.col("_a"), F.col("_b")))
     # Keep only the borders where "in a and not in b" switches, then pair each switch-off with the
     # switch-on before it.
-    inside = ((F.col("ca") > 0) & (F.col("cb") == 0))
-    points = points.select("sid", "at", inside.alias("_in"))
-    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("_in"), "_was", rows_per_block)
-    points = points.where(F.col("_in") != F.coalesce(F.col("_was"), F.lit(False)))
-    points = spread.previous_by_key(points, ["sid"], ["at"], F.col("at"), "_from", rows_per_block)
-    return points.where(~F.col("_in")).select("sid", F.col("_from").alias("lo"),
-                                              (F.col("at") - 1).alias("hi"))
+    switches = points.withColumn("_was", was).where("_in <> _was").select("sid", "_block", "at", "_in")
+    opened = F.when(F.col("_in"), F.col("at"))
+    since = F.last(opened, ignorenulls=True).over(so_far)
+    if hot:
+        switches = reliable_checkpoint(switches)
+        last = of_blocks(switches, _open=F.max(opened)).select("sid", "_block", F.max("_open").over(earlier).alias("_open"))
+        switches = spread.join_small(switches, last, ["sid", "_block"], "left")
+        since = F.coalesce(since, F.col("_open"))
+    return switches.withColumn("lo", since).where(~F.col("_in")).select("sid", "lo", (F.col("at") - 1).alias("hi"))
 
 
 def lag_report(df: DataFrame, emit_ts: Column | None = None, by: tuple[str, ...] = ("db", "table"),

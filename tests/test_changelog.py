@@ -150,6 +150,16 @@ def test_gtid_sets_random(spark):
         assert {(r.sid, t) for r in got for t in range(r.lo, r.hi + 1)} == whole[0] - whole[1]
 
 
+def test_gtid_difference_of_long_sids_reads_its_sets_once(spark):
+    a = spark.range(500).selectExpr("'s' as sid", "id * 3 as lo", "id * 3 + 1 as hi")
+    b = spark.range(500).selectExpr("'s' as sid", "id * 4 as lo", "id * 4 as hi")
+    found = P.gtid_difference(a, b, rows_per_block=100)
+    # What is left to do starts at the switches and one row for each block, however many steps came before.
+    assert found._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 2
+    left = {t for r in found.collect() for t in range(r.lo, r.hi + 1)}
+    assert left == {t for i in range(500) for t in (i * 3, i * 3 + 1)} - {i * 4 for i in range(500)}
+
+
 def test_offsets_with_missing_numbers(spark):
     df = spark.sql("select 'f1' as f, cast(null as bigint) as p, 5L as q")
     a, b = P.offset(F.col("f"), F.col("p")), P.offset(F.col("f"), F.col("q"), F.col("p"), F.col("p"))
