@@ -43,6 +43,10 @@ class Folder:
         finally:
             stream.close()
 
+    def bytes(self, name: str) -> int:
+        """Bytes of all files of an entry."""
+        return self.fs.getContentSummary(self._at(name)).getLength()
+
     def delete(self, name: str) -> None:
         self.fs.delete(self._at(name), True)
 

@@ -13,7 +13,7 @@ looks again. Data folders belong to no version: a batch that was written before
 it is simply added, and a fold replaces only folders that it names and that are all still in use.
 
 A batch costs what it holds: it is reduced to one row per key and written by bucket. Where a bucket has gathered too many
-folders, that bucket is folded and no other. Readers take the latest row per key, of all buckets or of those they ask for.
+folders, that bucket is folded and no other, its small folders first, so that large ones are not written again for each. Readers take the latest row per key, of all buckets or of those they ask for.
 A batch that is replayed after a crash is recognised by its stream and id; batches of other streams, or of a new
 checkpoint, are new, and the order of the changes decides which row of a key wins, so applying the same change again, in
 whatever batch, changes nothing. The last batch of a stream is never folded while it may be replayed, so a replay
@@ -57,10 +57,11 @@ class Table:
         self.live: dict[str, set[int]] = {name: set(b) for name, b in said.get("live", {}).items()}
         self.deltas: dict[str, list] = said.get("deltas", {})       # live delta: [stream, batch id, time]
         self.last: dict[str, int] = said.get("last", {})            # stream: its last batch id
+        self.bytes: dict[str, dict[str, int]] = said.get("bytes", {})   # live folder: bytes of each bucket
 
     def said(self) -> dict:
         return {"version": self.version, "buckets": self.buckets, "live": {n: sorted(b) for n, b in self.live.items()},
-                "deltas": self.deltas, "last": self.last}
+                "deltas": self.deltas, "last": self.last, "bytes": self.bytes}
 
     def apply(self, commit: dict) -> None:
         self.version = commit["version"]
@@ -74,6 +75,7 @@ class Table:
             if commit["in"]:
                 self.live[commit["data"]] = set(commit["in"])
                 self.deltas[commit["data"]] = [stream, batch_id, commit["time"]]
+                self.bytes[commit["data"]] = commit.get("bytes", {})
         elif commit["kind"] == "fold":
             for bucket, replaced in commit["replaces"].items():
                 bucket = int(bucket)
@@ -84,7 +86,9 @@ class Table:
                     self.live[name].discard(bucket)
                 self.live.setdefault(commit["data"], set()).add(bucket)
             self.live = {name: b for name, b in self.live.items() if b}
+            self.bytes[commit["data"]] = commit.get("bytes", {})
             self.deltas = {name: d for name, d in self.deltas.items() if name in self.live}
+            self.bytes = {name: b for name, b in self.bytes.items() if name in self.live}
 
     def has(self, stream: str, batch_id: int) -> bool:
         return stream in self.last and self.last[stream] >= batch_id
@@ -99,6 +103,14 @@ class Table:
             return name in self.deltas and self.last.get(stream) == batch_id and now - at < REPLAY_MS
         return [name for name in self.folders(bucket) if not may_return(name)]
 
+    def small(self, bucket: int, names: list[str]) -> list[str]:
+        """As many of the folders as can be folded so that each row comes into one of at least twice the size that it was in."""
+        def size(name):
+            return self.bytes.get(name, {}).get(str(bucket), 0)
+        names = sorted(names, key=lambda name: (size(name), name))
+        sizes = [size(name) for name in names]
+        return names[:max((n for n in range(2, len(names) + 1) if sizes[n - 1] <= sum(sizes[:n - 1])), default=0)]
+
 
 def _commits(spark: SparkSession, path: str) -> Folder:
     return Folder(spark, f"{path}/commits")
@@ -168,6 +180,12 @@ def _write(rows: DataFrame, path: str, bucket: Column, partition_by: tuple[str,
     rows.withColumn("bucket", bucket).hint("rebalance", *map(F.col, split)).write.mode("overwrite").partitionBy(*split).parquet(path)
 
 
+def _bytes(spark: SparkSession, path: str, name: str) -> dict[str, int]:
+    """Bytes of each bucket of a folder, by its number as text."""
+    folder = Folder(spark, f"{path}/data/v={name}")
+    return {n.split("=")[1]: folder.bytes(n) for n in folder.names() if n.startswith("bucket=")}
+
+
 def _read(spark: SparkSession, path: str, schema, places: dict[str, Iterable[int]]) -> DataFrame:
     """Rows of some buckets of some folders."""
     parts = [f"{path}/data/v={name}/bucket={b}" for name, own in sorted(places.items()) for b in sorted(own)]
@@ -205,8 +223,8 @@ def write_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...]
     # Stream and id in the name make a rewrite after a crash land on its own unfinished attempt.
     name = f"delta-{stream}-{batch_id}"
     _write(latest_changes(batch, by), f"{path}/data/v={name}", bucket_of(batch, bucket_by or by, table.buckets), partition_by)
-    written = [int(n.split("=")[1]) for n in Folder(spark, f"{path}/data/v={name}").names() if n.startswith("bucket=")]
-    return {"kind": "add", "stream": stream, "batch_id": batch_id, "data": name, "in": sorted(written), "time": int(time.time() * 1000)}
+    written = _bytes(spark, path, name)
+    return {"kind": "add", "stream": stream, "batch_id": batch_id, "data": name, "in": sorted(map(int, written)), "bytes": written, "time": int(time.time() * 1000)}
 
 
 def commit_batch(spark: SparkSession, path: str, commit: dict) -> bool:
@@ -222,17 +240,22 @@ def upsert_batch(batch: DataFrame, path: str, batch_id: int, by: tuple[str, ...]
     table = open_table(spark, path, buckets)
     if table.has(stream_of(spark), batch_id):
         return False
-    compact(spark, path, batch.schema, by, partition_by, compact_every, bucket_by)
+    compact(spark, path, batch.schema, by, partition_by, compact_every, bucket_by, whole=False)
     return commit_batch(spark, path, write_batch(batch, path, batch_id, by, partition_by, buckets, bucket_by))
 
 
 def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key",),
-            partition_by: tuple[str, ...] = (), over: int = 1, bucket_by: tuple[str, ...] | None = None) -> None:
-    """Fold the buckets that more than ``over`` folders can be folded in; deleted keys stay as their last change."""
+            partition_by: tuple[str, ...] = (), over: int = 1, bucket_by: tuple[str, ...] | None = None, whole: bool = True) -> None:
+    """Fold the buckets that more than ``over`` folders can be folded in; deleted keys stay as their last change.
+
+    Not ``whole``, a fold leaves out folders larger than all smaller ones together, so that a row is written about as often
+    as the table doubles, not once a fold; ``over`` then counts the folders that are left, and readers find a few more.
+    """
     table, now = load(spark, path), time.time() * 1000
     if table is None:
         return
-    due = {b: names for b in range(table.buckets) if len(names := table.foldable(b, now)) > over}
+    found = {b: table.foldable(b, now) for b in range(table.buckets)}
+    due = {b: names for b, own in found.items() if len(names := own if whole else table.small(b, own)) > over}
     if not due:
         return
     places: dict[str, set[int]] = {}
@@ -242,7 +265,8 @@ def compact(spark: SparkSession, path: str, schema, by: tuple[str, ...] = ("key"
     name = f"fold-{uuid.uuid4().hex}"
     rows = latest_changes(_read(spark, path, schema, places), by)
     _write(rows, f"{path}/data/v={name}", bucket_of(rows, bucket_by or by, table.buckets), partition_by)
-    _commit(spark, path, lambda t: {"kind": "fold", "data": name, "replaces": {str(b): names for b, names in due.items()}})
+    sizes = _bytes(spark, path, name)
+    _commit(spark, path, lambda t: {"kind": "fold", "data": name, "bytes": sizes, "replaces": {str(b): names for b, names in due.items()}})
 
 
 def vacuum(spark: SparkSession, path: str, older_than_ms: int = 24 * 3600 * 1000) -> None:

@@ -136,6 +136,20 @@ def test_a_fold_rewrites_only_the_buckets_that_are_due(spark):
     assert all(f"/bucket={next(iter(own))}/" in f for f in some.inputFiles())
 
 
+def test_small_folders_are_folded_without_the_large_ones(spark):
+    path = scratch_dir(spark, "t")
+    df = batch(spark, *[("c", k, k, f"value {k}") for k in range(1, 3000)])
+    sinks.upsert_batch(df, path, 0, buckets=1)
+    for i in range(1, 8):
+        sinks.upsert_batch(batch(spark, ("u", 10_000 + i, i, f"b{i}")), path, i, compact_every=1)
+    table = sinks.load(spark, path)
+    assert "delta-batch-0" in table.live and len(table.folders(0)) <= 6
+    got = state(spark, path, df)
+    assert len(got) == 2999 and all((i, f"b{i}") in got for i in range(1, 8))
+    sinks.compact(spark, path, df.schema)
+    assert "delta-batch-0" not in sinks.load(spark, path).live and state(spark, path, df) == got
+
+
 def test_commits_are_put_together_and_old_files_removed(spark, monkeypatch):
     monkeypatch.setattr(sinks, "STATE_EVERY", 5)
     path = scratch_dir(spark, "t")
