@@ -150,6 +150,21 @@ def test_small_folders_are_folded_without_the_large_ones(spark):
     assert "delta-batch-0" not in sinks.load(spark, path).live and state(spark, path, df) == got
 
 
+def test_folds_write_a_row_as_often_as_a_table_doubles():
+    table = sinks.Table()
+    table.apply({"version": 0, "kind": "create", "buckets": 1})
+    written = 0
+    for i in range(256):
+        table.apply({"version": 1, "kind": "add", "stream": f"s{i}", "batch_id": 0, "data": f"d{i}", "in": [0], "bytes": {"0": 10}, "time": 0})
+        names = table.small(0, table.foldable(0, 10 ** 15))
+        if len(names) > 1:
+            size = sum(table.bytes[n]["0"] for n in names)
+            written += size
+            table.apply({"version": 1, "kind": "fold", "data": f"f{i}", "bytes": {"0": size}, "replaces": {"0": names}})
+        assert len(table.folders(0)) <= 9
+    assert written <= 256 * 10 * 8 and sinks.Table(table.said()).said() == table.said()
+
+
 def test_commits_are_put_together_and_old_files_removed(spark, monkeypatch):
     monkeypatch.setattr(sinks, "STATE_EVERY", 5)
     path = scratch_dir(spark, "t")
