@@ -54,22 +54,25 @@ def read_with_new_tables(snapshot: DataFrame, log: DataFrame, state: DataFrame,
     changes: those are folded into the snapshot rows, and only later ones follow as changes, so that every change
     counts once. Without it the snapshot is taken to be older than the whole log.
     """
+    from ..operators import spread
     from ..operators.changelog import latest_changes
     from ..operators.progress import resume
     kind = log.schema["pos"].dataType
     snapshot = snapshot.withColumn("pos", F.col("pos").cast(kind))
-    new_rows, new_log = (df.join(added.select("db", "table"), ["db", "table"], "left_semi") for df in (snapshot, log))
+    # A table is one key of these joins, so its rows must not meet in one task.
+    by = ["db", "table"]
+    new_rows, new_log = (spread.join_small(df, added.select(*by), by, "left_semi") for df in (snapshot, log))
     if high is None:
         fresh = new_rows.unionByName(new_log)
     else:
-        marked = new_log.join(high.select("db", "table", F.col("pos").alias("_high")), ["db", "table"], "left")
+        marked = spread.join_small(new_log, high.select(*by, F.col("pos").alias("_high")), by, "left")
         marked = marked.withColumn("_high", F.when(F.col("_high").isNotNull(), F.col("_high")).otherwise(
             F.raise_error(F.concat(F.lit("no snapshot position for "), full_name())).cast(kind)))
         early, late = marked.where("pos <= _high").drop("_high"), marked.where("pos > _high").drop("_high")
         none = F.lit(None).cast(snapshot.schema["before"].dataType)
         seen = latest_changes(new_rows.unionByName(early), ("db", "table", "key")).where(F.col("op") != "d")
         fresh = seen.withColumns({"op": F.lit("r"), "before": none}).unionByName(late)
-    known = log.join(state.select("db", "table"), ["db", "table"], "left_semi")
+    known = spread.join_small(log, state.select(*by), by, "left_semi")
     return fresh.unionByName(resume(known, state))
 
 

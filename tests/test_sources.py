@@ -326,3 +326,14 @@ def test_wider_types():
     assert w(T.IntegerType(), T.LongType()) == T.LongType() and w(T.DoubleType(), T.FloatType()) == T.DoubleType()
     assert w(T.DecimalType(10, 2), T.DecimalType(20, 2)) == T.DecimalType(20, 2) and w(T.DecimalType(10, 2), T.DecimalType(10, 3)) is None
     assert w(T.IntegerType(), T.StringType()) == T.StringType() and w(T.DateType(), T.StringType()) is None and w(T.LongType(), T.DoubleType()) is None
+
+
+def test_rows_of_one_table_are_not_sorted_in_one_task(spark):
+    rows = spark.range(1000).selectExpr("'d' as db", "'t' as table", "'c' as op", "id as pos", "0 as sub", "named_struct('id', id) as key",
+                                        "cast(null as struct<id:bigint>) as before", "named_struct('id', id) as after")
+    added = spark.createDataFrame([("d", "t")], "db string, table string")
+    state = spark.createDataFrame([("d", "old", 1, 0)], "db string, table string, pos bigint, sub int")
+    for high in (None, added.withColumn("pos", F.lit(500).cast("bigint"))):
+        both = capture.read_with_new_tables(rows.withColumn("op", F.lit("r")), rows, state, added, high)
+        assert "SortMergeJoin" not in both._jdf.queryExecution().executedPlan().toString()
+        assert both.count() == (2000 if high is None else 1000 + 499)
