@@ -18,6 +18,10 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Bytes of an Arrow batch for functions on values, which hold each value as a Python object too: the usual 10,000 rows are
+# hundreds of megabytes a worker where values are whole texts. Can be set while a session runs.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "2000000")
+
 
 def build_session(app_name: str = "changeloom", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

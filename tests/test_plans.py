@@ -2,6 +2,7 @@
 
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,18 @@ def test_hot_join_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v else spark.conf.unset(k)
+
+
+def test_values_come_to_python_in_batches_of_bounded_bytes(spark):
+    import __spark_entry__ as entry
+
+    @F.pandas_udf("bigint")
+    def rows_at_once(values: pd.Series) -> pd.Series:
+        return pd.Series([len(values)] * len(values))
+    entry.queries()["t16_decode_charset"](spark, entry.SMALL)
+    try:
+        sizes = spark.range(2000, numPartitions=1).select(rows_at_once(F.repeat(F.lit("x"), 10_000)).alias("n"))
+        # Not ten thousand rows of ten thousand bytes.
+        assert sizes.agg(F.max("n")).first()[0] <= 250
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
