@@ -61,9 +61,17 @@ def normalize_batch(batch: DataFrame, state_path: str, batch_id: int | None = No
     before the stored position of their key are late and dropped. Stored rows are found by a join with the buckets that
     the keys of the batch lie in, which suits large batches; ``keyed_state.normalize`` looks up the keys alone.
     """
+    return _normalized(_with_held(batch, state_path, batch_id))
+
+
+def _with_held(batch: DataFrame, state_path: str, batch_id: int | None = None) -> DataFrame:
+    """Events of the batch that are not late (``_new``), and the stored rows of their keys."""
     fresh, held = _split_late(batch, state_path, batch_id)
-    both = (held.withColumn("_new", F.lit(False))
+    return (held.withColumn("_new", F.lit(False))
             .unionByName(fresh.withColumn("_new", F.lit(True))))
+
+
+def _normalized(both: DataFrame) -> DataFrame:
     return normalize_upserts(both).where("_new").drop("_new")
 
 
@@ -71,10 +79,16 @@ def stream_normalize(stream: DataFrame, state_path: str, out_path: str, checkpoi
                      trigger: dict | None = None):
     """Upsert stream to a full changelog under ``out_path``, one directory per stream (checkpoint) and batch."""
     def apply(batch, batch_id):
-        batch = dedup_at_least_once(batch, ("key", *S.ORDER))
-        normalize_batch(batch, state_path, batch_id).write.mode("overwrite").parquet(
-            f"{out_path}/stream={stream_of(batch.sparkSession)}/batch={batch_id}")
-        upsert_batch(batch, state_path, batch_id)
+        # Several steps look at the batch, and at the stored rows of its keys; each is put together once.
+        batch = dedup_at_least_once(batch, ("key", *S.ORDER)).persist()
+        both = _with_held(batch, state_path, batch_id).persist()
+        try:
+            _normalized(both).write.mode("overwrite").parquet(
+                f"{out_path}/stream={stream_of(batch.sparkSession)}/batch={batch_id}")
+            upsert_batch(batch, state_path, batch_id)
+        finally:
+            both.unpersist()
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

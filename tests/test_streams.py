@@ -481,3 +481,19 @@ def test_snapshot_rows_of_a_bucket_are_one_value(spark):
     finish(query)
     assert spark.read.schema(df.schema).parquet(out).count() == 200
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) == 4
+
+
+def test_a_batch_of_normalize_is_put_together_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+    look, first = F.udf(look, "bigint").asNondeterministic(), W.dedup_at_least_once
+    monkeypatch.setattr(W, "dedup_at_least_once", lambda df, by: first(df, by).withColumn("fetch_ts", look("fetch_ts")))
+    source, held, out, check = (scratch_dir(spark, n) for n in ("in", "held", "out", "c"))
+    df = batch(spark, ("u", 1, 1, "a"), ("u", 2, 1, "b"), ("r", 1, 2, "x"))
+    df.coalesce(1).write.parquet(source)
+    finish(W.stream_normalize(logs.read_log(spark, source, df.schema, stream=True), held, out, check))
+    got = sorted((r.pos, r.op, r.before and r.before.v) for r in spark.read.schema(df.schema).parquet(f"{out}/stream=*").collect())
+    assert got == [(1, "c", None), (1, "r", None), (2, "u", "a")] and seen.value == 3
