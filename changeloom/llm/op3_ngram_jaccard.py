@@ -17,8 +17,9 @@ where they would be in front by hash alone, and then in whole sets that frequent
 
 Equal sets are one set from the start. Sets that meet are compared without listing all pairs of a group: first each
 with the smallest set of its list; then, where a list still holds sets of different components, with a few others of its
-sets, in turns, so that loosely linked groups grow together; and then the pairs across components that are left. Three exact bounds discard pairs: sizes, places in the order, and parity sketches. What is left is
-compared shingle by shingle on the texts.
+sets, the same few in all lists that hold them, so that loosely linked groups grow together; in turns, as long as a turn
+takes a good part off the pairs across components; and then the pairs across components that are left, first a few of each
+set, in turns likewise. Three exact bounds discard pairs: sizes, places in the order, and parity sketches. What is left is compared shingle by shingle on the texts.
 """
 
 from __future__ import annotations
@@ -51,8 +52,10 @@ SLICE_BYTES = 1 << 20
 ENTRIES = 1 << 17
 # Comparisons with one set that one task makes.
 MEMBERS = 2_000
-# Turns of comparing each open list with a few of its sets, before the pairs across components.
-TURNS = 1
+# Turns of comparing each open list, or each set, with a few sets. A turn must leave at most this part of the pairs that the
+# one before it left, or the rest is compared at once, as where few are left.
+TURNS = 8
+LEFT = 0.75
 OTHERS = 8
 BOUNDARIES = (0, 8, 16, 32, 64, 128)
 
@@ -63,6 +66,8 @@ _ENTRIES = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("frequent",
 _LISTS = pa.schema([("key", pa.int64()), ("frequent", pa.bool_()), ("set_id", pa.int64()), ("n", pa.int32()), ("place", pa.int32()),
                     ("first", pa.int64()), ("first_n", pa.int32()), ("first_place", pa.int32())])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIRS = pa.schema([*_LINKS, ("a_row", pa.int64()), ("b_row", pa.int64())])
+_ONES = pa.schema([("n", pa.int64()), ("set_id", pa.int64()), ("row", pa.int64()), ("sketch", pa.binary())])
 
 
 def _ddl(schema: pa.Schema) -> str:
@@ -239,6 +244,57 @@ def _meeting_twice(met: DataFrame) -> DataFrame:
     return met.where(_sizes_fit(a_n, b_n) & early).groupBy("a", "b").agg(times.alias("times")).where("times >= 2").select("a", "b")
 
 
+def _still_open(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """Entries of the lists that hold sets of different components, with their ``label``. Lists closed once stay closed."""
+    now = lists.join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
+    return now.join(mixed, "key", "left_semi").select("key", "frequent", "set_id", "n", "place", "label")
+
+
+def _left(open_lists: DataFrame) -> tuple[float, int]:
+    """(meetings across components, entries) in lists of frequent shingles; the other lists are short."""
+    own = open_lists.where("frequent").groupBy("key", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    lists = own.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    left, held = lists.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.sum("n")).first()
+    return left or 0.0, int(held or 0)
+
+
+_MET = ("a", "b", "a_n", "b_n", "a_place", "b_place")
+
+
+def _others(open_lists: DataFrame, turn: int) -> DataFrame:
+    """Meetings of the sets of each list with a few others of it, which are ``a``. Which these are goes by set and turn alone:
+    sets that have much in common meet the same ones, and in more than one list."""
+    by = F.xxhash64("set_id", F.lit(turn))
+    least = F.min(F.struct(by.alias("by"), "set_id", "n", "place", "label"))
+    other = open_lists.groupBy("key", F.pmod(by, F.lit(OTHERS)).alias("part")).agg(least.alias("y")).select("key", "y")
+    return (open_lists.join(other, "key").where(F.col("label") != F.col("y.label"))
+            .select("y.set_id", "set_id", "y.n", "n", "y.place", "place").toDF(*_MET))
+
+
+def _some(pairs: DataFrame, turn: int) -> DataFrame:
+    """Of the pairs (a, b) a few for each set, different ones for different sets: of many sets that are open against a few,
+    each takes a few of these, so that each of the few is compared with many."""
+    ends = pairs.unionAll(pairs.select("b", "a")).toDF("x", "y")
+    by = F.xxhash64("x", "y", F.lit(turn))
+    least = ends.groupBy("x", F.pmod(by, F.lit(OTHERS)).alias("part")).agg(F.min(F.struct(by.alias("by"), "y")).alias("least")).select("x", "least.y")
+    return least.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _not_yet(pairs: DataFrame, some: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs not among ``some`` whose sets are still of different components."""
+    side = lambda x: label.select(F.col("set_id").alias(x), F.col("label").alias(f"{x}_label"))
+    return (pairs.join(some, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left")
+            .where(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b"))
+
+
+def _labels(links: DataFrame, label: DataFrame | None = None) -> DataFrame:
+    """(set_id, label) of the components of links (a, b) and of earlier ones, which their sets' ``label`` stands for."""
+    if label is not None:
+        links = links.unionAll(label.select(F.col("set_id").alias("a"), F.col("label").alias("b")))
+    return components(links).select(F.col("node").alias("set_id"), "label")
+
+
 def _across(open_lists: DataFrame) -> DataFrame:
     """Meetings of sets of different components in lists (key, set_id, n, place, label), the smaller set on one side.
 
@@ -248,7 +304,8 @@ def _across(open_lists: DataFrame) -> DataFrame:
     n = F.col("n")
     smaller = open_lists.where(n - _at(F.col("place")) >= _needed(n, n) - 1).select("key", F.struct("set_id", "n", "place", "label").alias("y"))
     larger = (n > F.col("y.n")) | ((n == F.col("y.n")) & (F.col("set_id") > F.col("y.set_id")))
-    return open_lists.join(smaller, "key").where(larger & (F.col("label") != F.col("y.label")))
+    return (open_lists.join(smaller, "key").where(larger & (F.col("label") != F.col("y.label")))
+            .select(F.least("set_id", "y.set_id"), F.greatest("set_id", "y.set_id"), "n", "y.n", "place", "y.place").toDF(*_MET))
 
 
 class _KeepRows:
@@ -288,30 +345,27 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches differ no more than those of linked sets may."""
     for batch in batches:
-        a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
-        some = [sketch_distance(x[i], y[i]) <= n[i] + m[i] - 2 * -(-SHARE[0] * (n[i] + m[i]) // sum(SHARE)) for i in range(len(a))]
-        yield batch.select(["a", "b"]).filter(pa.array(some, pa.bool_()))
-
-
-def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that link, by sketch and then by text."""
-    one = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "row", "n", "sketch")).alias("one")).select("set_id", "one.*")
-    side = lambda x: one.select(F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("sketch").alias(f"{x}_sketch"))
-    near = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch")
-            .mapInArrow(_near, _ddl(_LINKS)))
+        n, m, x, y = (batch.column(i).to_pylist() for i in range(4, 8))
+        some = [sketch_distance(x[i], y[i]) <= n[i] + m[i] - 2 * -(-SHARE[0] * (n[i] + m[i]) // sum(SHARE)) for i in range(len(n))]
+        yield batch.select(_PAIRS.names).filter(pa.array(some, pa.bool_()))
+
+
+def _links(rows: DataFrame, ones: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set ids that link, by sketch and then by text. ``ones`` has one row of each set."""
+    pairs = stored(pairs, "met")
+    known = ones.mapInArrow(_KeepRows(Bitmap(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), "set_id")), _ddl(_ONES))
+    side = lambda x: known.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("row", "n", "sketch")])
+    near = (pairs.join(side("a"), "a").join(side("b"), "b").select(*_PAIRS.names, "a_n", "b_n", "a_sketch", "b_sketch")
+            .mapInArrow(_near, _ddl(_PAIRS)))
     near = stored(near, "pairs")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(one, "set_id").select("set_id", "row")
-    wanted = stored(wanted, "wanted")
-    # One row of each set; equal rows would give the text twice.
-    texts = (rows.mapInArrow(_KeepRows(Bitmap(wanted, "row")), "doc_id bigint, row bigint, text string").join(wanted, "row")
-             .groupBy("set_id").agg(F.first("text").alias("text")))
-    texts = stored(texts, "texts")
-    parts = near.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
-    heads = (parts.join(texts.withColumnRenamed("set_id", "a"), "a")
-             .select("a", F.lit(None).cast("bigint").alias("b"), "text", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
-    members = (near.join(parts, "a").join(texts.withColumnRenamed("set_id", "b"), "b")
-               .select("a", "b", "text", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")))
-    dealt = heads.unionAll(members).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    # Where each text goes: that of ``a`` itself (b null) to all parts of its comparisons, that of ``b`` to one.
+    parts = near.groupBy("a", "a_row").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
+    heads = parts.select(F.col("a_row").alias("row"), "a", F.lit(None).cast("bigint").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    members = near.join(parts.select("a", "parts"), "a").select(F.col("b_row").alias("row"), "a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    wanted = stored(heads.unionAll(members), "wanted")
+    # Equal rows would give the text twice.
+    texts = rows.mapInArrow(_KeepRows(Bitmap(wanted, "row")), "doc_id bigint, row bigint, text string").select("row", "text").dropDuplicates(["row"])
+    dealt = texts.join(wanted, "row").select("a", "b", "text", "part").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
     return stored(dealt.select("a", "b", "text").mapInArrow(_compare, _ddl(_LINKS)), "found")
 
 
@@ -375,28 +429,29 @@ def _near_groups(documents: DataFrame, boundary: int | None, frequent_from: int,
     lowest = firsts.groupBy("key").agg(F.min("first").alias("low"), F.min_by("first_n", "first").alias("low_n"))
     links_of_parts = (firsts.join(lowest, "key").where("first <> low").where(_sizes_fit(F.col("first_n"), F.col("low_n")))
                       .select(F.col("low").alias("a"), F.col("first").alias("b")))
-    found = _links(rows, sets, stars.unionAll(links_of_parts).distinct())
+    ones = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "row", "n", "sketch")).alias("one")).select("one.n", "set_id", "one.row", "one.sketch")
+    ones = stored(ones, "ones")
+    found = _links(rows, ones, stars.unionAll(links_of_parts).distinct())
 
-    entries_of = lists.select("key", "set_id", "n", "place")
+    label = _labels(found)
+    open_lists, before = lists.select("key", "frequent", "set_id", "n", "place"), math.inf
     for turn in range(TURNS + 1):
-        label = components(found).select(F.col("node").alias("set_id"), "label")
-        now = entries_of.join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-        mixed = now.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-        open_lists = stored(now.join(mixed, "key", "left_semi"), "open")
-        if turn < TURNS:
-            # A few other sets of each open list, different ones in each list and turn.
-            part = F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(OTHERS))
-            least = F.min(F.struct(F.xxhash64("key", "set_id", F.lit(turn)), "set_id", "n", "place", "label"))
-            other = open_lists.groupBy("key", part.alias("part")).agg(least.alias("y")).select("key", "y")
-            met = open_lists.join(other, "key").where(F.col("label") != F.col("y.label"))
-        else:
-            met = _across(open_lists)
-        met = met.select(
-            F.least("set_id", "y.set_id").alias("a"), F.greatest("set_id", "y.set_id").alias("b"), F.col("n").alias("a_n"), F.col("y.n").alias("b_n"),
-            F.col("place").alias("a_place"), F.col("y.place").alias("b_place"))
-        found = found.unionAll(_links(rows, sets, _meeting_twice(met)))
+        open_lists = stored(_still_open(open_lists.drop("label"), label), "open")
+        left, held = _left(open_lists)
+        if turn and (turn == TURNS or left <= OTHERS * held or left > LEFT * before):
+            break
+        before = left
+        label = _labels(_links(rows, ones, _meeting_twice(_others(open_lists, turn))), label)
+    pairs = stored(_meeting_twice(_across(open_lists)), "across")
+    for turn in range(TURNS + 1):
+        left, before = pairs.count(), left if turn else math.inf
+        few = turn == TURNS or left > LEFT * before or left <= OTHERS * pairs.select(F.explode(F.array("a", "b"))).distinct().count()
+        some = pairs if few else stored(_some(pairs, turn), "some")
+        label = _labels(_links(rows, ones, some), label)
+        if few:
+            break
+        pairs = stored(_not_yet(pairs, some, label), "across")
 
-    label = components(found).select(F.col("node").alias("set_id"), "label")
     docs = every.select("doc_id", "row", "n", "set_id").join(label, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     smallest = docs.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest"))
     return (docs.join(smallest, "label", "left")

@@ -107,3 +107,23 @@ def test_templates_with_varying_sizes(spark, own):
         docs.append((i, " ".join([*template, *[f"o{rng.randrange(60)}" for _ in range(rng.randrange(own))]]), "x", 1))
     for boundary in (0, 128):
         assert rows(N.near_groups(spark.createDataFrame(docs, DOC), boundary, 16, 500)) == brute(docs)
+
+
+def test_others_are_the_same_in_all_lists(spark):
+    """A pair has to meet twice: 300 sets in 12 lists each meet some of a few sets, not none by chance."""
+    lists = spark.range(300).selectExpr("id AS set_id", "explode(sequence(0L, 11L)) AS key", "true AS frequent", "100 AS n", "0 AS place", "id AS label")
+    pairs = N._meeting_twice(N._others(lists, 0)).collect()
+    assert {p.b for p in pairs} == set(range(300)) and len({p.a for p in pairs}) == N.OTHERS and len(pairs) < 300 * N.OTHERS
+    assert N._left(lists) == (12 * 300 * 299 / 2, 12 * 300)
+
+
+def test_pairs_left_are_compared_a_few_for_each_set(spark):
+    """5 sets open against 1,000 others: some pairs of each, and after these link nothing is left of the 5,000 but strangers."""
+    pairs = spark.range(5).selectExpr("id AS a", "explode(sequence(100L, 1099L)) AS b")
+    some = N._some(pairs, 0).collect()
+    assert {p.a for p in some} == set(range(5)) and {p.b for p in some} == set(range(100, 1100)) and len(some) <= 1005 * N.OTHERS
+    few = spark.createDataFrame([(0, 100), (1, 101), (2, 102)], "a bigint, b bigint")
+    label = N._labels(spark.createDataFrame([(0, 100), (1, 101)], "a bigint, b bigint"),
+                      spark.range(101, 1100).selectExpr("id AS set_id", "100L AS label"))
+    rest = N._not_yet(pairs, few, label)
+    assert {r.a for r in rest.collect()} == {2, 3, 4} and rest.count() == 2999
